@@ -17,12 +17,12 @@ TXN_TYPE = "struct<xid:string,csn:string,seq:string,flag:string,op_time:string>"
 ERROR_TYPE = "struct<code:string,detail:string>"
 
 CHANGE_EVENT_SCHEMA = (
-    "topic string, partition int, offset bigint, event_ts timestamp, "
+    "topic string, partition int, offset bigint, item int, event_ts timestamp, "
     "src_schema string, src_table string, schema_name string, table_name string, "
     f"op string, cols {COLS_TYPE}, txn {TXN_TYPE}, raw string, error {ERROR_TYPE}"
 )
 CHANGE_EVENT_COLUMNS = (
-    "topic partition offset event_ts src_schema src_table schema_name table_name op cols txn raw error".split()
+    "topic partition offset item event_ts src_schema src_table schema_name table_name op cols txn raw error".split()
 )
 
 

@@ -1,6 +1,6 @@
 """Typed binding: change events of one table -> wide change rows.
 
-A wide change row has ``seq`` (the total order: topic, partition, offset), ``chunk`` (a monotone coarsening
+A wide change row has ``seq`` (the total order: topic, partition, offset, item), ``chunk`` (a monotone coarsening
 of ``seq``), ``op``, the old key ``s_<key>``, the new key ``d_<key>`` and one ``c_<column>`` per non-key
 column: a struct ``(cur, old)`` that is null when the change does not set the column. A column set to
 NULL is a non-null struct whose ``cur`` is null.
@@ -29,11 +29,15 @@ def val_cols(spec: TableSpec) -> list[str]:
     return [f"c_{n}" for n in spec.value_names]
 
 
-def order_columns(chunk_offsets: int = CHUNK_OFFSETS) -> list[Column]:
-    """``seq`` and ``chunk`` from topic, partition and offset: partition order always holds."""
+def order_columns(df: DataFrame, chunk_offsets: int = CHUNK_OFFSETS) -> list[Column]:
+    """``seq`` and ``chunk`` from topic, partition, offset and position inside the message.
+
+    Partition order always holds.
+    """
     offset = F.col("offset").cast("bigint")
+    item = F.col("item") if "item" in df.columns else F.lit(0)
     return [
-        F.struct("topic", "partition", offset.alias("offset")).alias("seq"),
+        F.struct("topic", "partition", offset.alias("offset"), item.alias("item")).alias("seq"),
         F.struct("topic", "partition", F.floor(offset / chunk_offsets).alias("block")).alias("chunk"),
     ]
 
@@ -61,7 +65,7 @@ def typed_changes(
         return spec.column(k).dtype
 
     return df.select(
-        *order_columns(chunk_offsets),
+        *order_columns(df, chunk_offsets),
         op.alias("op"),
         *[F.coalesce(old_key[k], new_key[k]).cast(dtype(k)).alias(f"s_{k}") for k in spec.key_names],
         *[F.coalesce(new_key[k], old_key[k]).cast(dtype(k)).alias(f"d_{k}") for k in spec.key_names],
@@ -159,7 +163,7 @@ def bind_changes(
         return F.when(v["has_cur"] & (F.col("op") != "D"), typed).alias(f"c_{name}")
 
     good = classified.filter(F.col("error").isNull()).select(
-        *order_columns(chunk_offsets),
+        *order_columns(classified, chunk_offsets),
         "op",
         *src_cols(spec),
         *dst_cols(spec),

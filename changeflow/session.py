@@ -19,14 +19,23 @@ def get_session(app: str = "changeflow", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # GBK and other JVM charsets in decode()
-        .config("spark.sql.legacy.javaCharsets", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    return configure(builder.getOrCreate())
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Runtime settings the decoders rely on; safe to call on any session."""
+    # GBK and other JVM charsets in decode()
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    # a column named twice in one message: the later value counts
+    spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
