@@ -14,6 +14,7 @@ from changeflow.operators.bind import bind_changes
 from changeflow.operators.keychange import net_batch
 from changeflow.operators.nopk import replay_nopk
 from changeflow.operators.route import bind_columns, known_tables, map_columns, map_tables, split_by_table, split_errors
+from changeflow.session import cut_lineage
 from changeflow.sources.envelope import topic_config
 from changeflow.sources.registry import decode
 
@@ -53,10 +54,20 @@ def apply_table(events: DataFrame, spec: TableSpec, snapshot: DataFrame, update_
 
 
 def run_batch(
-    envelope: DataFrame, job: JobConfig, catalog: Catalog, snapshots: dict[str, DataFrame]
+    envelope: DataFrame,
+    job: JobConfig,
+    catalog: Catalog,
+    snapshots: dict[str, DataFrame],
+    materialise: bool = True,
 ) -> dict[str, TableBatch]:
-    """Apply one batch of messages to all target tables of the catalog."""
+    """Apply one batch of messages to all target tables of the catalog.
+
+    The decoded batch is written once, because every table and several passes of the key-change path read it;
+    ``materialise=False`` suits a single table with inserts, updates and deletes only.
+    """
     routed = decode_and_route(envelope, job, catalog)
+    if materialise:
+        routed = cut_lineage(routed)
     good, _bad = split_errors(routed, job.on_error)
     per_table = split_by_table(known_tables(good, catalog), catalog)
     return {

@@ -13,7 +13,8 @@ def spark():
     session = get_session(
         "changeflow-tests",
         master="local[8]",
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="2",
+        spark__default__parallelism="2",
         spark__ui__enabled="false",
         spark__driver__memory="4g",
     )
