@@ -1,0 +1,114 @@
+"""Streaming queries: the events log as a stream of files, applied in several micro-batches."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from changeflow import fixed_values as fv
+from changeflow.config import JobConfig
+from changeflow.model import ENVELOPE_SCHEMA, Catalog
+from changeflow.operators.bind import bind_changes
+from changeflow.operators.route import bind_columns
+from changeflow.operators.stats import throughput_stream
+from changeflow.plans import logs
+from changeflow.plans.net_queries import MERGED_SQL, NET_SQL
+from changeflow.plans.registry import query
+from changeflow.sources.decode_text import decode_ctrl
+from changeflow.streaming.live_view import live_view
+from changeflow.streaming.pipeline import start_pipeline
+from changeflow.streaming.store import SnapshotStore
+
+USERS = logs.USERS
+FILES = 4
+
+
+def _messages(spark, d):
+    """The events log as control-character messages in the envelope."""
+    log = logs.events_log(spark, d)
+    key = F.col("c1").cast("string")
+    deleted, inserted = F.col("op") == "D", F.col("op") == "I"
+
+    def side(value, none):
+        tagged = F.coalesce(F.concat(F.lit(fv.TAG_DATA), value), F.lit(fv.TAG_NULL))
+        return F.when(none, F.lit(fv.TAG_NONE)).otherwise(tagged)
+
+    fields = [F.concat(F.lit("0"), side(key, deleted), side(key, inserted))]
+    for i, n in enumerate(("c2", "c3", "c4"), 1):
+        field = F.concat(F.lit(str(i)), side(F.col(n), deleted), side(F.col(n), inserted))
+        fields.append(F.when(F.col(f"has_{n}"), field))
+    head = F.concat_ws(fv.TAG_DATA, *[F.lit(x) for x in ("P", "1", "x", "l", "1", "8", "0")])
+    text = F.concat_ws(fv.FIELD_SEP, head, F.lit("S.USERS"), "op", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"), *fields)
+    return log.select(
+        F.lit(None).cast("binary").alias("key"), F.encode(text, "UTF-8").alias("value"),
+        "topic", "partition", "offset", "timestamp")
+
+
+def _write_log(messages, path):
+    """Several files, cut by offset, so that the stream has several micro-batches in log order."""
+    files = messages.repartitionByRange(FILES, "offset")
+    files.write.parquet(path)
+
+
+@query("stream_apply", MERGED_SQL + "SELECT * FROM merged")
+def stream_apply(spark, d):
+    """Decode, net and merge micro-batch by micro-batch; the published table equals one batch merge."""
+    root = logs.work_dir(spark)
+    _write_log(_messages(spark, d), f"{root}/log")
+    catalog = Catalog([USERS])
+    store = SnapshotStore(spark, f"{root}/store", catalog, buckets=8)
+    store.load(logs.user_seed(spark, d), USERS)
+    job = JobConfig(
+        source="parquet", path=f"{root}/log", format="ctrl", max_files_per_trigger=1, skip=True,
+        unload_dir=f"{root}/unload", load_dir=f"{root}/applied", raw_dir=f"{root}/raw", dump_binary=True)
+    start_pipeline(spark, job, store, f"{root}/offsets", available_now=True).awaitTermination()
+    return store.read(USERS)
+
+
+LIVE_SQL = NET_SQL + """
+SELECT op, c1, n2.v AS c2, n3.v AS c3, n4.v AS c4, n_events FROM net"""
+
+
+@query("stream_live_view", LIVE_SQL)
+def stream_live_view(spark, d):
+    """Net state per key kept in the state store; each batch writes the keys it changed."""
+    root = logs.work_dir(spark)
+    _write_log(_messages(spark, d), f"{root}/log")
+    stream = spark.readStream.schema(ENVELOPE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/log")
+    events = bind_columns(decode_ctrl(stream), Catalog([USERS]), by="position")
+    changes, _ = bind_changes(events, USERS)
+    view = live_view(changes, USERS)
+
+    def keep(batch, batch_id):
+        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{root}/view/b={batch_id}")
+
+    query_ = (
+        view.writeStream.outputMode("update").option("checkpointLocation", f"{root}/offsets")
+        .trigger(availableNow=True).foreachBatch(keep).start()
+    )
+    query_.awaitTermination()
+    states = spark.read.parquet(f"{root}/view")
+    fields = ["op", *[f"c_{n}" for n in USERS.value_names], "n_events"]
+    latest = states.groupBy("d_c1").agg(F.max_by(F.struct(*fields), "batch_id").alias("s"))
+    return latest.select(
+        "s.op", F.col("d_c1").alias("c1"), *[F.col(f"s.c_{n}.cur").alias(n) for n in USERS.value_names], "s.n_events")
+
+
+@query(
+    "stream_throughput",
+    """SELECT strftime(time_bucket(INTERVAL 6 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS start, event_type AS op, CAST(count(*) AS BIGINT) AS n,
+  CAST(floor(count(*) / 21600) AS BIGINT) AS speed FROM events
+WHERE time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 60 SECOND GROUP BY 1, 2""",
+)
+def stream_throughput(spark, d):
+    """Messages per window in streaming form; windows closed by the watermark are emitted once."""
+    root = logs.work_dir(spark)
+    events = logs.table(spark, d, "events").select(F.col("ts").cast("timestamp").alias("event_ts"), F.col("event_type").alias("op"))
+    events.repartitionByRange(FILES, "event_ts").write.parquet(f"{root}/log")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/log")
+    query_ = (
+        throughput_stream(stream, 21600).writeStream.outputMode("append").format("parquet")
+        .option("checkpointLocation", f"{root}/offsets").option("path", f"{root}/out").trigger(availableNow=True).start()
+    )
+    query_.awaitTermination()
+    out = spark.read.schema("start timestamp, op string, n bigint, speed bigint").parquet(f"{root}/out")
+    return out.withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm:ss"))

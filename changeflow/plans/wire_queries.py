@@ -409,13 +409,17 @@ def decode_bytes(spark, d):
     return docs.select("doc_id", F.md5(tx.decode_bytes(F.col("raw"), "UTF-8").cast("binary")).alias("digest"))
 
 
-@query("decode_bytes_fallback", "SELECT c_custkey, c_name || ' ж' AS decoded FROM customer")
+@query(
+    "decode_bytes_fallback",
+    "SELECT c_custkey, c_name || CASE WHEN c_nationkey % 2 = 0 THEN 'ж' ELSE '€' END AS decoded FROM customer",
+)
 def decode_bytes_fallback(spark, d):
-    """UTF-8 bytes that are not valid GBK fall back to UTF-8."""
-    raw = F.encode(F.concat("c_name", F.lit(" ж")), "UTF-8")
-    gbk = tx.decode_bytes(F.encode(F.concat("c_name", F.lit(" ж")), "GBK"), "GBK")
+    """GBK bytes decode as GBK; UTF-8 bytes that are not valid GBK fall back to UTF-8."""
     c = logs.table(spark, d, "customer")
-    return c.select("c_custkey", F.when(F.length(raw) > 0, gbk).alias("decoded"))
+    gbk = F.encode(F.concat("c_name", F.lit("ж")), "GBK")
+    utf8 = F.encode(F.concat("c_name", F.lit("€")), "UTF-8")
+    raw = F.when(F.col("c_nationkey") % 2 == 0, gbk).otherwise(utf8)
+    return c.select("c_custkey", tx.decode_bytes(raw, "GBK").alias("decoded"))
 
 
 @query("normalise_text", "SELECT p_partkey, p_name FROM part")
