@@ -73,31 +73,42 @@ def typed_changes(
     )
 
 
-def with_keys(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Old and new key of every change. A missing old key part is the current one and vice versa."""
+def _cell(name: str) -> Column:
+    return F.col(f"x_{name}")
 
-    def part(k: str, first: str, second: str) -> Column:
-        v = F.try_element_at("cols", F.lit(k))
-        return (
-            F.when(v[f"has_{first}"], v[first])
-            .when(v[f"has_{second}"], v[second])
-            .try_cast(spec.column(k).dtype)
-        )
 
-    is_insert = F.col("op") == "I"
-    is_delete = F.col("op") == "D"
+def _cells(spec: TableSpec) -> list[str]:
+    return [f"x_{n}" for n in spec.column_names]
 
-    def old(k: str) -> Column:
-        return F.when(is_insert, part(k, "cur", "old")).otherwise(part(k, "old", "cur"))
 
-    def new(k: str) -> Column:
-        return F.when(is_delete, part(k, "old", "cur")).otherwise(part(k, "cur", "old"))
+def _computed(**columns: Column) -> Column:
+    """Columns evaluated once per row. As rows of a one-element array they are not inlined into every later use."""
+    return F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
 
-    return df.select(
-        "*",
-        *[old(k).alias(f"s_{k}") for k in spec.key_names],
-        *[new(k).alias(f"d_{k}") for k in spec.key_names],
-    )
+
+def with_cells(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Look every column of the table up once: ``x_<column>``."""
+    return df.select("*", _computed(**{f"x_{n}": F.try_element_at("cols", F.lit(n)) for n in spec.column_names}))
+
+
+def with_keys(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Old and new key of every change. A missing old key part is the current one and vice versa.
+
+    Needs ``with_cells``.
+    """
+
+    def part(k: str, first: str, second: str) -> Column:
+        v = _cell(k)
+        text = F.when(v[f"has_{first}"], v[first]).when(v[f"has_{second}"], v[second])
+        return text.try_cast(spec.column(k).dtype)
+
+    is_insert, is_delete = F.col("op") == "I", F.col("op") == "D"
+    keys = {}
+    for k in spec.key_names:
+        keys[f"s_{k}"] = F.when(is_insert, part(k, "cur", "old")).otherwise(part(k, "old", "cur"))
+    for k in spec.key_names:
+        keys[f"d_{k}"] = F.when(is_delete, part(k, "old", "cur")).otherwise(part(k, "cur", "old"))
+    return df.select("*", _computed(**keys))
 
 
 def key_changed(spec: TableSpec) -> Column:
@@ -127,7 +138,7 @@ def _binding_error(spec: TableSpec) -> Column:
     sets_values = F.col("op") != "D"
     for name in spec.column_names:
         col = spec.column(name)
-        v = F.try_element_at("cols", F.lit(name))
+        v = _cell(name)
         bad = v["cur"].isNotNull() & v["cur"].try_cast(col.dtype).isNull()
         checks.append((sets_values & bad, "bad_value", name))
         if col.is_character and col.width > 0:
@@ -153,29 +164,32 @@ def bind_changes(
     Returns ``(changes, rejects)``: wide change rows, and the events with a null key, an uncastable,
     over-long or forbidden null value (with ``error``). One pass, no shuffle.
     """
-    keyed = with_keys(events.filter(F.col("error").isNull()), spec)
-    classified = classify(keyed, spec, update_mode).withColumn("error", _binding_error(spec))
+    checked = _checked(events.filter(F.col("error").isNull()).drop("error"), spec, update_mode)
 
     def value(name: str) -> Column:
         dtype = spec.column(name).dtype
-        v = F.try_element_at("cols", F.lit(name))
+        v = _cell(name)
         typed = F.struct(v["cur"].try_cast(dtype).alias("cur"), v["old"].try_cast(dtype).alias("old"))
         return F.when(v["has_cur"] & (F.col("op") != "D"), typed).alias(f"c_{name}")
 
-    good = classified.filter(F.col("error").isNull()).select(
-        *order_columns(classified, chunk_offsets),
+    good = checked.filter(F.col("error").isNull()).select(
+        *order_columns(checked, chunk_offsets),
         "op",
         *src_cols(spec),
         *dst_cols(spec),
         *[value(n) for n in spec.value_names],
     )
-    bad = classified.filter(F.col("error").isNotNull()).drop(*src_cols(spec), *dst_cols(spec))
-    return good, bad
+    return good, checked.filter(F.col("error").isNotNull()).select(*events.columns)
+
+
+def _checked(events: DataFrame, spec: TableSpec, update_mode: str) -> DataFrame:
+    keyed = classify(with_keys(with_cells(events, spec), spec), spec, update_mode)
+    return keyed.select("*", _computed(error=_binding_error(spec)))
 
 
 def cast_typed(events: DataFrame, spec: TableSpec) -> DataFrame:
     """Every event with its binding error (null if it binds), for inspection and reject counts."""
-    return classify(with_keys(events, spec), spec).withColumn("error", _binding_error(spec))
+    return _checked(events.drop("error"), spec, "sparse").select(*events.columns)
 
 
 def to_row(events: DataFrame, spec: TableSpec) -> DataFrame:

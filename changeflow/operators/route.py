@@ -14,8 +14,8 @@ def resolve_names(events: DataFrame, def_schema: str | None = None) -> DataFrame
     beats the topic's default."""
     parts = F.split("src_table", r"[.]")
     n = F.size(parts)
-    table = F.when(n == 3, F.get(parts, F.lit(2))).when(n == 2, F.get(parts, F.lit(1))).otherwise(parts[0])
-    in_message = F.when(n == 3, F.get(parts, F.lit(1))).when(n == 2, parts[0])
+    table = F.when(n <= 3, F.element_at(parts, -1)).otherwise(parts[0])
+    in_message = F.when(n.isin(2, 3), F.try_element_at(parts, F.lit(-2)))
     from_topic = F.col("topic_schema") if "topic_schema" in events.columns else F.lit(None).cast("string")
     configured = F.lit(def_schema if def_schema and "," not in def_schema else None).cast("string")
     schema = F.coalesce(configured, in_message, from_topic)

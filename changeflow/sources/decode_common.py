@@ -10,11 +10,11 @@ from changeflow.functions.text import strip_quotes
 from changeflow.model import COLS_TYPE, ERROR_TYPE, TXN_TYPE
 
 
-def cell(cur: Column, old: Column, has_cur: Column, has_old: Column) -> Column:
-    """Column value with quotes stripped."""
+def cell(cur: Column, old: Column, has_cur: Column, has_old: Column, quoted: bool = True) -> Column:
+    """Column value with quotes stripped (``quoted=False``: the values cannot hold any)."""
+    clean = strip_quotes if quoted else (lambda v: v)
     return F.struct(
-        strip_quotes(cur).alias("cur"), strip_quotes(old).alias("old"),
-        has_cur.alias("has_cur"), has_old.alias("has_old"),
+        clean(cur).alias("cur"), clean(old).alias("old"), has_cur.alias("has_cur"), has_old.alias("has_old")
     )
 
 

@@ -12,8 +12,9 @@ from changeflow.sources.decode_common import cell, change_event, error
 
 def _integer(start: int, width: int, big_endian: bool, signed: bool) -> Column:
     """Text of the integer in ``width`` bytes from 0-based ``start``."""
-    order = range(width) if big_endian else reversed(range(width))
-    digits = F.concat(*[F.hex(F.substring("value", start + i + 1, 1)) for i in order])
+    digits = F.hex(F.substring("value", start + 1, width))
+    if not big_endian:
+        digits = F.concat(*[F.substring(digits, 2 * i + 1, 2) for i in reversed(range(width))])
     number = F.conv(digits, 16, 10)
     if not signed:
         return number
@@ -37,7 +38,8 @@ def decode_fixed(df: DataFrame, spec: TableSpec, big_endian: bool = False, signe
             value = F.substring("value", start + 1, c.width).cast("string")
         else:
             unsupported, value = c.name, none
-        entries += [F.lit(c.name), cell(value, none, yes, no)]
+        is_text = c.type_code in fv.FIXED_CHAR_CODES
+        entries += [F.lit(c.name), cell(value, none, yes, no, quoted=is_text)]
         start += c.width
     only_integers = all(c.type_code in fv.FIXED_INT_CODES for c in spec.columns)
     if unsupported:

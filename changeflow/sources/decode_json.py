@@ -26,21 +26,19 @@ def _text_nulls(value, json_null: str):
 
 def decode_json_image(df: DataFrame, json_null: str = "null", encoding: str = fv.DEFAULT_ENCODING) -> DataFrame:
     """One JSON object per message with the row image ``data`` and the changed columns' ``old`` values."""
-    staged = (
-        df.withColumn("_text", normalise_text(F.col("value"), encoding))
-        .withColumn("_j", F.from_json("_text", IMAGE_SCHEMA))
-        .withColumn("_data", F.coalesce("_j.data", F.create_map().cast("map<string,string>")))
-        .withColumn("_old", F.coalesce("_j.old", F.create_map().cast("map<string,string>")))
+    staged = df.withColumn("_text", normalise_text(F.col("value"), encoding)).withColumn(
+        "_j", F.from_json("_text", IMAGE_SCHEMA)
     )
+
+    def wrapped(field: str):
+        """Values as structs: a missing key gives a null struct, a JSON null a struct with a null."""
+        image = F.coalesce(F.col(f"_j.{field}"), F.create_map().cast("map<string,string>"))
+        return F.transform_values(image, lambda k, v: F.struct(_text_nulls(v, json_null).alias("v")))
+
     cols = F.map_zip_with(
-        "_data",
-        "_old",
-        lambda k, cur, old: cell(
-            F.when(F.map_contains_key("_data", k), _text_nulls(cur, json_null)),
-            F.when(F.map_contains_key("_old", k), _text_nulls(old, json_null)),
-            F.map_contains_key("_data", k),
-            F.map_contains_key("_old", k),
-        ),
+        wrapped("data"),
+        wrapped("old"),
+        lambda k, cur, old: cell(cur["v"], old["v"], cur.isNotNull(), old.isNotNull()),
     )
     op = normalise_op(F.col("_j.type"), "words")
     both = F.col("_j.xoffset").isNotNull() & F.col("_j.commit").isNotNull()

@@ -50,34 +50,38 @@ def decode_ctrl(df: DataFrame, def_schema: str | None = None, encoding: str = fv
     Message: transaction attributes, table name, operation, time, then one field per column with the column
     position, the current and the old value, each led by its tag.
     """
-    data, null, none = fv.TAG_DATA, fv.TAG_NULL, fv.TAG_NONE
+    data, none = fv.TAG_DATA, fv.TAG_NONE
     tags = f"[{data}-{none}]"
-    plain = f"[^{fv.FIELD_SEP}-{none}]*"
-    shape = f"(?s)^(\\d+)({tags})({plain})({tags})({plain})"
     staged = (
         df.withColumn("_text", normalise_text(F.col("value"), encoding))
         .withColumn("_f", F.split("_text", fv.FIELD_SEP))
         .withColumn("_t", F.split(F.col("_f")[0], fv.TAG_DATA))
     )
     op = F.try_element_at("_f", F.lit(3))
+    fields = F.slice("_f", 5, F.greatest(F.size("_f") - 4, F.lit(0)))
+    # per field: its parts (position, current, old) and its tags, each split off once
+    pieces = F.transform(
+        F.filter(fields, lambda x: F.length(x) > 0),
+        lambda x: F.struct(
+            F.split(x, tags).alias("p"), F.regexp_replace(x, f"[^{data}-{none}]+", "").alias("t")
+        ),
+    )
 
-    def side(field, group):
-        tag = F.regexp_extract(field, shape, group)
-        # 'no data' reads as the empty string
-        return F.when(tag == data, F.regexp_extract(field, shape, group + 1)).when(tag == none, ""), tag
+    def well_formed(x):
+        return (F.size(x["p"]) >= 3) & x["p"][0].try_cast("int").isNotNull()
 
-    def column(field):
-        cur, cur_tag = side(field, 2)
-        old, old_tag = side(field, 4)
+    def column(x):
+        cur_tag, old_tag = F.substring(x["t"], 1, 1), F.substring(x["t"], 2, 1)
+        # 'no data' reads as the empty string
+        cur = F.when(cur_tag == data, x["p"][1]).when(cur_tag == none, "")
+        old = F.when(old_tag == data, x["p"][2]).when(old_tag == none, "")
         # an insert has no old image and a delete no current one; elsewhere 'no data' is an empty value
         has_cur = (cur_tag != none) | (op != "D")
         has_old = (old_tag != none) | (op != "I")
-        return F.struct(
-            F.regexp_extract(field, shape, 1).alias("key"), cell(cur, old, has_cur, has_old).alias("value")
-        )
+        return F.struct(x["p"][0].alias("key"), cell(cur, old, has_cur, has_old).alias("value"))
 
-    fields = F.slice("_f", 5, F.greatest(F.size("_f") - 4, F.lit(0)))
-    bad_field = F.exists(F.filter(fields, lambda x: F.length(x) > 0), lambda x: ~x.rlike(shape))
+    staged = staged.withColumn("_p", pieces)
+    bad_field = F.exists("_p", lambda x: ~well_formed(x))
     code = (
         F.when(F.size("_f") < 4, "short_message")
         .when(F.size("_t") < 7, "short_transaction")
@@ -90,7 +94,7 @@ def decode_ctrl(df: DataFrame, def_schema: str | None = None, encoding: str = fv
         src_schema=F.lit(None),
         src_table=names,
         op=op,
-        cols=F.map_from_entries(F.transform(F.filter(fields, lambda x: x.rlike(shape)), column)),
+        cols=F.map_from_entries(F.transform(F.filter("_p", well_formed), column)),
         raw=F.col("_text"),
         error=error(code),
         txn=txn(
