@@ -49,7 +49,8 @@ def net_with_key_changes(changes: DataFrame, spec: TableSpec, snapshot: DataFram
     ``rejects`` holds the key changes whose new key was occupied.
     """
     keys = [f"k_{k}" for k in spec.key_names]
-    moves = changes.filter(F.col("op") == "K")
+    # the key changes are read many times; the log itself twice more
+    moves = cut_lineage(changes.filter(F.col("op") == "K"))
     touched = cut_lineage(
         moves.select(*_rename(src_cols(spec), keys))
         .unionByName(moves.select(*_rename(dst_cols(spec), keys)))
@@ -72,24 +73,24 @@ def net_with_key_changes(changes: DataFrame, spec: TableSpec, snapshot: DataFram
     )
     leaves = moves.select("seq", "chunk", F.lit("X").alias("kind"), *_rename(src_cols(spec), keys), *values)
     arrives = moves.select("seq", "chunk", F.lit("M").alias("kind"), *_rename(dst_cols(spec), keys), *values)
-    log = cut_lineage(stays.unionByName(leaves).unionByName(arrives))
+    log = stays.unionByName(leaves).unionByName(arrives)
 
-    scanned = cut_lineage(_previous(log.select("seq", "chunk", "kind", *keys), keys))
+    scanned = cut_lineage(_previous(log, keys))
     outcome = _settle(scanned.filter(F.col("kind").isin("X", "M")), keys, spec, snapshot)
-    moved = outcome.filter("a and not b").select("seq")
     if outcome.filter("not a or b").limit(1).count() > 0:
         # moves that did not happen leave no trace: look up the previous change again without them
         is_move = F.col("kind").isin("X", "M")
-        log = cut_lineage(
-            log.filter(~is_move).unionByName(log.filter(is_move).join(moved, "seq", "left_semi").select(*log.columns))
+        moved = outcome.filter("a and not b").select("seq")
+        log = scanned.drop("prev")
+        effective = log.filter(~is_move).unionByName(
+            log.filter(is_move).join(moved, "seq", "left_semi").select(*log.columns)
         )
-        scanned = cut_lineage(_previous(log.select("seq", "chunk", "kind", *keys), keys))
+        scanned = cut_lineage(_previous(effective, keys))
 
     roots = _roots(scanned, keys)
     root_cols = ["r_seq", *[f"r_{k}" for k in keys]]
 
     # columns per segment, then per root
-    marked = log.join(scanned.select("seq", "kind", "prev"), ["seq", "kind"])
     prev = F.col("prev")
     segment_seq = F.when(F.col("kind").isin("I", "M"), F.col("seq")).when(F.col("kind") == "U", prev["seq"])
     segment_kind = F.when(F.col("kind").isin("I", "M"), F.col("kind")).when(
@@ -97,7 +98,7 @@ def net_with_key_changes(changes: DataFrame, spec: TableSpec, snapshot: DataFram
     )
     in_snapshot_segment = F.col("g_kind") == "S"
     segments = (
-        marked.filter(F.col("kind").isin("I", "M", "U"))
+        scanned.filter(F.col("kind").isin("I", "M", "U"))
         .select(
             "seq", *values, segment_kind.alias("g_kind"), segment_seq.alias("g_seq"), *keys
         )
@@ -114,7 +115,7 @@ def net_with_key_changes(changes: DataFrame, spec: TableSpec, snapshot: DataFram
 
     # where every surviving row ends up
     last = (
-        log.filter(F.col("kind") != "U").groupBy(*keys).agg(F.max(F.struct("seq", "kind")).alias("last"))
+        scanned.filter(F.col("kind") != "U").groupBy(*keys).agg(F.max(F.struct("seq", "kind")).alias("last"))
     )
     ends = touched.join(last, keys, "left")
     alive = F.col("last").isNull() | F.col("last.kind").isin("I", "M")
@@ -161,7 +162,7 @@ def net_with_key_changes(changes: DataFrame, spec: TableSpec, snapshot: DataFram
         *[F.col(k).alias("d" + k[1:]) for k in keys],
         *[F.lit(None).cast(placed.schema[c].dataType).alias(c) for c in values],
     )
-    collided = changes.filter(F.col("op") == "K").join(outcome.filter("a and b").select("seq"), "seq", "left_semi")
+    collided = moves.join(outcome.filter("a and b").select("seq"), "seq", "left_semi")
     return NetResult(simple.unionByName(placed).unionByName(gone), _rejects(collided, "key_collision"))
 
 

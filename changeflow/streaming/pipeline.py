@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.config import JobConfig
 from changeflow.model import Catalog, TableSpec
+from changeflow.operators.apply import merge_batch
 from changeflow.operators.archive import net_sql_text, to_sql_text, write_raw_archive, write_sql_archive, write_unload
 from changeflow.operators.route import known_tables, split_errors
 from changeflow.plans.batch import TableBatch, apply_table, decode_and_route
@@ -76,15 +77,16 @@ class Pipeline:
         good, bad = self._good_rows(routed)
         if job.raw_dir and job.dump_binary:
             write_raw_archive(batch, f"{job.raw_dir}/batch={batch_id}", job.max_file_records)
-        write_unload(bad, f"{job.unload_dir}/batch={batch_id}", max_records=job.max_file_records)
+        if bad.limit(1).count() > 0:
+            write_unload(bad, f"{job.unload_dir}/batch={batch_id}", max_records=job.max_file_records)
         good = known_tables(good, self.catalog)
         # at most one row per target table
-        present = good.select("schema_name", "table_name").distinct().collect()
+        present = good.groupBy("schema_name", "table_name").agg(F.count(F.lit(1)).alias("messages")).collect()
         published = []
-        for name in sorted(f"{r['schema_name']}.{r['table_name']}" for r in present):
-            spec = self.catalog[name]
+        for row in sorted(present):
+            spec = self.catalog[f"{row['schema_name']}.{row['table_name']}"]
             events = good.filter((F.col("schema_name") == spec.schema) & (F.col("table_name") == spec.table))
-            published.append(self._apply_table(events, spec, batch_id))
+            published.append({"messages": row["messages"], **self._apply_table(events, spec, batch_id)})
         # a batch without rows is published too, so that it is not taken up again
         self.store.publish(batch_id, published or [{"table_name": "", "buckets": [], "filled": []}])
 
@@ -101,22 +103,22 @@ class Pipeline:
             write_sql_archive(
                 sql, f"{job.raw_dir}/sql/batch={batch_id}", ["table_name", "topic", "partition"], job.max_file_records
             )
-        if job.load_dir and out.net is not None:
-            applied = net_sql_text(out.net, spec).withColumn("table_name", F.lit(spec.full_name))
-            write_sql_archive(applied, f"{job.load_dir}/batch={batch_id}", ["table_name"], job.max_file_records)
-        write_unload(out.rejects, f"{job.unload_dir}/{spec.full_name}/batch={batch_id}", max_records=job.max_file_records)
-        counts = events.groupBy().agg(F.count(F.lit(1)).alias("messages")).first().asDict()
-        ops = {"I": "inserts", "U": "updates", "K": "updates", "D": "deletes"}
+        counts = {"rejects": out.rejects.count()}
+        if counts["rejects"]:
+            path = f"{job.unload_dir}/{spec.full_name}/batch={batch_id}"
+            write_unload(out.rejects, path, max_records=job.max_file_records)
         if out.net is not None:
+            if job.load_dir:
+                applied = net_sql_text(out.net, spec).withColumn("table_name", F.lit(spec.full_name))
+                write_sql_archive(applied, f"{job.load_dir}/batch={batch_id}", ["table_name"], job.max_file_records)
+            ops = {"I": "inserts", "U": "updates", "K": "updates", "D": "deletes"}
+            # at most four rows
             for r in out.net.groupBy("op").count().collect():
                 counts[ops[r["op"]]] = counts.get(ops[r["op"]], 0) + r["count"]
-        counts["rejects"] = out.rejects.count()
         return {"table_name": spec.full_name, "buckets": buckets, "filled": filled, **counts}
 
     def _merge_buckets(self, events: DataFrame, spec: TableSpec, batch_id: int) -> tuple[TableBatch, list[int], list[int]]:
         """Net against the stored keys, then rewrite only the buckets that the net changes touch."""
-        from changeflow.operators.apply import merge_batch
-
         store = self.store
         out = apply_table(events, spec, store.read(spec), self.job.update_mode)
         out.net = cut_lineage(out.net)
