@@ -14,14 +14,14 @@ from changeflow.operators.bind import bind_changes
 from changeflow.operators.keychange import net_batch
 from changeflow.operators.nopk import replay_nopk
 from changeflow.operators.route import bind_columns, known_tables, map_columns, map_tables, split_by_table, split_errors
-from changeflow.session import cut_lineage
+from changeflow.session import configure, cut_lineage
 from changeflow.sources.envelope import topic_config
 from changeflow.sources.registry import decode
 
 
 def decode_and_route(envelope: DataFrame, job: JobConfig, catalog: Catalog) -> DataFrame:
     """Change events bound to target tables and columns; bad rows carry ``error``."""
-    spark = envelope.sparkSession
+    spark = configure(envelope.sparkSession)
     events = decode(topic_config(envelope, job.topic_schemas()), job, catalog)
     if job.mappings:
         events = map_tables(events, job.mappings_df(spark))

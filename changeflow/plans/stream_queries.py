@@ -19,7 +19,7 @@ from changeflow.streaming.pipeline import start_pipeline
 from changeflow.streaming.store import SnapshotStore
 
 USERS = logs.USERS
-FILES = 4
+SLICES = 4
 
 
 def _messages(spark, d):
@@ -43,24 +43,38 @@ def _messages(spark, d):
         "topic", "partition", "offset", "timestamp")
 
 
-def _write_log(messages, path):
-    """Several files, cut by offset, so that the stream has several micro-batches in log order."""
-    files = messages.repartitionByRange(FILES, "offset")
-    files.write.parquet(path)
+def _feed(log, order, path, run):
+    """Append the log in slices of the order column and let the stream take each slice as a micro-batch.
+
+    A file stream takes files by modification time, so log order is kept by adding slices one after another;
+    a slice may have any number of files.
+    """
+    cuts = log.approxQuantile(order, [(i + 1) / SLICES for i in range(SLICES - 1)], 0.05)
+    bounds = [None, *cuts, None]
+    for low, high in zip(bounds, bounds[1:]):
+        part = log
+        if low is not None:
+            part = part.filter(F.col(order) > low)
+        if high is not None:
+            part = part.filter(F.col(order) <= high)
+        part.write.mode("append").parquet(path)
+        run().awaitTermination()
 
 
 @query("stream_apply", MERGED_SQL + "SELECT * FROM merged")
 def stream_apply(spark, d):
     """Decode, net and merge micro-batch by micro-batch; the published table equals one batch merge."""
     root = logs.work_dir(spark)
-    _write_log(_messages(spark, d), f"{root}/log")
     catalog = Catalog([USERS])
     store = SnapshotStore(spark, f"{root}/store", catalog, buckets=8)
     store.load(logs.user_seed(spark, d), USERS)
     job = JobConfig(
-        source="parquet", path=f"{root}/log", format="ctrl", max_files_per_trigger=1, skip=True,
+        source="parquet", path=f"{root}/log", format="ctrl", skip=True,
         unload_dir=f"{root}/unload", load_dir=f"{root}/applied", raw_dir=f"{root}/raw", dump_binary=True)
-    start_pipeline(spark, job, store, f"{root}/offsets", available_now=True).awaitTermination()
+    _feed(
+        _messages(spark, d), "offset", f"{root}/log",
+        lambda: start_pipeline(spark, job, store, f"{root}/offsets", available_now=True),
+    )
     return store.read(USERS)
 
 
@@ -72,7 +86,8 @@ SELECT op, c1, n2.v AS c2, n3.v AS c3, n4.v AS c4, n_events FROM net"""
 def stream_live_view(spark, d):
     """Net state per key kept in the state store; each batch writes the keys it changed."""
     root = logs.work_dir(spark)
-    _write_log(_messages(spark, d), f"{root}/log")
+    # the state does not depend on the order of micro-batches
+    _messages(spark, d).repartitionByRange(SLICES, "offset").write.parquet(f"{root}/log")
     stream = spark.readStream.schema(ENVELOPE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/log")
     events = bind_columns(decode_ctrl(stream), Catalog([USERS]), by="position")
     changes, _ = bind_changes(events, USERS)
@@ -103,12 +118,15 @@ def stream_throughput(spark, d):
     """Messages per window in streaming form; windows closed by the watermark are emitted once."""
     root = logs.work_dir(spark)
     events = logs.table(spark, d, "events").select(F.col("ts").cast("timestamp").alias("event_ts"), F.col("event_type").alias("op"))
-    events.repartitionByRange(FILES, "event_ts").write.parquet(f"{root}/log")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/log")
-    query_ = (
-        throughput_stream(stream, 21600).writeStream.outputMode("append").format("parquet")
-        .option("checkpointLocation", f"{root}/offsets").option("path", f"{root}/out").trigger(availableNow=True).start()
-    )
-    query_.awaitTermination()
+
+    def run():
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/log")
+        return (
+            throughput_stream(stream, 21600).writeStream.outputMode("append").format("parquet")
+            .option("checkpointLocation", f"{root}/offsets").option("path", f"{root}/out").trigger(availableNow=True)
+            .start()
+        )
+
+    _feed(events.withColumn("sec", F.unix_timestamp("event_ts")), "sec", f"{root}/log", run)
     out = spark.read.schema("start timestamp, op string, n bigint, speed bigint").parquet(f"{root}/out")
     return out.withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm:ss"))

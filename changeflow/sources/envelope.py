@@ -14,7 +14,10 @@ from changeflow.session import bounded_broadcast, cut_lineage
 
 
 def read_envelope(spark: SparkSession, cfg, streaming: bool = False) -> DataFrame:
-    """Open the configured log. ``cfg.source`` is ``kafka`` or a file format (``parquet``, ``json``)."""
+    """Open the configured log. ``cfg.source`` is ``kafka`` or a file format (``parquet``, ``json``).
+
+    A file stream takes files by modification time: add them in log order.
+    """
     reader = spark.readStream if streaming else spark.read
     if cfg.source == "kafka":
         return reader.format("kafka").options(**kafka_options(cfg, streaming)).load()

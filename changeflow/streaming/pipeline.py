@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 
 from pyspark.errors import AnalysisException
@@ -147,6 +148,26 @@ def start_pipeline(
     return writer.start()
 
 
+def progress_rows(query: StreamingQuery) -> DataFrame:
+    """Recent progress of a running job, one row per micro-batch and source (Spark keeps a bounded number).
+
+    Render it with ``stats.report(df, "consumers")`` or ``"loaders"``.
+    """
+    rows = [
+        (
+            p["batchId"], p["timestamp"], s["description"], str(s["startOffset"]), str(s["endOffset"]),
+            int(s["numInputRows"]), float(s["inputRowsPerSecond"] or 0), float(s["processedRowsPerSecond"] or 0),
+        )
+        for p in (json.loads(q.json) for q in query.recentProgress)
+        for s in p["sources"]
+    ]
+    return SparkSession.active().createDataFrame(
+        rows,
+        "batch_id bigint, timestamp string, source string, start_offset string, end_offset string, "
+        "messages bigint, input_per_s double, processed_per_s double",
+    )
+
+
 def run_until_idle(query: StreamingQuery, idle_s: float, poll_s: float = 0.5) -> None:
     """Stop after no batch brought rows for ``idle_s`` seconds; -1 waits for ever."""
     if idle_s < 0:

@@ -6,8 +6,8 @@ from test_golden import MIX, MIX_SEED, NOPK, NOPK_TAIL, NOPK_WANT, ONEKEY, ctrl,
 
 from changeflow.config import JobConfig
 from changeflow.model import Catalog
-from changeflow.operators.stats import load_stats, partition_progress
-from changeflow.streaming.pipeline import Pipeline, pending_rows, run_until_idle, start_pipeline, stop
+from changeflow.operators.stats import load_stats, partition_progress, report
+from changeflow.streaming.pipeline import Pipeline, pending_rows, progress_rows, run_until_idle, start_pipeline, stop
 from changeflow.streaming.store import SnapshotStore
 
 WANT = [
@@ -103,6 +103,9 @@ def test_continuous_run_until_idle_then_normal_stop(spark, tmp_path):
     query = start_pipeline(spark, job, store, str(tmp_path / "offsets"))
     run_until_idle(query, 20)
     assert not query.isActive
+    progress = progress_rows(query)
+    assert progress.agg(F.sum("messages")).first()[0] == 3
+    assert '"messages"' in report(progress, "consumers").first()["line"]
     assert [r[0] for r in rows(store.read(ONEKEY))] == [1, 2, 3, 5, 6, 7, 8]
     write_log(spark, [MIX[5]], job.path)
     query = start_pipeline(spark, job, store, str(tmp_path / "offsets"))
