@@ -6,6 +6,10 @@ and plain equality, so a NULL old value matches nothing. Equal rows are kept as
 A batch is replayed in waves: every row looks up the first later change that matches it, takes the
 change, and looks again. Only rows that were hit take part in the next wave. All lookups are chunked scans by
 match key, so neither a row with many copies nor a change that is repeated a lot lands in one task.
+
+An update that compares all columns has the same outcome for every row it hits, so its own successor is
+known. Chains of such updates are joined up beforehand by pointer jumping, in a logarithmic number of
+rounds, and a row takes a whole chain in one wave.
 """
 
 from __future__ import annotations
@@ -53,7 +57,8 @@ def _match_key(spec: TableSpec, part: dict[str, Column]) -> Column:
 
 
 def nopk_changes(events: DataFrame, spec: TableSpec, chunk_offsets: int = CHUNK_OFFSETS) -> DataFrame:
-    """Typed updates and deletes: ``seq``, ``chunk``, ``op``, ``match`` (match key), ``v_<column>`` to set."""
+    """Typed updates and deletes: ``seq``, ``chunk``, ``op``, ``match`` (match key), ``v_<column>`` to set,
+    ``full`` (compares all columns) and then the row ``a_<column>`` it leaves."""
     good = events.filter(F.col("error").isNull() & F.col("op").isin("U", "K", "D"))
 
     def cellof(n: str) -> Column:
@@ -79,11 +84,17 @@ def nopk_changes(events: DataFrame, spec: TableSpec, chunk_offsets: int = CHUNK_
         ).alias(f"v_{n}")
         for n in spec.column_names
     ]
+    # the row after an update that compares all columns
+    after = [
+        F.when(cellof(n)["has_cur"], cur(n)).otherwise(old(n)).alias(f"a_{n}") for n in spec.column_names
+    ]
     changes = good.select(
         *order_columns(good, chunk_offsets),
         F.when(F.col("op") == "D", "D").otherwise("U").alias("op"),
         match.alias("match"),
+        F.forall(match, lambda m: m != "").alias("full"),
         *sets,
+        *after,
     )
     # '= NULL' and a missing column match nothing
     full = F.forall("match", lambda m: m.startswith("v"))
@@ -170,12 +181,13 @@ def replay_nopk(
     waiting = stored.filter(touched).select(*names, begin.alias("seq"), first_chunk.alias("chunk"), "n")
     done = [stored.filter(~touched).select(*names, "n")]
 
+    chains = _chains(changes, signatures, spec)
     # inserts of one batch are distinct in seq, so they join the waves as they are
     active = cut_lineage(waiting.unionByName(inserts))
     while active.limit(1).count() > 0:
         moved = cut_lineage(_wave(active, changes, signatures, spec))
         done.append(moved.filter(F.col("hit").isNull()).select(*names, "n"))
-        active = cut_lineage(_take(moved.filter(F.col("hit").isNotNull()), spec))
+        active = cut_lineage(_take(moved.filter(F.col("hit.op") == "U"), chains, spec))
     finished = reduce(DataFrame.unionByName, done)
     return expand(finished, spec)
 
@@ -189,7 +201,7 @@ def _wave(active: DataFrame, changes: DataFrame, signatures: list[list[str]], sp
         F.explode(F.array_distinct(keys)).alias("match"),
         F.struct("seq", F.lit(1).alias("rank")).alias("pos"),
     )
-    effect = F.struct("seq", "chunk", "op", *[f"v_{n}" for n in names])
+    effect = F.struct("seq", "chunk", "op", "full", *[f"v_{n}" for n in names])
     candidates = changes.select(
         "match", "chunk", F.struct("seq", F.lit(0).alias("rank")).alias("pos"), effect.alias("effect")
     )
@@ -206,12 +218,35 @@ def _wave(active: DataFrame, changes: DataFrame, signatures: list[list[str]], sp
     )
 
 
-def _take(moved: DataFrame, spec: TableSpec) -> DataFrame:
+def _chains(changes: DataFrame, signatures: list[list[str]], spec: TableSpec) -> DataFrame:
+    """For every full update (``_id``): ``seq``, ``chunk`` and row of the last full update it leads to."""
+    names = spec.column_names
+    full = changes.filter("full and op = 'U'").select(
+        *[F.col(f"a_{n}").alias(n) for n in names], "seq", "chunk", F.lit(0).cast("bigint").alias("n")
+    )
+    followed = _wave(full, changes, signatures, spec)
+    goes_on = F.col("hit.full") & (F.col("hit.op") == "U")
+    links = cut_lineage(
+        followed.select(*names, "seq", "chunk", F.when(goes_on, F.col("hit.seq")).alias("next"))
+    )
+    jumps = links.select(F.col("seq").alias("_id"), F.col("seq").alias("end"), "next")
+    while jumps.filter(F.col("next").isNotNull()).limit(1).count() > 0:
+        target = jumps.select(F.col("_id").alias("_t"), F.col("end").alias("_end"), F.col("next").alias("_next"))
+        jumps = cut_lineage(
+            jumps.join(target, F.col("next") == F.col("_t"), "left").select(
+                "_id", F.coalesce("_end", "end").alias("end"), F.col("_next").alias("next")
+            )
+        )
+    ends = links.select(F.col("seq").alias("end"), "chunk", *names)
+    return cut_lineage(jumps.select("_id", "end").join(ends, "end").withColumnRenamed("end", "seq"))
+
+
+def _take(moved: DataFrame, chains: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows after the change that hit them; rows made equal by the same change become one."""
     names = spec.column_names
     hit = F.col("hit")
-    return (
-        moved.filter(hit["op"] == "U")
+    partly = (
+        moved.filter(~hit["full"])
         .select(
             *[
                 F.when(hit[f"v_{n}"].isNotNull(), hit[f"v_{n}"]["cur"]).otherwise(F.col(n)).alias(n) for n in names
@@ -223,3 +258,7 @@ def _take(moved: DataFrame, spec: TableSpec) -> DataFrame:
         .groupBy(*names, "seq", "chunk")
         .agg(F.sum("n").alias("n"))
     )
+    # all rows hit by a full update are equal afterwards: count them before following its chain
+    fully = moved.filter(hit["full"]).groupBy(hit["seq"].alias("_id")).agg(F.sum("n").alias("n"))
+    chained = fully.join(chains, "_id").groupBy(*names, "seq", "chunk").agg(F.sum("n").alias("n"))
+    return partly.unionByName(chained.select(*partly.columns))
