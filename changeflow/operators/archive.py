@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changeflow import fixed_values as fv
 from changeflow.model import ColumnSpec, TableSpec
 from changeflow.operators.apply import batch_rows
 
-LINE_END = "\r\n"
+LINE_END = fv.SQL_LINE_END
 
 
 def _literal(value: Column, col: ColumnSpec) -> Column:

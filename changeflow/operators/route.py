@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.model import CHANGE_EVENT_COLUMNS, Catalog
+from changeflow import fixed_values as fv
+from changeflow.model import Catalog
 from changeflow.session import BROADCAST_ROWS, bounded_broadcast
 
 
@@ -149,7 +150,7 @@ def split_errors(events: DataFrame, on_error: str = "skip") -> tuple[DataFrame,
 def error_text() -> Column:
     """Where a bad row came from and what it was."""
     return F.format_string(
-        "offset:[%s], table:[%s.%s], message type:[%s], error:[%s %s], source message:[%s]",
+        fv.ERROR_TEXT,
         F.col("offset").cast("string"),
         F.coalesce("schema_name", F.lit("")),
         F.coalesce("table_name", F.lit("")),
@@ -159,6 +160,3 @@ def error_text() -> Column:
         F.coalesce("raw", F.lit("")),
     )
 
-
-def event_columns() -> list[str]:
-    return list(CHANGE_EVENT_COLUMNS)

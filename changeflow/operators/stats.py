@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changeflow import fixed_values as fv
+
 OPS = ("I", "U", "K", "D")
 
 
@@ -158,7 +160,7 @@ def _report_struct(df: DataFrame, name: str) -> Column:
     if name == "tasks":
         return F.struct(
             *_named(Topic="topic", Partition="partition", Number="records"),
-            F.date_format("last_time", "yyyy-MM-dd HH:mm:ss").alias("Time"), F.col("last_offset").alias("Offset"),
+            F.date_format("last_time", fv.REPORT_TIME_FORMAT).alias("Time"), F.col("last_offset").alias("Offset"),
         )
     if name == "log":
         return F.struct(
@@ -179,13 +181,13 @@ def _report_struct(df: DataFrame, name: str) -> Column:
 def _report_text(df: DataFrame, name: str) -> Column:
     if name == "tables":
         return F.format_string(
-            "  -> %-60s Msgs [%12d,%12d,%12d,%12d], DMLs [%12d,%12d,%12d,%12d], Fails [ %d, %d, %d, %d]",
+            fv.REPORT_TABLE_TEXT,
             "table_name", *[f"{p}_{o}" for p in ("msgs", "dmls", "fails") for o in "iukd"],
         )
     if name == "tasks":
         return F.format_string(
-            "  -> Topic: %16s, Partition: %3d, Number: %12d, Time: %s, Offset: %12d",
-            "topic", "partition", "records", F.date_format("last_time", "yyyy-MM-dd HH:mm:ss"), "last_offset",
+            fv.REPORT_TASK_TEXT,
+            "topic", "partition", "records", F.date_format("last_time", fv.REPORT_TIME_FORMAT), "last_offset",
         )
     parts = [F.concat(F.lit(f"{c}: "), F.coalesce(F.col(c).cast("string"), F.lit("null"))) for c in df.columns]
     return F.concat_ws(", ", *parts)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from changeflow.model import TableSpec
 from changeflow.operators import apply, net, nopk
-from changeflow.operators.bind import typed_changes
+from changeflow.operators.bind import bind_changes, classify, typed_changes
 from changeflow.operators.keychange import key_change_outcomes, net_with_key_changes
 from changeflow.plans import logs
 from changeflow.plans.registry import query
@@ -63,8 +63,6 @@ FROM log GROUP BY c1""",
 )
 def net_upsert_mode(spark, d):
     """Updates taken as upserts: the last change of a key alone makes its row."""
-    from changeflow.operators.bind import classify
-
     df = net.net_changes(classify(logs.user_changes(spark, d), USERS, "upsert"), USERS)
     return df.select("op", F.col("d_c1").alias("c1"), *[F.col(f"c_{n}")["cur"].alias(n) for n in USERS.value_names])
 
@@ -244,6 +242,53 @@ def apply_update_full(spark, d):
         logs.customer_seed(spark, d), net.net_changes(logs.customer_updates(spark, d), CUSTOMERS), CUSTOMERS, full=True)
 
 
+def _order_key_events(spark, d):
+    """Each order as an update of a two-column key (customer, status); one part may change or be null."""
+    o = logs.table(spark, d, "orders")
+    key, status, low = F.col("o_custkey").cast("string"), F.col("o_orderstatus"), F.col("o_orderpriority") == "5-LOW"
+    none, yes = F.lit(None).cast("string"), F.lit(True)
+
+    def value(cur, old, has_old):
+        return F.struct(cur.alias("cur"), old.alias("old"), yes.alias("has_cur"), has_old.alias("has_old"))
+
+    cols = F.create_map(
+        F.lit("c_custkey"), value(key, key, ~low),
+        F.lit("status"), value(F.when(status == "P", none).otherwise(status), F.lit("F"), yes),
+        F.lit("note"), value(F.col("o_orderpriority"), none, F.lit(False)),
+    )
+    return o.select(
+        F.lit("o").alias("topic"), F.lit(0).alias("partition"), F.col("o_orderkey").alias("offset"), F.lit(0).alias("item"),
+        F.when(low, "K").otherwise("U").alias("op"), cols.alias("cols"),
+        F.lit(None).cast("struct<code:string,detail:string>").alias("error"),
+    )
+
+
+TWO_KEYS = TableSpec.of(
+    "S", "K2", {"c_custkey": "SIGNED BIGINT", "status": "VARCHAR", "note": "VARCHAR"}, ["status", "c_custkey"])
+
+
+@query(
+    "classify_updates",
+    """SELECT o_orderkey AS "offset", CASE WHEN o_orderstatus = 'F' THEN 'U' ELSE 'K' END AS op, o_custkey AS c_custkey,
+  'F' AS old_status, o_orderstatus AS new_status FROM orders WHERE o_orderstatus <> 'P'""",
+)
+def classify_updates(spark, d):
+    """An update is a key change only if a key part really changed, whatever the message calls it."""
+    good, _ = bind_changes(_order_key_events(spark, d), TWO_KEYS)
+    return good.select(
+        F.col("seq.offset").alias("offset"), "op", F.col("s_c_custkey").alias("c_custkey"),
+        F.col("s_status").alias("old_status"), F.col("d_status").alias("new_status"))
+
+
+@query(
+    "null_key_rejects",
+    """SELECT o_orderkey AS "offset", 'null_key' AS code, 'status' AS detail FROM orders WHERE o_orderstatus = 'P'""",
+)
+def null_key_rejects(spark, d):
+    _, bad = bind_changes(_order_key_events(spark, d), TWO_KEYS)
+    return bad.select("offset", "error.code", "error.detail")
+
+
 # -- key changes -------------------------------------------------------------------------------------
 CHAIN_SQL = """
 SELECT CASE WHEN o_orderkey % 4 = 0 THEN o_orderkey + 20000000 WHEN o_orderkey % 2 = 0 THEN o_orderkey + 10000000

@@ -11,13 +11,14 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from changeflow import fixed_values as fv
 from changeflow.functions.text import decode_with_fallback, normalise_op, null_rule
-from changeflow.model import Catalog
+from changeflow.model import CHANGE_EVENT_COLUMNS, Catalog
 from changeflow.operators.route import resolve_names
 from changeflow.session import BROADCAST_ROWS
-from changeflow.sources.decode_common import cell, change_event, error, txn
+from changeflow.sources.decode_common import cell, change_event, error, no_cols, txn
 
 _RECORD_FIELDS = {number: (name, kind) for name, number, kind in fv.PROTO_RECORD}
 _COLUMN_FIELDS = {number: (name, kind) for name, number, kind in fv.PROTO_COLUMN}
@@ -137,8 +138,6 @@ def decode_proto(
     schema = source.schema
     decoded_type = spark.createDataFrame([], _DECODED).schema
     out_schema = type(schema)(list(schema.fields) + list(decoded_type.fields))
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     arrow_decoded = to_arrow_schema(decoded_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +155,7 @@ def decode_proto(
         src_schema=F.lit(None),
         src_table=F.col("full_name"),
         op=F.lit(None),
-        cols=F.create_map().cast("map<string,struct<cur:string,old:string,has_cur:boolean,has_old:boolean>>"),
+        cols=no_cols(),
         raw=F.base64("value"),
         error=error(F.col("failure")),
         txn=txn(
@@ -176,8 +175,6 @@ def decode_proto(
     if ignore_soft_deletes:
         events = drop_soft_deletes(events)
     drop = ["source_type", "operation_type", "entries", "n_columns", "columns", "type_names", "key_columns", "has_pk"]
-    from changeflow.model import CHANGE_EVENT_COLUMNS
-
     return events.drop(*drop).select(*CHANGE_EVENT_COLUMNS)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,8 +30,6 @@ def read_envelope(spark: SparkSession, cfg, streaming: bool = False) -> DataFram
 
 def kafka_options(cfg, streaming: bool = False) -> dict[str, str]:
     """Options of the Kafka source: topics or discovery, start position, fetch bounds, SASL/PLAIN."""
-    import json
-
     options = {
         "kafka.bootstrap.servers": cfg.broker,
         "kafka.max.partition.fetch.bytes": str(cfg.fetch_bytes),
@@ -65,10 +64,7 @@ def kafka_options(cfg, streaming: bool = False) -> dict[str, str]:
     if cfg.kafka_user and cfg.kafka_password:
         options["kafka.security.protocol"] = "SASL_PLAINTEXT"
         options["kafka.sasl.mechanism"] = "PLAIN"
-        options["kafka.sasl.jaas.config"] = (
-            "org.apache.kafka.common.security.plain.PlainLoginModule required "
-            f'username="{cfg.kafka_user}" password="{cfg.kafka_password}";'
-        )
+        options["kafka.sasl.jaas.config"] = fv.SASL_LOGIN % (cfg.kafka_user, cfg.kafka_password)
     return options
 
 
