@@ -53,13 +53,17 @@ def is_character_type(type_name: Column) -> Column:
     return F.upper(F.trim(type_name)).isin(*fv.CHARACTER_TYPES)
 
 
-def null_rule(source_type: Column, is_null: Column, size: Column, text: Column, type_name: Column) -> Column:
-    """Value of a protobuf field. Source 1: null with bytes is NULL, null without bytes is empty.
-    Source 2: null is NULL, no bytes is empty. Empty means '' for text, '0' for numbers, else NULL."""
-    empty = F.when(is_character_type(type_name), "").when(is_numeric_type(type_name), "0")
+def empty_value(type_name: Column) -> Column:
+    """What an empty source value means: '' for text, '0' for numbers, else NULL."""
+    return F.when(is_character_type(type_name), "").when(is_numeric_type(type_name), "0")
+
+
+def null_rule(source_type: Column, is_null: Column, size: Column, text: Column, empty: Column) -> Column:
+    """Value of a protobuf field. Source 1: null with bytes is NULL, null without bytes is ``empty``.
+    Source 2: null is NULL, no bytes is ``empty`` (see ``empty_value``)."""
     text = fix_zero_dates(text)
-    first = F.when(is_null & (size > 0), None).when(is_null, empty).otherwise(text)
-    second = F.when(is_null, None).when(size == 0, empty).otherwise(text)
+    first = F.when(~is_null, text).when(size == 0, empty)
+    second = F.when(~is_null & (size == 0), empty).when(~is_null, text)
     return F.when(source_type == 1, first).when(source_type == 2, second)
 
 

@@ -120,13 +120,16 @@ class Catalog:
         return iter(self.specs.values())
 
     def to_df(self, spark: SparkSession) -> DataFrame:
-        """One row per table; job configuration, so its size is that of the catalog listing."""
+        """One row per table; job configuration, so its size is that of the catalog listing.
+
+        ``empties`` is what an empty source value means per column.
+        """
         rows = [
             (
                 s.schema,
                 s.table,
                 s.column_names,
-                [c.type_name for c in s.columns],
+                ["" if c.is_character else "0" if c.is_numeric else None for c in s.columns],
                 s.key_names,
                 s.has_pk,
             )
@@ -134,6 +137,6 @@ class Catalog:
         ]
         return spark.createDataFrame(
             rows,
-            "schema_name string, table_name string, columns array<string>, type_names array<string>, "
+            "schema_name string, table_name string, columns array<string>, empties array<string>, "
             "key_columns array<string>, has_pk boolean",
         )

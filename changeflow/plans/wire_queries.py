@@ -342,7 +342,7 @@ def null_rules(spark, d):
     type_name = (
         F.when(e == "click", "VARCHAR").when(e == "view", "NCHAR VARYING").when(e == "error", "SIGNED INTEGER")
         .when(e == "signup", "unsigned decimal ").otherwise("TIMESTAMP"))
-    value = tx.null_rule(1 + eid % 2, eid % 3 == 0, F.length(text), text, type_name)
+    value = tx.null_rule(1 + eid % 2, eid % 3 == 0, F.length(text), text, tx.empty_value(type_name))
     return logs.table(spark, d, "events").select("event_id", value.alias("value"))
 
 

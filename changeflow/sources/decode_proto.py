@@ -6,7 +6,8 @@ zero dates, operation codes, column binding, soft deletes - is built-in column f
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from types import SimpleNamespace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,9 +21,6 @@ from changeflow.operators.route import resolve_names
 from changeflow.session import BROADCAST_ROWS
 from changeflow.sources.decode_common import cell, change_event, error, no_cols, txn
 
-_RECORD_FIELDS = {number: (name, kind) for name, number, kind in fv.PROTO_RECORD}
-_COLUMN_FIELDS = {number: (name, kind) for name, number, kind in fv.PROTO_COLUMN}
-
 _ENTRY = (
     "struct<is_key:boolean,index:int,name:string,old_null:boolean,new_null:boolean,"
     "old_size:int,new_size:int,old_text:string,new_text:string>"
@@ -34,6 +32,9 @@ _DECODED = (
 
 
 def _varint(buf: bytes, pos: int) -> tuple[int, int]:
+    value = buf[pos]
+    if value < 0x80:
+        return value, pos + 1
     value = shift = 0
     while True:
         byte = buf[pos]
@@ -44,9 +45,13 @@ def _varint(buf: bytes, pos: int) -> tuple[int, int]:
         shift += 7
 
 
-def read_message(buf: bytes, fields: dict[int, tuple[str, str]]) -> dict:
-    """Fields of one protobuf message; nested ``Column`` messages become lists."""
-    out: dict = {}
+_DEFAULTS = {"string": "", "bytes": b"", "bool": False, "int32": 0, "uint32": 0}
+
+
+def read_message(buf: bytes, layout=fv.PROTO_RECORD) -> SimpleNamespace:
+    """Fields of one protobuf message as attributes; nested ``Column`` messages become lists."""
+    fields = {number: (name, kind) for name, number, kind in layout}
+    out = {name: [] if kind == "Column" else _DEFAULTS[kind] for name, _, kind in layout}
     pos = 0
     while pos < len(buf):
         tag, pos = _varint(buf, pos)
@@ -67,7 +72,7 @@ def read_message(buf: bytes, fields: dict[int, tuple[str, str]]) -> dict:
             continue
         name, kind = fields[number]
         if kind == "Column":
-            out.setdefault(name, []).append(read_message(value, _COLUMN_FIELDS))
+            out[name].append(read_message(value, fv.PROTO_COLUMN))
         elif kind == "string":
             out[name] = value.decode("utf-8")
         elif kind == "bool":
@@ -77,51 +82,75 @@ def read_message(buf: bytes, fields: dict[int, tuple[str, str]]) -> dict:
             out[name] = value - (1 << 32) if value >> 31 else value
         else:
             out[name] = value
-    return out
+    return SimpleNamespace(**out)
+
+
+def record_parser() -> Callable[[bytes], object]:
+    """The protobuf runtime where the executors have it, else ``read_message``."""
+    try:
+        from google.protobuf import descriptor_pb2, descriptor_pool, message, message_factory
+    except ImportError:
+        return read_message
+    file = descriptor_pb2.FileDescriptorProto(name="changeflow_record.proto", package="changeflow", syntax="proto3")
+    for title, layout in (("Column", fv.PROTO_COLUMN), ("Record", fv.PROTO_RECORD)):
+        declared = file.message_type.add(name=title)
+        for name, number, kind in layout:
+            field = declared.field.add(name=name, number=number, label=3 if kind == "Column" else 1)
+            if kind == "Column":
+                field.type, field.type_name = field.TYPE_MESSAGE, ".changeflow.Column"
+            else:
+                field.type = getattr(field, f"TYPE_{kind.upper()}")
+    pool = descriptor_pool.DescriptorPool()
+    pool.Add(file)
+    record = message_factory.GetMessageClass(pool.FindMessageTypeByName("changeflow.Record"))
+
+    def parse(raw: bytes):
+        try:
+            return record.FromString(raw)
+        except message.DecodeError as e:
+            raise ValueError(str(e)) from e
 
+    return parse
 
-def _entry(column: dict, is_key: bool, encoding: str) -> dict:
-    old, new = column.get("old_value", b""), column.get("new_value", b"")
+
+def _entry(column, is_key: bool, encoding: str) -> tuple:
+    old, new = column.old_value, column.new_value
     old_text, new_text = decode_with_fallback(old, encoding), decode_with_fallback(new, encoding)
     if old_text is None or new_text is None:
-        raise UnicodeError(f"column {column.get('name') or column.get('index', 0)} is not {encoding}")
-    return {
-        "is_key": is_key,
-        "index": column.get("index", 0),
-        "name": column.get("name", ""),
-        "old_null": column.get("old_null", False),
-        "new_null": column.get("new_null", False),
-        "old_size": len(old),
-        "new_size": len(new),
-        "old_text": old_text,
-        "new_text": new_text,
-    }
-
-
-def _decode_record(raw: bytes, encoding: str) -> dict:
+        raise UnicodeError(f"column {column.name or column.index} is not {encoding}")
+    return (
+        is_key, column.index, column.name, column.old_null, column.new_null, len(old), len(new), old_text, new_text
+    )
+
+
+def decode_record(raw: bytes, encoding: str, parse: Callable[[bytes], object]) -> tuple:
+    """One record as a row of ``_DECODED``; what is wrong with it goes to ``failure``."""
+    failed = (None,) * 10
     try:
-        rec = read_message(raw, _RECORD_FIELDS)
-        source_type = rec.get("source_type", 0)
+        rec = parse(raw)
         # without a setting, source 1 writes GBK and source 2 UTF-8
-        codec = encoding if encoding.upper() not in ("UTF8", "UTF-8") else ("GBK" if source_type == 1 else "utf-8")
-        keys, columns = rec.get("key_column", []), rec.get("column", [])
-        return {
-            "source_type": source_type,
-            "operation_type": rec.get("operation_type", 0),
-            "csn": rec.get("csn", ""),
-            "xid": rec.get("xid", ""),
-            "trail_seq": rec.get("trail_seq", 0),
-            "trans_flag": rec.get("trans_flag", 0),
-            "operation_time": rec.get("operation_time", ""),
-            "full_name": rec.get("table_name", ""),
-            "n_columns": len(columns),
-            "entries": [_entry(c, True, codec) for c in keys] + [_entry(c, False, codec) for c in columns],
-            "failure": None,
-        }
+        codec = encoding if encoding.upper() not in ("UTF8", "UTF-8") else ("GBK" if rec.source_type == 1 else "utf-8")
+        entries = [_entry(c, True, codec) for c in rec.key_column] + [_entry(c, False, codec) for c in rec.column]
+        return (
+            rec.source_type, rec.operation_type, rec.csn, rec.xid, rec.trail_seq, rec.trans_flag,
+            rec.operation_time, rec.table_name, len(rec.column), entries, None,
+        )
     except UnicodeError:
-        return {"failure": "bad_charset"}
+        return (*failed, "bad_charset")
     except (ValueError, IndexError, AttributeError, TypeError):
-        return {"failure": "bad_record"}
+        return (*failed, "bad_record")
+
+
+def _entries_array(lists, entry_type: pa.StructType) -> pa.ListArray:
+    """Entry tuples of a batch as a list array, one Arrow column per entry field."""
+    offsets, flat = [0], []
+    for entries in lists:
+        flat.extend(entries or ())
+        offsets.append(len(flat))
+    columns = zip(*flat) if flat else [()] * len(entry_type)
+    fields = [pa.array(values, f.type) for values, f in zip(columns, entry_type)]
+    structs = pa.StructArray.from_arrays(fields, fields=list(entry_type))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)
 
 
 def decode_proto(
@@ -140,13 +169,18 @@ def decode_proto(
     out_schema = type(schema)(list(schema.fields) + list(decoded_type.fields))
     arrow_decoded = to_arrow_schema(decoded_type)
 
+    entry_type = arrow_decoded.field("entries").type.value_type
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parse = record_parser()
         for batch in batches:
-            rows = [_decode_record(v, encoding) for v in batch.column("value").to_pylist()]
-            decoded = pa.Table.from_pylist(rows, schema=arrow_decoded).combine_chunks()
-            arrays = list(batch.columns) + [
-                c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in decoded.columns
-            ]
+            rows = [decode_record(v, encoding, parse) for v in batch.column("value").to_pylist()]
+            arrays = list(batch.columns)
+            for field, values in zip(arrow_decoded, zip(*rows) if rows else [()] * len(arrow_decoded)):
+                if field.name == "entries":
+                    arrays.append(_entries_array(values, entry_type))
+                else:
+                    arrays.append(pa.array(values, field.type))
             yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names + arrow_decoded.names)
 
     records = source.mapInArrow(run, out_schema)
@@ -174,7 +208,7 @@ def decode_proto(
     events = _bind_entries(events)
     if ignore_soft_deletes:
         events = drop_soft_deletes(events)
-    drop = ["source_type", "operation_type", "entries", "n_columns", "columns", "type_names", "key_columns", "has_pk"]
+    drop = ["source_type", "operation_type", "entries", "n_columns", "columns", "empties", "key_columns", "has_pk"]
     return events.drop(*drop).select(*CHANGE_EVENT_COLUMNS)
 
 
@@ -182,58 +216,71 @@ def _bind_entries(events: DataFrame) -> DataFrame:
     """Column names, null rules and the operation, from the catalog row of the event's table."""
     by_index = F.col("source_type") == 1
 
-    def position(e):
-        return F.when(by_index, e["index"] + 1).otherwise(
-            F.array_position(F.coalesce("columns", F.array().cast("array<string>")), e["name"]).cast("int")
-        )
-
-    def name(e):
-        p = position(e)
-        return F.when(p > 0, F.try_element_at("columns", p))
+    # each step looks things up once per entry and hands them on
+    positioned = F.transform(
+        "entries",
+        lambda e: F.struct(
+            e.alias("e"),
+            F.when(by_index, e["index"] + 1)
+            .otherwise(F.array_position("columns", e["name"]).cast("int"))
+            .alias("p"),
+        ),
+    )
+    described = F.transform(
+        F.filter(positioned, lambda x: F.coalesce(x["p"] > 0, F.lit(False))),
+        lambda x: F.struct(
+            x["e"].alias("e"),
+            F.try_element_at("columns", x["p"]).alias("name"),
+            F.try_element_at("empties", x["p"]).alias("empty"),
+        ),
+    )
 
-    def value(e, side):
-        p = position(e)
-        type_name = F.when(p > 0, F.try_element_at("type_names", p))
+    def value(x, side):
+        e = x["e"]
         return null_rule(
-            F.col("source_type"), e[f"{side}_null"], e[f"{side}_size"], e[f"{side}_text"], type_name
+            F.col("source_type"), e[f"{side}_null"], e[f"{side}_size"], e[f"{side}_text"], x["empty"]
         )
 
-    def entry(e):
-        new = value(e, "new")
+    valued = F.transform(
+        F.filter(described, lambda x: x["name"].isNotNull()),
+        lambda x: F.struct(
+            x["name"].alias("name"),
+            (by_index & x["e"]["is_key"] & x["e"]["old_null"]).alias("keeps"),
+            value(x, "new").alias("new"),
+            value(x, "old").alias("old"),
+        ),
+    )
+
+    # only deletes lack a current image, only inserts an old one
+    def entry(x):
         # a key column whose old value is null keeps its value (source 1)
-        old = F.when(by_index & e["is_key"] & e["old_null"], new).otherwise(value(e, "old"))
+        old = F.when(x["keeps"], x["new"]).otherwise(x["old"])
         return F.struct(
-            F.coalesce(name(e), F.concat(F.lit("?"), e["name"], e["index"].cast("string"))).alias("key"),
-            cell(new, old, F.lit(True), F.lit(True)).alias("value"),
+            x["name"].alias("key"),
+            cell(x["new"], old, F.col("op") != "D", F.col("op") != "I").alias("value"),
         )
 
     is_key_update = (F.col("operation_type") == 1) & F.exists(
         "entries", lambda e: e["is_key"] & (e["new_text"] != e["old_text"])
     )
     op = F.when(is_key_update, "K").otherwise(normalise_op(F.col("operation_type")))
-    unknown = F.exists("entries", lambda e: name(e).isNull())
     known_table = F.col("columns").isNotNull()
     code = (
         F.when(~F.col("source_type").isin(1, 2), "unknown_source")
         .when(op.isNull(), "unknown_op")
         .when(known_table & (F.col("source_type") != 1) & (F.col("n_columns") != F.size("columns")), "column_count")
-        .when(known_table & unknown, "unknown_column")
+        .when(known_table & (F.size("_v") < F.size("entries")), "unknown_column")
     )
-    # only deletes lack a current image, only inserts an old one
     return (
-        events.withColumn("error", F.coalesce("error", error(code, F.col("operation_type").cast("string"))))
-        .withColumn("op", op)
-        .withColumn("cols", F.when(F.col("error").isNull(), F.map_from_entries(F.transform("entries", entry))).otherwise(F.col("cols")))
+        events.withColumn("op", op)
+        .withColumn("_v", valued)
+        .withColumn("error", F.coalesce("error", error(code, F.col("operation_type").cast("string"))))
         .withColumn(
             "cols",
-            F.transform_values(
-                "cols",
-                lambda k, v: F.struct(
-                    v["cur"].alias("cur"), v["old"].alias("old"),
-                    (op != "D").alias("has_cur"), (op != "I").alias("has_old"),
-                ),
-            ),
+            F.when(F.col("error").isNull() & known_table, F.map_from_entries(F.transform("_v", entry)))
+            .otherwise(F.col("cols")),
         )
+        .drop("_v")
     )
 
 

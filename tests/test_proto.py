@@ -4,7 +4,7 @@ import pytest
 
 from changeflow.model import Catalog, TableSpec
 from changeflow.operators.route import split_errors
-from changeflow.sources.decode_proto import decode_proto
+from changeflow.sources.decode_proto import decode_proto, decode_record, read_message, record_parser
 from test_golden import envelope
 
 SPEC = TableSpec.of(
@@ -58,6 +58,16 @@ def test_operations_and_key_changes(spark):
     assert rows[0]["txn"]["xid"] == "x1"
 
 
+def test_both_readers_agree():
+    messages = [
+        full(2, c, ident=("1", "22"), name=("a" * 200, "中"), NAME_old_null=True) for c in (0, 1, 115, 300)
+    ] + [record(1, 2), b"\xff\xff", data(15, "S.T")[:-1], num(4, 2) + data(5, b"\xff"), num(4, -1 & (1 << 64) - 1)]
+    runtime = record_parser()
+    for m in messages:
+        assert decode_record(m, "UTF8", read_message)[:10] == decode_record(m, "UTF8", runtime)[:10]
+        assert bool(decode_record(m, "UTF8", read_message)[10]) == bool(decode_record(m, "UTF8", runtime)[10])
+
+
 def test_null_and_empty_values(spark):
     rows = decode(
         spark,
