@@ -80,17 +80,22 @@ def net_sql_text(net: DataFrame, spec: TableSpec) -> DataFrame:
     return net.select("op", *[c for c in net.columns if c[:2] in ("s_", "d_")], statement.alias("sql_text"))
 
 
-def write_raw_archive(envelope: DataFrame, path: str, max_records: int = 0) -> None:
-    """Raw messages by topic and partition; large partitions roll over by record count."""
-    writer = envelope.write.mode("append").partitionBy("topic", "partition")
+def write_raw_archive(envelope: DataFrame, path: str, max_records: int = 0, mode: str = "append") -> None:
+    """Raw messages by topic and partition; large partitions roll over by record count.
+
+    ``mode="overwrite"`` with a path per batch makes a repeated batch write the same archive once.
+    """
+    writer = envelope.write.mode(mode).partitionBy("topic", "partition")
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
     writer.parquet(path)
 
 
-def write_sql_archive(sql: DataFrame, path: str, partition_by: list[str], max_records: int = 0) -> None:
+def write_sql_archive(
+    sql: DataFrame, path: str, partition_by: list[str], max_records: int = 0, mode: str = "append"
+) -> None:
     """SQL change script as text, in directories by ``partition_by`` (table, topic, partition)."""
-    writer = sql.select("sql_text", *partition_by).write.mode("append").option("lineSep", LINE_END)
+    writer = sql.select("sql_text", *partition_by).write.mode(mode).option("lineSep", LINE_END)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if max_records:
@@ -98,10 +103,12 @@ def write_sql_archive(sql: DataFrame, path: str, partition_by: list[str], max_re
     writer.text(path)
 
 
-def write_unload(rejects: DataFrame, path: str, reason: str | None = None, max_records: int = 0) -> None:
+def write_unload(
+    rejects: DataFrame, path: str, reason: str | None = None, max_records: int = 0, mode: str = "append"
+) -> None:
     """Rows that failed or were not applied, by reason; they count as errors in the statistics."""
     code = F.lit(reason) if reason else F.coalesce(F.col("error.code"), F.lit("unapplied"))
-    writer = rejects.withColumn("reason", code).write.mode("append").partitionBy("reason")
+    writer = rejects.withColumn("reason", code).write.mode(mode).partitionBy("reason")
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
     writer.parquet(path)

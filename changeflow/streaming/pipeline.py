@@ -76,10 +76,12 @@ class Pipeline:
         job = self.job
         routed = cut_lineage(decode_and_route(batch, job, self.catalog))
         good, bad = self._good_rows(routed)
+        # archives have a folder per batch and are overwritten, so a repeated batch leaves them once
         if job.raw_dir and job.dump_binary:
-            write_raw_archive(batch, f"{job.raw_dir}/batch={batch_id}", job.max_file_records)
+            write_raw_archive(batch, f"{job.raw_dir}/batch={batch_id}", job.max_file_records, "overwrite")
         if bad.limit(1).count() > 0:
-            write_unload(bad, f"{job.unload_dir}/batch={batch_id}", max_records=job.max_file_records)
+            path = f"{job.unload_dir}/batch={batch_id}"
+            write_unload(bad, path, max_records=job.max_file_records, mode="overwrite")
         good = known_tables(good, self.catalog)
         # at most one row per target table
         present = good.groupBy("schema_name", "table_name").agg(F.count(F.lit(1)).alias("messages")).collect()
@@ -101,17 +103,17 @@ class Pipeline:
             buckets, filled = list(range(store.buckets)), store.write(out.table, spec, batch_id)
         if job.raw_dir:
             sql = to_sql_text(events, spec).withColumn("table_name", F.lit(spec.full_name))
-            write_sql_archive(
-                sql, f"{job.raw_dir}/sql/batch={batch_id}", ["table_name", "topic", "partition"], job.max_file_records
-            )
+            path = f"{job.raw_dir}/sql/{spec.full_name}/batch={batch_id}"
+            write_sql_archive(sql, path, ["table_name", "topic", "partition"], job.max_file_records, "overwrite")
         counts = {"rejects": out.rejects.count()}
         if counts["rejects"]:
             path = f"{job.unload_dir}/{spec.full_name}/batch={batch_id}"
-            write_unload(out.rejects, path, max_records=job.max_file_records)
+            write_unload(out.rejects, path, max_records=job.max_file_records, mode="overwrite")
         if out.net is not None:
             if job.load_dir:
                 applied = net_sql_text(out.net, spec).withColumn("table_name", F.lit(spec.full_name))
-                write_sql_archive(applied, f"{job.load_dir}/batch={batch_id}", ["table_name"], job.max_file_records)
+                path = f"{job.load_dir}/{spec.full_name}/batch={batch_id}"
+                write_sql_archive(applied, path, ["table_name"], job.max_file_records, "overwrite")
             ops = {"I": "inserts", "U": "updates", "K": "updates", "D": "deletes"}
             # at most four rows
             for r in out.net.groupBy("op").count().collect():

@@ -48,6 +48,11 @@ def test_batches_publish_once_and_replay_is_a_no_op(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "unload" / "batch=1")).count() == 1
     assert spark.read.text(str(tmp_path / "applied")).filter("value like 'DELETE%'").count() > 0
     assert spark.read.parquet(str(tmp_path / "raw" / "batch=0")).count() == 9
+    # a crash before publishing: the batch is done again and its archives are there once
+    again = SnapshotStore(spark, str(tmp_path / "again"), Catalog([ONEKEY]), buckets=4)
+    again.load(spark.createDataFrame(MIX_SEED, ONEKEY.row_schema()), ONEKEY)
+    Pipeline(spark, job, again).apply_batch(log.filter("offset < 9"), 0)
+    assert spark.read.parquet(str(tmp_path / "raw" / "batch=0")).count() == 9
     totals = load_stats(store.commits().filter("batch_id >= 0")).first()
     assert (totals["tasks_done"], totals["messages"], totals["rejects"]) == (2, 14, 0)
 
