@@ -116,7 +116,7 @@ class OrdinalModel:
         return sigmoid(score - self.thresholds)
 
 
-def fit_cumulative_link(at, value, grade: np.ndarray, size: int, grades: int = GRADES, l2: float = 1e-3, steps: int = 400, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
+def fit_cumulative_link(at, value, grade: np.ndarray, size: int, grades: int = GRADES, l2: float = 1e-5, steps: int = 500, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
     """Shared weights and ordered thresholds by gradient steps on the likelihood; thresholds are a first one and positive gaps."""
     row = np.repeat(np.arange(len(at)), [len(a) for a in at])
     col = np.concatenate(at) if len(at) else np.zeros(0, int)
