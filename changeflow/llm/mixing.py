@@ -41,9 +41,14 @@ def inverse_sql(schedule: Sequence[tuple[float, float]], share: str) -> str:
     return sql
 
 
+def words_sql(p: int) -> str:
+    """Words of a document that a pass over its source takes: ``due`` words of the source are taken in all."""
+    return f"greatest(0, least(size, due - (start + {p} * source_size)))"
+
+
 def share_sql(p: int) -> str:
-    """Where the middle of a document's pass lies in its source's target."""
-    return f"((start + {p} * source_size + {_number(0.5)} * size) / target)"
+    """Where the middle of a document's words of a pass lies in its source's target."""
+    return f"((start + {p} * source_size + {_number(0.5)} * {words_sql(p)}) / target)"
 
 
 def position_sql(schedules, share: str, turn: str) -> str:
@@ -123,8 +128,7 @@ def mix_plan(
     passes = range(int(cap) + (cap > int(cap)))
 
     def copy(p):
-        begin = F.col("start") + F.lit(p) * F.col("source_size")
-        words = F.greatest(F.lit(0), F.least("size", F.col("due") - begin)).cast("long")
+        words = F.expr(words_sql(p)).cast("long")
         at = F.expr(position_sql(schedules, share_sql(p), f"turn % {len(schedules)}"))
         return F.when(words > 0, F.struct(F.lit(p).alias("pass"), words.alias("words"), at.alias("position")))
 
