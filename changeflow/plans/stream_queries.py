@@ -11,11 +11,12 @@ from changeflow.operators.bind import bind_changes
 from changeflow.operators.route import bind_columns
 from changeflow.operators.stats import throughput_stream
 from changeflow.plans import logs
+from changeflow.plans.log_queries import REJECTS_SQL
 from changeflow.plans.net_queries import MERGED_SQL, NET_SQL
 from changeflow.plans.registry import query
 from changeflow.sources.decode_text import decode_ctrl
 from changeflow.streaming.live_view import live_view
-from changeflow.streaming.pipeline import start_pipeline
+from changeflow.streaming.pipeline import Pipeline, start_pipeline
 from changeflow.streaming.store import SnapshotStore
 
 USERS = logs.USERS
@@ -57,6 +58,8 @@ def _feed(log, order, path, run):
             part = part.filter(F.col(order) > low)
         if high is not None:
             part = part.filter(F.col(order) <= high)
+        if high is None:
+            part = part.unionByName(log.filter(F.col(order).isNull()))
         part.write.mode("append").parquet(path)
         run().awaitTermination()
 
@@ -78,6 +81,37 @@ def stream_apply(spark, d):
     return store.read(USERS)
 
 
+@query("stream_restart", MERGED_SQL + "SELECT * FROM merged")
+def stream_restart(spark, d):
+    """The log in two streams with checkpoints of their own, one after the other into one store that is opened again in between."""
+    root = logs.work_dir(spark)
+    catalog = Catalog([USERS])
+    SnapshotStore(spark, f"{root}/store", catalog, buckets=8).load(logs.user_seed(spark, d), USERS)
+    messages = _messages(spark, d)
+    middle = messages.approxQuantile("offset", [0.5], 0.05)[0] if not messages.isEmpty() else 0
+    for name, part in (("first", F.col("offset") <= middle), ("second", ~F.coalesce(F.col("offset") <= middle, F.lit(False)))):
+        messages.filter(part).write.parquet(f"{root}/log-{name}")
+        store = SnapshotStore(spark, f"{root}/store", catalog)
+        job = JobConfig(source="parquet", path=f"{root}/log-{name}", format="ctrl", skip=True, unload_dir=f"{root}/unload")
+        start_pipeline(spark, job, store, f"{root}/offsets-{name}", available_now=True).awaitTermination()
+    return SnapshotStore(spark, f"{root}/store", catalog).read(USERS)
+
+
+@query(
+    "pipeline_rejects",
+    REJECTS_SQL + """SELECT seq AS "offset", 'after_delete' AS reason FROM rej""",
+)
+def pipeline_rejects(spark, d):
+    """The unload archive of one applied batch, read back: updates of rows that the batch deleted before."""
+    root = logs.work_dir(spark)
+    store = SnapshotStore(spark, f"{root}/store", Catalog([USERS]), buckets=8)
+    store.load(logs.user_seed(spark, d), USERS)
+    job = JobConfig(format="ctrl", skip=True, unload_dir=f"{root}/unload")
+    Pipeline(spark, job, store).apply_batch(_messages(spark, d), 0)
+    saved = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/unload/{USERS.full_name}")
+    return saved.select("offset", F.col("error.code").alias("reason"))
+
+
 LIVE_SQL = NET_SQL + """
 SELECT op, c1, n2.v AS c2, n3.v AS c3, n4.v AS c4, n_events FROM net"""
 

@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.config import JobConfig
-from changeflow.model import Catalog, TableSpec
+from changeflow.model import ENVELOPE_SCHEMA, Catalog, TableSpec
 from changeflow.operators.apply import merge_batch
 from changeflow.operators.archive import net_sql_text, to_sql_text, write_raw_archive, write_sql_archive, write_unload
 from changeflow.operators.route import known_tables, split_errors
 from changeflow.plans.batch import TableBatch, apply_table, decode_and_route
-from changeflow.session import bounded_broadcast, cut_lineage
-from changeflow.sources.envelope import read_envelope
-from changeflow.streaming.store import SnapshotStore
+from changeflow.session import cut_lineage
+from changeflow.functions.text import start_position
+from changeflow.sources.envelope import from_positions, read_envelope, start_positions, wanted_partitions
+from changeflow.streaming.store import BY_HAND, SnapshotStore
 
 HOLD_SCHEMA = "topic string, partition int, first_bad bigint"
 
@@ -36,7 +37,7 @@ def hold_after_error(events: DataFrame, holds: DataFrame | None = None) -> DataF
     """Rows before the first bad row of their partition; the partition stops there, others go on."""
     bad = cut_lineage(first_bad_offsets(events)) if holds is None else holds
     return (
-        events.join(bounded_broadcast(bad), ["topic", "partition"], "left")
+        events.join(bad, ["topic", "partition"], "left")
         .filter(F.col("first_bad").isNull() | (F.col("offset") < F.col("first_bad")))
         .drop("first_bad")
     )
@@ -49,6 +50,8 @@ class Pipeline:
         self.spark, self.job, self.store = spark, job, store
         self.catalog: Catalog = store.catalog
         self.on_error = on_error or job.on_error
+        if not job.unload_dir:
+            raise ValueError("unload_dir: name a folder that all executors can reach")
 
     # -- held partitions -----------------------------------------------------------------------------
     def holds(self) -> DataFrame:
@@ -62,26 +65,45 @@ class Pipeline:
         if self.on_error != "hold":
             return split_errors(routed, self.on_error)
         new = cut_lineage(first_bad_offsets(routed))
-        new.coalesce(1).write.mode("append").parquet(f"{self.store.root}/holds")
+        if not new.isEmpty():
+            new.coalesce(1).write.mode("append").parquet(f"{self.store.root}/holds")
         holds = cut_lineage(self.holds())
         good = hold_after_error(routed, holds)
-        held = routed.join(bounded_broadcast(holds), ["topic", "partition"]).filter(F.col("offset") >= F.col("first_bad"))
+        held = routed.join(holds, ["topic", "partition"]).filter(F.col("offset") >= F.col("first_bad"))
         return good, held.drop("first_bad")
 
     # -- one batch -----------------------------------------------------------------------------------
+    def stream_id(self) -> str:
+        """Id of the streaming query whose batch this is: Spark keeps it with the checkpoint, so a new checkpoint is a new stream."""
+        return self.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or BY_HAND
+
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """Apply and publish one micro-batch; a batch that is already published is skipped."""
-        if self.store.is_committed(batch_id):
+        """Apply and publish one micro-batch; a batch that is already published is skipped, a failed one is listed as failed."""
+        stream = self.stream_id()
+        if self.store.is_committed(batch_id, stream):
             return
-        job = self.job
+        try:
+            published = self._apply(batch, batch_id, stream)
+        except Exception:
+            self.store.publish(batch_id, [{"table_name": ""}], stream, status="failed")
+            raise
+        # a batch without rows is published too, so that it is not taken up again
+        self.store.publish(batch_id, published or [{"table_name": ""}], stream)
+
+    def _apply(self, batch: DataFrame, batch_id: int, stream: str) -> list[dict]:
+        job, place = self.job, f"stream={stream}/batch={batch_id}"
         routed = cut_lineage(decode_and_route(batch, job, self.catalog))
         good, bad = self._good_rows(routed)
         # archives have a folder per batch and are overwritten, so a repeated batch leaves them once
         if job.raw_dir and job.dump_binary:
-            write_raw_archive(batch, f"{job.raw_dir}/batch={batch_id}", job.max_file_records, "overwrite")
-        if bad.limit(1).count() > 0:
-            path = f"{job.unload_dir}/batch={batch_id}"
-            write_unload(bad, path, max_records=job.max_file_records, mode="overwrite")
+            write_raw_archive(batch, f"{job.raw_dir}/{place}", job.max_file_records, "overwrite")
+        # bad rows are counted with the table they name, if any: at most one row per table name
+        errors = {
+            f"{r['schema_name']}.{r['table_name']}" if r["table_name"] else "": r["n"]
+            for r in bad.groupBy("schema_name", "table_name").agg(F.count(F.lit(1)).alias("n")).collect()
+        }
+        if errors:
+            write_unload(bad, f"{job.unload_dir}/{place}", max_records=job.max_file_records, mode="overwrite")
         good = known_tables(good, self.catalog)
         # at most one row per target table
         present = good.groupBy("schema_name", "table_name").agg(F.count(F.lit(1)).alias("messages")).collect()
@@ -89,30 +111,31 @@ class Pipeline:
         for row in sorted(present):
             spec = self.catalog[f"{row['schema_name']}.{row['table_name']}"]
             events = good.filter((F.col("schema_name") == spec.schema) & (F.col("table_name") == spec.table))
-            published.append({"messages": row["messages"], **self._apply_table(events, spec, batch_id)})
-        # a batch without rows is published too, so that it is not taken up again
-        self.store.publish(batch_id, published or [{"table_name": "", "buckets": [], "filled": []}])
+            done = {"messages": row["messages"], **self._apply_table(events, spec, batch_id, stream, place)}
+            done["rejects"] += errors.pop(spec.full_name, 0)
+            published.append(done)
+        return published + [{"table_name": name, "messages": n, "rejects": n} for name, n in sorted(errors.items())]
 
-    def _apply_table(self, events: DataFrame, spec: TableSpec, batch_id: int) -> dict:
+    def _apply_table(self, events: DataFrame, spec: TableSpec, batch_id: int, stream: str, place: str) -> dict:
         job, store = self.job, self.store
         if spec.has_pk:
-            out, buckets, filled = self._merge_buckets(events, spec, batch_id)
+            out, buckets, filled = self._merge_buckets(events, spec, batch_id, stream)
         else:
             # an update by value can hit any row
             out = apply_table(events, spec, store.read(spec), job.update_mode)
-            buckets, filled = list(range(store.buckets)), store.write(out.table, spec, batch_id)
+            buckets, filled = list(range(store.buckets)), store.write(out.table, spec, batch_id, stream)
         if job.raw_dir:
             sql = to_sql_text(events, spec).withColumn("table_name", F.lit(spec.full_name))
-            path = f"{job.raw_dir}/sql/{spec.full_name}/batch={batch_id}"
+            path = f"{job.raw_dir}/sql/{spec.full_name}/{place}"
             write_sql_archive(sql, path, ["table_name", "topic", "partition"], job.max_file_records, "overwrite")
         counts = {"rejects": out.rejects.count()}
         if counts["rejects"]:
-            path = f"{job.unload_dir}/{spec.full_name}/batch={batch_id}"
+            path = f"{job.unload_dir}/{spec.full_name}/{place}"
             write_unload(out.rejects, path, max_records=job.max_file_records, mode="overwrite")
         if out.net is not None:
             if job.load_dir:
                 applied = net_sql_text(out.net, spec).withColumn("table_name", F.lit(spec.full_name))
-                path = f"{job.load_dir}/{spec.full_name}/batch={batch_id}"
+                path = f"{job.load_dir}/{spec.full_name}/{place}"
                 write_sql_archive(applied, path, ["table_name"], job.max_file_records, "overwrite")
             ops = {"I": "inserts", "U": "updates", "K": "updates", "D": "deletes"}
             # at most four rows
@@ -120,14 +143,14 @@ class Pipeline:
                 counts[ops[r["op"]]] = counts.get(ops[r["op"]], 0) + r["count"]
         return {"table_name": spec.full_name, "buckets": buckets, "filled": filled, **counts}
 
-    def _merge_buckets(self, events: DataFrame, spec: TableSpec, batch_id: int) -> tuple[TableBatch, list[int], list[int]]:
+    def _merge_buckets(self, events: DataFrame, spec: TableSpec, batch_id: int, stream: str) -> tuple[TableBatch, list[int], list[int]]:
         """Net against the stored keys, then rewrite only the buckets that the net changes touch."""
         store = self.store
         out = apply_table(events, spec, store.read(spec), self.job.update_mode)
         out.net = cut_lineage(out.net)
         buckets = store.touched_buckets(out.net, spec)
         merged = merge_batch(store.read(spec, buckets), out.net, spec)
-        return out, buckets, store.write(merged, spec, batch_id)
+        return out, buckets, store.write(merged, spec, batch_id, stream)
 
 
 def start_pipeline(
@@ -140,9 +163,11 @@ def start_pipeline(
 ) -> StreamingQuery:
     """Start the continuous job. Offsets are checkpointed by Spark after a batch is published."""
     pipeline = Pipeline(spark, job, store, on_error)
+    log = read_envelope(spark, job, streaming=True)
+    if job.source != "kafka" and start_position(job.mode)[0] not in ("start", "committed"):
+        log = from_positions(log, _stored_positions(spark, job, f"{checkpoint}-start"))
     writer = (
-        read_envelope(spark, job, streaming=True)
-        .writeStream.queryName("changeflow")
+        log.writeStream.queryName("changeflow")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(pipeline.apply_batch)
     )
@@ -150,6 +175,24 @@ def start_pipeline(
     return writer.start()
 
 
+def _stored_positions(spark: SparkSession, job: JobConfig, path: str) -> DataFrame:
+    """Start offsets of a file log, fixed when the job starts first and kept beside its checkpoint."""
+    schema = "topic string, partition int, start_offset bigint"
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        log = wanted_partitions(spark.read.schema(ENVELOPE_SCHEMA).format(job.source).load(job.path), job)
+        start_positions(log, job.mode).write.parquet(path)
+        return spark.read.schema(schema).parquet(path)
+
+
+def run_pipeline(spark: SparkSession, job: JobConfig, store: SnapshotStore, checkpoint: str, on_error: str | None = None) -> StreamingQuery:
+    """Start the job and stop it once no rows came for its ``stream_timeout_s``; a negative one waits for ever."""
+    query = start_pipeline(spark, job, store, checkpoint, on_error=on_error)
+    run_until_idle(query, job.stream_timeout_s)
+    return query
+
+
 def progress_rows(query: StreamingQuery) -> DataFrame:
     """Recent progress of a running job, one row per micro-batch and source (Spark keeps a bounded number).
 
@@ -208,7 +251,7 @@ def pending_rows(log: DataFrame, applied: DataFrame) -> DataFrame:
     """Rows of the log after the last applied offset of their partition (``applied``: partition progress)."""
     done = applied.select("topic", "partition", "last_offset")
     return (
-        log.join(bounded_broadcast(done), ["topic", "partition"], "left")
+        log.join(done, ["topic", "partition"], "left")
         .filter(F.col("last_offset").isNull() | (F.col("offset") > F.col("last_offset")))
         .drop("last_offset")
     )

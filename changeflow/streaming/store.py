@@ -1,9 +1,10 @@
 """Versioned table snapshots on plain Parquet with an append-only commit log.
 
 A table is split into hash buckets of its key. A batch rewrites only the buckets it touches, under a
-directory named after the batch; appending one small file to the commit log publishes it. Readers take for
+directory named after its stream and batch; appending one small file to the commit log publishes it. Readers take for
 every bucket the newest published version, so a batch is visible as a whole or not at all, and replaying a
-published batch is a no-op.
+published batch is a no-op. A batch is known by its stream and its number in that stream, because every stream counts from 0;
+versions are ordered by a commit number of the whole store. The number of buckets is part of the store.
 """
 
 from __future__ import annotations
@@ -15,15 +16,36 @@ from pyspark.sql import functions as F
 from changeflow.model import Catalog, TableSpec
 
 COMMIT_SCHEMA = (
-    "batch_id bigint, table_name string, buckets array<int>, filled array<int>, status string, messages bigint, "
-    "inserts bigint, updates bigint, deletes bigint, rejects bigint, committed_at timestamp"
+    "commit_seq bigint, stream_id string, batch_id bigint, table_name string, buckets array<int>, filled array<int>, "
+    "status string, messages bigint, inserts bigint, updates bigint, deletes bigint, rejects bigint, committed_at timestamp"
 )
+LAYOUT_SCHEMA = "buckets int"
+DEFAULT_BUCKETS = 64
+# the stream id of batches that no streaming query numbers
+BY_HAND = "batch"
 
 
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, root: str, catalog: Catalog, buckets: int = 64, files_per_bucket: int = 1):
+    """``buckets``: for a new store; a store that exists keeps its number and refuses another one."""
+
+    def __init__(self, spark: SparkSession, root: str, catalog: Catalog, buckets: int | None = None, files_per_bucket: int = 1):
         self.spark, self.root, self.catalog = spark, root.rstrip("/"), catalog
-        self.buckets, self.files_per_bucket = buckets, files_per_bucket
+        self.files_per_bucket = files_per_bucket
+        self.buckets = self._layout(buckets)
+
+    def _layout(self, wanted: int | None) -> int:
+        path = f"{self.root}/layout"
+        try:
+            stored = self.spark.read.schema(LAYOUT_SCHEMA).parquet(path).first()
+        except AnalysisException:
+            stored = None
+        if stored is None:
+            layout = self.spark.createDataFrame([(wanted or DEFAULT_BUCKETS,)], LAYOUT_SCHEMA)
+            layout.coalesce(1).write.mode("overwrite").parquet(path)
+            return wanted or DEFAULT_BUCKETS
+        if wanted is not None and wanted != stored["buckets"]:
+            raise ValueError(f"the store at {self.root} has {stored['buckets']} buckets, not {wanted}")
+        return stored["buckets"]
 
     # -- commit log --------------------------------------------------------------------------------
     def commits(self) -> DataFrame:
@@ -32,15 +54,20 @@ class SnapshotStore:
         except AnalysisException:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
 
-    def is_committed(self, batch_id: int) -> bool:
-        return self.commits().filter(F.col("batch_id") == batch_id).limit(1).count() > 0
+    def published(self) -> DataFrame:
+        return self.commits().filter(F.col("status") == "done")
 
-    def publish(self, batch_id: int, tables: list[dict]) -> None:
-        """Append the batch to the commit log: one file, written last."""
+    def is_committed(self, batch_id: int, stream_id: str = BY_HAND) -> bool:
+        mine = (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
+        return not self.published().filter(mine).isEmpty()
+
+    def publish(self, batch_id: int, tables: list[dict], stream_id: str = BY_HAND, status: str = "done") -> None:
+        """Append the batch to the commit log: one file, written last. ``failed`` batches are listed but not read."""
+        last = self.commits().agg(F.max("commit_seq")).first()[0]
         rows = [
             (
-                batch_id, t["table_name"], t["buckets"], t["filled"], "done", t.get("messages", 0), t.get("inserts", 0),
-                t.get("updates", 0), t.get("deletes", 0), t.get("rejects", 0),
+                0 if last is None else last + 1, stream_id, batch_id, t["table_name"], t.get("buckets", []), t.get("filled", []), status,
+                t.get("messages", 0), t.get("inserts", 0), t.get("updates", 0), t.get("deletes", 0), t.get("rejects", 0),
             )
             for t in tables
         ]
@@ -63,24 +90,26 @@ class SnapshotStore:
     # -- tables ------------------------------------------------------------------------------------
     def _paths(self, spec: TableSpec, buckets: list[int] | None) -> list[str]:
         """Directory of every wanted bucket's newest version; a bucket emptied by its last batch has none."""
+        version = F.struct("stream_id", "batch_id", F.array_contains("filled", F.col("bucket")).alias("has_rows"))
         versions = (
-            self.commits()
+            self.published()
             .filter(F.col("table_name") == spec.full_name)
-            .select("batch_id", "filled", F.explode("buckets").alias("bucket"))
+            .select("commit_seq", "stream_id", "batch_id", "filled", F.explode("buckets").alias("bucket"))
             .groupBy("bucket")
-            .agg(
-                F.max("batch_id").alias("batch_id"),
-                F.max_by(F.array_contains("filled", F.col("bucket")), "batch_id").alias("has_rows"),
-            )
-            .filter("has_rows")
+            .agg(F.max_by(version, "commit_seq").alias("version"))
+            .filter("version.has_rows")
         )
         if buckets is not None:
             versions = versions.filter(F.col("bucket").isin(buckets))
         # one row per bucket
         return [
-            f"{self.root}/{spec.full_name}/batch={r['batch_id']}/bucket={r['bucket']}" for r in versions.collect()
+            f"{self._directory(spec, r['version']['batch_id'], r['version']['stream_id'])}/bucket={r['bucket']}"
+            for r in versions.collect()
         ]
 
+    def _directory(self, spec: TableSpec, batch_id: int, stream_id: str) -> str:
+        return f"{self.root}/{spec.full_name}/stream={stream_id}/batch={batch_id}"
+
     def read(self, spec: TableSpec, buckets: list[int] | None = None) -> DataFrame:
         """The published table, or only the given buckets of it."""
         schema = spec.row_schema()
@@ -89,18 +118,21 @@ class SnapshotStore:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths).select(*spec.column_names)
 
-    def write(self, table: DataFrame, spec: TableSpec, batch_id: int) -> list[int]:
+    def write(self, table: DataFrame, spec: TableSpec, batch_id: int, stream_id: str = BY_HAND) -> list[int]:
         """Write rows under the batch's directory, one group of files per bucket. Not yet visible.
 
         Returns the buckets that hold rows.
         """
-        target = f"{self.root}/{spec.full_name}/batch={batch_id}"
+        target = self._directory(spec, batch_id, stream_id)
         key = spec.key_names
-        spread = F.pmod(F.hash(*key), F.lit(self.files_per_bucket))
+        # equal rows of a table without a key are spread by their place, not by their content
+        spread = F.hash(*key) if spec.has_pk else F.hash(*key, F.monotonically_increasing_id())
         (
             table.select(*spec.column_names)
             .withColumn("bucket", self.bucket(key))
-            .repartition("bucket", spread)
+            .withColumn("_spread", F.pmod(spread, F.lit(self.files_per_bucket)))
+            .repartition("bucket", "_spread")
+            .drop("_spread")
             .write.mode("overwrite")
             .partitionBy("bucket")
             .parquet(target)
@@ -110,13 +142,10 @@ class SnapshotStore:
 
     def load(self, table: DataFrame, spec: TableSpec, batch_id: int = -1) -> None:
         """Initial load of a table."""
-        if self.is_committed_table(batch_id, spec):
+        log = self.published().filter((F.col("batch_id") == batch_id) & (F.col("table_name") == spec.full_name))
+        if not log.isEmpty():
             return
         filled = self.write(table, spec, batch_id)
         self.publish(
             batch_id, [{"table_name": spec.full_name, "buckets": list(range(self.buckets)), "filled": filled}]
         )
-
-    def is_committed_table(self, batch_id: int, spec: TableSpec) -> bool:
-        log = self.commits().filter((F.col("batch_id") == batch_id) & (F.col("table_name") == spec.full_name))
-        return log.limit(1).count() > 0

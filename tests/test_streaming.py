@@ -45,16 +45,16 @@ def test_batches_publish_once_and_replay_is_a_no_op(spark, tmp_path):
     assert rows(store.read(ONEKEY)) == WANT
     pipeline.apply_batch(log, 1)
     assert rows(store.read(ONEKEY)) == WANT
-    assert spark.read.parquet(str(tmp_path / "unload" / "batch=1")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "unload" / "stream=batch" / "batch=1")).count() == 1
     assert spark.read.text(str(tmp_path / "applied")).filter("value like 'DELETE%'").count() > 0
-    assert spark.read.parquet(str(tmp_path / "raw" / "batch=0")).count() == 9
+    assert spark.read.parquet(str(tmp_path / "raw" / "stream=batch" / "batch=0")).count() == 9
     # a crash before publishing: the batch is done again and its archives are there once
     again = SnapshotStore(spark, str(tmp_path / "again"), Catalog([ONEKEY]), buckets=4)
     again.load(spark.createDataFrame(MIX_SEED, ONEKEY.row_schema()), ONEKEY)
     Pipeline(spark, job, again).apply_batch(log.filter("offset < 9"), 0)
-    assert spark.read.parquet(str(tmp_path / "raw" / "batch=0")).count() == 9
+    assert spark.read.parquet(str(tmp_path / "raw" / "stream=batch" / "batch=0")).count() == 9
     totals = load_stats(store.commits().filter("batch_id >= 0")).first()
-    assert (totals["tasks_done"], totals["messages"], totals["rejects"]) == (2, 14, 0)
+    assert (totals["tasks_done"], totals["messages"], totals["rejects"]) == (2, 15, 1)
 
 
 def test_unpublished_version_is_invisible_and_redone(spark, tmp_path):
@@ -130,3 +130,39 @@ def test_immediate_stop_archives_what_is_left(spark, tmp_path):
     assert [(r["offset"], r["reason"]) for r in saved.collect()] == [(3, "unapplied")]
     with pytest.raises(ValueError):
         stop(query, "sometime")
+
+
+def test_a_new_checkpoint_goes_on_in_the_same_store(spark, tmp_path):
+    store, job = setup(spark, tmp_path, ONEKEY, [])
+    for i in range(2):
+        write_log(spark, [ins(10 * i + n, "a", "b") for n in range(3)], f"{job.path}{i}")
+        own = JobConfig(**{**vars(job), "path": f"{job.path}{i}"})
+        start_pipeline(spark, own, store, str(tmp_path / f"offsets{i}"), available_now=True).awaitTermination()
+    assert sorted(r[0] for r in rows(store.read(ONEKEY))) == [0, 1, 2, 10, 11, 12]
+
+
+def test_another_number_of_buckets_is_refused(spark, tmp_path):
+    store, _ = setup(spark, tmp_path, ONEKEY, MIX_SEED)
+    with pytest.raises(ValueError, match="4 buckets"):
+        SnapshotStore(spark, store.root, store.catalog, buckets=7)
+    assert rows(SnapshotStore(spark, store.root, store.catalog).read(ONEKEY)) == sorted(MIX_SEED)
+
+
+def test_failed_batch_is_listed(spark, tmp_path):
+    store, job = setup(spark, tmp_path, ONEKEY, MIX_SEED)
+    strict = JobConfig(**{**vars(job), "skip": False})
+    with pytest.raises(Exception):
+        Pipeline(spark, strict, store).apply_batch(envelope(spark, ["rubbish"]), 0)
+    Pipeline(spark, job, store).apply_batch(envelope(spark, MIX), 1)
+    totals = load_stats(store.commits().filter("batch_id >= 0")).first()
+    assert (totals["tasks_total"], totals["tasks_done"], totals["transactions_fails"]) == (2, 1, 1)
+    assert rows(store.read(ONEKEY)) == WANT
+
+
+def test_updates_after_a_delete_are_archived_and_counted(spark, tmp_path):
+    store, job = setup(spark, tmp_path, ONEKEY, MIX_SEED)
+    log = envelope(spark, [ins(1, "a", "b"), ctrl("D", (0, ..., 1)), ctrl("U", (0, 1, 1), (1, "x", "a"))])
+    Pipeline(spark, job, store).apply_batch(log, 0)
+    saved = spark.read.option("recursiveFileLookup", "true").parquet(f"{job.unload_dir}/{ONEKEY.full_name}").collect()
+    assert [r["offset"] for r in saved] == [2]
+    assert store.commits().filter("batch_id = 0").first()["rejects"] == 1
