@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from changeflow.functions.scan import carry_previous
 from changeflow.model import TableSpec
 from changeflow.operators.bind import dst_cols, src_cols, val_cols
-from changeflow.operators.net import net_changes, overlay_aggs
-from changeflow.session import bounded_broadcast, cut_lineage
+from changeflow.operators.net import net_changes, net_rejects, overlay_aggs
+from changeflow.session import cut_lineage
+
 
 
 @dataclass
@@ -35,9 +36,8 @@ class NetResult:
 
 def net_batch(changes: DataFrame, spec: TableSpec, snapshot: DataFrame) -> NetResult:
     """Net a batch; the key-change path runs only if the batch holds a key change."""
-    if changes.filter(F.col("op") == "K").limit(1).count() == 0:
-        none = _rejects(changes.limit(0), "key_collision")
-        return NetResult(net_changes(changes, spec).drop("n_events", "last_seq"), none)
+    if changes.filter(F.col("op") == "K").isEmpty():
+        return NetResult(net_changes(changes, spec).drop("n_events", "last_seq"), net_rejects(changes, spec).select(*_reject_columns(spec)))
     return net_with_key_changes(changes, spec, snapshot)
 
 
@@ -46,7 +46,8 @@ def net_with_key_changes(changes: DataFrame, spec: TableSpec, snapshot: DataFram
 
     Net rows: U and D as usual, K moves a snapshot row from ``s_*`` to ``d_*``, I with a null source key is a
     row inserted in the batch on a touched key; a D accompanies each touched key whose snapshot row is gone.
-    ``rejects`` holds the key changes whose new key was occupied.
+    ``rejects`` (order, operation, keys and ``error``) holds the key changes whose new key was occupied and the updates of rows that an
+    earlier change of the batch deleted or moved away.
     """
     keys = [f"k_{k}" for k in spec.key_names]
     # the key changes are read many times; the log itself twice more
@@ -56,11 +57,10 @@ def net_with_key_changes(changes: DataFrame, spec: TableSpec, snapshot: DataFram
         .unionByName(moves.select(*_rename(dst_cols(spec), keys)))
         .distinct()
     )
-    touched_side = bounded_broadcast(touched)
 
     def on_touched(df: DataFrame, prefix: str, how: str) -> DataFrame:
         cond = [F.col(f"{prefix}{k}") == F.col(f"k_{k}") for k in spec.key_names]
-        return df.join(touched_side, cond, how)
+        return df.join(touched, cond, how)
 
     plain = changes.filter(F.col("op") != "K")
     # aggregate first: the anti join then sees one row per key
@@ -162,8 +162,13 @@ def net_with_key_changes(changes: DataFrame, spec: TableSpec, snapshot: DataFram
         *[F.col(k).alias("d" + k[1:]) for k in keys],
         *[F.lit(None).cast(placed.schema[c].dataType).alias(c) for c in values],
     )
-    collided = moves.join(outcome.filter("a and b").select("seq"), "seq", "left_semi")
-    return NetResult(simple.unionByName(placed).unionByName(gone), _rejects(collided, "key_collision"))
+    collided = _rejects(moves.join(outcome.filter("a and b").select("seq"), "seq", "left_semi"), "key_collision")
+    vacant = (F.col("kind") == "U") & F.col("prev.kind").isin("D", "X")
+    late = scanned.filter(vacant).select("seq", F.lit("U").alias("op"), *_rename(keys, src_cols(spec)), *_rename(keys, dst_cols(spec)))
+    elsewhere = net_rejects(on_touched(plain, "d_", "left_anti"), spec)
+    out = _reject_columns(spec)
+    rejects = collided.select(*out).unionByName(_rejects(late, "after_delete").select(*out)).unionByName(elsewhere.select(*out))
+    return NetResult(simple.unionByName(placed).unionByName(gone), rejects)
 
 
 def key_change_outcomes(changes: DataFrame, spec: TableSpec, snapshot: DataFrame) -> DataFrame:
@@ -177,7 +182,7 @@ def key_change_outcomes(changes: DataFrame, spec: TableSpec, snapshot: DataFrame
         "seq", "chunk", F.col("op").alias("kind"), *_rename(dst_cols(spec), keys)
     )
     log = (
-        plain.join(bounded_broadcast(cut_lineage(touched)), keys, "left_semi")
+        plain.join(cut_lineage(touched), keys, "left_semi")
         .unionByName(moves.select("seq", "chunk", F.lit("X").alias("kind"), *_rename(src_cols(spec), keys)))
         .unionByName(moves.select("seq", "chunk", F.lit("M").alias("kind"), *_rename(dst_cols(spec), keys)))
     )
@@ -191,6 +196,10 @@ def _rename(old: list[str], new: list[str]) -> list[Column]:
     return [F.col(o).alias(n) for o, n in zip(old, new)]
 
 
+def _reject_columns(spec: TableSpec) -> list[str]:
+    return ["seq", "op", *src_cols(spec), *dst_cols(spec), "error"]
+
+
 def _rejects(df: DataFrame, code: str) -> DataFrame:
     return df.withColumn(
         "error", F.struct(F.lit(code).alias("code"), F.lit(None).cast("string").alias("detail"))
@@ -208,7 +217,7 @@ def _settle(ports: DataFrame, keys: list[str], spec: TableSpec, snapshot: DataFr
     open_keys = ports.filter(prev.isNull()).select(*keys).distinct()
     stored = (
         snapshot.select(*[F.col(k).alias(f"k_{k}") for k in spec.key_names])
-        .join(bounded_broadcast(open_keys), keys, "left_semi")
+        .join(open_keys, keys, "left_semi")
         .withColumn("_stored", F.lit(True))
     )
     known = (
