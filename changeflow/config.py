@@ -66,7 +66,7 @@ class JobConfig:
     dump_binary: bool = False
     raw_dir: str | None = None
     load_dir: str | None = None
-    unload_dir: str = "unload/"
+    unload_dir: str | None = None
     max_file_records: int = 0
     max_wait_tasks: int = 10
     interval_s: int = 10
@@ -150,8 +150,10 @@ class JobConfig:
             problems.append(str(e))
         if self.def_table and not self.def_schema:
             problems.append("a table needs a schema")
-        if self.max_file_records < 0 or self.max_wait_tasks < 0:
-            problems.append("maxFileRecords and maxWaitTasks cannot be negative")
+        if self.max_file_records < 0:
+            problems.append("maxFileRecords cannot be negative")
+        if self.max_wait_tasks < 1:
+            problems.append("maxWaitTasks must be positive")
         for name in ("interval_s", "heartbeat_timeout_s", "session_timeout_s", "request_timeout_s"):
             if getattr(self, name) <= 0:
                 problems.append(f"{name} must be positive")
@@ -166,8 +168,8 @@ class JobConfig:
 
     def mappings_df(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(
-            [(m.src_schema, m.src_table, m.schema_name, m.table_name) for m in self.mappings],
-            "src_schema string, src_table string, schema_name string, table_name string",
+            [(m.src_schema, m.src_table, m.schema_name, m.table_name, i) for i, m in enumerate(self.mappings)],
+            "src_schema string, src_table string, schema_name string, table_name string, rule int",
         )
 
     def column_mappings_df(self, spark: SparkSession) -> DataFrame:

@@ -23,7 +23,7 @@ from changeflow.functions.scan import carry_previous
 from changeflow.model import TableSpec
 from changeflow.operators.bind import CHUNK_OFFSETS, order_columns
 from changeflow.operators.net import unchanged
-from changeflow.session import bounded_broadcast, cut_lineage
+from changeflow.session import cut_lineage
 
 # Copies of one row written out by a single task.
 COPIES_PER_BLOCK = 1024
@@ -167,7 +167,7 @@ def replay_nopk(
         )
         stored = (
             stored.withColumn("_m", _match_key(spec, {n: F.col(n) for n in sig}))
-            .join(bounded_broadcast(hits), "_m", "left")
+            .join(hits, "_m", "left")
             .drop("_m")
         )
     touched = reduce(lambda a, b: a | b, [F.coalesce(F.col(f"_hit{i}"), F.lit(False)) for i in range(len(signatures))])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from changeflow import fixed_values as fv
 from changeflow.model import Catalog
-from changeflow.session import BROADCAST_ROWS, bounded_broadcast
+from changeflow.session import BROADCAST_ROWS
 
 
 def resolve_names(events: DataFrame, def_schema: str | None = None) -> DataFrame:
@@ -25,24 +25,31 @@ def resolve_names(events: DataFrame, def_schema: str | None = None) -> DataFrame
     ).drop("topic_schema")
 
 
-def map_tables(events: DataFrame, mappings: DataFrame) -> DataFrame:
-    """Source table -> target table. Blank source parts default to the target's; many may map to one."""
+def map_tables(events: DataFrame, mappings: DataFrame, catalog: Catalog | None = None) -> DataFrame:
+    """Source table -> target table. Blank source parts default to the target's; many may map to one.
+
+    Of several rules for one source the last counts (by ``rule`` if the mappings have that column, else by row order). Rules
+    for targets that the catalog does not have are ignored, so their events keep their own table.
+    """
+    order = F.col("rule") if "rule" in mappings.columns else F.monotonically_increasing_id()
     rules = mappings.select(
         F.when(F.coalesce("src_schema", F.lit("")) == "", F.col("schema_name"))
         .otherwise(F.col("src_schema")).alias("_from_schema"),
         F.when(F.coalesce("src_table", F.lit("")) == "", F.col("table_name"))
         .otherwise(F.col("src_table")).alias("_from_table"),
-        F.col("schema_name").alias("_to_schema"),
-        F.col("table_name").alias("_to_table"),
+        "schema_name", "table_name", order.alias("_rule"),
     )
+    if catalog is not None:
+        rules = rules.join(_catalog_side(events, catalog), ["schema_name", "table_name"], "left_semi")
+    target = F.max_by(F.struct("schema_name", "table_name"), "_rule")
+    rules = rules.groupBy("_from_schema", "_from_table").agg(target.alias("_to"))
     hit = (F.col("schema_name") == F.col("_from_schema")) & (F.col("table_name") == F.col("_from_table"))
-    joined = events.join(bounded_broadcast(rules), hit, "left")
-    return joined.withColumns(
-        {
-            "schema_name": F.coalesce("_to_schema", "schema_name"),
-            "table_name": F.coalesce("_to_table", "table_name"),
-        }
-    ).drop("_from_schema", "_from_table", "_to_schema", "_to_table")
+    return (
+        events.join(rules, hit, "left")
+        .withColumn("schema_name", F.coalesce("_to.schema_name", "schema_name"))
+        .withColumn("table_name", F.coalesce("_to.table_name", "table_name"))
+        .drop("_from_schema", "_from_table", "_to")
+    )
 
 
 def map_columns(events: DataFrame, mappings: DataFrame) -> DataFrame:
@@ -57,7 +64,7 @@ def map_columns(events: DataFrame, mappings: DataFrame) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("src_column", "column_name"))).alias("_names")
     )
     return (
-        events.join(bounded_broadcast(rules), ["schema_name", "table_name"], "left")
+        events.join(rules, ["schema_name", "table_name"], "left")
         .withColumn(
             "cols",
             F.when(
@@ -140,10 +147,8 @@ def split_errors(events: DataFrame, on_error: str = "skip") -> tuple[DataFrame,
     bad = events.filter(F.col("error").isNotNull())
     if on_error == "skip":
         return events.filter(F.col("error").isNull()), bad
-    checked = events.withColumn(
-        "error",
-        F.when(F.col("error").isNotNull(), F.raise_error(error_text()).cast(events.schema["error"].dataType)),
-    )
+    # a condition, not a column: columns that nobody reads are pruned
+    checked = events.filter(F.when(F.col("error").isNotNull(), F.raise_error(error_text()).cast("boolean")).otherwise(True))
     return checked, bad
 
 

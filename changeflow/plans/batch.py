@@ -24,7 +24,7 @@ def decode_and_route(envelope: DataFrame, job: JobConfig, catalog: Catalog) -> D
     spark = configure(envelope.sparkSession)
     events = decode(topic_config(envelope, job.topic_schemas()), job, catalog)
     if job.mappings:
-        events = map_tables(events, job.mappings_df(spark))
+        events = map_tables(events, job.mappings_df(spark), catalog)
         if any(m.columns for m in job.mappings):
             events = map_columns(events, job.column_mappings_df(spark))
     return bind_columns(events, catalog, by="position" if job.format == "ctrl" else "name")

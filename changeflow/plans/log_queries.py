@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from changeflow import fixed_values as fv
 from changeflow.model import TableSpec
-from changeflow.operators import archive, stats
+from changeflow.operators import apply, archive, stats
 from changeflow.operators.net import net_changes, net_rejects
 from changeflow.plans import logs
 from changeflow.plans.registry import query
 from changeflow.sources import envelope as env
-from changeflow.sources.catalog import load_catalog
+from changeflow.sources.catalog import catalog_specs, load_catalog
 from changeflow.streaming.pipeline import hold_after_error, pending_rows
 
 LOG = "WITH " + logs.EVENTS_LOG_SQL
@@ -213,11 +213,17 @@ def raw_archive(spark, d):
 
 @query(
     "sql_archive",
-    LOG + """SELECT 'DELETE FROM "S"."USERS" WHERE "c1" = ' || c1 || ';-- ' || seq AS sql_text, part AS "partition" FROM log WHERE op = 'D'""",
+    LOG + "," + SQL_LIT + """
+SELECT part AS "partition", CASE op WHEN 'D' THEN 'DELETE FROM "S"."USERS" WHERE "c1" = ' || c1
+  WHEN 'I' THEN 'UPSERT INTO "S"."USERS"("c1", "c2", "c3", "c4") VALUES(' || c1 || ', ' || q2 || ', ' || q3 || ', ' || q4 || ')'
+  ELSE 'UPDATE "S"."USERS" SET "c1" = ' || c1 || CASE WHEN has_c2 THEN ', "c2" = ' || q2 ELSE '' END ||
+  CASE WHEN has_c3 THEN ', "c3" = ' || q3 ELSE '' END || CASE WHEN has_c4 THEN ', "c4" = ' || q4 ELSE '' END || ' WHERE "c1" = ' || c1 END
+  || ';-- ' || seq AS sql_text FROM lit""",
 )
 def sql_archive(spark, d):
+    """The whole log as SQL text files by topic and partition, rolled over every 500 records, read back."""
     path = logs.work_dir(spark) + "/sql"
-    archive.write_sql_archive(_sql_text(spark, d).filter("op = 'D'"), path, ["topic", "partition"])
+    archive.write_sql_archive(_sql_text(spark, d), path, ["topic", "partition"], 500)
     return spark.read.option("lineSep", archive.LINE_END).text(path).select(F.col("value").alias("sql_text"), "partition")
 
 
@@ -458,7 +464,10 @@ def load_catalog_query(spark, d):
 )
 def batch_rows(spark, d):
     """Rows per write batch by table width, over parts read as column metadata."""
-    width = F.greatest(F.sum(F.col("p_size").cast("bigint") * 100000), F.lit(1))
-    rows = F.floor(F.lit(fv.COMMIT_BYTES) / width)
-    capped = F.greatest(F.lit(1), F.least(F.lit(fv.DEFAULT_BATCH_SIZE), rows)).cast("bigint")
-    return logs.table(spark, d, "part").groupBy(F.col("p_type").alias("table_name")).agg(capped.alias("batch_rows"))
+    columns = logs.table(spark, d, "part").select(
+        F.lit("S").alias("schema_name"), F.col("p_type").alias("table_name"), F.col("p_partkey").cast("int").alias("ordinal"),
+        F.concat(F.lit("c"), F.col("p_partkey").cast("string")).alias("column_name"), F.lit(64).alias("type_code"),
+        F.lit("VARCHAR").alias("type_name"), (F.col("p_size") * 100000).alias("size"), F.lit("").alias("charset"), F.lit(True).alias("nullable"))
+    keys = columns.limit(0).select("schema_name", "table_name", F.col("ordinal").alias("key_seq"), "column_name")
+    specs = catalog_specs(load_catalog(columns, keys))
+    return spark.createDataFrame([(s.table, apply.batch_rows(s)) for s in specs], "table_name string, batch_rows bigint")

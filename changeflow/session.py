@@ -1,13 +1,12 @@
-"""Session helpers: builder defaults, reliable checkpoints, size-checked broadcasts."""
+"""Session helpers: builder defaults and reliable checkpoints."""
 
 from __future__ import annotations
 
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# Tables at or below this row count may be broadcast (catalogs, mappings, topic lists).
+# Catalogs at or below this number of tables may be broadcast; their size is known on the driver.
 BROADCAST_ROWS = 100_000
 
 
@@ -57,9 +56,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after checking the row count; larger sides keep a shuffle join."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

@@ -85,8 +85,20 @@ def decode_json_array(
     none = F.lit(None).cast("string")
     yes, no = F.lit(True), F.lit(False)
 
+    def entries_of(field: str):
+        return F.flatten(F.transform(F.coalesce(F.col(f"_e.{field}"), F.array()), lambda m: F.map_entries(m)))
+
+    def unpaired(field: str):
+        """An update list must hold pairs of one column."""
+        entries = entries_of(field)
+        n = F.size(entries)
+        firsts = F.filter(entries, lambda e, i: i % 2 == 0)
+        seconds = F.filter(entries, lambda e, i: i % 2 == 1)
+        strange = F.exists(F.zip_with(firsts, seconds, lambda a, b: ~a["key"].eqNullSafe(b["key"])), lambda x: x)
+        return F.col("_op").isin("U", "K") & ((n % 2 != 0) | strange)
+
     def image(field: str):
-        entries = F.flatten(F.transform(F.coalesce(F.col(f"_e.{field}"), F.array()), lambda m: F.map_entries(m)))
+        entries = entries_of(field)
         pairs = F.transform(
             F.sequence(F.lit(0), F.greatest(F.floor(F.size(entries) / 2).cast("int") - 1, F.lit(0))),
             lambda i: F.struct(
@@ -115,6 +127,7 @@ def decode_json_array(
     code = (
         F.when(F.col("_e").isNull() | F.col("_e.table_name").isNull(), "bad_json")
         .when(F.col("_op").isNull(), "unknown_op")
+        .when(unpaired("column") | unpaired("key_column"), "bad_pair")
     )
     schema = F.lit(def_schema) if def_schema else F.lit(None).cast("string")
     if "topic_schema" in df.columns:

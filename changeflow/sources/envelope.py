@@ -11,21 +11,58 @@ from pyspark.sql import functions as F
 from changeflow import fixed_values as fv
 from changeflow.functions.text import start_position
 from changeflow.model import ENVELOPE_SCHEMA
-from changeflow.session import bounded_broadcast, cut_lineage
+from changeflow.session import cut_lineage
 
 
 def read_envelope(spark: SparkSession, cfg, streaming: bool = False) -> DataFrame:
     """Open the configured log. ``cfg.source`` is ``kafka`` or a file format (``parquet``, ``json``).
 
-    A file stream takes files by modification time: add them in log order.
+    The partition lists of the topics hold for every source. The start position holds for batches; a file stream gets it from
+    ``start_positions``, which a job stores when it starts first. A file stream takes files by modification time: add them in log
+    order.
     """
     reader = spark.readStream if streaming else spark.read
     if cfg.source == "kafka":
-        return reader.format("kafka").options(**kafka_options(cfg, streaming)).load()
+        log = reader.format("kafka").options(**kafka_options(cfg, streaming)).load()
+        # a batch from the end has no Kafka option
+        return log if streaming or start_position(cfg.mode)[0] != "end" else start_from(log, cfg.mode)
     reader = reader.schema(ENVELOPE_SCHEMA)
     if streaming and cfg.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", cfg.max_files_per_trigger)
-    return reader.format(cfg.source).load(cfg.path)
+    log = wanted_partitions(reader.format(cfg.source).load(cfg.path), cfg)
+    return log if streaming else start_from(log, cfg.mode)
+
+
+def wanted_partitions(df: DataFrame, cfg) -> DataFrame:
+    """Records of the configured topics and of their partition lists; without topics everything."""
+    if not cfg.topics:
+        return df
+    wanted = F.lit(False)
+    for t in cfg.topics:
+        own, partitions = F.col("topic") == t.topic, parse_partitions(str(t.partition))
+        wanted = wanted | (own if partitions is None else own & F.col("partition").isin(partitions))
+    return df.filter(wanted)
+
+
+def start_positions(df: DataFrame, mode: str) -> DataFrame:
+    """``(topic, partition, start_offset)`` of the log as it is now, for the start of a stream.
+
+    Partitions that appear later have no entry: a stream takes them from their beginning.
+    """
+    kind, at = start_position(mode)
+    after = F.max("offset") + 1
+    first = {
+        "end": after,
+        "offset": F.lit(at if kind == "offset" else 0),
+        "time": F.coalesce(F.min(F.when(F.col("timestamp") >= F.lit(at if kind == "time" else None), F.col("offset"))), after),
+    }.get(kind, F.lit(0))
+    return df.groupBy("topic", "partition").agg(first.cast("bigint").alias("start_offset"))
+
+
+def from_positions(df: DataFrame, positions: DataFrame) -> DataFrame:
+    """Records at or after their partition's start."""
+    joined = df.join(positions, ["topic", "partition"], "left")
+    return joined.filter(F.col("start_offset").isNull() | (F.col("offset") >= F.col("start_offset"))).select(*df.columns)
 
 
 def kafka_options(cfg, streaming: bool = False) -> dict[str, str]:
@@ -141,7 +178,7 @@ def seek_time(df: DataFrame, at: Column) -> DataFrame:
     """Records from each partition's first offset with a timestamp not before ``at``."""
     starts = cut_lineage(start_offsets(df, at).filter(F.col("start_offset").isNotNull()))
     return (
-        df.join(bounded_broadcast(starts), ["topic", "partition"])
+        df.join(starts, ["topic", "partition"])
         .filter(F.col("offset") >= F.col("start_offset"))
         .drop("start_offset")
     )
