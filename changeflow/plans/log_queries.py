@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from changeflow import fixed_values as fv
+from changeflow.config import JobConfig, Topic
 from changeflow.model import TableSpec
 from changeflow.operators import apply, archive, stats
 from changeflow.operators.net import net_changes, net_rejects
@@ -50,6 +51,27 @@ def start_offset(spark, d):
     return env.start_from(_log(spark, d), "500").select("partition", "offset")
 
 
+@query("job_start_position", LOG + 'SELECT part AS "partition", seq AS "offset" FROM log WHERE part IN (1, 3) AND seq >= 500')
+def job_start_position(spark, d):
+    """A job's partition list and start position as its batch source applies them."""
+    path = logs.work_dir(spark) + "/log"
+    records = _log(spark, d).select(F.lit(None).cast("binary").alias("key"), F.lit(None).cast("binary").alias("value"), "topic", "partition", "offset", "timestamp")
+    records.write.parquet(path)
+    job = JobConfig(source="parquet", path=path, mode="500", topics=[Topic("events", partition="1,3-3")])
+    return env.read_envelope(spark, job).select("partition", "offset")
+
+
+@query("job_start_at_end", LOG + 'SELECT part AS "partition", seq AS "offset" FROM log WHERE seq > (SELECT CAST(floor(max(seq) / 2 + 0.5) AS BIGINT) FROM log)')
+def job_start_at_end(spark, d):
+    """A stream that starts at the end of the first half of the log takes what is added later."""
+    root = logs.work_dir(spark)
+    log = _log(spark, d).select("topic", "partition", "offset", "timestamp")
+    middle = log.agg(F.floor(F.max("offset") / 2 + 0.5).alias("half")).first()["half"]
+    positions = env.start_positions(log.filter(F.col("offset") <= F.lit(middle)), "END")
+    positions.write.parquet(f"{root}/start")
+    return env.from_positions(log, spark.read.parquet(f"{root}/start")).select("partition", "offset")
+
+
 @query("start_at_end", LOG + 'SELECT part AS "partition", seq AS "offset" FROM log WHERE false')
 def start_at_end(spark, d):
     return env.start_from(_log(spark, d), "END").select("partition", "offset")

@@ -186,6 +186,23 @@ def decode_json_array_query(spark, d):
         _cur("NAME").alias("name_cur"), _old("NAME").alias("name_old"))
 
 
+@query(
+    "json_array_bad_pairs",
+    """SELECT c_custkey AS "offset", 0 AS item, 'bad_pair' AS code FROM customer
+UNION ALL SELECT c_custkey, 1, 'bad_pair' FROM customer UNION ALL SELECT c_custkey, 2, NULL FROM customer""",
+)
+def json_array_bad_pairs(spark, d):
+    """An update list of odd length, one that pairs two columns, and a good one."""
+    c = logs.table(spark, d, "customer")
+    message = F.format_string(
+        '[{"table_name":"cust","operate":"update","column":[{"NAME":"%s"},{"NAME":"%s"},{"NAME":"x"}],"key_column":[]},'
+        '{"table_name":"cust","operate":"update","column":[{"NAME":"%s"},{"SEGMENT":"%s"}],"key_column":[]},'
+        '{"table_name":"cust","operate":"update","column":[{"NAME":"%s"},{"NAME":"%s"}],"key_column":[]}]',
+        *["c_name", "c_mktsegment"] * 3)
+    events = decode_json_array(_envelope(c, "c_custkey", F.encode(message, "UTF-8")), "S")
+    return events.select("offset", "item", F.col("error.code").alias("code"))
+
+
 # -- fixed width -------------------------------------------------------------------------------------------
 FIXED = TableSpec(
     "S", "FIXED",
@@ -494,6 +511,16 @@ def map_tables(spark, d):
     return _mapped(spark, d).select("offset", "schema_name", "table_name")
 
 
+@query("map_tables_twice", MAPPED_SQL + 'SELECT "offset", schema_name, table_name FROM mapped')
+def map_tables_twice(spark, d):
+    """Each source has two more rules: an earlier one that the later replaces, and a later one for a table that is not in the catalog."""
+    rules = _mappings(spark, d)
+    first = rules.withColumns({"table_name": F.lit("BUILDING"), "schema_name": F.lit("TS"), "rule": F.lit(0)}).filter("src_table <> ''")
+    missing = rules.withColumns({"table_name": F.lit("NOWHERE"), "schema_name": F.lit("T"), "rule": F.lit(2)}).filter("src_table <> ''")
+    every = first.unionByName(rules.withColumn("rule", F.lit(1))).unionByName(missing)
+    return route.map_tables(route.resolve_names(_named_events(spark, d)), every, TARGETS).select("offset", "schema_name", "table_name")
+
+
 @query(
     "map_columns",
     MAPPED_SQL + """SELECT "offset", CASE WHEN table_name = 'ALLMACH' THEN 'NAME' ELSE 'src_name' END AS column_name, c_name AS value FROM mapped""",
