@@ -106,11 +106,14 @@ def net_with_key_changes(changes: DataFrame, spec: TableSpec, snapshot: DataFram
         .groupBy("g_kind", "g_seq", *[F.when(in_snapshot_segment, F.col(k)).alias(k) for k in keys])
         .agg(*overlay_aggs(spec))
     )
-    rooted = segments.join(roots.withColumnRenamed("seq", "g_seq"), "g_seq", "left").select(
-        F.when(F.col("g_kind") == "I", F.col("g_seq")).otherwise(F.col("r_seq")).alias("r_seq"),
-        *[F.when(in_snapshot_segment, F.col(k)).otherwise(F.col(f"r_{k}")).alias(f"r_{k}") for k in keys],
-        *[f"last_{c}" for c in values],
+    # only rows that a key change brought have their root elsewhere
+    lasts = [f"last_{c}" for c in values]
+    own_root = segments.filter(F.col("g_kind") != "M").select(
+        F.when(F.col("g_kind") == "I", F.col("g_seq")).alias("r_seq"),
+        *[F.when(in_snapshot_segment, F.col(k)).alias(f"r_{k}") for k in keys], *lasts,
     )
+    moved_root = segments.filter(F.col("g_kind") == "M").join(roots.withColumnRenamed("seq", "g_seq"), "g_seq", "left")
+    rooted = own_root.unionByName(moved_root.select(*root_cols, *lasts))
     rows = rooted.groupBy(*root_cols).agg(*[F.max(f"last_{c}").alias(f"last_{c}") for c in values])
 
     # where every surviving row ends up
@@ -119,20 +122,13 @@ def net_with_key_changes(changes: DataFrame, spec: TableSpec, snapshot: DataFram
     )
     ends = touched.join(last, keys, "left")
     alive = F.col("last").isNull() | F.col("last.kind").isin("I", "M")
-    places = (
-        ends.filter(alive)
-        .withColumn("seq", F.col("last.seq"))
-        .join(roots, "seq", "left")
-        .select(
-            *keys,
-            F.when(F.col("last.kind") == "I", F.col("seq")).otherwise(F.col("r_seq")).alias("r_seq"),
-            *[
-                F.when(F.col("last").isNull(), F.col(k)).otherwise(F.col(f"r_{k}")).alias(f"r_{k}")
-                for k in keys
-            ],
-        )
+    standing = ends.filter(alive).withColumn("seq", F.col("last.seq"))
+    moved_here = F.coalesce(F.col("last.kind") == "M", F.lit(False))
+    own = standing.filter(~moved_here).select(
+        *keys, F.when(F.col("last.kind") == "I", F.col("seq")).alias("r_seq"),
+        *[F.when(F.col("last").isNull(), F.col(k)).alias(f"r_{k}") for k in keys],
     )
-    places = cut_lineage(places)
+    places = cut_lineage(own.unionByName(standing.filter(moved_here).join(roots, "seq", "left").select(*keys, *root_cols)))
     same_root = None
     for c in root_cols:
         eq = F.col(f"p.{c}").eqNullSafe(F.col(f"w.{c}"))
@@ -243,14 +239,21 @@ def _settle(ports: DataFrame, keys: list[str], spec: TableSpec, snapshot: DataFr
             F.col("b_in.ref").alias("b_ref"),
         )
     )
-    while moves.filter(F.col("a").isNull() | F.col("b").isNull()).limit(1).count() > 0:
-        moves = cut_lineage(_settle_round(moves))
-    return moves.select("seq", "a", "b")
-
-
-def _settle_round(moves: DataFrame) -> DataFrame:
+    # settled and open key changes are kept apart: only open ones are joined and written again
+    settled, open_moves = moves.limit(0), moves
+    while True:
+        is_open = F.col("a").isNull() | F.col("b").isNull()
+        settled = settled.unionByName(open_moves.filter(~is_open))
+        open_moves = open_moves.filter(is_open)
+        if open_moves.isEmpty():
+            return settled.select("seq", "a", "b")
+        open_moves = cut_lineage(_settle_round(open_moves, _wires(settled).unionByName(_wires(open_moves))))
+
+
+def _wires(moves: DataFrame) -> DataFrame:
+    """What later key changes refer to: occupancy of both keys after a key change, or the port that it passes on."""
     a, b = F.col("a"), F.col("b")
-    wires = moves.select(
+    return moves.select(
         F.explode(
             F.array(
                 F.struct(
@@ -266,16 +269,23 @@ def _settle_round(moves: DataFrame) -> DataFrame:
             )
         ).alias("w")
     ).select("w.*")
+
+
+def _settle_round(moves: DataFrame, wires: DataFrame) -> DataFrame:
     for side in ("a", "b"):
         w = wires.select(F.col("id").alias("_id"), F.col("val").alias("_val"), F.col("ref").alias("_ref"))
         val = F.coalesce(F.col(side), F.col("_val"))
         ref = F.when(val.isNull(), F.coalesce(F.col("_ref"), F.col(f"{side}_ref")))
-        moves = (
-            moves.join(w, F.col(f"{side}_ref") == F.col("_id"), "left")
+        waits = F.col(f"{side}_ref").isNotNull()
+        # rows without a reference would all meet under the null key
+        followed = (
+            moves.filter(waits)
+            .join(w, F.col(f"{side}_ref") == F.col("_id"), "left")
             .withColumn(f"{side}_ref", ref)
             .withColumn(side, val)
             .drop("_id", "_val", "_ref")
         )
+        moves = followed.unionByName(moves.filter(~waits))
     return moves
 
 
@@ -291,15 +301,19 @@ def _roots(scanned: DataFrame, keys: list[str]) -> DataFrame:
         )
     )
     root_cols = ["r_seq", *[f"r_{k}" for k in keys]]
-    while pointers.filter(F.col("next").isNotNull()).limit(1).count() > 0:
-        target = pointers.select(
+    found, open_rows = pointers.limit(0), pointers
+    while True:
+        found = found.unionByName(open_rows.filter(F.col("next").isNull()))
+        open_rows = open_rows.filter(F.col("next").isNotNull())
+        if open_rows.isEmpty():
+            return found.drop("next")
+        target = found.unionByName(open_rows).select(
             F.col("seq").alias("_id"), F.col("next").alias("_next"), *[F.col(c).alias(f"_{c}") for c in root_cols]
         )
-        pointers = cut_lineage(
-            pointers.join(target, F.col("next") == F.col("_id"), "left").select(
+        open_rows = cut_lineage(
+            open_rows.join(target, F.col("next") == F.col("_id"), "left").select(
                 "seq",
                 F.col("_next").alias("next"),
                 *[F.coalesce(F.col(c), F.col(f"_{c}")).alias(c) for c in root_cols],
             )
         )
-    return pointers.drop("next")
