@@ -80,13 +80,21 @@ def decode_with_fallback(raw: bytes | None, encoding: str) -> str | None:
 
 
 def decode_bytes(value: Column, encoding: str) -> Column:
-    """Strict byte decoding with the GBK to UTF-8 fallback, in Arrow batches."""
+    """Strict byte decoding with the GBK to UTF-8 fallback; null if neither fits.
+
+    UTF-8 is checked by built-in functions. Of other encodings, Python sees only the values that are not plain ASCII.
+    """
+    text = value.cast("string")
+    valid = F.is_valid_utf8(text)
+    if encoding.upper() in ("UTF8", "UTF-8"):
+        return F.when(valid, text)
+    ascii_only = valid & (F.octet_length(value) == F.length(text))
 
     @F.pandas_udf("string")
     def run(raw: pd.Series) -> pd.Series:
         return raw.map(lambda b: decode_with_fallback(b, encoding))
 
-    return run(value)
+    return F.when(ascii_only, text).otherwise(run(F.when(~ascii_only, value)))
 
 
 def start_position(mode: str) -> tuple[str, object]:
