@@ -4,9 +4,11 @@ Equal word sequences are one node. A node's signature keeps the low bits of its
 minima give candidates. The share of equal b-bit values, counted with ``bit_count`` and corrected for chance collisions, estimates
 the similarity; candidates that are clearly below the threshold are dropped there, the others are confirmed on full shingle sets.
 
-Only links that join components are needed. Each band's bucket first links its members to its smallest node, so a
-group of n copies costs n candidates per band. What is left are buckets whose members are in several components: their
-members are compared in pairs of small blocks, across components only, on the packed signatures inside the task.
+Only links that join components are needed. Each band's bucket first links its members to its smallest node, then those of other
+components to the member nearest to the bucket's consensus, so a group of n copies costs n candidates per band. What is
+left are buckets whose members are in several components although no link may be missing. To be sure, their members get a
+signature of more hash functions, and pairs across components are compared on it in pairs of blocks inside the tasks; the few
+pairs that come close to the threshold are confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -25,19 +27,23 @@ PER_LONG = 64 // BITS
 THRESHOLD_PERCENT = 75
 # five standard deviations of the estimate at the threshold
 MARGIN = 0.2
-BLOCK = 256
+# hash functions of the finer signature, and its margin: 4.5 standard deviations
+FINE_HASHES, FINE_MARGIN = 1024, 0.064
+BLOCK = 2048
 PER_TASK_HEAD = 512
-MULTIPLIERS = ((mixed(np.arange(1, HASHES + 1, dtype=np.uint64)) >> np.uint64(32)) | np.uint64(1)).astype(np.uint32)[:, None]
+# rows of a bucket that one task links to a pivot, and of these the rows that the pivot is chosen from
+PIVOT_ROWS, PIVOT_SAMPLE = 65_536, 4_096
+MULTIPLIERS = ((mixed(np.arange(1, FINE_HASHES + 1, dtype=np.uint64)) >> np.uint64(32)) | np.uint64(1)).astype(np.uint32)[:, None]
 BAND_MULTIPLIERS = mixed(np.arange(1000, 1000 + HASHES // BANDS, dtype=np.uint64)) | np.uint64(1)
 LOW_BITS = 0x1111111111111111
 
 
-def minima(sets: np.ndarray) -> np.ndarray:
+def minima(sets: np.ndarray, hashes: int = HASHES) -> np.ndarray:
     """The smallest hash of a shingle set under each of the hash functions, in slices of bounded size."""
     x = (sets >> np.uint64(32)).astype(np.uint32)
-    low = np.full(HASHES, 0xFFFFFFFF, dtype=np.uint32)
-    for i in range(0, len(x), 8192):
-        np.minimum(low, (x[i : i + 8192] * MULTIPLIERS).min(axis=1), out=low)
+    low, slice_ = np.full(hashes, 0xFFFFFFFF, dtype=np.uint32), (1 << 20) // hashes
+    for i in range(0, len(x), slice_):
+        np.minimum(low, (x[i : i + slice_] * MULTIPLIERS[:hashes]).min(axis=1), out=low)
     return low
 
 
@@ -143,10 +149,7 @@ def _confirm(batches):
 
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The pairs ``(head, node)`` whose full shingle sets reach the threshold, as ``(a, b)``."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    texts = docs.select(F.col(id_col).cast("long").alias("t_id"), F.xxhash64(text).alias("t_hash"), text.alias("text"))
-    routes = _routes(pairs, nodes)
-    routed = routes.join(texts, (F.col("text_hash") == F.col("t_hash")) & F.col("doc_id").eqNullSafe(F.col("t_id")))
+    routed = with_texts(_routes(pairs, nodes), docs, id_col, text_col)
     return cut_lineage(
         routed.select("head", "part", "role", "node", "text")
         .repartition("head", "part")
@@ -156,58 +159,136 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
     )
 
 
-def _across(batches):
-    """Pairs of different components in one pair of blocks whose signatures are close enough."""
+def estimates(sigs: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Corrected similarity of packed signatures (rows) to one."""
+    x = sigs ^ one
+    x |= x >> np.uint64(2)
+    x |= x >> np.uint64(1)
+    different = np.bitwise_count(x & np.uint64(LOW_BITS)).sum(axis=1)
+    chance = 2.0**-BITS
+    return (1 - different / (sigs.shape[1] * PER_LONG) - chance) / (1 - chance)
+
+
+def _pair_batch(found):
     import pyarrow as pa
 
-    def close(rows):
-        sig = np.array([r[2] for r in rows], dtype=np.int64).view(np.uint64)
-        comp = {c: i for i, c in enumerate({r[1] for r in rows})}
-        comp = np.array([comp[r[1]] for r in rows])
-        block = np.array([r[3] for r in rows])
-        lo, hi = rows[0][4]
-        left = np.flatnonzero(block == lo)
-        for i in left:
+    found = list(dict.fromkeys(found))
+    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.binary()), pa.array([x[1] for x in found], pa.binary())], names=["head", "node"])
+
+
+def _runs(batches, key_columns, columns):
+    """``(key, rows)`` pieces of sorted input; a key with many rows comes in several pieces of at least ``PIVOT_SAMPLE`` rows."""
+    key, rows = None, []
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in (*key_columns, *columns))):
+            if row[: len(key_columns)] != key:
+                if rows:
+                    yield key, rows
+                key, rows = row[: len(key_columns)], []
+            elif len(rows) >= 2 * max(PIVOT_SAMPLE, BLOCK):
+                yield key, rows
+                rows = []
+            rows.append(row[len(key_columns) :])
+    if rows:
+        yield key, rows
+
+
+def _to_pivot(batches):
+    """Links members of a bucket to the member that agrees with most of the others, unless they are of its component."""
+    near = THRESHOLD_PERCENT / 100 - MARGIN
+    at, pivot = None, None
+    shifts = np.arange(PER_LONG, dtype=np.uint64) * np.uint64(BITS)
+    for key, rows in _runs(batches, ("band", "part"), ("node", "root", "sig")):
+        sigs = np.array([r[2] for r in rows], dtype=np.int64).view(np.uint64)
+        if key != at:
+            at, some = key, sigs[:PIVOT_SAMPLE]
+            values = ((some[:, :, None] >> shifts) & np.uint64(2**BITS - 1)).reshape(len(some), -1)
+            common = np.array([np.bincount(column, minlength=2**BITS).argmax() for column in values.T.astype(np.int64)])
+            i = int((values == common).sum(axis=1).argmax())
+            pivot = (*rows[i][:2], sigs[i])
+        close = estimates(sigs, pivot[2]) >= near
+        yield _pair_batch([(pivot[0], r[0]) for r, c in zip(rows, close) if c and r[1] != pivot[1]])
+
+
+def _across(batches):
+    """Pairs of different components in one pair of blocks whose fine signatures are close enough; the short one is their beginning."""
+
+    def close(rows, band, lo, hi):
+        fine = np.array([r[2] for r in rows], dtype=np.int64).view(np.uint64)
+        short = np.ascontiguousarray(fine[:, : HASHES // PER_LONG])
+        bands = np.array([r[3] for r in rows], dtype=np.int32)
+        number = {c: i for i, c in enumerate(dict.fromkeys(r[1] for r in rows))}
+        comp, block = np.array([number[r[1]] for r in rows]), np.array([r[4] for r in rows])
+        here = np.int64(band).astype(np.int32)
+        for i in np.flatnonzero(block == lo):
             others = np.flatnonzero((block == hi) & (comp != comp[i]))
             others = others[others > i] if lo == hi else others
-            x = sig[others] ^ sig[i]
-            x |= x >> np.uint64(2)
-            x |= x >> np.uint64(1)
-            different = np.bitwise_count(x & np.uint64(LOW_BITS)).sum(axis=1)
-            chance = 2.0**-BITS
-            estimate = (1 - different / HASHES - chance) / (1 - chance)
-            for j in others[estimate >= THRESHOLD_PERCENT / 100 - MARGIN]:
+            others = others[estimates(short[others], short[i]) >= THRESHOLD_PERCENT / 100 - MARGIN]
+            others = others[estimates(fine[others], fine[i]) >= THRESHOLD_PERCENT / 100 - FINE_MARGIN]
+            # a pair that shares several buckets comes from the first of them
+            first = (bands[others] == bands[i]).argmax(axis=1)
+            for j in others[bands[i][first] == here]:
                 a, b = rows[i][0], rows[j][0]
                 yield (a, b) if a < b else (b, a)
 
-    key, rows = None, []
+    # blocks are bounded, so all rows of a pair of blocks are one piece
+    key, held = None, []
+    for k, rows in _runs(batches, ("band", "lo", "hi"), ("node", "root", "fine", "places", "block")):
+        if k != key:
+            if held:
+                yield _pair_batch(close(held, *key))
+            key, held = k, []
+        held += rows
+    if held:
+        yield _pair_batch(close(held, *key))
 
-    def out(found):
-        found = list(dict.fromkeys(found))
-        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.binary()), pa.array([x[1] for x in found], pa.binary())], names=["head", "node"])
 
+def _fine(batches):
+    import pyarrow as pa
+
+    hashes = WordHashes()
     for batch in batches:
-        names = ("band", "lo", "hi", "node", "root", "sig", "block")
-        for band, lo, hi, node, root, sig, block in zip(*(batch.column(c).to_pylist() for c in names)):
-            if (band, lo, hi) != key:
-                if rows:
-                    yield out(close(rows))
-                key, rows = (band, lo, hi), []
-            rows.append((node, root, sig, block, (lo, hi)))
-    if rows:
-        yield out(close(rows))
+        nodes, sigs = [], []
+        for node, raw in zip(batch.column("node").to_pylist(), raw_texts(batch.column("text"))):
+            words = words_of(raw)
+            if hashlib.md5(b" ".join(words)).digest() == node:
+                nodes.append(node)
+                sigs.append(packed(minima(np.unique(shingles(hashes.of(words))), FINE_HASHES)).tolist())
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(sigs, pa.list_(pa.int64()))], names=["node", "fine"])
 
 
-def leftover_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, tested: DataFrame) -> DataFrame:
-    """Untested pairs of different components that share a bucket; ``members``: ``(band, node)`` of buckets with several nodes."""
-    labelled = members.join(labels, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-    labelled = cut_lineage(labelled)
+def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(band, node, root, n)`` of the buckets whose nodes are in several components; n: nodes of the bucket."""
+    labelled = cut_lineage(members.join(labels, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root")))
     several = labelled.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("n"))
-    several = cut_lineage(several.filter("r0 != r1").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    open_rows = labelled.join(several, "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    open_rows = cut_lineage(open_rows).join(nodes.select("node", "sig"), "node")
-    spread = open_rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.select("band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "node", "root", "sig", "block")
+    return cut_lineage(labelled.join(cut_lineage(several.filter("r0 != r1").select("band", "n")), "band"))
+
+
+def pivot_pairs(rows: DataFrame, sigs: DataFrame) -> DataFrame:
+    parts = rows.withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / PIVOT_ROWS)).cast("int"))
+    return cut_lineage(
+        parts.join(sigs, "node")
+        .select("band", "part", "node", "root", "sig")
+        .repartition("band", "part")
+        .sortWithinPartitions("band", "part", "node")
+        .mapInArrow(_to_pivot, "head binary, node binary")
+        .distinct()
+    )
+
+
+def leftover_pairs(rows: DataFrame, nodes: DataFrame, tested: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Untested pairs of different components that share a bucket and are close by their finer signatures."""
+    places = cut_lineage(rows.select("node").distinct().join(nodes.select("node", "doc_id", "text_hash"), "node"))
+    fine = with_texts(places, docs, id_col, text_col).select("node", "text").mapInArrow(_fine, "node binary, fine array<long>")
+    fine = fine.dropDuplicates(["node"])
+    # the low halves of the band keys tell in which buckets two nodes meet
+    places = F.transform("bands", lambda b: F.shiftright(F.shiftleft(b, 32), 32).cast("int")).alias("places")
+    fine = cut_lineage(fine.join(nodes.select("node", places), "node"))
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    spread = rows.join(fine, "node").withColumn("blocks", blocks)
+    spread = spread.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    spread = spread.select("band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "node", "root", "fine", "places", "block")
     pairs = (
         spread.repartition("band", "lo", "hi")
         .sortWithinPartitions("band", "lo", "hi", "node")
@@ -217,6 +298,13 @@ def leftover_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, test
     return cut_lineage(pairs.join(tested, ["head", "node"], "left_anti"))
 
 
+def with_texts(places: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``places`` (with ``doc_id, text_hash``) and the texts of the documents they name."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    texts = docs.select(F.col(id_col).cast("long").alias("t_id"), F.xxhash64(text).alias("t_hash"), text.alias("text"))
+    return places.join(texts, (F.col("text_hash") == F.col("t_hash")) & F.col("doc_id").eqNullSafe(F.col("t_id")))
+
+
 def node_components(sign: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(node, root)`` of all nodes that are linked to another one."""
     pick = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_hash"))
@@ -240,10 +328,20 @@ def node_components(sign: DataFrame, docs: DataFrame, id_col: str, text_col: str
     )
     links = confirmed(close, nodes, docs, id_col, text_col)
     labels = connected_components(links)
-    more = leftover_pairs(members.select("band", "node"), labels, nodes, pairs)
-    if more.isEmpty():
+    rows = open_members(members.select("band", "node"), labels)
+    if rows.isEmpty():
+        return labels
+    more = pivot_pairs(rows, sigs)
+    links = cut_lineage(links.union(confirmed(more, nodes, docs, id_col, text_col)))
+    labels = connected_components(links)
+    rows = open_members(rows.select("band", "node"), labels)
+    if rows.isEmpty():
+        return labels
+    ordered = more.select(F.least("head", "node").alias("head"), F.greatest("head", "node").alias("node"))
+    rest = leftover_pairs(rows, nodes, pairs.union(ordered), docs, id_col, text_col)
+    if rest.isEmpty():
         return labels
-    return connected_components(links.union(confirmed(more, nodes, docs, id_col, text_col)))
+    return connected_components(links.union(confirmed(rest, nodes, docs, id_col, text_col)))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
