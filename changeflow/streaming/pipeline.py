@@ -19,7 +19,7 @@ from changeflow.plans.batch import TableBatch, apply_table, decode_and_route
 from changeflow.session import cut_lineage
 from changeflow.functions.text import start_position
 from changeflow.sources.envelope import from_positions, read_envelope, start_positions, wanted_partitions
-from changeflow.streaming.store import BY_HAND, SnapshotStore
+from changeflow.streaming.store import BY_HAND, MAX_DELTAS, SnapshotStore
 
 HOLD_SCHEMA = "topic string, partition int, first_bad bigint"
 
@@ -46,7 +46,8 @@ def hold_after_error(events: DataFrame, holds: DataFrame | None = None) -> DataF
 class Pipeline:
     """Applies micro-batches to a snapshot store. ``apply_batch`` is the ``foreachBatch`` function."""
 
-    def __init__(self, spark: SparkSession, job: JobConfig, store: SnapshotStore, on_error: str | None = None):
+    def __init__(self, spark: SparkSession, job: JobConfig, store: SnapshotStore, on_error: str | None = None, compact_every: int = MAX_DELTAS):
+        self.compact_every = compact_every
         self.spark, self.job, self.store = spark, job, store
         self.catalog: Catalog = store.catalog
         self.on_error = on_error or job.on_error
@@ -89,6 +90,10 @@ class Pipeline:
             raise
         # a batch without rows is published too, so that it is not taken up again
         self.store.publish(batch_id, published or [{"table_name": ""}], stream)
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            for spec in self.catalog:
+                if spec.has_pk:
+                    self.store.compact(spec)
 
     def _apply(self, batch: DataFrame, batch_id: int, stream: str) -> list[dict]:
         job, place = self.job, f"stream={stream}/batch={batch_id}"
@@ -119,11 +124,11 @@ class Pipeline:
     def _apply_table(self, events: DataFrame, spec: TableSpec, batch_id: int, stream: str, place: str) -> dict:
         job, store = self.job, self.store
         if spec.has_pk:
-            out, buckets, filled = self._merge_buckets(events, spec, batch_id, stream)
+            out, written = self._merge_delta(events, spec, batch_id, stream)
         else:
             # an update by value can hit any row
             out = apply_table(events, spec, store.read(spec), job.update_mode)
-            buckets, filled = list(range(store.buckets)), store.write(out.table, spec, batch_id, stream)
+            written = {"buckets": list(range(store.buckets)), "filled": store.write(out.table, spec, batch_id, stream)}
         if job.raw_dir:
             sql = to_sql_text(events, spec).withColumn("table_name", F.lit(spec.full_name))
             path = f"{job.raw_dir}/sql/{spec.full_name}/{place}"
@@ -141,16 +146,24 @@ class Pipeline:
             # at most four rows
             for r in out.net.groupBy("op").count().collect():
                 counts[ops[r["op"]]] = counts.get(ops[r["op"]], 0) + r["count"]
-        return {"table_name": spec.full_name, "buckets": buckets, "filled": filled, **counts}
+        return {"table_name": spec.full_name, **written, **counts}
 
-    def _merge_buckets(self, events: DataFrame, spec: TableSpec, batch_id: int, stream: str) -> tuple[TableBatch, list[int], list[int]]:
-        """Net against the stored keys, then rewrite only the buckets that the net changes touch."""
+    def _merge_delta(self, events: DataFrame, spec: TableSpec, batch_id: int, stream: str) -> tuple[TableBatch, dict]:
+        """Net against the stored keys, then write the new state of the rows that the net changes name.
+
+        Of the table, only these rows in the touched buckets are read and joined.
+        """
         store = self.store
         out = apply_table(events, spec, store.read(spec), self.job.update_mode)
         out.net = cut_lineage(out.net)
         buckets = store.touched_buckets(out.net, spec)
-        merged = merge_batch(store.read(spec, buckets), out.net, spec)
-        return out, buckets, store.write(merged, spec, batch_id, stream)
+        named = [out.net.select(*[F.col(f"{side}_{k}").alias(k) for k in spec.key_names]) for side in "sd"]
+        # a fresh row has no source key
+        keys = cut_lineage(named[0].union(named[1]).dropna(subset=spec.key_names).distinct())
+        before = store.read(spec, buckets).join(keys, spec.key_names, "left_semi")
+        after = cut_lineage(merge_batch(before, out.net, spec))
+        store.write_delta(after, keys.join(after, spec.key_names, "left_anti"), spec, batch_id, stream)
+        return out, {"deltas": buckets}
 
 
 def start_pipeline(

@@ -1,9 +1,10 @@
 """Versioned table snapshots on plain Parquet with an append-only commit log.
 
-A table is split into hash buckets of its key. A batch rewrites only the buckets it touches, under a
-directory named after its stream and batch; appending one small file to the commit log publishes it. Readers take for
-every bucket the newest published version, so a batch is visible as a whole or not at all, and replaying a
-published batch is a no-op. A batch is known by its stream and its number in that stream, because every stream counts from 0;
+A table is split into hash buckets of its key. A batch of a table with a key writes the new state of the rows it changed (or
+that they are gone) as a delta of their buckets, under a directory named after its stream and batch; appending one small file
+to the commit log publishes it. Readers take for every bucket its newest full version and put the later deltas on
+top, so a batch is visible as a whole or not at all, and replaying a published batch is a no-op. A bucket with many deltas is
+written anew by ``compact``. Tables without a key are rewritten in full. A batch is known by its stream and its number in that stream, because every stream counts from 0;
 versions are ordered by a commit number of the whole store. The number of buckets is part of the store.
 """
 
@@ -16,13 +17,17 @@ from pyspark.sql import functions as F
 from changeflow.model import Catalog, TableSpec
 
 COMMIT_SCHEMA = (
-    "commit_seq bigint, stream_id string, batch_id bigint, table_name string, buckets array<int>, filled array<int>, "
+    "commit_seq bigint, stream_id string, batch_id bigint, table_name string, buckets array<int>, filled array<int>, deltas array<int>, "
     "status string, messages bigint, inserts bigint, updates bigint, deletes bigint, rejects bigint, committed_at timestamp"
 )
 LAYOUT_SCHEMA = "buckets int"
+DELTA_COLUMNS = "_gone boolean, _stream string, _batch bigint"
 DEFAULT_BUCKETS = 64
 # the stream id of batches that no streaming query numbers
 BY_HAND = "batch"
+COMPACTION = "compaction"
+# deltas of a bucket that are read on top of its full version before it is written anew
+MAX_DELTAS = 8
 
 
 class SnapshotStore:
@@ -66,7 +71,8 @@ class SnapshotStore:
         last = self.commits().agg(F.max("commit_seq")).first()[0]
         rows = [
             (
-                0 if last is None else last + 1, stream_id, batch_id, t["table_name"], t.get("buckets", []), t.get("filled", []), status,
+                0 if last is None else last + 1, stream_id, batch_id, t["table_name"], t.get("buckets", []), t.get("filled", []),
+                t.get("deltas", []), status,
                 t.get("messages", 0), t.get("inserts", 0), t.get("updates", 0), t.get("deletes", 0), t.get("rejects", 0),
             )
             for t in tables
@@ -88,35 +94,72 @@ class SnapshotStore:
         return sorted(r["b"] for r in found.collect())
 
     # -- tables ------------------------------------------------------------------------------------
-    def _paths(self, spec: TableSpec, buckets: list[int] | None) -> list[str]:
-        """Directory of every wanted bucket's newest version; a bucket emptied by its last batch has none."""
-        version = F.struct("stream_id", "batch_id", F.array_contains("filled", F.col("bucket")).alias("has_rows"))
-        versions = (
-            self.published()
-            .filter(F.col("table_name") == spec.full_name)
-            .select("commit_seq", "stream_id", "batch_id", "filled", F.explode("buckets").alias("bucket"))
-            .groupBy("bucket")
-            .agg(F.max_by(version, "commit_seq").alias("version"))
-            .filter("version.has_rows")
-        )
-        if buckets is not None:
-            versions = versions.filter(F.col("bucket").isin(buckets))
-        # one row per bucket
-        return [
-            f"{self._directory(spec, r['version']['batch_id'], r['version']['stream_id'])}/bucket={r['bucket']}"
-            for r in versions.collect()
-        ]
-
     def _directory(self, spec: TableSpec, batch_id: int, stream_id: str) -> str:
         return f"{self.root}/{spec.full_name}/stream={stream_id}/batch={batch_id}"
 
+    def _versions(self, spec: TableSpec) -> DataFrame:
+        """One row per bucket and piece to read: ``bucket, commit_seq, stream_id, batch_id, delta``."""
+        mine = self.published().filter(F.col("table_name") == spec.full_name)
+        place = ("commit_seq", "stream_id", "batch_id")
+        full = mine.select(F.explode("buckets").alias("bucket"), F.struct(*place, "filled").alias("v"))
+        full = full.groupBy("bucket").agg(F.max("v").alias("v"))
+        deltas = mine.select(F.explode("deltas").alias("bucket"), *place)
+        later = deltas.join(full.select("bucket", F.col("v.commit_seq").alias("full_seq")), "bucket", "left")
+        later = later.filter(F.col("commit_seq") > F.coalesce("full_seq", F.lit(-1)))
+        # a bucket emptied by its last full version has no directory
+        kept = full.filter(F.array_contains("v.filled", F.col("bucket")))
+        return kept.select("bucket", *[f"v.{c}" for c in place], F.lit(False).alias("delta")).unionByName(
+            later.select("bucket", *place, F.lit(True).alias("delta"))
+        )
+
     def read(self, spec: TableSpec, buckets: list[int] | None = None) -> DataFrame:
         """The published table, or only the given buckets of it."""
+        versions = self._versions(spec)
+        if buckets is not None:
+            versions = versions.filter(F.col("bucket").isin(buckets))
+        # at most MAX_DELTAS + 1 rows per bucket, unless nobody compacts
+        pieces = versions.collect()
+        path = lambda r: f"{self._directory(spec, r['batch_id'], r['stream_id'])}{'/delta' * r['delta']}/bucket={r['bucket']}"
+        full, deltas = [path(r) for r in pieces if not r["delta"]], [r for r in pieces if r["delta"]]
         schema = spec.row_schema()
-        paths = self._paths(spec, buckets)
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths).select(*spec.column_names)
+        table = self.spark.read.schema(schema).parquet(*full) if full else self.spark.createDataFrame([], schema)
+        table = table.select(*spec.column_names)
+        if not deltas:
+            return table
+        order = self.spark.createDataFrame(
+            sorted({(r["stream_id"], r["batch_id"], r["commit_seq"]) for r in deltas}), "_stream string, _batch bigint, _seq bigint"
+        )
+        changed = self.spark.read.schema(f"{schema}, {DELTA_COLUMNS}").parquet(*[path(r) for r in deltas])
+        last = F.max_by(F.struct(*spec.column_names, "_gone"), "_seq").alias("last")
+        newest = changed.join(order, ["_stream", "_batch"]).groupBy(*spec.key_names).agg(last).select("last.*")
+        kept = table.join(newest.select(*spec.key_names), spec.key_names, "left_anti").select(*spec.column_names)
+        return kept.unionByName(newest.filter(~F.col("_gone")).select(*spec.column_names))
+
+    def write_delta(self, rows: DataFrame, gone: DataFrame, spec: TableSpec, batch_id: int, stream_id: str = BY_HAND) -> None:
+        """Write the new state of changed rows and the keys of rows that are gone. Not yet visible."""
+        dead = gone.select(
+            *[F.col(n) if n in spec.key_names else F.lit(None).cast(rows.schema[n].dataType).alias(n) for n in spec.column_names],
+            F.lit(True).alias("_gone"),
+        )
+        (
+            rows.select(*spec.column_names, F.lit(False).alias("_gone"))
+            .unionByName(dead)
+            .withColumns({"_stream": F.lit(stream_id), "_batch": F.lit(batch_id).cast("bigint"), "bucket": self.bucket(spec.key_names)})
+            .repartition("bucket")
+            .write.mode("overwrite")
+            .partitionBy("bucket")
+            .parquet(f"{self._directory(spec, batch_id, stream_id)}/delta")
+        )
+
+    def compact(self, spec: TableSpec, max_deltas: int = MAX_DELTAS) -> list[int]:
+        """Write buckets with more than ``max_deltas`` deltas anew; returns them."""
+        many = self._versions(spec).filter("delta").groupBy("bucket").count().filter(F.col("count") > max_deltas)
+        buckets = sorted(r["bucket"] for r in many.collect())
+        if buckets:
+            batch = self.commits().agg(F.max("commit_seq")).first()[0] + 1
+            filled = self.write(self.read(spec, buckets), spec, batch, COMPACTION)
+            self.publish(batch, [{"table_name": spec.full_name, "buckets": buckets, "filled": filled}], COMPACTION)
+        return buckets
 
     def write(self, table: DataFrame, spec: TableSpec, batch_id: int, stream_id: str = BY_HAND) -> list[int]:
         """Write rows under the batch's directory, one group of files per bucket. Not yet visible.

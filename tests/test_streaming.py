@@ -66,11 +66,11 @@ def test_unpublished_version_is_invisible_and_redone(spark, tmp_path):
     assert rows(store.read(ONEKEY)) == WANT
 
 
-def test_only_touched_buckets_are_rewritten(spark, tmp_path):
+def test_only_touched_buckets_are_written(spark, tmp_path):
     store, job = setup(spark, tmp_path, ONEKEY, MIX_SEED)
     Pipeline(spark, job, store).apply_batch(envelope(spark, [ctrl("U", (0, 6, 6), (1, "x", "update"))]), 0)
     commit = store.commits().filter("batch_id = 0").first()
-    assert len(commit["buckets"]) == 1
+    assert len(commit["deltas"]) == 1 and commit["buckets"] == []
     assert (6, "x", "update") in rows(store.read(ONEKEY)) and len(rows(store.read(ONEKEY))) == 4
 
 
@@ -166,3 +166,17 @@ def test_updates_after_a_delete_are_archived_and_counted(spark, tmp_path):
     saved = spark.read.option("recursiveFileLookup", "true").parquet(f"{job.unload_dir}/{ONEKEY.full_name}").collect()
     assert [r["offset"] for r in saved] == [2]
     assert store.commits().filter("batch_id = 0").first()["rejects"] == 1
+
+
+def test_compaction_keeps_the_table(spark, tmp_path):
+    store, job = setup(spark, tmp_path, ONEKEY, MIX_SEED)
+    pipeline = Pipeline(spark, job, store)
+    for i in range(4):
+        pipeline.apply_batch(envelope(spark, [ins(20 + i, "a", "b"), ctrl("U", (0, 6, 6), (1, f"x{i}", "update")), ctrl("D", (0, ..., 19 + i))]), i)
+    before = rows(store.read(ONEKEY))
+    assert (6, "x3", "update") in before and [r[0] for r in before if r[0] >= 20] == [23]
+    rewritten = store.compact(ONEKEY, max_deltas=2)
+    assert rewritten and store.compact(ONEKEY, max_deltas=2) == []
+    assert rows(store.read(ONEKEY)) == before
+    pipeline.apply_batch(envelope(spark, [ctrl("D", (0, ..., 23))]), 4)
+    assert [r for r in rows(store.read(ONEKEY)) if r[0] >= 20] == []
