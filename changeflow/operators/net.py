@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from changeflow.functions.scan import carry_previous
 from changeflow.model import TableSpec
-from changeflow.operators.bind import dst_cols, src_cols, val_cols
+from changeflow.operators.bind import dst_cols, val_cols
 
 
 def overlay_aggs(spec: TableSpec, with_old: bool = False) -> list[Column]:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from changeflow import fixed_values as fv
 from changeflow.config import JobConfig, Topic
 from changeflow.model import TableSpec
 from changeflow.operators import apply, archive, stats

@@ -67,6 +67,23 @@ def net_upsert_mode(spark, d):
     return df.select("op", F.col("d_c1").alias("c1"), *[F.col(f"c_{n}")["cur"].alias(n) for n in USERS.value_names])
 
 
+SPREAD_SQL = (
+    "WITH " + logs.EVENTS_LOG_SQL.replace("log AS (", "raw AS (", 1)
+    + ", log AS (SELECT * REPLACE (CAST((seq % 3) * 1000000000000 + seq AS BIGINT) AS seq) FROM raw)"
+    + NET_SQL[len("WITH " + logs.EVENTS_LOG_SQL):]
+)
+
+
+@query("net_across_partitions", SPREAD_SQL + "SELECT op, c1, n2.v AS c2, n3.v AS c3, n4.v AS c4, n_events FROM net")
+def net_across_partitions(spark, d):
+    """Every key lies on three partitions: inside a batch, order is partition, then offset."""
+    log = logs.events_log(spark, d).withColumn("partition", (F.col("offset") % 3).cast("int"))
+    values = {n: (F.col(f"has_{n}"), F.col(n)) for n in ("c2", "c3", "c4")}
+    key = {"c1": F.col("c1")}
+    df = net.net_changes(typed_changes(log, USERS, F.col("op"), key, key, values), USERS)
+    return df.select("op", F.col("d_c1").alias("c1"), *[F.col(f"c_{n}")["cur"].alias(n) for n in USERS.value_names], "n_events")
+
+
 RESET_SQL = "WITH " + logs.EVENTS_LOG_SQL + """,
 m AS (SELECT *, last_value(CASE WHEN op IN ('I','D') THEN op END IGNORE NULLS) OVER (
   PARTITION BY c1 ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM log)
