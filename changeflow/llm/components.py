@@ -12,17 +12,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of ``edges (a, b)``; the root is the smallest node of the component.
 
     Every round takes the smallest label of the neighbours, then the label of that label, so labels travel in doubling
-    steps. Labels are counted on the executors and cut reliably in each round.
+    steps. Labels stay on the executors (merge joins: nothing is broadcast through the driver) and are cut reliably in each round.
     """
     both = cut_lineage(edges.select("a", "b").union(edges.select("b", "a")).distinct())
     labels = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")).select("node", F.least("node", "root").alias("root")))
     while True:
-        around = cut_lineage(
-            both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("around"))
+        around = (
+            both.join(labels.select(F.col("node").alias("b"), "root").hint("merge"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("around"))
         )
-        lower = cut_lineage(labels.join(around, "node").select("node", "root", F.least("root", "around").alias("next")))
-        up = cut_lineage(lower.select(F.col("node").alias("next"), F.col("next").alias("up")))
-        jumped = cut_lineage(lower.join(up, "next").select("node", "root", F.least("next", "up").alias("next")))
+        lower = cut_lineage(labels.join(around.hint("merge"), "node").select("node", "root", F.least("root", "around").alias("next")))
+        up = lower.select(F.col("node").alias("next"), F.col("next").alias("up"))
+        jumped = cut_lineage(lower.join(up.hint("merge"), "next").select("node", "root", F.least("next", "up").alias("next")))
         moved = not jumped.filter(F.col("next") < F.col("root")).isEmpty()
         labels = jumped.select("node", F.col("next").alias("root"))
         if not moved:

@@ -113,13 +113,13 @@ def similarity_estimate(a: Column, b: Column) -> Column:
 def _routes(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Where each text goes: a member to its head's task, a head to each of the tasks its members are split over."""
     sizes = cut_lineage(pairs.groupBy("head").agg(F.ceil(F.count(F.lit(1)) / PER_TASK_HEAD).cast("int").alias("parts")))
-    members = pairs.join(sizes, "head").select(
+    members = pairs.join(sizes.hint("merge"), "head").select(
         "head", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), "node"
     )
     heads = sizes.select(
         "head", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), F.col("head").alias("node")
     )
-    return cut_lineage(members.union(heads).join(nodes.select("node", "doc_id", "text_hash"), "node"))
+    return cut_lineage(members.union(heads).join(nodes.select("node", "doc_id", "text_hash").hint("merge"), "node"))
 
 
 def _confirm(batches):
@@ -259,15 +259,15 @@ def _fine(batches):
 
 def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
     """``(band, node, root, n)`` of the buckets whose nodes are in several components; n: nodes of the bucket."""
-    labelled = cut_lineage(members.join(labels, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root")))
+    labelled = cut_lineage(members.join(labels.hint("merge"), "node", "left").select("band", "node", F.coalesce("root", "node").alias("root")))
     several = labelled.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("n"))
-    return cut_lineage(labelled.join(cut_lineage(several.filter("r0 != r1").select("band", "n")), "band"))
+    return cut_lineage(labelled.join(cut_lineage(several.filter("r0 != r1").select("band", "n")).hint("merge"), "band"))
 
 
 def pivot_pairs(rows: DataFrame, sigs: DataFrame) -> DataFrame:
     parts = rows.withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / PIVOT_ROWS)).cast("int"))
     return cut_lineage(
-        parts.join(sigs, "node")
+        parts.join(sigs.hint("merge"), "node")
         .select("band", "part", "node", "root", "sig")
         .repartition("band", "part")
         .sortWithinPartitions("band", "part", "node")
@@ -278,14 +278,14 @@ def pivot_pairs(rows: DataFrame, sigs: DataFrame) -> DataFrame:
 
 def leftover_pairs(rows: DataFrame, nodes: DataFrame, tested: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Untested pairs of different components that share a bucket and are close by their finer signatures."""
-    places = cut_lineage(rows.select("node").distinct().join(nodes.select("node", "doc_id", "text_hash"), "node"))
+    places = cut_lineage(rows.select("node").distinct().join(nodes.select("node", "doc_id", "text_hash").hint("merge"), "node"))
     fine = with_texts(places, docs, id_col, text_col).select("node", "text").mapInArrow(_fine, "node binary, fine array<long>")
     fine = fine.dropDuplicates(["node"])
     # the low halves of the band keys tell in which buckets two nodes meet
     places = F.transform("bands", lambda b: F.shiftright(F.shiftleft(b, 32), 32).cast("int")).alias("places")
-    fine = cut_lineage(fine.join(nodes.select("node", places), "node"))
+    fine = cut_lineage(fine.join(nodes.select("node", places).hint("merge"), "node"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    spread = rows.join(fine, "node").withColumn("blocks", blocks)
+    spread = rows.join(fine.hint("merge"), "node").withColumn("blocks", blocks)
     spread = spread.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     spread = spread.select("band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "node", "root", "fine", "places", "block")
@@ -295,14 +295,14 @@ def leftover_pairs(rows: DataFrame, nodes: DataFrame, tested: DataFrame, docs: D
         .mapInArrow(_across, "head binary, node binary")
         .distinct()
     )
-    return cut_lineage(pairs.join(tested, ["head", "node"], "left_anti"))
+    return cut_lineage(pairs.join(tested.hint("merge"), ["head", "node"], "left_anti"))
 
 
 def with_texts(places: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``places`` (with ``doc_id, text_hash``) and the texts of the documents they name."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.col(id_col).cast("long").alias("t_id"), F.xxhash64(text).alias("t_hash"), text.alias("text"))
-    return places.join(texts, (F.col("text_hash") == F.col("t_hash")) & F.col("doc_id").eqNullSafe(F.col("t_id")))
+    return places.join(texts.hint("merge"), (F.col("text_hash") == F.col("t_hash")) & F.col("doc_id").eqNullSafe(F.col("t_id")))
 
 
 def node_components(sign: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -316,13 +316,13 @@ def node_components(sign: DataFrame, docs: DataFrame, id_col: str, text_col: str
     )
     rows = nodes.select("node", F.explode("bands").alias("band"))
     heads = cut_lineage(rows.groupBy("band").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
-    members = cut_lineage(rows.join(heads, "band"))
+    members = cut_lineage(rows.join(heads.hint("merge"), "band"))
     pairs = cut_lineage(members.filter(F.col("node") != F.col("head")).select("head", "node").distinct())
     sigs = nodes.select("node", "sig")
     near = similarity_estimate(F.col("sig"), F.col("h_sig")) >= THRESHOLD_PERCENT / 100 - MARGIN
     close = cut_lineage(
-        pairs.join(sigs, "node")
-        .join(sigs.select(F.col("node").alias("head"), F.col("sig").alias("h_sig")), "head")
+        pairs.join(sigs.hint("merge"), "node")
+        .join(sigs.select(F.col("node").alias("head"), F.col("sig").alias("h_sig")).hint("merge"), "head")
         .filter(near)
         .select("head", "node")
     )
@@ -353,12 +353,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     sign = signed(docs, id_col, text_col)
     labels = node_components(sign, docs, id_col, text_col)
-    rows = sign.select("row", "doc_id", "text_hash", "node", "n_shingles").join(labels, "node", "left")
+    rows = sign.select("row", "doc_id", "text_hash", "node", "n_shingles").join(labels.hint("merge"), "node", "left")
     lone = F.concat(F.lit("row "), F.col("row").cast("string")).cast("binary")
     rows = cut_lineage(rows.select("row", "doc_id", "text_hash", "n_shingles", F.coalesce("root", "node", lone).alias("root")))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row").alias("row")))
     groups = cut_lineage(rows.groupBy("root").agg(first.alias("first")))
-    return rows.join(groups, "root").select(
+    return rows.join(groups.hint("merge"), "root").select(
         "doc_id", "n_shingles", F.col("first.id").alias("component_id"), (F.col("row") == F.col("first.row")).alias("kept"), "text_hash"
     )
 

@@ -94,7 +94,7 @@ def _chosen_features(place):
         for batch in batches:
             rows = [features_of(words.of(raw), place) for raw in raw_texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), pa.array([r[0].tolist() for r in rows], pa.list_(pa.int64())), pa.array([r[1].tolist() for r in rows], pa.list_(pa.float64())), pa.array([r[2] for r in rows], pa.float64())],
+                [batch.column("label"), pa.array([r[0].astype(np.int64).tobytes() for r in rows], pa.binary()), pa.array([r[1].tobytes() for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.float64())],
                 names=["label", "at", "value", "share"],
             )
 
@@ -159,13 +159,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROW
     chosen = counts.filter(F.col("toxic") >= MIN_DOCS).withColumn("z", z).filter(F.col("z") >= MIN_SIGNIFICANCE).orderBy(F.desc("z"), "bin").limit(MAX_FEATURES)
     for i, r in enumerate(chosen.select("bin").collect()):
         place[r["bin"]] = i
-    found = sample.mapInArrow(_chosen_features(place), "label int, at array<long>, value array<double>, share double").collect()
-    found = sorted((r["label"], r["share"], r["at"], r["value"]) for r in found)
+    found = sample.mapInArrow(_chosen_features(place), "label int, at binary, value binary, share double").collect()
+    found = sorted((r["label"], r["share"], bytes(r["at"]), bytes(r["value"])) for r in found)
     label, share = np.array([r[0] > 0 for r in found]), np.array([r[1] for r in found])
     cuts = np.quantile(share[label], [1 / 3, 2 / 3])
     grade = np.where(label, 1 + (share > cuts[0]).astype(int) + (share > cuts[1]), 0)
-    at = [np.array(r[2], dtype=np.int64) for r in found]
-    w, thresholds = fit_cumulative_link(at, [np.array(r[3]) for r in found], grade, 2 * (int(place.max()) + 1))
+    at = [np.frombuffer(r[2], dtype=np.int64) for r in found]
+    w, thresholds = fit_cumulative_link(at, [np.frombuffer(r[3]) for r in found], grade, 2 * (int(place.max()) + 1))
     return OrdinalModel(place, w, thresholds)
 
 
