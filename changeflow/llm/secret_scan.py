@@ -53,18 +53,20 @@ def _passes(kind: Column, found: Column) -> Column:
 def _near(weak: DataFrame, parts: DataFrame, role: str, scope: int) -> DataFrame:
     """Rows of ``weak`` with a part of that role at most ``scope`` characters away in the same document.
 
-    An interval join: the other parts are listed under the bucket of every place they reach, the weak rows look into the buckets
-    they cover, and a semi-join leaves each row once however many parts are near.
+    An interval join: the other parts are listed under the bucket of every place they reach, the weak rows look into all buckets
+    they cover. Only places are listed once for each bucket, not the matches, so a long part costs its length; a semi-join leaves
+    each row once however many parts are near.
     """
+    over = lambda first, last: F.explode(F.sequence(F.floor(first / scope), F.floor(last / scope))).alias("bucket")
     reach = parts.filter(F.col("role") == role).select(
-        "row", F.col("start").alias("o_start"), F.col("end").alias("o_end"),
-        F.explode(F.sequence(F.floor((F.col("start") - scope) / scope), F.floor((F.col("end") + scope) / scope))).alias("bucket"),
+        "row", F.col("start").alias("o_start"), F.col("end").alias("o_end"), over(F.col("start") - scope, F.col("end") + scope)
     )
-    # one row for each bucket and part is enough to look up the start of the weak row
-    looked = weak.withColumn("bucket", F.floor(F.col("start") / scope))
+    place = ["row", "ordinal", "start"]
+    looked = weak.select(*place, "end", over(F.col("start"), F.col("end")))
     inside = (F.col("o_start") <= F.col("end") + scope) & (F.col("o_end") >= F.col("start") - scope)
     l, r = looked.alias("l"), reach.alias("r")
-    return l.join(r, (F.col("l.row") == F.col("r.row")) & (F.col("l.bucket") == F.col("r.bucket")) & inside, "left_semi").drop("bucket")
+    near = l.join(r, (F.col("l.row") == F.col("r.row")) & (F.col("l.bucket") == F.col("r.bucket")) & inside, "left_semi")
+    return weak.join(near.select(*place).distinct(), place, "left_semi")
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope_chars: int = SCOPE_CHARS) -> DataFrame:

@@ -48,5 +48,35 @@ def test_weak_parts_need_their_complement(spark):
     assert kinds(spark, f"user: alice99 token={weak}") == ["user", "assign"]
 
 
+def test_long_parts_are_linked_at_every_offset(spark):
+    mixed, secret, account = lambda n: ("Qw3z" * n)[:n], "password=zzzzzz", "user=zzzz"
+    parts = [
+        (lambda n: "user=" + "z" * (n - 5), "user", secret, "assign"),
+        (mixed, "mixed", account, "user"),
+        (lambda n: "https://" + "z" * (n - 8), "endpoint", f"{account} {secret}", "user"),
+    ]
+    texts, want = [], {}
+    for part, kind, other, other_kind in parts:
+        for n, gap in ((20, 250), (60, 220), (300, 1), (600, 100), (600, 256), (600, 257)):
+            for at in range(256):
+                for before in (False, True):
+                    # an endpoint needs both, so the farther of the two counts
+                    fill = gap - (other.index("password") if kind == "endpoint" and not before else len(secret) + 1 if kind == "endpoint" else 0)
+                    if fill < 1:
+                        continue
+                    pieces = [part(n), " " * fill, other]
+                    text = "." * at + " " + "".join(pieces[::-1] if before else pieces)
+                    if kind == "endpoint":
+                        kinds = {"user", "assign"} | ({kind} if gap <= 256 else set())
+                    else:
+                        # a base part is reported anyway
+                        kinds = {kind, other_kind} if gap <= 256 else {other_kind} & set(BASE)
+                    want[len(texts)] = kinds
+                    texts.append((len(texts), text))
+    got = {r.doc_id: {s.kind for s in r.spans} for r in secret_spans(docs_of(spark, texts)).collect()}
+    wrong = [(d, len(texts[d][1]), got[d], k) for d, k in want.items() if got[d] != k]
+    assert not wrong, (len(wrong), len(texts), wrong[:3])
+
+
 def test_empty_table(spark):
     assert secret_spans(docs_of(spark, [])).count() == 0
