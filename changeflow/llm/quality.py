@@ -40,7 +40,7 @@ class Grams(dict):
     limit = 400_000
 
     def __missing__(self, word: bytes) -> int:
-        shaped = xxhash.xxh3_64_intdigest(shape(word[:64].decode("utf-8", "replace"))) & 0xFFFFFFFF
+        shaped = xxhash.xxh3_64_intdigest(shape(word.decode("utf-8", "replace"))) & 0xFFFFFFFF
         code = (shaped << BITS) | (xxhash.xxh3_64_intdigest(word.translate(LOWER)) & ((1 << BITS) - 1))
         if len(self) < self.limit:
             self[word] = code

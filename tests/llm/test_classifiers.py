@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from llm_helpers import ODD, docs_of
 
-from changeflow.llm.quality import dual_coordinate_descent, fit_quality, quality_scores
+from changeflow.llm.quality import BITS, Grams, dual_coordinate_descent, fit_quality, quality_scores
 from changeflow.llm.toxicity import GRADES, fit_cumulative_link, fit_toxicity, sigmoid, toxicity, without_toxic
 
 LABELS = "doc_id long, quality int, toxic int, text string"
@@ -38,6 +38,14 @@ def test_quality_on_held_out_rows(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
 
 
+def test_shapes_are_of_whole_words():
+    shapes = lambda raw: [b for b in Grams().of(raw).tolist() if b >= 1 << BITS]
+    long = b"a" * 70
+    assert shapes(long + b"9!") == shapes(b"a9!") != shapes(long)
+    # a character across the 64th byte is not cut
+    assert shapes(b"a" * 63 + "é".encode()) == shapes(b"a")
+
+
 def test_dual_steps_reach_the_optimum():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(60, 4))
