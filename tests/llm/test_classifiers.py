@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from llm_helpers import ODD, docs_of
 
+from changeflow.llm.labelled import fit_sample
 from changeflow.llm.quality import BITS, Grams, dual_coordinate_descent, fit_quality, quality_scores
 from changeflow.llm.toxicity import GRADES, fit_cumulative_link, fit_toxicity, sigmoid, toxicity, without_toxic
 
@@ -46,6 +47,19 @@ def test_shapes_are_of_whole_words():
     assert shapes(b"a" * 63 + "é".encode()) == shapes(b"a")
 
 
+def test_sample_has_one_row_per_id(spark):
+    docs, labels = corpus(60)
+    hot = [(1, f"text {i % 3}") for i in range(500)]
+    table = spark.createDataFrame(labels, LABELS)
+    for order in (hot, hot[::-1]):
+        got = fit_sample(docs_of(spark, [d for d in docs if d[0] != 1] + order), table, "quality", 20).collect()
+        assert len(got) == len({r.doc_id for r in got}) == 20
+    whole = fit_sample(docs_of(spark, docs + hot), table, "quality", 60)
+    again = fit_sample(docs_of(spark, docs + hot[::-1]), table, "quality", 60)
+    assert whole.count() == whole.select("doc_id").distinct().count() and sorted(whole.collect()) == sorted(again.collect())
+    assert whole.filter("doc_id = 1").count() == 1 and whole.columns == ["doc_id", "text", "label"]
+
+
 def test_dual_steps_reach_the_optimum():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(60, 4))
