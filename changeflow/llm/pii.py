@@ -1,6 +1,6 @@
 """Personal data: fixed patterns, and bootstrapped contextual extraction for identifiers that no pattern describes.
 
-The entities found by the fixed patterns are seeds. The one or two words before a seed are a lexical pattern. Patterns with
+The entities found by the fixed patterns are seeds. The one or two words before the word that holds a seed are a lexical pattern. Patterns with
 enough different seeds are scored on the graph of patterns and instances: a pattern's confidence is the summed score of the instances in its
 slot over all its occurrences in the corpus, an instance's score combines the confidences of its patterns; both are
 repeated a few times, seeds staying at 1. Identifier-like words in the slot of a confident pattern are reported as ``context``.
@@ -9,6 +9,7 @@ repeated a few times, seeds staying at 1. Identifier-like words in the slot of a
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -22,7 +23,6 @@ MIN_CONFIDENCE = 0.5
 ROUNDS = 3
 # what is sent to every task about the patterns: one bit for each value of their hash modulo this
 BITMAP = 1 << 20
-LOOK_BACK = 200
 
 # fixed values of the base patterns, written so that each run is tried once
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -115,9 +115,14 @@ def _seeds(batches):
             if not _may_hold(raw):
                 continue
             text = raw.decode("utf-8", "replace")
-            for start, _, end in base_spans(text):
-                before = text[max(0, start - LOOK_BACK) : start].encode().translate(LOWER).split()[-2:]
-                for p in contexts(hashes.of(before)):
+            own = base_spans(text)
+            if not own:
+                continue
+            words, tokens = raw.translate(LOWER).split(), [m.start() for m in TOKEN.finditer(text)]
+            for start, _, end in own:
+                # the words before the one that holds the seed, as for a slot
+                at = bisect_right(tokens, start) - 1
+                for p in contexts(hashes.of(words[max(0, at - 2) : at])):
                     patterns.append(_signed(p))
                     instances.append(_instance(text[start:end]))
         yield pa.RecordBatch.from_arrays([pa.array(patterns, pa.int64()), pa.array(instances, pa.int64())], names=["pattern", "instance"])

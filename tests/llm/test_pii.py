@@ -48,6 +48,16 @@ def test_bootstrapped_identifiers(spark):
     assert spans(got[11]) == []
 
 
+def test_glued_seeds_have_the_context_of_their_word(spark):
+    far = "z" * 300
+    for before, glued in (("write to", "({})"), ("write to", '"<{}>"'), ("write to", "mail:{}"), (f"write {far}", "{}")):
+        rows = [(i, f"filler {i} please {before} {glued.format(f'user{i}@mail.example.com')} today") for i in range(6)]
+        rows += [(10, f"filler text please {before} skype-handle77 today")]
+        got = {r.doc_id: r for r in personal_data(docs_of(spark, rows)).collect()}
+        start = rows[6][1].index("skype")
+        assert spans(got[10]) == [("context", start, start + len("skype-handle77"))], (before, glued)
+
+
 def test_odd_rows(spark):
     rows = [*ODD, (30, LONG + " me@x.org"), (30, LONG + " me@x.org")]
     got = personal_data(docs_of(spark, rows)).collect()
