@@ -3,7 +3,9 @@
 The entities found by the fixed patterns are seeds. The one or two words before the word that holds a seed are a lexical pattern. Patterns with
 enough different seeds are scored on the graph of patterns and instances: a pattern's confidence is the summed score of the instances in its
 slot over all its occurrences in the corpus, an instance's score combines the confidences of its patterns; both are
-repeated a few times, seeds staying at 1. Identifier-like words in the slot of a confident pattern are reported as ``context``.
+repeated a few times, seeds staying at 1. Words of five characters and more in the slot of a confident pattern are reported as
+``context`` if they hold a digit. Those of letters only are no evidence for a pattern, as ordinary words would raise it; they are
+reported if the confident patterns around the same word in the whole corpus together give it a score of ``MIN_LETTERS``.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from changeflow.llm.common import LOWER, WordHashes, cut_lineage, mixed, raw_tex
 KINDS = ("email", "ip", "card", "phone", "context")
 MIN_SEEDS = 3
 MIN_CONFIDENCE = 0.5
+MIN_LETTERS = 0.9
 ROUNDS = 3
 # what is sent to every task about the patterns: one bit for each value of their hash modulo this
 BITMAP = 1 << 20
@@ -128,14 +131,14 @@ def _seeds(batches):
         yield pa.RecordBatch.from_arrays([pa.array(patterns, pa.int64()), pa.array(instances, pa.int64())], names=["pattern", "instance"])
 
 
-def _found(bits: np.ndarray):
-    """Entities and candidates of each document, and for each batch how often the patterns occur."""
+def _found(bits: np.ndarray, letters: bool):
+    """Entities and candidates of each document, and for each batch how often the patterns occur; words without digits on demand."""
 
     def find(batches):
         import pyarrow as pa
 
         span = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
-        candidate = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("instance", pa.int64()), ("patterns", pa.list_(pa.int64()))])
+        candidate = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("instance", pa.int64()), ("digit", pa.bool_()), ("patterns", pa.list_(pa.int64()))])
         seen = pa.struct([("pattern", pa.int64()), ("n", pa.int64())])
         schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("spans", pa.list_(span)), ("candidates", pa.list_(candidate)), ("seen", pa.list_(seen))])
         hashes, any_pattern = WordHashes(), bool(bits.any())
@@ -164,20 +167,22 @@ def _found(bits: np.ndarray):
                 slots += [single[hit1], double[:-1][hit2]]
                 if len(slots) > 400:
                     count()
-                if not text or not (hit1.any() or hit2.any()):
+                if not (hit1.any() or hit2.any()) or not (text or letters):
                     continue
+                text = text or raw.decode("utf-8", "replace")
                 for i, m in enumerate(TOKEN.finditer(text)):
                     if i == 0 or not (hit1[i - 1] or (i > 1 and hit2[i - 2])):
                         continue
                     word = m.group().strip("\"'()[]<>{},;:.!?")
-                    if len(word) < 5 or not any("0" <= c <= "9" for c in word):
+                    digit = any("0" <= c <= "9" for c in word)
+                    if len(word) < 5 or not (digit or letters and any(c.isalpha() for c in word)):
                         continue
                     start = m.start() + m.group().index(word)
                     end = start + len(word)
                     if any(a < end and start < b for a, _, b in own):
                         continue
                     by = [_signed(int(single[i - 1]))] * bool(hit1[i - 1]) + ([_signed(int(double[i - 2]))] if i > 1 and hit2[i - 2] else [])
-                    candidates[-1].append({"start": start, "end": end, "instance": _instance(word), "patterns": by})
+                    candidates[-1].append({"start": start, "end": end, "instance": _instance(word), "digit": digit, "patterns": by})
             count()
             rows, ids, n = batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), len(spans)
             totals = [{"pattern": _signed(p), "n": k} for p, k in counted.items()]
@@ -194,7 +199,7 @@ def _found(bits: np.ndarray):
 
 FOUND = (
     "row long, doc_id long, spans array<struct<start:long,kind:int,end:long>>, "
-    "candidates array<struct<start:long,end:long,instance:long,patterns:array<long>>>, seen array<struct<pattern:long,n:long>>"
+    "candidates array<struct<start:long,end:long,instance:long,digit:boolean,patterns:array<long>>>, seen array<struct<pattern:long,n:long>>"
 )
 
 
@@ -215,6 +220,15 @@ def scored_patterns(seeds: DataFrame, found: DataFrame, support: DataFrame, roun
     return patterns
 
 
+def _bitmap(patterns: DataFrame) -> np.ndarray:
+    bits = np.zeros(BITMAP, dtype=bool)
+    # at most BITMAP integers, whatever the number of patterns
+    unsigned_low = F.col("pattern").bitwiseAND(F.lit(BITMAP - 1))
+    for r in patterns.select(unsigned_low.alias("bit")).distinct().toLocalIterator():
+        bits[r["bit"]] = True
+    return bits
+
+
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """One row per document: ``doc_id, spans`` - array of ``(start, kind number, end, kind)`` in order of start, then kind.
 
@@ -224,19 +238,23 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     seeds = cut_lineage(docs.select(text.alias("text")).mapInArrow(_seeds, "pattern long, instance long"))
     pairs = seeds.distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("seeds")).filter(F.col("seeds") >= min_seeds)
     support = cut_lineage(pairs.select("pattern"))
-    bits = np.zeros(BITMAP, dtype=bool)
-    # at most BITMAP integers, whatever the number of patterns
-    unsigned_low = F.col("pattern").bitwiseAND(F.lit(BITMAP - 1))
-    for r in support.select(unsigned_low.alias("bit")).distinct().toLocalIterator():
-        bits[r["bit"]] = True
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    found = cut_lineage(rows.mapInArrow(_found(bits), FOUND))
+    found = cut_lineage(rows.mapInArrow(_found(_bitmap(support), False), FOUND).select("candidates", "seen"))
     patterns = scored_patterns(seeds, found, support)
-    confident = cut_lineage(patterns.filter(F.col("confidence") >= min_confidence).select("pattern"))
-    new = (
+    confident = cut_lineage(patterns.filter(F.col("confidence") >= min_confidence))
+    # once more with the confident patterns only: their slots are few, so words without digits can be looked at
+    found = cut_lineage(rows.mapInArrow(_found(_bitmap(confident), True), FOUND).select("row", "doc_id", "spans", "candidates"))
+    slots = (
         found.select("row", F.inline("candidates"))
-        .select("row", "start", "end", F.explode("patterns").alias("pattern"))
-        .join(confident, "pattern", "left_semi")
+        .select("row", "start", "end", "instance", "digit", F.explode("patterns").alias("pattern"))
+        .join(confident, "pattern")
+    )
+    doubt = F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence"))))
+    likely = slots.filter(~F.col("digit")).groupBy("instance", "pattern").agg(F.max("confidence").alias("confidence"))
+    likely = likely.groupBy("instance").agg((1 - F.exp(doubt)).alias("score")).filter(F.col("score") >= MIN_LETTERS).select("instance")
+    new = (
+        slots.filter("digit")
+        .unionByName(slots.filter(~F.col("digit")).join(likely, "instance", "left_semi"))
         .select("row", "start", F.lit(KINDS.index("context")).alias("kind"), "end")
         .distinct()
         .groupBy("row")

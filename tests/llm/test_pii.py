@@ -58,6 +58,16 @@ def test_glued_seeds_have_the_context_of_their_word(spark):
         assert spans(got[10]) == [("context", start, start + len("skype-handle77"))], (before, glued)
 
 
+def test_identifiers_of_letters_only(spark):
+    rows = [(i, f"filler {i} please write to user{i}@mail.example.com today") for i in range(6)]
+    rows += [(10, "please write to (skypehandle) today"), (11, "skypehandle in other places"), (12, "please come to dinner"), (13, "to write today")]
+    got = {r.doc_id: r for r in personal_data(docs_of(spark, rows)).collect()}
+    start = rows[6][1].index("skype")
+    assert spans(got[10]) == [("context", start, start + len("skypehandle"))]
+    # "to" alone is not enough, and nothing is reported out of a slot
+    assert all(spans(got[d]) == [] for d in (11, 12, 13))
+
+
 def test_odd_rows(spark):
     rows = [*ODD, (30, LONG + " me@x.org"), (30, LONG + " me@x.org")]
     got = personal_data(docs_of(spark, rows)).collect()
