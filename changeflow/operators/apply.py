@@ -90,8 +90,14 @@ def merge_batch(snapshot: DataFrame, net: DataFrame, spec: TableSpec) -> DataFra
     return joined.filter(alive).select(*columns)
 
 
-def batch_rows(spec: TableSpec, batch_size: int = fv.DEFAULT_BATCH_SIZE) -> int:
-    """Rows per write batch: the configured size, capped so that a batch stays within the commit size."""
+def batch_rows(spec: TableSpec | Column, batch_size: int = fv.DEFAULT_BATCH_SIZE) -> int | Column:
+    """Rows per write batch: the configured size, capped so that a batch stays within the commit size.
+
+    Of a table, or as a column of a column with the table's width in bytes.
+    """
+    if isinstance(spec, Column):
+        fits = F.floor(F.lit(fv.COMMIT_BYTES) / F.greatest(F.lit(1).cast("bigint"), spec))
+        return F.greatest(F.lit(1).cast("bigint"), F.least(F.lit(batch_size).cast("bigint"), fits))
     width = sum(c.width for c in spec.columns)
     return max(1, min(batch_size, fv.COMMIT_BYTES // max(1, width)))
 

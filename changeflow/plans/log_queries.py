@@ -11,7 +11,7 @@ from changeflow.operators.net import net_changes, net_rejects
 from changeflow.plans import logs
 from changeflow.plans.registry import query
 from changeflow.sources import envelope as env
-from changeflow.sources.catalog import catalog_specs, load_catalog
+from changeflow.sources.catalog import load_catalog
 from changeflow.streaming.pipeline import hold_after_error, pending_rows
 
 LOG = "WITH " + logs.EVENTS_LOG_SQL
@@ -485,10 +485,5 @@ def load_catalog_query(spark, d):
 )
 def batch_rows(spark, d):
     """Rows per write batch by table width, over parts read as column metadata."""
-    columns = logs.table(spark, d, "part").select(
-        F.lit("S").alias("schema_name"), F.col("p_type").alias("table_name"), F.col("p_partkey").cast("int").alias("ordinal"),
-        F.concat(F.lit("c"), F.col("p_partkey").cast("string")).alias("column_name"), F.lit(64).alias("type_code"),
-        F.lit("VARCHAR").alias("type_name"), (F.col("p_size") * 100000).alias("size"), F.lit("").alias("charset"), F.lit(True).alias("nullable"))
-    keys = columns.limit(0).select("schema_name", "table_name", F.col("ordinal").alias("key_seq"), "column_name")
-    specs = catalog_specs(load_catalog(columns, keys))
-    return spark.createDataFrame([(s.table, apply.batch_rows(s)) for s in specs], "table_name string, batch_rows bigint")
+    columns = logs.table(spark, d, "part").select(F.col("p_type").alias("table_name"), (F.col("p_size") * 100000).cast("bigint").alias("size"))
+    return columns.groupBy("table_name").agg(apply.batch_rows(F.sum("size")).alias("batch_rows"))

@@ -153,3 +153,9 @@ def test_byte_decoding():
     assert decode_with_fallback("x€".encode(), "GBK") == "x€"
     assert decode_with_fallback(b"\xff\xff\xff", "utf-8") is None
     assert decode_with_fallback(None, "GBK") is None
+
+
+def test_write_batch_of_a_width_column(spark):
+    widths = [0, 1, 2**20, 2**29 - 1, 2**29, 2**29 + 1, 9 * 2**24, 2**40]
+    got = spark.createDataFrame([(w,) for w in widths], "w bigint").select("w", batch_rows(F.col("w"), 500).alias("n")).collect()
+    assert {r.w: r.n for r in got} == {w: batch_rows(TableSpec("S", "W", (ColumnSpec("c", "VARCHAR", w, "", 64),)), 500) for w in widths}
