@@ -207,3 +207,73 @@ def op10(spark, sf_dir):
     path = shared_folder(spark, "token-ids")
     write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
     return read_index(spark, path)
+
+
+@query("op11_byte_bpe")
+def op11(spark, sf_dir):
+    import public_tokenizers
+
+    from changeflow.llm.byte_bpe import decoded, encoded
+
+    file = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    found = decoded(encoded(table(spark, sf_dir, "documents"), *file), *file)
+    return found.select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+OP12_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                             '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+size AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, len, unnest([array_to_string(w[i:i + len - 1], ' ') FOR i IN range(1, len(w) - len + 2)]) AS phrase
+      FROM w, range(1, 6) AS t(len) WHERE len(w) >= len),
+f AS MATERIALIZED (SELECT lang, CAST(len AS INT) AS len, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, len, phrase, a, string_split(phrase, ' ') AS s, unnest(range(1, len)) AS k FROM f WHERE len > 1),
+e AS (SELECT c.lang, c.phrase, c.a, c.k, x.a AS l, y.a AS r, n, (1000::HUGEINT * c.a * n) // (x.a::HUGEINT * y.a) AS score
+      FROM c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(s[:k], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(s[k + 1:], ' ')
+      JOIN size ON size.lang = c.lang),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS turn FROM e),
+k AS (SELECT * FROM b WHERE turn = 1 AND NOT EXISTS (SELECT 1 FROM f WHERE f.lang = b.lang AND f.a >= b.a AND f.len > len(string_split(b.phrase, ' '))
+      AND contains(' ' || f.phrase || ' ', ' ' || b.phrase || ' '))),
+r AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM k)
+SELECT * FROM r WHERE rank <= 2000
+"""
+
+
+@query("op12_collocations", OP12_SQL)
+def op12(spark, sf_dir):
+    from changeflow.llm.collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def _op13_sql() -> str:
+    near = """SELECT vec_id, v, min(struct_pack(distance := d, cluster := c)) AS near FROM (
+        SELECT vec_id, row, v, c, CAST(list_sum([(x[1] - x[2]) * (x[1] - x[2]) FOR x IN list_zip(v, cv)]) AS BIGINT) AS d
+        FROM p, {centroids}) GROUP BY row, vec_id, v"""
+    rounds = "".join(
+        f"""a{i} AS MATERIALIZED ({near.format(centroids=f"c{i}")}),
+        s{i} AS (SELECT near.cluster AS c, j, sum(v[j])::HUGEINT AS s, count(*) AS n FROM a{i}, range(1, 65) t(j) GROUP BY ALL),
+        m{i} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS cv FROM s{i} GROUP BY c),
+        c{i + 1} AS MATERIALIZED (SELECT c{i}.c, coalesce(m{i}.cv, c{i}.cv) AS cv FROM c{i} LEFT JOIN m{i} ON m{i}.c = c{i}.c),
+        """
+        for i in range(3)
+    )
+    return f"""
+WITH p AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS row, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+    FROM embeddings WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = 64),
+c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS INT) AS c, v AS cv FROM p QUALIFY c < 16),
+{rounds} f AS MATERIALIZED ({near.format(centroids="c3")})
+SELECT vec_id, near.cluster AS cluster, near.distance AS distance, CAST(sum(near.distance) OVER (PARTITION BY near.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(near.distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(cv, ',')) AS centroid_sha256
+FROM f JOIN c3 ON c3.c = near.cluster
+"""
+
+
+@query("op13_centroids", _op13_sql())
+def op13(spark, sf_dir):
+    from changeflow.llm.centroids import clustered
+
+    return clustered(table(spark, sf_dir, "embeddings"))[0]
