@@ -40,18 +40,24 @@ def first_centroids(points: DataFrame, clusters: int = CLUSTERS) -> list[list[in
 
 def nearest(v: Column, centroids: list[list[int]]) -> Column:
     """``struct(distance, cluster)`` of the nearest centroid; ties go to the smaller number."""
-    def distance(c):
-        squares = F.zip_with(v, F.array(*[F.lit(x).cast("long") for x in c]), lambda a, b: (a - b) * (a - b))
-        return F.aggregate(squares, F.lit(0).cast("long"), lambda total, x: total + x)
+    def total(x, start):
+        return F.aggregate(x, F.lit(start).cast("long"), lambda done, c: done + c)
 
-    return F.array_min(F.array(*[F.struct(distance(c).alias("distance"), F.lit(i).alias("cluster")) for i, c in enumerate(centroids)]))
+    def beyond(c):
+        """The squared distance less that of ``v`` to the origin, which is the same for all centroids: one product per component."""
+        squares = sum(x * x for x in c)
+        twice = F.expr(f"array({', '.join(f'{-2 * x}L' for x in c)})")
+        return total(F.zip_with(v, twice, lambda a, b: a * b), squares)
+
+    least = F.array_min(F.array(*[F.struct(beyond(c).alias("distance"), F.lit(i).alias("cluster")) for i, c in enumerate(centroids)]))
+    return F.struct((least["distance"] + total(F.transform(v, lambda a: a * a), 0)).alias("distance"), least["cluster"].alias("cluster"))
 
 
 def updated(points: DataFrame, centroids: list[list[int]]) -> list[list[int]]:
     """Componentwise floor of the mean of each cluster; an empty cluster keeps its centroid."""
     width = len(centroids[0])
     near = points.select(nearest(F.col("v"), centroids)["cluster"].alias("cluster"), "v")
-    sums = near.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.get("v", F.lit(i))).alias(f"s{i}") for i in range(width)])
+    sums = near.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), *[F.expr(f"sum(v[{i}]) as s{i}") for i in range(width)])
     out = list(centroids)
     for row in sums.collect():
         out[row.cluster] = [row[f"s{i}"] // row.n for i in range(width)]
