@@ -1,16 +1,17 @@
 """Phrase collocations: frequent n-grams by mergeable Misra-Gries summaries, then exact counts and a score per cut.
 
-Texts are cut into pieces and pieces into words. Three passes read the texts:
+Texts are cut into pieces and pieces into words. Four passes read the texts:
 
-1. Words are counted per language. A phrase can only be frequent if all its words are, so the frequent words become a bit filter
-   of bounded size (false positives only cost work).
-2. Every task summarises the 64-bit hashes of its n-grams per hash partition. A summary keeps ``capacity`` counters; where it
+1. Words are counted per language. A phrase can only be frequent if all its words and word pairs are, so the frequent words become a
+   bit filter of bounded size (false positives only cost work).
+2. Every task summarises the 64-bit hashes of its word pairs per hash partition. A summary keeps ``capacity`` counters; where it
    holds more, the counter after the last one kept is subtracted from all, so no count is too small by more than what was
    subtracted. Summaries of a partition are merged in the same way, and the subtractions add up. The capacity exceeds the mass divided by the
    threshold, so the sum stays below the threshold and every frequent n-gram keeps a counter. The sums are returned with the
    summaries and compared with the threshold: if a partition is so uneven that its own mass breaks the bound, the pass is
    repeated with twice the capacity.
-3. N-grams whose hash survived are counted by their words; counts below the threshold go.
+3. The same for the longer n-grams whose pairs all survived.
+4. N-grams whose hash survived are counted by their words; counts below the threshold go.
 
 What follows works on the frequent phrases only and is ordinary joins.
 """
@@ -31,7 +32,9 @@ SEPARATORS = b".,;:!?\x0a\x0b\x0c\x0d"
 SCANNED = bytes(c + 32 if 65 <= c <= 90 else BREAK[0] if c in SEPARATORS else 32 if c == 9 else c for c in range(256))
 SLICE_BYTES = 1 << 22
 # words in one block, n-grams in a task's summary before it is sent, words remembered by a task
-BLOCK_WORDS, SUMMARY_LIMIT, MEMORY_WORDS = 400_000, 1_500_000, 400_000
+BLOCK_WORDS, SUMMARY_LIMIT, MEMORY_WORDS = 300_000, 1_000_000, 250_000
+# phrases counted by a task before they are sent, and those whose counts one task adds up
+COUNTED_LIMIT, PARTITION_PHRASES = 250_000, 100_000
 # bits of a filter: 16 for each key, at most 128 MB
 FILTER_MIN, FILTER_MAX = 1 << 20, 1 << 30
 PARTITION_CAPACITY = 250_000
@@ -129,25 +132,6 @@ def _count_words(batches):
         )
 
 
-def _phrases(window, words: Words, frequent: np.ndarray):
-    """``(n, places, hashes)`` of the phrases of 2 to LONGEST frequent words that begin in a window."""
-    numbers, langs, names, starts = window
-    of_lang = np.array([xxhash.xxh64_intdigest(x.encode(), 42) for x in names], dtype=np.uint64)
-    one = np.array(words.hashes, dtype=np.uint64)[numbers] ^ of_lang[langs]
-    good = (numbers > 0) & in_filter(frequent, one)
-    one = mixed(one)
-    # a text ends with an end of piece, so a phrase is in one text and one language
-    places = np.flatnonzero(good[:starts])
-    hashes = one[places]
-    for n in range(2, LONGEST + 1):
-        on = places + (n - 1)
-        stays = on < len(numbers)
-        stays[stays] = good[on[stays]]
-        places = places[stays]
-        hashes = mixed(hashes[stays] * STEP + one[places + (n - 1)])
-        yield n, places, hashes
-
-
 def added(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Counters added up, sorted by hash."""
     h, c = np.concatenate(hashes), np.concatenate(counts)
@@ -166,28 +150,87 @@ def trimmed(hashes: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.n
     return hashes[stays], counts[stays] - lost, lost
 
 
-def _summarise(frequent, capacity: int, partition_bits: int):
+def packed(values: np.ndarray) -> bytes:
+    """Integers byte by byte, lowest bytes first: the higher ones are mostly zeros, which Spark's compression removes."""
+    return np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(8, -1).T).reshape(-1).view("<i8")
+
+
+def _bits(filter_) -> np.ndarray:
+    return np.frombuffer(filter_.value, dtype=np.uint8)
+
+
+class Survivors:
+    """Test of phrase hashes against a filter of their top bits."""
+
+    def __init__(self, filter_):
+        self.bits, self.shift = _bits(filter_[0]), np.uint64(filter_[1])
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        return in_filter(self.bits, hashes >> self.shift)
+
+
+def _phrases(window, words: Words, frequent: np.ndarray, pairs: Survivors | None = None):
+    """``(n, places, hashes)`` of the phrases of frequent words that begin in a window: the pairs, and with a filter of pairs the longer ones."""
+    numbers, langs, names, starts = window
+    of_lang = np.array([xxhash.xxh64_intdigest(x.encode(), 42) for x in names], dtype=np.uint64)
+    one = np.array(words.hashes, dtype=np.uint64)[numbers] ^ of_lang[langs]
+    good = (numbers > 0) & in_filter(frequent, one)
+    one = mixed(one)
+    # a text ends with an end of piece, so a phrase is in one text and one language
+    places = np.flatnonzero(good[:-1] & good[1:])
+    hashes = mixed(one[places] * STEP + one[places + 1])
+    if pairs is None:
+        here = places < starts
+        yield 2, places[here], hashes[here]
+        return
+    stays = pairs(hashes)
+    places, hashes = places[stays], hashes[stays]
+    chained = np.zeros(len(numbers), dtype=bool)
+    chained[places] = True
+    here = places < starts
+    places, hashes = places[here], hashes[here]
+    yield 2, places, hashes
+    for n in range(3, LONGEST + 1):
+        # the pair that ends the phrase
+        stays = chained[places + (n - 2)]
+        places = places[stays]
+        hashes = mixed(hashes[stays] * STEP + one[places + (n - 1)])
+        yield n, places, hashes
+
+
+def _summarise(frequent, pairs, capacity: int, partition_bits: int, hash_bits: int):
+    """Summaries of the pairs, or with a filter of pairs of the longer phrases.
+
+    Sorted hashes are sent as differences. Their top ``hash_bits`` are enough: phrases that share them share a counter, which is then
+    too large rather than too small.
+    """
+
     def run(batches):
         import pyarrow as pa
 
-        words, bits = Words(), np.frombuffer(frequent.value, dtype=np.uint8)
+        words, bits, chain = Words(), _bits(frequent), None if pairs is None else Survivors(pairs)
         hashes, counts, held = [], [], 0
 
         def send():
-            h, c = added(hashes, counts)
-            part = (h >> np.uint64(64 - partition_bits)).astype(np.int64)
+            h, c = added([x >> np.uint64(64 - hash_bits) for x in hashes], counts)
+            part = (h >> np.uint64(hash_bits - partition_bits)).astype(np.int64)
             edges = np.searchsorted(part, np.arange((1 << partition_bits) + 1))
             rows = []
             for p in np.flatnonzero(np.diff(edges)):
                 some = slice(edges[p], edges[p + 1])
                 x, y, lost = trimmed(h[some], c[some], capacity)
-                rows.append((int(p), x.tobytes(), y.tobytes(), lost))
+                rows.append((int(p), packed(np.diff(x, prepend=np.uint64(0)).view(np.int64)), packed(y), lost))
             kinds = [pa.int32(), pa.binary(), pa.binary(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names=["p", "hashes", "counts", "lost"])
 
         for block in _blocks(batches, words):
             for window in _windows(block):
-                h, c = np.unique(np.concatenate([x for _, _, x in _phrases(window, words, bits)]), return_counts=True)
+                found = [x for n, _, x in _phrases(window, words, bits, chain) if n > 2 or chain is None]
+                h, c = np.unique(np.concatenate(found), return_counts=True)
                 if len(h):
                     hashes.append(h)
                     counts.append(c.astype(np.int64))
@@ -223,50 +266,93 @@ def _merge(capacity: int, min_count: int):
         for batch in batches:
             for p, h, c, lost in zip(*(batch.column(x).to_pylist() for x in ("p", "hashes", "counts", "lost"))):
                 s = held.setdefault(p, [[], [], 0, 0])
-                s[0].append(np.frombuffer(h, dtype=np.uint64))
-                s[1].append(np.frombuffer(c, dtype=np.int64))
+                s[0].append(np.cumsum(unpacked(h)))
+                s[1].append(unpacked(c))
                 s[2], s[3] = s[2] + lost, s[3] + len(s[0][-1])
                 if s[3] > 2 * capacity:
                     shrink(s)
         for p, s in held.items():
             shrink(s)
-            reached = s[0][0][s[1][0] + s[2] >= min_count]
+            most = s[1][0] + s[2]
+            reached = most >= min_count
             yield pa.RecordBatch.from_arrays(
-                [pa.array([p], pa.int32()), pa.array([s[2]], pa.int64()), pa.array([reached.view(np.int64)], pa.list_(pa.int64()))],
-                names=["p", "lost", "survivors"],
-            )
+                [
+                    pa.array([s[2]], pa.int64()), pa.array([int(most[reached].sum())], pa.int64()),
+                    pa.array([s[0][0][reached]], pa.list_(pa.int64())),
+                ],
+                names=["lost", "mass", "survivors"],
+            )
 
     return run
 
 
-def _count_phrases(frequent, surviving):
+COUNTED = "p int, lang array<string>, phrase array<binary>, a array<long>"
+
+
+def _count_phrases(frequent, pairs, longer, parts: int):
+    """Counts of the surviving phrases, added up within a task; one row for each of the ``parts`` that they are dealt to."""
+
     def run(batches):
         import pyarrow as pa
 
-        words, bits, wanted = Words(), np.frombuffer(frequent.value, dtype=np.uint8), np.frombuffer(surviving.value, dtype=np.uint8)
+        words, bits, chain, wanted = Words(), _bits(frequent), Survivors(pairs), Survivors(longer)
+        # by language and numbers of the words, which are exact within a task until the words are forgotten
+        counted: dict[tuple, int] = {}
+        texts: list[bytes] = []
+
+        def send():
+            rows: dict[int, tuple[list, list, list]] = {}
+            for (lang, *phrase), n in counted.items():
+                text = b" ".join([texts[i] for i in phrase])
+                row = rows.setdefault(xxhash.xxh64_intdigest(text) % parts, ([], [], []))
+                row[0].append(lang)
+                row[1].append(text)
+                row[2].append(n)
+            counted.clear()
+            kinds = [pa.list_(pa.string()), pa.list_(pa.binary()), pa.list_(pa.int64())]
+            columns = [pa.array(x, t) for x, t in zip(zip(*rows.values()), kinds)]
+            return pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), *columns], names=["p", "lang", "phrase", "a"])
+
         for block in _blocks(batches, words):
+            if counted and (len(counted) > COUNTED_LIMIT or texts is not words.text):
+                yield send()
+            texts = words.text
             for window in _windows(block):
                 numbers, langs, names, _ = window
-                lang, phrase, length, count = [], [], [], []
-                for n, places, hashes in _phrases(window, words, bits):
-                    stays = in_filter(wanted, hashes)
-                    places, hashes = places[stays], hashes[stays]
+                for n, places, hashes in _phrases(window, words, bits, chain):
+                    if n > 2:
+                        stays = wanted(hashes)
+                        places, hashes = places[stays], hashes[stays]
                     if not len(places):
                         continue
                     _, first, group, c = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
-                    rows = np.column_stack([numbers[places[:, None] + np.arange(n)], langs[places]])
+                    rows = np.column_stack([langs[places], numbers[places[:, None] + np.arange(n)]])
                     if (rows != rows[first[group]]).any():
                         # two phrases with one hash: count by the words themselves
                         _, first, c = np.unique(rows, axis=0, return_index=True, return_counts=True)
-                    for row, k in zip(rows[first].tolist(), c.tolist()):
-                        lang.append(names[row[-1]])
-                        phrase.append(b" ".join([words.text[i] for i in row[:-1]]))
-                        length.append(n)
-                        count.append(k)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(lang, pa.string()), pa.array(phrase, pa.binary()), pa.array(length, pa.int32()), pa.array(count, pa.int64())],
-                    names=["lang", "phrase", "length", "a"],
-                )
+                    for (lang, *phrase), k in zip(rows[first].tolist(), c.tolist()):
+                        key = (names[lang], *phrase)
+                        counted[key] = counted.get(key, 0) + k
+        if counted:
+            yield send()
+
+    return run
+
+
+def _add_counts(min_count: int):
+    def run(batches):
+        import pyarrow as pa
+
+        held: dict[tuple, int] = {}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                lang, phrase, a = (batch.column(x)[i].as_py() for x in ("lang", "phrase", "a"))
+                for key, n in zip(zip(lang, phrase), a):
+                    held[key] = held.get(key, 0) + n
+        rows = [(lang, phrase, phrase.count(b" ") + 1, n) for (lang, phrase), n in held.items() if n >= min_count]
+        if rows:
+            kinds = [pa.string(), pa.binary(), pa.int32(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names=["lang", "phrase", "length", "a"])
 
     return run
 
@@ -284,6 +370,25 @@ def bit_filter(spark: SparkSession, keys: DataFrame, n_keys: int):
     return spark.sparkContext.broadcast(bytes(bits))
 
 
+def _survivors(texts: DataFrame, frequent, pairs, mass: int, min_count: int):
+    """Filter of the phrases that may be frequent, a bound of their occurrences and their number; about ``mass`` phrases are summarised."""
+    counters = 2 * mass // min_count + 1
+    partition_bits = max(4, (counters // PARTITION_CAPACITY).bit_length())
+    capacity = (counters >> partition_bits) + 1
+    # one phrase in 2^12 shares its counter with another
+    hash_bits = min(63, max(32, mass.bit_length() + 12))
+    while True:
+        summaries = texts.mapInArrow(_summarise(frequent, pairs, capacity, partition_bits, hash_bits), SUMMARY)
+        merged = summaries.repartition(1 << partition_bits, "p").mapInArrow(_merge(capacity, min_count), "lost long, mass long, survivors array<long>")
+        merged = cut_lineage(merged)
+        found = merged.agg(F.max("lost").alias("lost"), F.sum("mass").alias("mass"), F.sum(F.size("survivors")).alias("n")).first()
+        # the proof: no count is too small by the threshold or more
+        if (found.lost or 0) < min_count:
+            bits = bit_filter(texts.sparkSession, merged.select(F.explode("survivors").alias("key")), found.n or 0)
+            return (bits, 64 - hash_bits), found.mass or 0, found.n or 0
+        capacity *= 2
+
+
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
     """``(words, phrases)``: ``(lang, word, f)`` of all words, ``(lang, phrase, length, a)`` of the phrases with ``a >= min_count``."""
     spark = docs.sparkSession
@@ -295,22 +400,12 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     key = F.xxhash64("word").bitwiseXOR(F.xxhash64("lang")).alias("key")
     frequent = bit_filter(spark, often.select(key), total.n)
 
-    # a phrase begins at a frequent word: at most one of each length, (LONGEST - 1) * mass in all
-    counters = 2 * (LONGEST - 1) * total.mass // min_count + 1
-    partition_bits = max(4, (counters // PARTITION_CAPACITY).bit_length())
-    capacity = (counters >> partition_bits) + 1
-    while True:
-        summaries = texts.mapInArrow(_summarise(frequent, capacity, partition_bits), SUMMARY)
-        merged = cut_lineage(
-            summaries.repartition(1 << partition_bits, "p").mapInArrow(_merge(capacity, min_count), "p int, lost long, survivors array<long>")
-        )
-        found = merged.agg(F.max("lost").alias("lost"), F.sum(F.size("survivors")).alias("n")).first()
-        if (found.lost or 0) < min_count:
-            break
-        capacity *= 2
-    surviving = bit_filter(spark, merged.select(F.explode("survivors").alias("key")), found.n or 0)
-    exact = texts.mapInArrow(_count_phrases(frequent, surviving), "lang string, phrase binary, length int, a long")
-    exact = exact.groupBy("lang", "phrase").agg(F.max("length").alias("length"), F.sum("a").alias("a")).filter(F.col("a") >= min_count)
+    # a pair begins at a frequent word, longer phrases at a surviving pair
+    pairs, mass, n_pairs = _survivors(texts, frequent, None, total.mass, min_count)
+    longer, _, n_longer = _survivors(texts, frequent, pairs, (LONGEST - 2) * mass, min_count)
+    parts = max(16, (n_pairs + n_longer) // PARTITION_PHRASES)
+    exact = texts.mapInArrow(_count_phrases(frequent, pairs, longer, parts), COUNTED).repartition(parts, "p")
+    exact = exact.mapInArrow(_add_counts(min_count), "lang string, phrase binary, length int, a long")
     return words, cut_lineage(exact.select("lang", F.col("phrase").cast("string").alias("phrase"), "length", "a"))
 
 
