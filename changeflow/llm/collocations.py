@@ -135,10 +135,12 @@ def _count_words(batches):
 def added(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Counters added up, sorted by hash."""
     h, c = np.concatenate(hashes), np.concatenate(counts)
+    if not len(h):
+        return h, c
     order = np.argsort(h)
     h, c = h[order], c[order]
     first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-    return h[first], np.add.reduceat(c, first) if len(h) else c
+    return h[first], np.add.reduceat(c, first)
 
 
 def trimmed(hashes: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
