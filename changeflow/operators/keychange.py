@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from changeflow.functions.scan import carry_previous
 from changeflow.model import TableSpec
 from changeflow.operators.bind import dst_cols, src_cols, val_cols
-from changeflow.operators.net import net_changes, net_rejects, overlay_aggs
+from changeflow.operators.net import net_changes, net_lineage, net_rejects, overlay_aggs
 from changeflow.session import cut_lineage
 
 
@@ -50,42 +50,15 @@ def net_with_key_changes(changes: DataFrame, spec: TableSpec, snapshot: DataFram
     earlier change of the batch deleted or moved away.
     """
     keys = [f"k_{k}" for k in spec.key_names]
-    # the key changes are read many times; the log itself twice more
-    moves = cut_lineage(changes.filter(F.col("op") == "K"))
-    touched = cut_lineage(
-        moves.select(*_rename(src_cols(spec), keys))
-        .unionByName(moves.select(*_rename(dst_cols(spec), keys)))
-        .distinct()
-    )
+    moves, touched, outcome, scanned = _replayed(changes, spec, snapshot, keys)
 
     def on_touched(df: DataFrame, prefix: str, how: str) -> DataFrame:
-        cond = [F.col(f"{prefix}{k}") == F.col(f"k_{k}") for k in spec.key_names]
-        return df.join(touched, cond, how)
+        return _on_keys(df, touched, spec, prefix, how)
 
     plain = changes.filter(F.col("op") != "K")
     # aggregate first: the anti join then sees one row per key
     simple = on_touched(net_changes(plain, spec).drop("n_events", "last_seq"), "d_", "left_anti")
-
-    # every change on the touched keys; a key change leaves one key ('X') and arrives at another ('M')
     values = val_cols(spec)
-    stays = on_touched(plain, "d_", "left_semi").select(
-        "seq", "chunk", F.col("op").alias("kind"), *_rename(dst_cols(spec), keys), *values
-    )
-    leaves = moves.select("seq", "chunk", F.lit("X").alias("kind"), *_rename(src_cols(spec), keys), *values)
-    arrives = moves.select("seq", "chunk", F.lit("M").alias("kind"), *_rename(dst_cols(spec), keys), *values)
-    log = stays.unionByName(leaves).unionByName(arrives)
-
-    scanned = cut_lineage(_previous(log, keys))
-    outcome = _settle(scanned.filter(F.col("kind").isin("X", "M")), keys, spec, snapshot)
-    if outcome.filter("not a or b").limit(1).count() > 0:
-        # moves that did not happen leave no trace: look up the previous change again without them
-        is_move = F.col("kind").isin("X", "M")
-        moved = outcome.filter("a and not b").select("seq")
-        log = scanned.drop("prev")
-        effective = log.filter(~is_move).unionByName(
-            log.filter(is_move).join(moved, "seq", "left_semi").select(*log.columns)
-        )
-        scanned = cut_lineage(_previous(effective, keys))
 
     roots = _roots(scanned, keys)
     root_cols = ["r_seq", *[f"r_{k}" for k in keys]]
@@ -167,6 +140,98 @@ def net_with_key_changes(changes: DataFrame, spec: TableSpec, snapshot: DataFram
     return NetResult(simple.unionByName(placed).unionByName(gone), rejects)
 
 
+def _on_keys(df: DataFrame, touched: DataFrame, spec: TableSpec, prefix: str, how: str) -> DataFrame:
+    return df.join(touched, [F.col(f"{prefix}{k}") == F.col(f"k_{k}") for k in spec.key_names], how)
+
+
+def _replayed(changes: DataFrame, spec: TableSpec, snapshot: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Key changes, the keys they touch, their outcomes, and the changes of these keys with the one that filled or emptied the key before.
+
+    The log of the touched keys has no moves that did not happen. A key change leaves one key ('X') and arrives at another ('M').
+    """
+    # the key changes are read many times; the log itself twice more
+    moves = cut_lineage(changes.filter(F.col("op") == "K"))
+    touched = cut_lineage(
+        moves.select(*_rename(src_cols(spec), keys))
+        .unionByName(moves.select(*_rename(dst_cols(spec), keys)))
+        .distinct()
+    )
+    values = val_cols(spec)
+    stays = _on_keys(changes.filter(F.col("op") != "K"), touched, spec, "d_", "left_semi").select(
+        "seq", "chunk", F.col("op").alias("kind"), *_rename(dst_cols(spec), keys), *values
+    )
+    leaves = moves.select("seq", "chunk", F.lit("X").alias("kind"), *_rename(src_cols(spec), keys), *values)
+    arrives = moves.select("seq", "chunk", F.lit("M").alias("kind"), *_rename(dst_cols(spec), keys), *values)
+    log = stays.unionByName(leaves).unionByName(arrives)
+
+    scanned = cut_lineage(_previous(log, keys))
+    outcome = _settle(scanned.filter(F.col("kind").isin("X", "M")), keys, spec, snapshot)
+    if outcome.filter("not a or b").limit(1).count() > 0:
+        # moves that did not happen leave no trace: look up the previous change again without them
+        is_move = F.col("kind").isin("X", "M")
+        moved = outcome.filter("a and not b").select("seq")
+        log = scanned.drop("prev")
+        effective = log.filter(~is_move).unionByName(
+            log.filter(is_move).join(moved, "seq", "left_semi").select(*log.columns)
+        )
+        scanned = cut_lineage(_previous(effective, keys))
+    return moves, touched, outcome, scanned
+
+
+def key_change_lineage(changes: DataFrame, spec: TableSpec, snapshot: DataFrame) -> DataFrame:
+    """Which offsets made each net change of a batch that may change keys, one row per key and contributing change.
+
+    A row takes its history along: what happened at the old key, and a deletion pending at the new key, counts for the new key from then
+    on. The old key is left with a deletion made by the key change, which so counts for both keys. Updates of rows that were
+    deleted or moved away and key changes that did not happen contribute nothing. Like ``net_lineage`` the result is long, so neither a hot
+    key nor a row that moves often is one cell or one task.
+
+    Every change leads to the next key change at its key, and a key change to the next one at its new key. These pointers between key
+    changes are followed by pointer jumping; changes without a later one count for the key they are at.
+    """
+    keys = [f"k_{k}" for k in spec.key_names]
+    dst = dst_cols(spec)
+    if changes.filter(F.col("op") == "K").isEmpty():
+        return net_lineage(changes, spec)
+    _, touched, _, scanned = _replayed(changes, spec, snapshot, keys)
+    vacant = (F.col("kind") == "U") & F.coalesce(F.col("prev.kind").isin("D", "X"), F.lit(False))
+    counted = scanned.filter(~vacant).select("seq", "chunk", "kind", *keys)
+    onward = cut_lineage(carry_previous(counted, keys, F.col("seq"), F.col("kind").isin("X", "M"), "to", forward=True))
+
+    # where the history goes that a key change brought: a later key change, or the key it ends at
+    links = onward.filter(F.col("kind") == "M").select("seq", "to", *[F.when(F.col("to").isNull(), F.col(k)).alias(f"e{k}") for k in keys])
+    ends = _followed(links, "to", [f"e{k}" for k in keys])
+    here = onward.filter(F.col("to").isNull()).select(*keys, "seq", "kind")
+    away = onward.filter(F.col("to").isNotNull()).select("seq", "kind", "to")
+    # a key change that brought the history of many changes is one key of this join: only ends are looked up, adaptive execution splits it
+    away = away.join(ends.withColumnRenamed("seq", "to"), "to").select(*[F.col(f"e{k}").alias(k) for k in keys], "seq", "kind")
+    found = here.unionByName(away).select(
+        *_rename(keys, dst), F.col("seq.topic").alias("topic"), F.col("seq.partition").alias("partition"), F.col("seq.offset").alias("offset"),
+        F.when(F.col("kind").isin("X", "M"), "K").otherwise(F.col("kind")).alias("op"),
+    )
+    # a key change counts once where the history of both its keys meets again
+    found = found.filter(F.col("op") != "K").unionByName(found.filter(F.col("op") == "K").distinct())
+    return found.unionByName(net_lineage(_on_keys(changes, touched, spec, "d_", "left_anti"), spec))
+
+
+def _followed(links: DataFrame, pointer: str, ends: list[str]) -> DataFrame:
+    """``seq`` and the ``ends`` of the last link of its chain, by pointer jumping; only open links are joined and written again."""
+    found, open_links = links.limit(0), cut_lineage(links)
+    while True:
+        found = cut_lineage(found.unionByName(open_links.filter(F.col(pointer).isNull())))
+        open_links = open_links.filter(F.col(pointer).isNotNull())
+        if open_links.isEmpty():
+            return found.drop(pointer)
+        target = found.unionByName(open_links).select(
+            F.col("seq").alias("_id"), F.col(pointer).alias("_next"), *[F.col(c).alias(f"_{c}") for c in ends]
+        )
+        open_links = cut_lineage(
+            open_links.join(target, F.col(pointer) == F.col("_id"), "left").select(
+                "seq", F.col("_next").alias(pointer), *[F.coalesce(F.col(c), F.col(f"_{c}")).alias(c) for c in ends]
+            )
+        )
+
+
 def key_change_outcomes(changes: DataFrame, spec: TableSpec, snapshot: DataFrame) -> DataFrame:
     """Outcome of every key change: ``moved``, ``collision`` (new key occupied) or ``missing`` (old key vacant)."""
     keys = [f"k_{k}" for k in spec.key_names]
@@ -301,19 +366,4 @@ def _roots(scanned: DataFrame, keys: list[str]) -> DataFrame:
         )
     )
     root_cols = ["r_seq", *[f"r_{k}" for k in keys]]
-    found, open_rows = pointers.limit(0), pointers
-    while True:
-        found = found.unionByName(open_rows.filter(F.col("next").isNull()))
-        open_rows = open_rows.filter(F.col("next").isNotNull())
-        if open_rows.isEmpty():
-            return found.drop("next")
-        target = found.unionByName(open_rows).select(
-            F.col("seq").alias("_id"), F.col("next").alias("_next"), *[F.col(c).alias(f"_{c}") for c in root_cols]
-        )
-        open_rows = cut_lineage(
-            open_rows.join(target, F.col("next") == F.col("_id"), "left").select(
-                "seq",
-                F.col("_next").alias("next"),
-                *[F.coalesce(F.col(c), F.col(f"_{c}")).alias(c) for c in root_cols],
-            )
-        )
+    return _followed(pointers, "next", root_cols)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from changeflow.model import TableSpec
 from changeflow.operators import apply, net, nopk
 from changeflow.operators.bind import bind_changes, classify, typed_changes
-from changeflow.operators.keychange import key_change_outcomes, net_with_key_changes
+from changeflow.operators.keychange import key_change_lineage, key_change_outcomes, net_with_key_changes
 from changeflow.plans import logs
 from changeflow.plans.registry import query
 
@@ -410,6 +410,33 @@ def key_change_mixed(spark, d):
     return apply.merge_batch(seed, net_with_key_changes(logs.mixed_key_changes(spark, d), USERS, seed).net, USERS)
 
 
+# what a key holds while the log is replayed: whether a row is there (null: unknown) and the offsets behind it
+LINEAGE_SQL = MIXED_SQL[: MIXED_SQL.index("st AS (")].replace("SELECT row_number()", "SELECT seq, row_number()") + """
+st AS (
+  SELECT CAST(0 AS BIGINT) AS i, (SELECT map_from_entries(list({'k': CAST(c1 AS BIGINT), 'v': {'a': true, 'l': CAST([] AS BIGINT[])}})) FROM seed) AS m
+  UNION ALL
+  SELECT i, CASE
+    WHEN op IN ('I', 'D') THEN map_concat(m, MAP {new_key: {'a': op = 'I', 'l': new_l || [seq]}})
+    WHEN op = 'U' AND coalesce(old_a, true) THEN map_concat(m, MAP {new_key: {'a': old_a, 'l': new_l || [seq]}})
+    WHEN op = 'U' OR NOT coalesce(old_a, false) OR coalesce(new_a, false) THEN m
+    ELSE map_concat(m, MAP {old_key: {'a': false, 'l': [seq]}, new_key: {'a': true, 'l': new_l || old_l || [seq]}}) END
+  FROM (SELECT ev.i, seq, op, CAST(old_key AS BIGINT) AS old_key, CAST(new_key AS BIGINT) AS new_key, m,
+          m[CAST(old_key AS BIGINT)].a AS old_a, m[CAST(new_key AS BIGINT)].a AS new_a,
+          coalesce(m[CAST(old_key AS BIGINT)].l, []) AS old_l, coalesce(m[CAST(new_key AS BIGINT)].l, []) AS new_l
+        FROM st JOIN ev ON ev.i = st.i + 1)),
+done AS (SELECT unnest(map_entries(m)) AS e FROM st WHERE i = (SELECT count(*) FROM ev)),
+flat AS (SELECT DISTINCT e.key AS c1, unnest(e.value.l) AS "offset" FROM done)
+SELECT CAST(c1 AS BIGINT) AS c1, 'events' AS topic, CAST(0 AS INT) AS "partition", "offset", ev.op FROM flat JOIN ev ON ev.seq = "offset"
+"""
+
+
+@query("key_change_lineage", LINEAGE_SQL)
+def key_change_lineage_query(spark, d):
+    """Offsets behind every key after key changes; the SQL carries them along event by event."""
+    found = key_change_lineage(logs.mixed_key_changes(spark, d), USERS, logs.user_seed(spark, d))
+    return found.withColumnRenamed("d_c1", "c1").withColumn("c1", F.col("c1").cast("bigint"))
+
+
 # -- tables without a primary key ----------------------------------------------------------------------
 SEGMENTS = TableSpec.of("S", "SEGMENTS", {"nation": "SIGNED INTEGER", "segment": "VARCHAR"})
 

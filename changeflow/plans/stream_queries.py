@@ -112,6 +112,26 @@ def pipeline_rejects(spark, d):
     return saved.select("offset", F.col("error.code").alias("reason"))
 
 
+@query("hold_release", MERGED_SQL + "SELECT * FROM merged")
+def hold_release(spark, d):
+    """Damaged messages hold two partitions over two batches; repaired and released, the table equals that of the whole log."""
+    root = logs.work_dir(spark)
+    store = SnapshotStore(spark, f"{root}/store", Catalog([USERS]), buckets=8)
+    store.load(logs.user_seed(spark, d), USERS)
+    job = JobConfig(format="ctrl", skip=True, unload_dir=f"{root}/unload")
+    pipeline = Pipeline(spark, job, store, on_error="hold")
+    sound = _messages(spark, d)
+    damaged = (F.col("partition") < 2) & (F.col("offset") % 50 == 7)
+    log = sound.withColumn("value", F.when(damaged, F.encode(F.lit("?"), "UTF-8")).otherwise(F.col("value")))
+    middle = log.approxQuantile("offset", [0.5], 0.05)[0] if not log.isEmpty() else 0
+    first = F.col("offset") <= middle
+    for i, part in enumerate((first, ~first)):
+        pipeline.apply_batch(log.filter(part), i)
+    for partition in (0, 1):
+        pipeline.release("events", partition, repaired=sound.filter(damaged))
+    return store.read(USERS)
+
+
 LIVE_SQL = NET_SQL + """
 SELECT op, c1, n2.v AS c2, n3.v AS c3, n4.v AS c4, n_events FROM net"""
 

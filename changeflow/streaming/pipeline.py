@@ -21,7 +21,9 @@ from changeflow.functions.text import start_position
 from changeflow.sources.envelope import from_positions, read_envelope, start_positions, wanted_partitions
 from changeflow.streaming.store import BY_HAND, MAX_DELTAS, SnapshotStore
 
-HOLD_SCHEMA = "topic string, partition int, first_bad bigint"
+# ``turn``: how often the partition had been released when it was held; a released row ends the holds of its turn
+HOLD_SCHEMA = "topic string, partition int, first_bad bigint, turn int, released boolean"
+PLACE = ["topic", "partition"]
 
 
 def first_bad_offsets(events: DataFrame) -> DataFrame:
@@ -55,32 +57,84 @@ class Pipeline:
             raise ValueError("unload_dir: name a folder that all executors can reach")
 
     # -- held partitions -----------------------------------------------------------------------------
-    def holds(self) -> DataFrame:
+    def _hold_log(self) -> DataFrame:
         try:
-            stored = self.spark.read.schema(HOLD_SCHEMA).parquet(f"{self.store.root}/holds")
+            return self.spark.read.schema(HOLD_SCHEMA).parquet(f"{self.store.root}/holds")
         except AnalysisException:
-            stored = self.spark.createDataFrame([], HOLD_SCHEMA)
-        return stored.groupBy("topic", "partition").agg(F.min("first_bad").alias("first_bad"))
+            return self.spark.createDataFrame([], HOLD_SCHEMA)
+
+    def _turns(self) -> DataFrame:
+        """Releases per partition that was released at all."""
+        return self._hold_log().filter("released").groupBy(*PLACE).agg((F.max("turn") + 1).alias("_turn"))
 
-    def _good_rows(self, routed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def holds(self) -> DataFrame:
+        """Held partitions and the offset each of them stopped at."""
+        held = self._hold_log().filter(~F.coalesce("released", F.lit(False))).join(cut_lineage(self._turns()), PLACE, "left")
+        held = held.filter(F.coalesce("turn", F.lit(0)) >= F.coalesce("_turn", F.lit(0)))
+        return held.groupBy(*PLACE).agg(F.min("first_bad").alias("first_bad"))
+
+    def _good_rows(self, routed: DataFrame, release: bool = False) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+        """Rows to apply, rows that are not applied, and the holds they are under."""
         if self.on_error != "hold":
-            return split_errors(routed, self.on_error)
+            return *split_errors(routed, self.on_error), None
         new = cut_lineage(first_bad_offsets(routed))
         if not new.isEmpty():
-            new.coalesce(1).write.mode("append").parquet(f"{self.store.root}/holds")
-        holds = cut_lineage(self.holds())
+            # an error of a release holds the partition in the turn that the release begins
+            turn = F.coalesce("_turn", F.lit(0)) + int(release)
+            self._log_holds(new.join(cut_lineage(self._turns()), PLACE, "left").select(*PLACE, "first_bad", turn.alias("turn"), F.lit(False).alias("released")))
+        holds = new if release else cut_lineage(self.holds())
         good = hold_after_error(routed, holds)
-        held = routed.join(holds, ["topic", "partition"]).filter(F.col("offset") >= F.col("first_bad"))
-        return good, held.drop("first_bad")
+        held = routed.join(holds, PLACE).filter(F.col("offset") >= F.col("first_bad"))
+        return good, held.drop("first_bad"), holds
+
+    def _log_holds(self, rows: DataFrame) -> None:
+        rows.coalesce(1).write.mode("append").parquet(f"{self.store.root}/holds")
+
+    def parked(self, topic: str, partition: int) -> DataFrame:
+        """Messages of a held partition from the offset it stopped at, as they are to be applied: the newest version of each offset."""
+        hold = self.holds().filter((F.col("topic") == topic) & (F.col("partition") == partition))
+        try:
+            kept = self.spark.read.schema(f"{ENVELOPE_SCHEMA}, version int").parquet(f"{self.store.root}/parked")
+        except AnalysisException:
+            kept = self.spark.createDataFrame([], f"{ENVELOPE_SCHEMA}, version int")
+        kept = kept.join(hold, PLACE).filter(F.col("offset") >= F.col("first_bad"))
+        message = F.struct(*[c for c in kept.columns if c not in (*PLACE, "offset", "first_bad")])
+        newest = kept.groupBy(*PLACE, "offset").agg(F.max_by(message, "version").alias("m"))
+        return newest.select("m.key", "m.value", *PLACE, "offset", "m.timestamp")
+
+    def release(self, topic: str, partition: int, repaired: DataFrame | None = None, skip: DataFrame | None = None) -> bool:
+        """Apply the parked messages of a held partition in log order and let the partition go on.
+
+        ``repaired``: messages that replace parked ones of their offset; ``skip``: rows with an ``offset`` that are left out. If a message
+        is still bad, those before it are applied and the partition is held there. Returns whether the partition is free. Call it
+        between micro-batches or while the stream is stopped; a release that broke off is repeated by calling it again with the
+        same arguments, and applied once.
+        """
+        here = (F.col("topic") == topic) & (F.col("partition") == partition)
+        if self.on_error != "hold" or self.holds().filter(here).isEmpty():
+            return True
+        done = self._turns().filter(here).first()
+        turn = done["_turn"] if done else 0
+        messages = self.parked(topic, partition)
+        if repaired is not None:
+            fixed = cut_lineage(repaired.filter(here).select(*[c for c in messages.columns if c in repaired.columns]))
+            unchanged = messages.join(fixed.select("offset"), "offset", "left_anti").select(*messages.columns)
+            messages = unchanged.unionByName(fixed, allowMissingColumns=True)
+        if skip is not None:
+            messages = messages.join(skip.select("offset"), "offset", "left_anti").select(*messages.columns)
+        self.apply_batch(cut_lineage(messages), turn, stream=f"release-{topic}-{partition}")
+        row = [(topic, partition, None, turn, True)]
+        self._log_holds(self.spark.createDataFrame(row, HOLD_SCHEMA))
+        return self.holds().filter(here).isEmpty()
 
     # -- one batch -----------------------------------------------------------------------------------
     def stream_id(self) -> str:
         """Id of the streaming query whose batch this is: Spark keeps it with the checkpoint, so a new checkpoint is a new stream."""
         return self.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or BY_HAND
 
-    def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
+    def apply_batch(self, batch: DataFrame, batch_id: int, stream: str | None = None) -> None:
         """Apply and publish one micro-batch; a batch that is already published is skipped, a failed one is listed as failed."""
-        stream = self.stream_id()
+        stream = stream or self.stream_id()
         if self.store.is_committed(batch_id, stream):
             return
         try:
@@ -98,7 +152,13 @@ class Pipeline:
     def _apply(self, batch: DataFrame, batch_id: int, stream: str) -> list[dict]:
         job, place = self.job, f"stream={stream}/batch={batch_id}"
         routed = cut_lineage(decode_and_route(batch, job, self.catalog))
-        good, bad = self._good_rows(routed)
+        release = stream.startswith("release-")
+        good, bad, holds = self._good_rows(routed, release)
+        if holds is not None and not holds.isEmpty():
+            # in the log's own form, so that a release can decode repaired messages; a release writes a newer version
+            version = F.lit(batch_id + 1 if release else 0)
+            kept = batch.join(holds, PLACE).filter(F.col("offset") >= F.col("first_bad"))
+            kept.select(*batch.columns, version.alias("version")).write.mode("overwrite").parquet(f"{self.store.root}/parked/{place}")
         # archives have a folder per batch and are overwritten, so a repeated batch leaves them once
         if job.raw_dir and job.dump_binary:
             write_raw_archive(batch, f"{job.raw_dir}/{place}", job.max_file_records, "overwrite")
@@ -185,7 +245,45 @@ def start_pipeline(
         .foreachBatch(pipeline.apply_batch)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{job.interval_s} seconds")
-    return writer.start()
+    query = writer.start()
+    _STARTED[query.id] = (job, store, checkpoint)
+    return query
+
+
+# jobs started here by the id of their query: what an immediate stop needs to know of them
+_STARTED: dict[str, tuple[JobConfig, SnapshotStore, str]] = {}
+
+
+def _numbered(spark: SparkSession, path: str, field: str) -> DataFrame:
+    """``(n, value)`` of the files of a checkpoint log that are named by batch number and hold JSON lines with ``field``."""
+    try:
+        lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("file"), "value")
+    except AnalysisException:
+        return spark.createDataFrame([], "n bigint, value string")
+    lines = lines.filter(F.get_json_object("value", f"$.{field}").isNotNull())
+    return lines.select(F.regexp_extract("file", r"^\d+", 0).try_cast("bigint").alias("n"), "value")
+
+
+def unapplied_rows(spark: SparkSession, job: JobConfig, store: SnapshotStore, checkpoint: str, stream: str) -> DataFrame:
+    """Messages of a file log that the stopped query ``stream`` has not applied, whether they were planned already or not.
+
+    Spark's checkpoint lists the files of every planned batch and the batches that ended; a batch that the store has published is applied
+    even if Spark could not note its end any more.
+    """
+    ended = _numbered(spark, f"{checkpoint}/commits", "nextBatchWatermarkMs").agg(F.max("n")).first()[0]
+    published = store.published().filter(F.col("stream_id") == stream).agg(F.max("batch_id")).first()[0]
+    last = max((n for n in (ended, published) if n is not None), default=-1)
+    planned = _numbered(spark, f"{checkpoint}/offsets", "logOffset").filter(F.col("n") <= last)
+    upto = planned.agg(F.max(F.get_json_object("value", "$.logOffset").cast("bigint"))).first()[0]
+    taken = _numbered(spark, f"{checkpoint}/sources/0", "path")
+    taken = taken.filter(F.get_json_object("value", "$.batchId").cast("bigint") <= (-1 if upto is None else upto))
+    plain = lambda c: F.regexp_replace(F.url_decode(F.regexp_replace(c, r"\+", "%2B")), "^file:/+", "/")
+    taken = taken.select(plain(F.get_json_object("value", "$.path")).alias("_file")).distinct()
+    log = spark.read.schema(ENVELOPE_SCHEMA).format(job.source).load(job.path).withColumn("_file", plain(F.col("_metadata.file_path")))
+    left = wanted_partitions(log.join(taken, "_file", "left_anti").drop("_file"), job)
+    if start_position(job.mode)[0] not in ("start", "committed"):
+        left = from_positions(left, _stored_positions(spark, job, f"{checkpoint}-start"))
+    return left
 
 
 def _stored_positions(spark: SparkSession, job: JobConfig, path: str) -> DataFrame:
@@ -245,19 +343,26 @@ def run_until_idle(query: StreamingQuery, idle_s: float, poll_s: float = 0.5) ->
 def stop(query: StreamingQuery, mode: str, pending: DataFrame | None = None, unload_dir: str | None = None) -> None:
     """``normal`` applies everything available, ``immediate`` archives what is left, ``abort`` drops it.
 
-    ``pending``: the not yet applied part of the log, for ``immediate`` (see ``pending_rows``).
+    ``immediate`` finds the messages of a file log that are not applied by itself (``unapplied_rows``) and archives them under the job's
+    ``unload_dir``, in the folder ``unapplied``; ``pending`` overrides what is found, ``unload_dir`` the folder. A Kafka log keeps them itself:
+    there the rows must be given.
     """
     if mode == "normal":
         query.processAllAvailable()
         query.stop()
     elif mode == "immediate":
         query.stop()
+        job, store, checkpoint = _STARTED.get(query.id, (None, None, None))
+        if pending is None and job is not None and job.source != "kafka":
+            pending = unapplied_rows(store.spark, job, store, checkpoint, query.id)
+            unload_dir = unload_dir or f"{job.unload_dir}/unapplied"
         if pending is not None and unload_dir:
             write_unload(pending, unload_dir, reason="unapplied")
     elif mode == "abort":
         query.stop()
     else:
         raise ValueError(f"stop mode must be normal, immediate or abort, not {mode!r}")
+    _STARTED.pop(query.id, None)
 
 
 def pending_rows(log: DataFrame, applied: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from replay import random_log, replay
 from changeflow.model import TableSpec
 from changeflow.operators.apply import merge_batch
 from changeflow.operators.bind import typed_changes
-from changeflow.operators.keychange import key_change_outcomes, net_batch
+from changeflow.operators.keychange import key_change_lineage, key_change_outcomes, net_batch
 from changeflow.operators.net import net_changes, net_lineage, net_rejects
 
 SPEC = TableSpec.of(
@@ -141,3 +141,32 @@ def test_old_value_comes_from_first_update(spark):
     row = net_changes(changes, SPEC, with_old=True).select("c_c2.cur", "c_c2.old", "c_c3", "n_events").collect()
     assert [tuple(r) for r in row] == [("c", "a", None, 2)]
     assert len(log) == 2
+
+
+def lineage_replay(table, log):
+    """Key -> offsets behind it: (row there, or None if unknown; offsets)."""
+    keys = {k: (True, []) for k in table}
+    for o, (op, old, new, _) in enumerate(log):
+        there, history = keys.get(old, (None, []))
+        if op in "ID":
+            keys[new] = (op == "I", history + [o])
+        elif op == "U" and there is not False:
+            keys[new] = (there, history + [o])
+        elif op == "K" and there and not keys.get(new, (None, []))[0]:
+            keys[new] = (True, keys.get(new, (None, []))[1] + history + [o])
+            keys[old] = (False, [o])
+    return {k: sorted(set(h)) for k, (_, h) in keys.items() if h}
+
+
+@pytest.mark.parametrize("ops", ["IUD", "IUKD", "KKKU", "KKKKID"])
+def test_lineage_follows_rows_through_key_changes(spark, ops):
+    rng = random.Random(11 + len(ops))
+    tables = seeds(rng, 200, 6)
+    logs = [random_log(rng, rng.randrange(1, 25), 6, ops) for _ in tables]
+    found = {}
+    for r in key_change_lineage(to_changes(spark, logs), SPEC, to_snapshot(spark, tables)).collect():
+        g, o = divmod(r["offset"], 1000)
+        assert r["d_g"] == g and r["op"] == logs[g][o][0]
+        found.setdefault((g, r["d_c1"]), []).append(o)
+    want = {(g, k): h for g, (t, log) in enumerate(zip(tables, logs)) for k, h in lineage_replay(t, log).items()}
+    assert {k: sorted(h) for k, h in found.items()} == want

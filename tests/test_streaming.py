@@ -180,3 +180,59 @@ def test_compaction_keeps_the_table(spark, tmp_path):
     assert rows(store.read(ONEKEY)) == before
     pipeline.apply_batch(envelope(spark, [ctrl("D", (0, ..., 23))]), 4)
     assert [r for r in rows(store.read(ONEKEY)) if r[0] >= 20] == []
+
+
+def test_released_partition_goes_on(spark, tmp_path):
+    store, job = setup(spark, tmp_path, ONEKEY, [])
+    pipeline = Pipeline(spark, job, store, on_error="hold")
+    keys = lambda: [r[0] for r in rows(store.read(ONEKEY))]
+    log = envelope(spark, [ins(1, "a", "b"), "rubbish", ins(2, "a", "b"), "rubbish", ins(3, "a", "b"), ins(4, "a", "b")])
+    pipeline.apply_batch(log.filter("offset < 5"), 0)
+    pipeline.apply_batch(log.filter("offset >= 5"), 1)
+    assert keys() == [1]
+    topic, partition = log.select("topic", "partition").first()
+    # a free partition has nothing to release
+    assert pipeline.release(topic, partition + 1)
+    # not repaired: held at the same place, nothing applied
+    assert not pipeline.release(topic, partition) and keys() == [1]
+    # the first error repaired: applied up to the second one
+    mended = envelope(spark, [ins(8, "a", "b"), ins(9, "a", "b")]).withColumn("offset", F.col("offset") * 2 + 1)
+    assert not pipeline.release(topic, partition, mended.filter("offset = 1"))
+    assert keys() == [1, 2, 8]
+    assert sorted(r["offset"] for r in pipeline.parked(topic, partition).collect()) == [3, 4, 5]
+    # the second one left out; what comes later is applied again
+    assert pipeline.release(topic, partition, skip=spark.createDataFrame([(3,)], "offset bigint"))
+    assert keys() == [1, 2, 3, 4, 8] and pipeline.holds().isEmpty()
+    pipeline.apply_batch(envelope(spark, [ins(7, "a", "b")]).withColumn("offset", F.lit(20).cast("bigint")), 2)
+    assert keys() == [1, 2, 3, 4, 7, 8]
+    # and held anew after the next error
+    pipeline.apply_batch(envelope(spark, ["rubbish", ins(30, "a", "b")]).withColumn("offset", F.col("offset") + 30), 3)
+    assert [r["first_bad"] for r in pipeline.holds().collect()] == [30] and 30 not in keys()
+
+
+def test_release_that_broke_off_is_applied_once(spark, tmp_path):
+    store, job = setup(spark, tmp_path, ONEKEY, [])
+    pipeline = Pipeline(spark, job, store, on_error="hold")
+    log = envelope(spark, ["rubbish", ins(2, "a", "b")])
+    pipeline.apply_batch(log, 0)
+    topic, partition = log.select("topic", "partition").first()
+    note, pipeline._log_holds = pipeline._log_holds, lambda rows: 1 / 0
+    with pytest.raises(ZeroDivisionError):
+        pipeline.release(topic, partition, envelope(spark, [ins(1, "a", "b")]))
+    pipeline._log_holds = note
+    assert pipeline.release(topic, partition, envelope(spark, [ins(1, "a", "b")]))
+    assert [r[0] for r in rows(store.read(ONEKEY))] == [1, 2]
+    assert store.published().filter("stream_id like 'release%'").select("commit_seq").distinct().count() == 1
+
+
+def test_immediate_stop_finds_what_is_left(spark, tmp_path):
+    store, job = setup(spark, tmp_path, ONEKEY, [])
+    write_log(spark, [ins(i, "a", "b") for i in range(3)], job.path)
+    query = start_pipeline(spark, job, store, str(tmp_path / "offsets"), available_now=True)
+    query.awaitTermination()
+    late = envelope(spark, [ins(i, "a", "b") for i in range(3, 6)]).withColumn("offset", F.col("offset") + 3)
+    late.withColumn("key", F.lit(None).cast("binary")).write.mode("append").parquet(job.path)
+    stop(query, "immediate")
+    saved = spark.read.parquet(f"{job.unload_dir}/unapplied")
+    assert sorted((r["offset"], r["reason"]) for r in saved.collect()) == [(i, "unapplied") for i in (3, 4, 5)]
+    assert [r[0] for r in rows(store.read(ONEKEY))] == [0, 1, 2]
