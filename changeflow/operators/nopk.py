@@ -4,8 +4,10 @@ An update matches on the old values the message carries (NULL matches NULL); a d
 and plain equality, so a NULL old value matches nothing. Equal rows are kept as one row with a count.
 
 A batch is replayed in waves: every row looks up the first later change that matches it, takes the
-change, and looks again. Only rows that were hit take part in the next wave. All lookups are chunked scans by
-match key, so neither a row with many copies nor a change that is repeated a lot lands in one task.
+change, and looks again. Only rows that were hit take part in the next wave. Rows ask by match key and by the place in the log where
+they are. Only the distinct questions are looked up, in chunked scans, and rows fetch the answers by an equi-join that is salted by the row.
+So neither rows with one match key, nor a row with many copies, nor a change that is repeated a lot lands in one task. The sets of
+compared columns are data of that join, not joins of their own.
 
 An update that compares all columns has the same outcome for every row it hits, so its own successor is
 known. Chains of such updates are joined up beforehand by pointer jumping, in a logarithmic number of
@@ -27,6 +29,8 @@ from changeflow.session import cut_lineage
 
 # Copies of one row written out by a single task.
 COPIES_PER_BLOCK = 1024
+# tasks that the rows of one match key are dealt to
+SPREAD = 16
 
 
 def collapse(rows: DataFrame, spec: TableSpec) -> DataFrame:
@@ -35,12 +39,12 @@ def collapse(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def expand(collapsed: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows with ``n`` -> ``n`` equal rows, in blocks so that a large count stays spread out."""
+    """Rows with ``n`` -> ``n`` equal rows, in blocks that are dealt out between tasks, so that a large count stays spread out."""
     last_block = F.floor((F.col("n") - 1) / COPIES_PER_BLOCK)
     in_block = F.least(F.lit(COPIES_PER_BLOCK).cast("bigint"), F.col("n") - F.col("_b") * COPIES_PER_BLOCK)
+    blocks = collapsed.filter(F.col("n") > 0).withColumn("_b", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
     return (
-        collapsed.filter(F.col("n") > 0)
-        .withColumn("_b", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
+        blocks.repartition(*spec.column_names, "_b")
         .withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), in_block)))
         .select(*spec.column_names)
     )
@@ -157,20 +161,6 @@ def replay_nopk(
     if not signatures:
         return snapshot.select(*names).unionByName(inserts.select(*names))
 
-    # snapshot rows that no change can match stay out of it
-    stored = collapse(snapshot, spec)
-    for i, sig in enumerate(signatures):
-        hits = (
-            changes.filter(F.transform("match", lambda m: m != "") == F.array(*[F.lit(n in sig) for n in names]))
-            .select(F.col("match").alias("_m"), F.lit(True).alias(f"_hit{i}"))
-            .distinct()
-        )
-        stored = (
-            stored.withColumn("_m", _match_key(spec, {n: F.col(n) for n in sig}))
-            .join(hits, "_m", "left")
-            .drop("_m")
-        )
-    touched = reduce(lambda a, b: a | b, [F.coalesce(F.col(f"_hit{i}"), F.lit(False)) for i in range(len(signatures))])
     begin = F.struct(
         F.lit("").alias("topic"), F.lit(-1).alias("partition"),
         F.lit(-1).cast("bigint").alias("offset"), F.lit(-1).alias("item"),
@@ -178,8 +168,8 @@ def replay_nopk(
     first_chunk = F.struct(
         F.lit("").alias("topic"), F.lit(-1).alias("partition"), F.lit(-1).cast("bigint").alias("block")
     )
-    waiting = stored.filter(touched).select(*names, begin.alias("seq"), first_chunk.alias("chunk"), "n")
-    done = [stored.filter(~touched).select(*names, "n")]
+    waiting = collapse(snapshot, spec).select(*names, begin.alias("seq"), first_chunk.alias("chunk"), "n")
+    done = []
 
     chains = _chains(changes, signatures, spec)
     # inserts of one batch are distinct in seq, so they join the waves as they are
@@ -199,25 +189,33 @@ def _wave(active: DataFrame, changes: DataFrame, signatures: list[list[str]], sp
     looking = active.select(
         *names, "n", "seq", "chunk",
         F.explode(F.array_distinct(keys)).alias("match"),
-        F.struct("seq", F.lit(1).alias("rank")).alias("pos"),
+        F.pmod(F.xxhash64(*names), F.lit(SPREAD)).cast("int").alias("salt"),
     )
+    asked = looking.select("match", "seq", "chunk").distinct().withColumn("pos", F.struct("seq", F.lit(1).alias("rank")))
     effect = F.struct("seq", "chunk", "op", "full", *[f"v_{n}" for n in names])
     candidates = changes.select(
         "match", "chunk", F.struct("seq", F.lit(0).alias("rank")).alias("pos"), effect.alias("effect")
     )
-    both = looking.withColumn("effect", F.lit(None).cast(candidates.schema["effect"].dataType)).unionByName(
+    both = asked.withColumn("effect", F.lit(None).cast(candidates.schema["effect"].dataType)).unionByName(
         candidates, allowMissingColumns=True
     )
     found = carry_previous(
         both, ["match"], F.col("effect"), F.col("effect").isNotNull(), "hit", seq="pos", forward=True
     )
+    answers = found.filter(F.col("effect").isNull() & F.col("hit").isNotNull()).select("match", "seq", "hit")
     return (
-        found.filter(F.col("effect").isNull())
+        _fetch(looking, answers)
         .groupBy(*names, "seq", "chunk", "n")
         .agg(F.min_by("hit", "hit.seq").alias("hit"))
     )
 
 
+def _fetch(looking: DataFrame, answers: DataFrame) -> DataFrame:
+    """Rows and the answer to each of their questions; rows of one match key are dealt to ``SPREAD`` tasks."""
+    salted = answers.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    return looking.join(salted, ["match", "seq", "salt"], "left")
+
+
 def _chains(changes: DataFrame, signatures: list[list[str]], spec: TableSpec) -> DataFrame:
     """For every full update (``_id``): ``seq``, ``chunk`` and row of the last full update it leads to."""
     names = spec.column_names

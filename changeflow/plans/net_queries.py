@@ -540,3 +540,33 @@ def nopk_insert_only(spark, d):
     """Equal rows are never collapsed."""
     events = _segment_events(spark, d, [("I", _is(F.col("n_nationkey")), _is(F.col("n_name")), None, None)])
     return nopk.replay_nopk(_segment_rows(spark, d), events, SEGMENTS)
+
+
+TRADE = TableSpec.of("S", "TRADE", {"nation": "SIGNED INTEGER", "segment": "VARCHAR", "state": "VARCHAR"})
+
+
+@query(
+    "nopk_partial_hot",
+    """SELECT c_nationkey AS nation, CASE c_mktsegment WHEN 'BUILDING' THEN 'B2' ELSE c_mktsegment END AS segment, 'DONE' AS state
+FROM customer""",
+)
+def nopk_partial_hot(spark, d):
+    """Updates that compare one column and hit every row, before and after one that compares two: all rows have one match key."""
+    rows = _segment_rows(spark, d).withColumn("state", F.lit("OPEN"))
+
+    def cell(cur, old):
+        text = lambda v: F.lit(v).cast("string")
+        return F.struct(text(cur).alias("cur"), text(old).alias("old"), F.lit(cur is not None).alias("has_cur"), F.lit(old is not None).alias("has_old"))
+
+    steps = [
+        {"state": ("CLOSED", "OPEN")},
+        {"segment": ("B2", "BUILDING"), "state": (None, "CLOSED")},
+        {"state": ("DONE", "CLOSED")},
+    ]
+    of_step = [F.map_from_arrays(F.array(*map(F.lit, s)), F.array(*[cell(*v) for v in s.values()])) for s in steps]
+    region = F.col("r_regionkey").cast("int")
+    events = logs.table(spark, d, "region").filter(region < len(steps)).select(
+        F.lit("t").alias("topic"), F.lit(0).alias("partition"), region.cast("bigint").alias("offset"), F.lit(0).alias("item"),
+        F.lit("U").alias("op"), F.get(F.array(*of_step), region).alias("cols"), F.lit(None).cast("struct<code:string,detail:string>").alias("error"),
+    )
+    return nopk.replay_nopk(rows, events, TRADE)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from changeflow.model import TableSpec
-from changeflow.operators.nopk import COPIES_PER_BLOCK, expand, replay_nopk
+from changeflow.operators.nopk import COPIES_PER_BLOCK, SPREAD, _fetch, expand, replay_nopk
 
 SPEC = TableSpec.of("S", "N", {"g": "SIGNED INTEGER", "a": "VARCHAR", "b": "VARCHAR"})
 NAMES = ("g", "a", "b")
@@ -102,3 +102,17 @@ def test_many_copies_are_written_in_blocks(spark):
     one = spark.range(1).select(F.lit(1).alias("g"), F.lit("a").alias("a"), F.lit(None).cast("string").alias("b"), F.lit(n).cast("bigint").alias("n"))
     assert expand(one, SPEC).count() == n
     assert expand(one.withColumn("n", F.lit(COPIES_PER_BLOCK).cast("bigint")), SPEC).count() == COPIES_PER_BLOCK
+
+
+def test_rows_of_one_match_key_are_dealt_to_several_tasks(spark):
+    looking = spark.range(400).select(F.col("id"), F.lit("m").alias("match"), F.lit(0).alias("seq"), F.pmod(F.xxhash64("id"), F.lit(SPREAD)).cast("int").alias("salt"))
+    answers = spark.createDataFrame([("m", 0, "x"), ("n", 0, "y")], "match string, seq int, hit string")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = _fetch(looking, answers).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(got) == 400 and {r["hit"] for r in got} == {"x"}
+    assert len({r["task"] for r in got}) > 4
