@@ -1,7 +1,7 @@
 """Chat formatting with typed content parts.
 
-A turn holds ordered parts: text, image, audio or document. A visitor flattens them in order: text is escaped, every
-other part becomes a numbered placeholder, an attachment record with its reference, and a count of the tokens that it will be
+A turn holds ordered parts: text, image, audio or document. A visitor flattens them in order: a run of texts is escaped as one string
+(or two texts could make a control string between them), every other part becomes a numbered placeholder, an attachment record with its reference, and a count of the tokens that it will be
 expanded to. Turns are framed by control strings; what looks like one inside a text is escaped, so that a
 formatted conversation can be read back exactly. Formatting works row by row: a conversation is never gathered in memory.
 """
@@ -49,8 +49,27 @@ class PartVisitor:
 
     TYPES = ("text", "image", "audio", "document")
 
+    def unknown(self, part: Column) -> Column:
+        return F.raise_error(F.concat(F.lit("unknown part type: "), F.coalesce(part["type"], F.lit("null"))))
+
+    def flattened(self, parts: Column) -> Column:
+        """Escaped runs of texts and numbered placeholders in order; unknown and null types are an error here too."""
+        empty = F.struct(F.lit("").alias("done"), F.lit("").alias("run"), F.lit(0).alias("n"))
+
+        def add(state, part):
+            text, other = part["type"].eqNullSafe("text"), part["type"].isin(*self.TYPES)
+            mark = F.concat(F.lit(OPEN), part["type"], F.lit("_"), (state["n"] + 1).cast("string"), F.lit("|>"))
+            mark = F.when(F.coalesce(other, F.lit(False)), mark).otherwise(self.unknown(part).cast("string"))
+            return F.struct(
+                F.when(text, state["done"]).otherwise(F.concat(state["done"], escaped(state["run"]), mark)).alias("done"),
+                F.when(text, F.concat(state["run"], F.coalesce(part["text"], F.lit("")))).otherwise("").alias("run"),
+                F.when(text, state["n"]).otherwise(state["n"] + 1).alias("n"),
+            )
+
+        return F.aggregate(parts, empty, add, lambda state: F.concat(state["done"], escaped(state["run"])))
+
     def visit(self, part: Column) -> Column:
-        out = F.raise_error(F.concat(F.lit("unknown part type: "), F.coalesce(part["type"], F.lit("null")))).cast("long")
+        out = self.unknown(part).cast("long")
         for name in reversed(self.TYPES):
             out = F.when(part["type"] == name, getattr(self, name)(part)).otherwise(out)
         return out
@@ -81,17 +100,7 @@ def format_turns(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
         F.coalesce(parts, F.array().cast(PARTS)).alias("parts"),
     )
     others = F.filter("parts", lambda p: ~p["type"].eqNullSafe("text"))
-    # the ordinal of a placeholder is the number of attachments up to it
-    ordinal = lambda i: F.size(F.filter(F.slice("parts", F.lit(1), i + 1), lambda q: ~q["type"].eqNullSafe("text")))
-    flat = F.array_join(
-        F.transform(
-            "parts",
-            lambda p, i: F.when(p["type"].eqNullSafe("text"), escaped(F.coalesce(p["text"], F.lit("")))).otherwise(
-                F.concat(F.lit(OPEN), p["type"], F.lit("_"), ordinal(i).cast("string"), F.lit("|>"))
-            ),
-        ),
-        "",
-    )
+    flat = visitor.flattened(F.col("parts"))
     attachments = F.transform(
         others, lambda p, i: F.struct((i + 1).cast("int").alias("ordinal"), p["type"].alias("type"), p["ref"].alias("ref"), visitor.visit(p).alias("tokens"))
     )
@@ -110,55 +119,77 @@ def format_turns(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
 FRAME = re.compile(re.escape(START) + r"((?:\\.|[^\\\n])*)\n(.*)" + re.escape(END) + "\n", re.S)
 
 
-def parse_segment(segment: str) -> tuple[str, str]:
-    """Role and text of a framed turn; the text has its placeholders as they stand."""
+# in an escaped text this cannot occur
+PLACEHOLDER = re.compile(r"<\|([a-z]+)_([0-9]+)\|>")
+
+
+def parse_segment(segment: str) -> tuple[str, list[tuple[str, str | int]]]:
+    """Role and parts of a framed turn: ``("text", text)``, or type and ordinal of an attachment. Adjacent texts are one, empty ones are none."""
     m = FRAME.fullmatch(segment)
     if not m:
         raise ValueError("not a framed turn")
-    return unescaped(m[1]), unescaped(m[2])
+    pieces = PLACEHOLDER.split(m[2])
+    parts: list[tuple[str, str | int]] = []
+    for i in range(0, len(pieces), 3):
+        if pieces[i]:
+            parts.append(("text", unescaped(pieces[i])))
+        if i + 1 < len(pieces):
+            parts.append((pieces[i + 1], int(pieces[i + 2])))
+    return unescaped(m[1]), parts
 
 
 def _digests(batches):
     """Segments come sorted by conversation; one running state is kept, so a conversation may be of any length."""
     import pyarrow as pa
 
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_attachments", "expanded_tokens"]
 
     def batch_of(done):
-        types = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+        types = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], t) for i, t in enumerate(types)], names=names)
 
     at, state = None, None
 
     def closed():
-        conv, n, turns, chars, loss, formatted = state
-        return conv, n, turns.hexdigest(), chars, loss.hexdigest(), formatted
+        conv, n, turns, chars, loss, *sums = state
+        return conv, n, turns.hexdigest(), chars, loss.hexdigest(), *sums
 
     for batch in batches:
         done = []
-        columns = (batch.column(c).to_pylist() for c in ("conv_id", "segment", "loss_start", "loss_end"))
-        for conv, segment, begin, end in zip(*columns):
+        columns = (batch.column(c).to_pylist() for c in ("conv_id", "segment", "loss_start", "loss_end", "expanded_tokens"))
+        for conv, segment, begin, end, tokens in zip(*columns):
             if at != (conv,):
                 if state:
                     done.append(closed())
-                at, state = (conv,), [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-            role, text = parse_segment(segment)
+                at, state = (conv,), [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, 0]
+            role, parts = parse_segment(segment)
+            text = "".join(x if kind == "text" else f"{OPEN}{kind}_{x}|>" for kind, x in parts)
             state[1] += 1
             state[2].update(f"{role}\n{text}\n".encode())
             masked = unescaped(segment[begin:end])
             state[3] += len(masked)
             state[4].update(masked.encode())
             state[5] += len(segment)
+            state[6] += sum(kind != "text" for kind, _ in parts)
+            state[7] += tokens
         yield batch_of(done)
     if state:
         yield batch_of([closed()])
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests of every conversation, read from the formatted turns: ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars``."""
+    """Digests of every conversation, read from the formatted turns, and its attachments.
+
+    ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_attachments, expanded_tokens``; attachments stand in the
+    digests by their placeholders.
+    """
+    schema = (
+        "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, "
+        "n_attachments long, expanded_tokens long"
+    )
     return (
-        formatted.select(F.col("conv_id").cast("long"), "turn", "segment", "loss_start", "loss_end")
+        formatted.select(F.col("conv_id").cast("long"), "turn", "segment", "loss_start", "loss_end", "expanded_tokens")
         .repartition("conv_id")
         .sortWithinPartitions("conv_id", "turn", "segment")
-        .mapInArrow(_digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+        .mapInArrow(_digests, schema)
     )

@@ -183,7 +183,8 @@ e AS (SELECT *, replace(replace(text, '\\', '\\\\'), '<|', '<\\|') AS esc, repla
 SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, text)) AS turns_sha256,
        CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, text), '')) AS loss_sha256,
-       CAST(sum(length('<|im_start|>') + length(esc_role) + 1 + length(esc) + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
+       CAST(sum(length('<|im_start|>') + length(esc_role) + 1 + length(esc) + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars,
+       CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS expanded_tokens
 FROM e GROUP BY conv_id
 """
 
