@@ -27,3 +27,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
         labels = jumped.select("node", F.col("next").alias("root"))
         if not moved:
             return labels
+
+
+def joined_components(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``labels`` after further ``edges``: only edges between different components are followed, on their roots."""
+    roots = edges
+    for end in ("a", "b"):
+        of = labels.select(F.col("node").alias(end), F.col("root").alias(f"r_{end}"))
+        roots = roots.join(of.hint("merge"), end, "left").withColumn(f"r_{end}", F.coalesce(f"r_{end}", end))
+    above = connected_components(roots.select(F.col("r_a").alias("a"), F.col("r_b").alias("b")).filter("a != b"))
+    up = above.select(F.col("node").alias("root"), F.col("root").alias("up"))
+    known = labels.join(up.hint("merge"), "root", "left").select("node", F.coalesce("up", "root").alias("root"))
+    # nodes that had no link before are roots of their own
+    return cut_lineage(known.union(above.join(labels.select("node").hint("merge"), "node", "left_anti").select("node", "root")))

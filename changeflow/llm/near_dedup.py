@@ -4,11 +4,12 @@ Equal word sequences are one node. A node's signature keeps the low bits of its
 minima give candidates. The share of equal b-bit values, counted with ``bit_count`` and corrected for chance collisions, estimates
 the similarity; candidates that are clearly below the threshold are dropped there, the others are confirmed on full shingle sets.
 
-Only links that join components are needed. Each band's bucket first links its members to its smallest node, then those of other
-components to the member nearest to the bucket's consensus, so a group of n copies costs n candidates per band. What is
+Only links that join components are needed. Each band's bucket links its members to the one nearest to the bucket's consensus, so a
+group of n copies costs n candidates per band; a large bucket has several such members, which are linked to its smallest node. What is
 left are buckets whose members are in several components although no link may be missing. To be sure, their members get a
 signature of more hash functions, and pairs across components are compared on it in pairs of blocks inside the tasks; the few
-pairs that come close to the threshold are confirmed on full sets.
+pairs that come close to the threshold are confirmed on full sets. Links found there only join components, so they are followed on the
+components' roots.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.llm.common import WordHashes, cut_lineage, mixed, raw_texts, shingles, words_of
-from changeflow.llm.components import connected_components
+from changeflow.llm.components import connected_components, joined_components
 
 HASHES, BANDS, BITS = 128, 32, 4
 PER_LONG = 64 // BITS
@@ -112,14 +113,14 @@ def similarity_estimate(a: Column, b: Column) -> Column:
 
 def _routes(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Where each text goes: a member to its head's task, a head to each of the tasks its members are split over."""
-    sizes = cut_lineage(pairs.groupBy("head").agg(F.ceil(F.count(F.lit(1)) / PER_TASK_HEAD).cast("int").alias("parts")))
+    sizes = pairs.groupBy("head").agg(F.ceil(F.count(F.lit(1)) / PER_TASK_HEAD).cast("int").alias("parts"))
     members = pairs.join(sizes.hint("merge"), "head").select(
         "head", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), "node"
     )
     heads = sizes.select(
         "head", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), F.col("head").alias("node")
     )
-    return cut_lineage(members.union(heads).join(nodes.select("node", "doc_id", "text_hash").hint("merge"), "node"))
+    return members.union(heads).join(nodes.select("node", "doc_id", "text_hash").hint("merge"), "node")
 
 
 def _confirm(batches):
@@ -194,20 +195,22 @@ def _runs(batches, key_columns, columns):
 
 
 def _to_pivot(batches):
-    """Links members of a bucket to the member that agrees with most of the others, unless they are of its component."""
+    """Links members of a bucket, or of a part of a large one, to the member that agrees with most of the others, and that one to the smallest."""
     near = THRESHOLD_PERCENT / 100 - MARGIN
     at, pivot = None, None
     shifts = np.arange(PER_LONG, dtype=np.uint64) * np.uint64(BITS)
-    for key, rows in _runs(batches, ("band", "part"), ("node", "root", "sig")):
+    for key, rows in _runs(batches, ("band", "part"), ("node", "head", "sig")):
         sigs = np.array([r[2] for r in rows], dtype=np.int64).view(np.uint64)
         if key != at:
             at, some = key, sigs[:PIVOT_SAMPLE]
-            values = ((some[:, :, None] >> shifts) & np.uint64(2**BITS - 1)).reshape(len(some), -1)
-            common = np.array([np.bincount(column, minlength=2**BITS).argmax() for column in values.T.astype(np.int64)])
-            i = int((values == common).sum(axis=1).argmax())
-            pivot = (*rows[i][:2], sigs[i])
-        close = estimates(sigs, pivot[2]) >= near
-        yield _pair_batch([(pivot[0], r[0]) for r, c in zip(rows, close) if c and r[1] != pivot[1]])
+            i = 0
+            if len(some) > 2:
+                values = ((some[:, :, None] >> shifts) & np.uint64(2**BITS - 1)).reshape(len(some), -1)
+                common = np.array([np.bincount(column, minlength=2**BITS).argmax() for column in values.T.astype(np.int64)])
+                i = int((values == common).sum(axis=1).argmax())
+            pivot, first = (rows[i][0], sigs[i]), [(rows[i][1], rows[i][0])] if rows[i][0] != rows[i][1] else []
+        close = estimates(sigs, pivot[1]) >= near
+        yield _pair_batch(first + [(pivot[0], r[0]) for r, c in zip(rows, close) if c and r[0] != pivot[0]])
 
 
 def _across(batches):
@@ -261,14 +264,14 @@ def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
     """``(band, node, root, n)`` of the buckets whose nodes are in several components; n: nodes of the bucket."""
     labelled = cut_lineage(members.join(labels.hint("merge"), "node", "left").select("band", "node", F.coalesce("root", "node").alias("root")))
     several = labelled.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("n"))
-    return cut_lineage(labelled.join(cut_lineage(several.filter("r0 != r1").select("band", "n")).hint("merge"), "band"))
+    return cut_lineage(labelled.join(several.filter("r0 != r1").select("band", "n").hint("merge"), "band"))
 
 
 def pivot_pairs(rows: DataFrame, sigs: DataFrame) -> DataFrame:
     parts = rows.withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / PIVOT_ROWS)).cast("int"))
     return cut_lineage(
         parts.join(sigs.hint("merge"), "node")
-        .select("band", "part", "node", "root", "sig")
+        .select("band", "part", "node", "head", "sig")
         .repartition("band", "part")
         .sortWithinPartitions("band", "part", "node")
         .mapInArrow(_to_pivot, "head binary, node binary")
@@ -278,7 +281,7 @@ def pivot_pairs(rows: DataFrame, sigs: DataFrame) -> DataFrame:
 
 def leftover_pairs(rows: DataFrame, nodes: DataFrame, tested: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Untested pairs of different components that share a bucket and are close by their finer signatures."""
-    places = cut_lineage(rows.select("node").distinct().join(nodes.select("node", "doc_id", "text_hash").hint("merge"), "node"))
+    places = rows.select("node").distinct().join(nodes.select("node", "doc_id", "text_hash").hint("merge"), "node")
     fine = with_texts(places, docs, id_col, text_col).select("node", "text").mapInArrow(_fine, "node binary, fine array<long>")
     fine = fine.dropDuplicates(["node"])
     # the low halves of the band keys tell in which buckets two nodes meet
@@ -315,33 +318,18 @@ def node_components(sign: DataFrame, docs: DataFrame, id_col: str, text_col: str
         .select("node", F.col("pick.doc_id").alias("doc_id"), F.col("pick.text_hash").alias("text_hash"), "sig", "bands")
     )
     rows = nodes.select("node", F.explode("bands").alias("band"))
-    heads = cut_lineage(rows.groupBy("band").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
+    heads = rows.groupBy("band").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = cut_lineage(rows.join(heads.hint("merge"), "band"))
-    pairs = cut_lineage(members.filter(F.col("node") != F.col("head")).select("head", "node").distinct())
-    sigs = nodes.select("node", "sig")
-    near = similarity_estimate(F.col("sig"), F.col("h_sig")) >= THRESHOLD_PERCENT / 100 - MARGIN
-    close = cut_lineage(
-        pairs.join(sigs.hint("merge"), "node")
-        .join(sigs.select(F.col("node").alias("head"), F.col("sig").alias("h_sig")).hint("merge"), "head")
-        .filter(near)
-        .select("head", "node")
-    )
-    links = confirmed(close, nodes, docs, id_col, text_col)
-    labels = connected_components(links)
+    pairs = pivot_pairs(members, nodes.select("node", "sig"))
+    labels = connected_components(confirmed(pairs, nodes, docs, id_col, text_col))
     rows = open_members(members.select("band", "node"), labels)
     if rows.isEmpty():
         return labels
-    more = pivot_pairs(rows, sigs)
-    links = cut_lineage(links.union(confirmed(more, nodes, docs, id_col, text_col)))
-    labels = connected_components(links)
-    rows = open_members(rows.select("band", "node"), labels)
-    if rows.isEmpty():
-        return labels
-    ordered = more.select(F.least("head", "node").alias("head"), F.greatest("head", "node").alias("node"))
-    rest = leftover_pairs(rows, nodes, pairs.union(ordered), docs, id_col, text_col)
+    tested = pairs.select(F.least("head", "node").alias("head"), F.greatest("head", "node").alias("node"))
+    rest = leftover_pairs(rows, nodes, tested, docs, id_col, text_col)
     if rest.isEmpty():
         return labels
-    return connected_components(links.union(confirmed(rest, nodes, docs, id_col, text_col)))
+    return joined_components(labels, confirmed(rest, nodes, docs, id_col, text_col))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

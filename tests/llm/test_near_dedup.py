@@ -4,7 +4,7 @@ import pytest
 from llm_helpers import ODD, docs_of, shingle_set
 
 from changeflow.llm import near_dedup
-from changeflow.llm.components import connected_components
+from changeflow.llm.components import connected_components, joined_components
 from changeflow.llm.near_dedup import near_duplicates, without_near_duplicates
 
 
@@ -74,3 +74,14 @@ def test_long_chain(spark):
     edges = spark.createDataFrame([(bytes([i]), bytes([i + 1])) for i in range(40)] + [(b"\xf0", b"\xf1")], "a binary, b binary")
     got = {bytes(r.node): bytes(r.root) for r in connected_components(edges).collect()}
     assert got == {bytes([i]): b"\0" for i in range(41)} | {b"\xf0": b"\xf0", b"\xf1": b"\xf0"}
+
+
+def test_further_edges_join_components(spark):
+    rng = random.Random(5)
+    n = lambda i: bytes([i // 256, i % 256])
+    edges = [(n(rng.randrange(300)), n(rng.randrange(300))) for _ in range(250)]
+    frame = lambda e: spark.createDataFrame([x for x in e if x[0] != x[1]], "a binary, b binary")
+    labels = joined_components(connected_components(frame(edges[:120])), frame(edges[120:]))
+    got = {bytes(r.node): bytes(r.root) for r in labels.collect()}
+    want = {bytes(r.node): bytes(r.root) for r in connected_components(frame(edges)).collect()}
+    assert got == want
