@@ -12,6 +12,9 @@ compared columns are data of that join, not joins of their own.
 An update that compares all columns has the same outcome for every row it hits, so its own successor is
 known. Chains of such updates are joined up beforehand by pointer jumping, in a logarithmic number of
 rounds, and a row takes a whole chain in one wave.
+
+What a batch changes is a multiset with signs (``nopk_delta``): copies it takes away and copies it adds. Put on top of the
+counted table it gives the table after the batch, so a store appends it instead of writing the table anew.
 """
 
 from __future__ import annotations
@@ -38,6 +41,11 @@ def collapse(rows: DataFrame, spec: TableSpec) -> DataFrame:
     return rows.groupBy(*spec.column_names).agg(F.count(F.lit(1)).alias("n"))
 
 
+def add_counts(counted: DataFrame, spec: TableSpec) -> DataFrame:
+    """Signed counts of equal rows added up; rows without a copy left are gone. Combined map-side."""
+    return counted.groupBy(*spec.column_names).agg(F.sum("n").alias("n")).filter(F.col("n") != 0)
+
+
 def expand(collapsed: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows with ``n`` -> ``n`` equal rows, in blocks that are dealt out between tasks, so that a large count stays spread out."""
     last_block = F.floor((F.col("n") - 1) / COPIES_PER_BLOCK)
@@ -62,7 +70,7 @@ def _match_key(spec: TableSpec, part: dict[str, Column]) -> Column:
 
 def nopk_changes(events: DataFrame, spec: TableSpec, chunk_offsets: int = CHUNK_OFFSETS) -> DataFrame:
     """Typed updates and deletes: ``seq``, ``chunk``, ``op``, ``match`` (match key), ``v_<column>`` to set,
-    ``full`` (compares all columns) and then the row ``a_<column>`` it leaves."""
+    ``full`` (compares all columns) and then the row ``a_<column>`` it leaves and the ``place`` (hash) of the row it hits."""
     good = events.filter(F.col("error").isNull() & F.col("op").isin("U", "K", "D"))
 
     def cellof(n: str) -> Column:
@@ -97,6 +105,7 @@ def nopk_changes(events: DataFrame, spec: TableSpec, chunk_offsets: int = CHUNK_
         F.when(F.col("op") == "D", "D").otherwise("U").alias("op"),
         match.alias("match"),
         F.forall(match, lambda m: m != "").alias("full"),
+        F.xxhash64(*[old(n) for n in spec.column_names]).alias("place"),
         *sets,
         *after,
     )
@@ -151,16 +160,52 @@ def replay_nopk(
     names = spec.column_names
     changes = cut_lineage(nopk_changes(events, spec, chunk_offsets))
     signatures = _signatures(changes, spec)
+    inserts = _inserts(events, spec, chunk_offsets)
+    if not signatures:
+        return snapshot.select(*names).unionByName(inserts.select(*names))
+    _, done = _replayed(collapse(snapshot, spec), changes, signatures, inserts, spec)
+    return expand(done.select(*names, "n"), spec)
 
+
+def nopk_delta(
+    counted: DataFrame, events: DataFrame, spec: TableSpec, changes: DataFrame | None = None, chunk_offsets: int = CHUNK_OFFSETS
+) -> DataFrame:
+    """What a batch of events changes in a table without a primary key: rows with a signed number of copies ``n``.
+
+    ``counted``: the rows of the table that the batch may hit, with their number of copies ``n`` (not read if the batch only inserts);
+    ``changes``: the result of ``nopk_changes``, if it is there already. Rows that end as they began are left out.
+    """
+    names = spec.column_names
+    if changes is None:
+        changes = cut_lineage(nopk_changes(events, spec, chunk_offsets))
+    signatures = _signatures(changes, spec)
+    inserts = _inserts(events, spec, chunk_offsets)
+    if not signatures:
+        return add_counts(inserts.select(*names, "n"), spec)
+    hit, done = _replayed(counted, changes, signatures, inserts, spec)
+    taken = hit.select(*names, (-F.col("n")).alias("n"))
+    return add_counts(taken.unionByName(done.filter(~_at_begin()).select(*names, "n")), spec)
+
+
+def _at_begin() -> Column:
+    """Rows of the table before the batch, as opposed to rows that the log made."""
+    return F.col("seq.partition") < 0
+
+
+def _inserts(events: DataFrame, spec: TableSpec, chunk_offsets: int) -> DataFrame:
     good = events.filter(F.col("error").isNull() & (F.col("op") == "I"))
-    inserts = good.select(
+    return good.select(
         *[F.try_element_at("cols", F.lit(c.name))["cur"].try_cast(c.dtype).alias(c.name) for c in spec.columns],
         *order_columns(good, chunk_offsets),
         F.lit(1).cast("bigint").alias("n"),
     )
-    if not signatures:
-        return snapshot.select(*names).unionByName(inserts.select(*names))
 
+
+def _replayed(
+    counted: DataFrame, changes: DataFrame, signatures: list[list[str]], inserts: DataFrame, spec: TableSpec
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of the table that the batch hits, as they were, and all rows as the batch leaves them (``seq``: what made them)."""
+    names = spec.column_names
     begin = F.struct(
         F.lit("").alias("topic"), F.lit(-1).alias("partition"),
         F.lit(-1).cast("bigint").alias("offset"), F.lit(-1).alias("item"),
@@ -168,18 +213,20 @@ def replay_nopk(
     first_chunk = F.struct(
         F.lit("").alias("topic"), F.lit(-1).alias("partition"), F.lit(-1).cast("bigint").alias("block")
     )
-    waiting = collapse(snapshot, spec).select(*names, begin.alias("seq"), first_chunk.alias("chunk"), "n")
-    done = []
+    waiting = counted.select(*names, begin.alias("seq"), first_chunk.alias("chunk"), "n")
+    hit, done = None, []
 
     chains = _chains(changes, signatures, spec)
     # inserts of one batch are distinct in seq, so they join the waves as they are
     active = cut_lineage(waiting.unionByName(inserts))
-    while active.limit(1).count() > 0:
+    while hit is None or active.limit(1).count() > 0:
         moved = cut_lineage(_wave(active, changes, signatures, spec))
-        done.append(moved.filter(F.col("hit").isNull()).select(*names, "n"))
+        if hit is None:
+            # rows of the table are hit for the first time in the first wave
+            hit = moved.filter(F.col("hit").isNotNull() & _at_begin())
+        done.append(moved.filter(F.col("hit").isNull()).select(*names, "seq", "n"))
         active = cut_lineage(_take(moved.filter(F.col("hit.op") == "U"), chains, spec))
-    finished = reduce(DataFrame.unionByName, done)
-    return expand(finished, spec)
+    return hit, reduce(DataFrame.unionByName, done)
 
 
 def _wave(active: DataFrame, changes: DataFrame, signatures: list[list[str]], spec: TableSpec) -> DataFrame:

@@ -36,13 +36,19 @@ class TableBatch:
     changes: DataFrame
     net: DataFrame | None
     rejects: DataFrame
-    table: DataFrame
+    # None where only what changed is written
+    table: DataFrame | None
+
+
+def bind_or_reject(events: DataFrame, spec: TableSpec, update_mode: str = "sparse") -> tuple[DataFrame, DataFrame]:
+    """Typed changes of one table and the events that cannot be bound."""
+    changes, unbound = bind_changes(events, spec, update_mode)
+    return changes, unbound.select("topic", "partition", "offset", "item", "op", "error")
 
 
 def apply_table(events: DataFrame, spec: TableSpec, snapshot: DataFrame, update_mode: str = "sparse") -> TableBatch:
     """Bind, net and merge the events of one table."""
-    changes, unbound = bind_changes(events, spec, update_mode)
-    unbound = unbound.select("topic", "partition", "offset", "item", "op", "error")
+    changes, unbound = bind_or_reject(events, spec, update_mode)
     if not spec.has_pk:
         good = events.filter(F.col("error").isNull())
         return TableBatch(spec, changes, None, unbound, replay_nopk(snapshot, good, spec))

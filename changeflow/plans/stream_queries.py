@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeflow import fixed_values as fv
@@ -12,7 +15,7 @@ from changeflow.operators.route import bind_columns
 from changeflow.operators.stats import throughput_stream
 from changeflow.plans import logs
 from changeflow.plans.log_queries import REJECTS_SQL
-from changeflow.plans.net_queries import MERGED_SQL, NET_SQL
+from changeflow.plans.net_queries import MERGED_SQL, NET_SQL, SEGMENTS
 from changeflow.plans.registry import query
 from changeflow.sources.decode_text import decode_ctrl
 from changeflow.streaming.live_view import live_view
@@ -23,22 +26,28 @@ USERS = logs.USERS
 SLICES = 4
 
 
+def side(value, none):
+    """One image of a column in a control-character message."""
+    tagged = F.coalesce(F.concat(F.lit(fv.TAG_DATA), value), F.lit(fv.TAG_NULL))
+    return F.when(none, F.lit(fv.TAG_NONE)).otherwise(tagged)
+
+
 def _messages(spark, d):
     """The events log as control-character messages in the envelope."""
     log = logs.events_log(spark, d)
     key = F.col("c1").cast("string")
     deleted, inserted = F.col("op") == "D", F.col("op") == "I"
-
-    def side(value, none):
-        tagged = F.coalesce(F.concat(F.lit(fv.TAG_DATA), value), F.lit(fv.TAG_NULL))
-        return F.when(none, F.lit(fv.TAG_NONE)).otherwise(tagged)
-
     fields = [F.concat(F.lit("0"), side(key, deleted), side(key, inserted))]
     for i, n in enumerate(("c2", "c3", "c4"), 1):
         field = F.concat(F.lit(str(i)), side(F.col(n), deleted), side(F.col(n), inserted))
         fields.append(F.when(F.col(f"has_{n}"), field))
+    return _ctrl_envelope(log, USERS, fields)
+
+
+def _ctrl_envelope(log, spec, fields):
+    """Control-character messages of a table from a log with ``op``, its place and time."""
     head = F.concat_ws(fv.TAG_DATA, *[F.lit(x) for x in ("P", "1", "x", "l", "1", "8", "0")])
-    text = F.concat_ws(fv.FIELD_SEP, head, F.lit("S.USERS"), "op", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"), *fields)
+    text = F.concat_ws(fv.FIELD_SEP, head, F.lit(spec.full_name), "op", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"), *fields)
     return log.select(
         F.lit(None).cast("binary").alias("key"), F.encode(text, "UTF-8").alias("value"),
         "topic", "partition", "offset", "timestamp")
@@ -132,6 +141,52 @@ def hold_release(spark, d):
     return store.read(USERS)
 
 
+def _segment_messages(spark, d):
+    """Steps for a table without a key: a row per supplier; per nation an update of all columns; in region 0 one that compares the
+    segment alone; a delete, then an insert."""
+    def step(table, i, op, key, old, new, rows=None):
+        """``old``, ``new``: (nation, segment), None where the message does not carry it; a column without both is left out."""
+        images = list(zip(old or (None, None), new or (None, None)))
+        lit = lambda v: F.lit(None).cast("string") if v is None else v.cast("string")
+        fields = [F.concat(F.lit(str(n)), side(lit(b), F.lit(b is None)), side(lit(a), F.lit(a is None))) for n, (a, b) in enumerate(images)]
+        source = logs.table(spark, d, table)
+        log = (source if rows is None else source.filter(rows)).select(
+            F.lit("segments").alias("topic"), F.lit(0).alias("partition"), (F.lit(i * 10**12) + F.col(key)).alias("offset"),
+            F.lit("2024-01-01 00:00:00").cast("timestamp").alias("timestamp"), F.lit(op).alias("op"), *[f.alias(f"f{n}") for n, f in enumerate(fields)])
+        return _ctrl_envelope(log, SEGMENTS, [F.col(f"f{n}") for n, (a, b) in enumerate(images) if a is not None or b is not None])
+
+    nation, name, text = F.col("n_nationkey"), F.col("n_name"), F.lit
+    parts = [
+        step("supplier", 0, "I", "s_suppkey", None, (F.col("s_nationkey"), text("NEW"))),
+        step("nation", 1, "U", "n_nationkey", (nation, text("BUILDING")), (nation, name)),
+        step("nation", 2, "U", "n_nationkey", (None, name), (None, text("CLOSED")), F.col("n_regionkey") == 0),
+        step("nation", 3, "D", "n_nationkey", (nation, text("FURNITURE")), None),
+        step("nation", 4, "I", "n_nationkey", None, (nation, name)),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "stream_apply_nopk",
+    """WITH rows_ AS (SELECT c_nationkey AS nation, c_mktsegment AS segment FROM customer UNION ALL SELECT s_nationkey, 'NEW' FROM supplier),
+done AS (SELECT nation, CASE WHEN segment <> 'BUILDING' THEN segment WHEN n_regionkey = 0 THEN 'CLOSED' ELSE n_name END AS segment
+  FROM rows_ JOIN nation ON n_nationkey = nation)
+SELECT * FROM done WHERE segment <> 'FURNITURE' UNION ALL SELECT n_nationkey, n_name FROM nation""",
+)
+def stream_apply_nopk(spark, d):
+    """A table without a key over four micro-batches, each of which writes the numbers of copies that it changes."""
+    root = logs.work_dir(spark)
+    store = SnapshotStore(spark, f"{root}/store", Catalog([SEGMENTS]), buckets=8)
+    customers = logs.table(spark, d, "customer")
+    store.load(customers.select(F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment")), SEGMENTS)
+    job = JobConfig(source="parquet", path=f"{root}/log", format="ctrl", skip=True, unload_dir=f"{root}/unload")
+    _feed(
+        _segment_messages(spark, d), "offset", f"{root}/log",
+        lambda: start_pipeline(spark, job, store, f"{root}/offsets", available_now=True),
+    )
+    return store.read(SEGMENTS)
+
+
 LIVE_SQL = NET_SQL + """
 SELECT op, c1, n2.v AS c2, n3.v AS c3, n4.v AS c4, n_events FROM net"""
 

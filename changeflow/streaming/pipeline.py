@@ -14,8 +14,9 @@ from changeflow.config import JobConfig
 from changeflow.model import ENVELOPE_SCHEMA, Catalog, TableSpec
 from changeflow.operators.apply import merge_batch
 from changeflow.operators.archive import net_sql_text, to_sql_text, write_raw_archive, write_sql_archive, write_unload
+from changeflow.operators.nopk import nopk_changes, nopk_delta
 from changeflow.operators.route import known_tables, split_errors
-from changeflow.plans.batch import TableBatch, apply_table, decode_and_route
+from changeflow.plans.batch import TableBatch, apply_table, bind_or_reject, decode_and_route
 from changeflow.session import cut_lineage
 from changeflow.functions.text import start_position
 from changeflow.sources.envelope import from_positions, read_envelope, start_positions, wanted_partitions
@@ -146,8 +147,7 @@ class Pipeline:
         self.store.publish(batch_id, published or [{"table_name": ""}], stream)
         if self.compact_every and (batch_id + 1) % self.compact_every == 0:
             for spec in self.catalog:
-                if spec.has_pk:
-                    self.store.compact(spec)
+                self.store.compact(spec)
 
     def _apply(self, batch: DataFrame, batch_id: int, stream: str) -> list[dict]:
         job, place = self.job, f"stream={stream}/batch={batch_id}"
@@ -186,9 +186,7 @@ class Pipeline:
         if spec.has_pk:
             out, written = self._merge_delta(events, spec, batch_id, stream)
         else:
-            # an update by value can hit any row
-            out = apply_table(events, spec, store.read(spec), job.update_mode)
-            written = {"buckets": list(range(store.buckets)), "filled": store.write(out.table, spec, batch_id, stream)}
+            out, written = self._count_delta(events, spec, batch_id, stream)
         if job.raw_dir:
             sql = to_sql_text(events, spec).withColumn("table_name", F.lit(spec.full_name))
             path = f"{job.raw_dir}/sql/{spec.full_name}/{place}"
@@ -226,6 +224,25 @@ class Pipeline:
         return out, {"deltas": buckets}
 
 
+    def _count_delta(self, events: DataFrame, spec: TableSpec, batch_id: int, stream: str) -> tuple[TableBatch, dict]:
+        """Write the copies of rows that a batch adds to a table without a key or takes from it.
+
+        Inserts read nothing of the table. Changes that compare all columns read the buckets of the rows they name; one that compares
+        some of the columns can hit any row, so then all buckets are read. Only rows whose number changes are written.
+        """
+        store = self.store
+        bound, rejects = bind_or_reject(events, spec, self.job.update_mode)
+        good = events.filter(F.col("error").isNull())
+        changes = cut_lineage(nopk_changes(good, spec))
+        anywhere = not changes.filter(~F.col("full")).isEmpty()
+        # at most one integer per bucket
+        places = changes.select(F.pmod("place", F.lit(store.buckets)).cast("int").alias("b")).distinct()
+        counted = store.read_counts(spec, None if anywhere else sorted(r["b"] for r in places.collect()))
+        delta = cut_lineage(nopk_delta(counted, good, spec, changes))
+        written = store.write_counts(delta, spec, batch_id, stream)
+        return TableBatch(spec, bound, None, rejects, None), {"deltas": written}
+
+
 def start_pipeline(
     spark: SparkSession,
     job: JobConfig,

@@ -4,8 +4,9 @@ A table is split into hash buckets of its key. A batch of a table with a key wri
 that they are gone) as a delta of their buckets, under a directory named after its stream and batch; appending one small file
 to the commit log publishes it. Readers take for every bucket its newest full version and put the later deltas on
 top, so a batch is visible as a whole or not at all, and replaying a published batch is a no-op. A bucket with many deltas is
-written anew by ``compact``. Tables without a key are rewritten in full. A batch is known by its stream and its number in that stream, because every stream counts from 0;
-versions are ordered by a commit number of the whole store. The number of buckets is part of the store.
+written anew by ``compact``. A table without a key is a multiset: its full versions hold each row once with its number of copies, its
+deltas hold signed numbers, and readers add them up. A batch is known by its stream and its number in that stream, because every
+stream counts from 0; versions are ordered by a commit number of the whole store. The number of buckets is part of the store.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.model import Catalog, TableSpec
+from changeflow.operators.nopk import add_counts, collapse, expand
 
 COMMIT_SCHEMA = (
     "commit_seq bigint, stream_id string, batch_id bigint, table_name string, buckets array<int>, filled array<int>, deltas array<int>, "
@@ -26,6 +28,8 @@ DEFAULT_BUCKETS = 64
 # the stream id of batches that no streaming query numbers
 BY_HAND = "batch"
 COMPACTION = "compaction"
+# copies of a row of a table without a key; files without this column hold one row per copy
+COPIES = "_copies"
 # deltas of a bucket that are read on top of its full version before it is written anew
 MAX_DELTAS = 8
 
@@ -112,24 +116,42 @@ class SnapshotStore:
             later.select("bucket", *place, F.lit(True).alias("delta"))
         )
 
-    def read(self, spec: TableSpec, buckets: list[int] | None = None) -> DataFrame:
-        """The published table, or only the given buckets of it."""
+    def _pieces(self, spec: TableSpec, buckets: list[int] | None) -> tuple[list[str], dict[str, tuple]]:
+        """Folders of the full versions, and those of the deltas with their place in the commit log."""
         versions = self._versions(spec)
         if buckets is not None:
             versions = versions.filter(F.col("bucket").isin(buckets))
+        full, deltas = [], {}
         # at most MAX_DELTAS + 1 rows per bucket, unless nobody compacts
-        pieces = versions.collect()
-        path = lambda r: f"{self._directory(spec, r['batch_id'], r['stream_id'])}{'/delta' * r['delta']}/bucket={r['bucket']}"
-        full, deltas = [path(r) for r in pieces if not r["delta"]], [r for r in pieces if r["delta"]]
+        for r in versions.collect():
+            path = f"{self._directory(spec, r['batch_id'], r['stream_id'])}{'/delta' * r['delta']}/bucket={r['bucket']}"
+            if r["delta"]:
+                deltas[path] = (r["stream_id"], r["batch_id"], r["commit_seq"])
+            else:
+                full.append(path)
+        return full, deltas
+
+    def read_counts(self, spec: TableSpec, buckets: list[int] | None = None) -> DataFrame:
+        """The published table without a key, or only the given buckets of it: each row once, with its number of copies ``n``."""
+        full, deltas = self._pieces(spec, buckets)
+        schema = f"{spec.row_schema()}, `{COPIES}` bigint"
+        paths = [*full, *deltas]
+        table = self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        copies = F.coalesce(F.col(COPIES), F.lit(1).cast("bigint"))
+        return add_counts(table.select(*spec.column_names, copies.alias("n")), spec)
+
+    def read(self, spec: TableSpec, buckets: list[int] | None = None) -> DataFrame:
+        """The published table, or only the given buckets of it."""
+        if not spec.has_pk:
+            return expand(self.read_counts(spec, buckets), spec)
+        full, deltas = self._pieces(spec, buckets)
         schema = spec.row_schema()
         table = self.spark.read.schema(schema).parquet(*full) if full else self.spark.createDataFrame([], schema)
         table = table.select(*spec.column_names)
         if not deltas:
             return table
-        order = self.spark.createDataFrame(
-            sorted({(r["stream_id"], r["batch_id"], r["commit_seq"]) for r in deltas}), "_stream string, _batch bigint, _seq bigint"
-        )
-        changed = self.spark.read.schema(f"{schema}, {DELTA_COLUMNS}").parquet(*[path(r) for r in deltas])
+        order = self.spark.createDataFrame(sorted(set(deltas.values())), "_stream string, _batch bigint, _seq bigint")
+        changed = self.spark.read.schema(f"{schema}, {DELTA_COLUMNS}").parquet(*deltas)
         last = F.max_by(F.struct(*spec.column_names, "_gone"), "_seq").alias("last")
         newest = changed.join(order, ["_stream", "_batch"]).groupBy(*spec.key_names).agg(last).select("last.*")
         kept = table.join(newest.select(*spec.key_names), spec.key_names, "left_anti").select(*spec.column_names)
@@ -151,35 +173,56 @@ class SnapshotStore:
             .parquet(f"{self._directory(spec, batch_id, stream_id)}/delta")
         )
 
+    def write_counts(self, delta: DataFrame, spec: TableSpec, batch_id: int, stream_id: str = BY_HAND) -> list[int]:
+        """Write the signed numbers of copies that a batch changes in a table without a key. Not yet visible.
+
+        Returns the buckets that hold rows.
+        """
+        target = f"{self._directory(spec, batch_id, stream_id)}/delta"
+        self._write_buckets(delta.select(*spec.column_names, F.col("n").alias(COPIES)), spec, target, 1)
+        return self._filled(spec, target)
+
     def compact(self, spec: TableSpec, max_deltas: int = MAX_DELTAS) -> list[int]:
         """Write buckets with more than ``max_deltas`` deltas anew; returns them."""
         many = self._versions(spec).filter("delta").groupBy("bucket").count().filter(F.col("count") > max_deltas)
         buckets = sorted(r["bucket"] for r in many.collect())
         if buckets:
             batch = self.commits().agg(F.max("commit_seq")).first()[0] + 1
-            filled = self.write(self.read(spec, buckets), spec, batch, COMPACTION)
+            rows = self.read(spec, buckets) if spec.has_pk else self.read_counts(spec, buckets)
+            filled = self.write(rows, spec, batch, COMPACTION)
             self.publish(batch, [{"table_name": spec.full_name, "buckets": buckets, "filled": filled}], COMPACTION)
         return buckets
 
     def write(self, table: DataFrame, spec: TableSpec, batch_id: int, stream_id: str = BY_HAND) -> list[int]:
         """Write rows under the batch's directory, one group of files per bucket. Not yet visible.
 
-        Returns the buckets that hold rows.
+        Rows of a table without a key may come counted, with the number of copies in ``n``. Returns the buckets that hold rows.
         """
         target = self._directory(spec, batch_id, stream_id)
+        # the bucket of a row is that of its typed values
+        typed = [F.col(c.name).cast(c.dtype).alias(c.name) for c in spec.columns]
+        if spec.has_pk:
+            rows = table.select(*typed)
+        else:
+            counted = "n" in table.columns and "n" not in spec.column_names
+            rows = table.select(*typed, "n") if counted else collapse(table.select(*typed), spec)
+            rows = rows.withColumnRenamed("n", COPIES)
+        self._write_buckets(rows, spec, target, self.files_per_bucket)
+        return self._filled(spec, target)
+
+    def _write_buckets(self, rows: DataFrame, spec: TableSpec, target: str, files: int) -> None:
         key = spec.key_names
-        # equal rows of a table without a key are spread by their place, not by their content
-        spread = F.hash(*key) if spec.has_pk else F.hash(*key, F.monotonically_increasing_id())
         (
-            table.select(*spec.column_names)
-            .withColumn("bucket", self.bucket(key))
-            .withColumn("_spread", F.pmod(spread, F.lit(self.files_per_bucket)))
+            rows.withColumn("bucket", self.bucket(key))
+            .withColumn("_spread", F.pmod(F.hash(*key), F.lit(files)))
             .repartition("bucket", "_spread")
             .drop("_spread")
             .write.mode("overwrite")
             .partitionBy("bucket")
             .parquet(target)
         )
+
+    def _filled(self, spec: TableSpec, target: str) -> list[int]:
         written = self.spark.read.schema(spec.row_schema() + ", bucket int").parquet(target)
         return sorted(r["bucket"] for r in written.select("bucket").distinct().collect())
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from changeflow.model import TableSpec
-from changeflow.operators.nopk import COPIES_PER_BLOCK, SPREAD, _fetch, expand, replay_nopk
+from changeflow.operators.nopk import COPIES_PER_BLOCK, SPREAD, _fetch, collapse, expand, nopk_delta, replay_nopk
 
 SPEC = TableSpec.of("S", "N", {"g": "SIGNED INTEGER", "a": "VARCHAR", "b": "VARCHAR"})
 NAMES = ("g", "a", "b")
@@ -70,8 +70,14 @@ def test_random_logs(spark, chunk):
         "cols map<string,struct<cur:string,old:string,has_cur:boolean,has_old:boolean>>, "
         "error struct<code:string,detail:string>",
     )
-    out = replay_nopk(spark.createDataFrame(rows, SPEC.row_schema()), df, SPEC, chunk_offsets=chunk)
+    table = spark.createDataFrame(rows, SPEC.row_schema())
+    out = replay_nopk(table, df, SPEC, chunk_offsets=chunk)
     assert sorted((tuple(r) for r in out.collect()), key=repr) == sorted(want, key=repr)
+    # the signed numbers of copies are the difference of both tables, and nothing else
+    delta = nopk_delta(collapse(table, SPEC), df, SPEC, chunk_offsets=chunk)
+    change = Counter(want)
+    change.subtract(rows)
+    assert {(r["g"], r["a"], r["b"]): r["n"] for r in delta.collect()} == {r: n for r, n in change.items() if n}
 
 
 def test_long_chain_of_full_updates(spark):

@@ -91,6 +91,39 @@ def test_stream_without_primary_key(spark, tmp_path):
     assert rows(store.read(NOPK)) == NOPK_WANT
 
 
+def test_batch_without_primary_key_writes_only_what_it_changes(spark, tmp_path):
+    seed = [(i, "same", "b") for i in range(20)] + [(1, "same", "b")] * 3
+    store, job = setup(spark, tmp_path, NOPK, seed)
+    pipeline = Pipeline(spark, job, store, compact_every=4)
+    steps = [
+        ins(50, "x", "y"),
+        ctrl("U", (0, 2, 1), (1, "same", "same"), (2, "b", "b")),
+        ctrl("U", (2, "c", "b"), (1, "same", "same")),
+        ctrl("D", (0, ..., 50), (1, ..., "x"), (2, ..., "y")),
+    ]
+    # the insert, four rows that become others, all old rows, the delete
+    states = [24, 24, 24, 23]
+    deltas = [1, 2, 2 * 19, 1]
+    log = envelope(spark, steps)
+    read = []
+    counts = store.read_counts
+    store.read_counts = lambda spec, buckets=None: read.append(buckets) or counts(spec, buckets)
+    for i, n in enumerate(states):
+        pipeline.apply_batch(log.filter(F.col("offset") == i), i)
+        assert spark.read.parquet(str(tmp_path / "store" / "S.T" / "stream=batch" / f"batch={i}" / "delta")).count() == deltas[i]
+        assert store.read(NOPK).count() == n
+    want = sorted([(i, "same", "c") for i in range(20) if i != 1] + [(2, "same", "c")] * 4, key=repr)
+    assert rows(store.read(NOPK)) == want
+    # inserts read no bucket, changes of whole rows one, a change that compares some columns all of them
+    asked = [read[0], read[2], read[4], read[6]]
+    assert [b if b is None else len(b) for b in asked] == [0, 1, None, 1]
+    assert store.compact(NOPK, max_deltas=0)
+    assert store._versions(NOPK).filter("delta").count() == 0 and rows(store.read(NOPK)) == want
+    # a repeated batch changes nothing
+    pipeline.apply_batch(log.filter("offset = 2"), 2)
+    assert rows(store.read(NOPK)) == want
+
+
 def test_partition_is_held_after_an_error(spark, tmp_path):
     store, job = setup(spark, tmp_path, ONEKEY, [])
     pipeline = Pipeline(spark, job, store, on_error="hold")
