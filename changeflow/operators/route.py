@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow import fixed_values as fv
 from changeflow.model import Catalog
 from changeflow.session import BROADCAST_ROWS
 
@@ -153,15 +152,12 @@ def split_errors(events: DataFrame, on_error: str = "skip") -> tuple[DataFrame,
 
 
 def error_text() -> Column:
-    """Where a bad row came from and what it was."""
-    return F.format_string(
-        fv.ERROR_TEXT,
-        F.col("offset").cast("string"),
-        F.coalesce("schema_name", F.lit("")),
-        F.coalesce("table_name", F.lit("")),
-        F.coalesce("op", F.lit("")),
-        F.coalesce("error.code", F.lit("")),
-        F.coalesce("error.detail", F.lit("")),
-        F.coalesce("raw", F.lit("")),
+    """What is wrong with a bad row, where it came from and what it was."""
+    def known(name: str, unknown: str = "?") -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(unknown))
+
+    return F.concat(
+        known("error.code"), F.concat(F.lit(" "), known("error.detail", "-")), F.lit(" @"), known("offset"),
+        F.lit(" target="), known("schema_name"), F.lit("/"), known("table_name"), F.lit(" op="), known("op"),
+        F.lit(" text="), known("raw", ""),
     )
-

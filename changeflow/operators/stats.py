@@ -8,9 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow import fixed_values as fv
-
 OPS = ("I", "U", "K", "D")
+REPORT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def _bad() -> Column:
@@ -143,51 +142,41 @@ def report(df: DataFrame, name: str, fmt: str = "json") -> DataFrame:
     return df.select(_report_text(df, name).alias("line"))
 
 
-def _named(**fields: str) -> list[Column]:
-    return [F.col(col).alias(label) for label, col in fields.items()]
+def _by_op(prefix: str) -> Column:
+    return F.struct(*[F.col(f"{prefix}_{op.lower()}").alias(op.lower()) for op in OPS])
+
+
+# groups of counters by operation in the rows of a report: name in the report -> prefix of the columns
+_GROUPS = {
+    "tables": {"messages": "msgs", "applied": "dmls", "failed": "fails"},
+    "log": {"messages": "messages", "errors_by_op": "errors"},
+}
 
 
-def _dml(prefix: str, ops=(("insert", "i"), ("update", "u"), ("updkey", "k"), ("delete", "d"))) -> Column:
-    return F.struct(*[F.col(f"{prefix}_{o}").alias(label) for label, o in ops])
+def _report_fields(df: DataFrame, name: str) -> list[Column]:
+    """The row's own columns, its counters by operation grouped, times as text."""
+    groups = _GROUPS.get(name, {})
+    grouped = {f"{prefix}_{op.lower()}" for prefix in groups.values() for op in OPS}
+    times = {f.name for f in df.schema.fields if f.dataType.typeName().startswith("timestamp")}
+    own = [
+        F.date_format(c, REPORT_TIME_FORMAT).alias(c) if c in times else F.col(c) for c in df.columns if c not in grouped
+    ]
+    return own + [_by_op(prefix).alias(label) for label, prefix in groups.items()]
 
 
 def _report_struct(df: DataFrame, name: str) -> Column:
-    if name == "tables":
-        return F.struct(
-            F.col("table_name").alias("tableName"), _dml("msgs").alias("Msgs"),
-            _dml("dmls").alias("DMLs"), _dml("fails").alias("Fails"),
-        )
-    if name == "tasks":
-        return F.struct(
-            *_named(Topic="topic", Partition="partition", Number="records"),
-            F.date_format("last_time", fv.REPORT_TIME_FORMAT).alias("Time"), F.col("last_offset").alias("Offset"),
-        )
-    if name == "log":
-        return F.struct(
-            *_named(Total="total", Err="errors"),
-            F.struct(*_named(I="messages_i", U="messages_u", K="messages_k", D="messages_d")).alias("Messages"),
-            F.struct(*_named(I="errors_i", U="errors_u", K="errors_k", D="errors_d")).alias("Errors"),
-        )
-    if name == "database":
-        return F.struct(
-            F.struct(*_named(Total="transactions_total", Fails="transactions_fails")).alias("Transactions"),
-            F.struct(*_named(Total="tasks_total", Done="tasks_done", Todo="tasks_todo")).alias("Tasks"),
-            F.struct(*_named(Insert="inserts", Update="updates", Delete="deletes")).alias("DMLs"),
-            F.col("rejects").alias("Fails"),
-        )
-    return F.struct(*df.columns)
+    return F.struct(*_report_fields(df, name))
 
 
 def _report_text(df: DataFrame, name: str) -> Column:
-    if name == "tables":
-        return F.format_string(
-            fv.REPORT_TABLE_TEXT,
-            "table_name", *[f"{p}_{o}" for p in ("msgs", "dmls", "fails") for o in "iukd"],
-        )
-    if name == "tasks":
-        return F.format_string(
-            fv.REPORT_TASK_TEXT,
-            "topic", "partition", "records", F.date_format("last_time", fv.REPORT_TIME_FORMAT), "last_offset",
-        )
-    parts = [F.concat(F.lit(f"{c}: "), F.coalesce(F.col(c).cast("string"), F.lit("null"))) for c in df.columns]
+    """``name: value`` pairs; a group of counters reads ``name: i=1 u=2 k=0 d=0``."""
+    groups = _GROUPS.get(name, {})
+    fields, parts = _report_fields(df, name), []
+    for c, value in zip(df.select(*fields).columns, fields):
+        if c in groups:
+            counts = [F.concat(F.lit(f"{op.lower()}="), F.col(f"{groups[c]}_{op.lower()}").cast("string")) for op in OPS]
+            text = F.concat_ws(" ", *counts)
+        else:
+            text = F.coalesce(value.cast("string"), F.lit("null"))
+        parts.append(F.concat(F.lit(f"{c}: "), text))
     return F.concat_ws(", ", *parts)

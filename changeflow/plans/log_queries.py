@@ -326,9 +326,8 @@ def table_stats(spark, d):
 
 @query(
     "report_tables",
-    TABLE_STATS_SQL + """SELECT '{"tableName":"' || table_name || '","Msgs":{"insert":' || msgs_i || ',"update":' || msgs_u || ',"updkey":' || msgs_k || ',"delete":' || msgs_d ||
- '},"DMLs":{"insert":' || dmls_i || ',"update":' || dmls_u || ',"updkey":' || dmls_k || ',"delete":' || dmls_d ||
- '},"Fails":{"insert":' || fails_i || ',"update":' || fails_u || ',"updkey":' || fails_k || ',"delete":' || fails_d || '}}' AS line FROM ts""",
+    TABLE_STATS_SQL + """SELECT '{"table_name":"' || table_name || '","messages":{"i":' || msgs_i || ',"u":' || msgs_u || ',"k":' || msgs_k || ',"d":' || msgs_d || '},' ||
+ '"applied":{"i":' || dmls_i || ',"u":' || dmls_u || ',"k":' || dmls_k || ',"d":' || dmls_d || '},' || '"failed":{"i":' || fails_i || ',"u":' || fails_u || ',"k":' || fails_k || ',"d":' || fails_d || '}}' AS line FROM ts""",
 )
 def report_tables(spark, d):
     return stats.report(_table_stats(spark, d), "tables")
@@ -336,8 +335,8 @@ def report_tables(spark, d):
 
 @query(
     "report_tables_text",
-    TABLE_STATS_SQL + """SELECT printf('  -> %-60s Msgs [%12d,%12d,%12d,%12d], DMLs [%12d,%12d,%12d,%12d], Fails [ %d, %d, %d, %d]', table_name,
- msgs_i, msgs_u, msgs_k, msgs_d, dmls_i, dmls_u, dmls_k, dmls_d, fails_i, fails_u, fails_k, fails_d) AS line FROM ts""",
+    TABLE_STATS_SQL + """SELECT 'table_name: ' || table_name || ', messages: i=' || msgs_i || ' u=' || msgs_u || ' k=' || msgs_k || ' d=' || msgs_d || ', applied: i=' || dmls_i || ' u=' || dmls_u || ' k=' || dmls_k || ' d=' || dmls_d ||
+ ', failed: i=' || fails_i || ' u=' || fails_u || ' k=' || fails_k || ' d=' || fails_d AS line FROM ts""",
 )
 def report_tables_text(spark, d):
     return stats.report(_table_stats(spark, d), "tables", "text")
@@ -359,8 +358,8 @@ def partition_progress(spark, d):
 
 @query(
     "report_tasks",
-    PROGRESS_SQL + """SELECT '{"Topic":"' || topic || '","Partition":' || part || ',"Number":' || records || ',"Time":"' ||
- strftime(last_time, '%Y-%m-%d %H:%M:%S') || '","Offset":' || last_offset || '}' AS line FROM pr""",
+    PROGRESS_SQL + """SELECT '{"topic":"' || topic || '","partition":' || part || ',"records":' || records || ',"last_offset":' || last_offset ||
+ ',"last_time":"' || strftime(last_time, '%Y-%m-%d %H:%M:%S') || '"}' AS line FROM pr""",
 )
 def report_tasks(spark, d):
     return stats.report(stats.partition_progress(_log(spark, d)), "tasks")
@@ -368,8 +367,8 @@ def report_tasks(spark, d):
 
 @query(
     "report_log",
-    TOTALS_SQL + """SELECT '{"Total":' || total || ',"Err":' || errors || ',"Messages":{"I":' || messages_i || ',"U":' || messages_u || ',"K":' || messages_k ||
- ',"D":' || messages_d || '},"Errors":{"I":' || errors_i || ',"U":' || errors_u || ',"K":' || errors_k || ',"D":' || errors_d || '}}' AS line FROM t""",
+    TOTALS_SQL + """SELECT '{"total":' || total || ',"errors":' || errors || ',"messages":{"i":' || messages_i || ',"u":' || messages_u || ',"k":' || messages_k || ',"d":' || messages_d || '},' ||
+ '"errors_by_op":{"i":' || errors_i || ',"u":' || errors_u || ',"k":' || errors_k || ',"d":' || errors_d || '}}' AS line FROM t""",
 )
 def report_log(spark, d):
     return stats.report(stats.op_totals(_checked_events(spark, d)), "log")
@@ -445,9 +444,7 @@ def load_stats(spark, d):
 
 @query(
     "report_database",
-    COMMITS_SQL + """SELECT '{"Transactions":{"Total":' || transactions_total || ',"Fails":' || transactions_fails || '},"Tasks":{"Total":' || tasks_total ||
- ',"Done":' || tasks_done || ',"Todo":' || tasks_todo || '},"DMLs":{"Insert":' || inserts || ',"Update":' || updates || ',"Delete":' || deletes ||
- '},"Fails":' || rejects || '}' AS line FROM l""",
+    COMMITS_SQL + """SELECT '{"tasks_total":' || tasks_total || ',"tasks_done":' || tasks_done || ',"tasks_todo":' || tasks_todo || ',"transactions_total":' || transactions_total || ',"transactions_fails":' || transactions_fails || ',"messages":' || messages || ',"inserts":' || inserts || ',"updates":' || updates || ',"deletes":' || deletes || ',"rejects":' || rejects || '}' AS line FROM l""",
 )
 def report_database(spark, d):
     return stats.report(_load_stats(spark, d), "database")

@@ -633,9 +633,9 @@ def decode_registered(spark, d):
 @query(
     "error_rows",
     """SELECT c_custkey AS "offset", CASE WHEN c_mktsegment = 'BUILDING' THEN 'unknown_op' ELSE 'bad_json' END AS code,
-  'offset:[' || c_custkey || '], table:[' || CASE WHEN c_mktsegment = 'BUILDING' THEN 'D.C' ELSE '.' END || '], message type:[], error:[' ||
-  CASE WHEN c_mktsegment = 'BUILDING' THEN 'unknown_op merge' ELSE 'bad_json ' END || '], source message:[' ||
-  CASE WHEN c_mktsegment = 'BUILDING' THEN '{"database":"D","table":"C","type":"merge"}' ELSE c_name END || ']' AS message
+  CASE WHEN c_mktsegment = 'BUILDING' THEN 'unknown_op merge' ELSE 'bad_json -' END || ' @' || c_custkey || ' target=' ||
+  CASE WHEN c_mktsegment = 'BUILDING' THEN 'D/C' ELSE '?/?' END || ' op=? text=' ||
+  CASE WHEN c_mktsegment = 'BUILDING' THEN '{"database":"D","table":"C","type":"merge"}' ELSE c_name END AS message
 FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')""",
 )
 def error_rows(spark, d):
