@@ -3,8 +3,9 @@
 Documents are range-partitioned and sorted by id. In each partition, consecutive documents form groups of about four million ids; a
 group has one frequency table, shared by its blocks of 2^18 ids. A block is coded by itself: its ids are dealt to
 interleaved lanes, one 32-bit state each, that share one stream of 16-bit words, so that a step of all lanes is one vector
-operation. Every few steps a checkpoint records the lanes' states and the place in the stream, from which decoding can start; every block
-has the CRC-32 of its ids.
+operation. Every few steps a checkpoint records the lanes' states, the place in the stream, from which decoding can start, and the CRC-32 of the
+ids up to the next checkpoint; so each piece of a block can be decoded, and verified, by itself. ``read_pieces`` does so with the blocks of a
+group dealt out to tasks.
 
 Spark writes the groups as rows of Parquet files, so lost tasks are written again and partial files never show.
 """
@@ -27,7 +28,8 @@ BLOCK_IDS = 1 << 18
 GROUP_IDS = 1 << 22
 CHECKPOINT_STEPS = 64
 LOWEST = 1 << 16
-MAGIC = b"rans1"
+MAGIC = b"rans2"
+HEAD = struct.Struct("<5sIIII")
 
 
 # -- frequency tables ----------------------------------------------------------------------------------
@@ -94,24 +96,40 @@ class Coder:
         marks.reverse()
         places = np.array([before[j * every] for j in range(len(marks))], dtype="<u4")
         stream = b"".join(w.tobytes() for w in words)
-        head = struct.pack("<5sIIIII", MAGIC, n, lanes, every, len(marks), zlib.crc32(ids.astype("<u4").tobytes()))
-        return head + places.tobytes() + b"".join(m.astype("<u4").tobytes() for m in marks) + stream
-
-    def decode(self, data: bytes, checkpoint: int = 0) -> np.ndarray:
-        """The block's ids from a checkpoint on; the whole block is verified by its checksum."""
-        magic, n, lanes, every, marks, crc = struct.unpack_from("<5sIIIII", data)
+        raw, span = memoryview(ids.astype("<u4").tobytes()), 4 * every * lanes
+        crcs = np.array([zlib.crc32(raw[i : i + span]) for i in range(0, len(raw), span)], dtype="<u4")
+        head = HEAD.pack(MAGIC, n, lanes, every, len(marks))
+        return head + places.tobytes() + crcs.tobytes() + b"".join(m.astype("<u4").tobytes() for m in marks) + stream
+
+    def pieces(self, data: bytes):
+        """``(start, ids)`` of each piece of a block, from checkpoint to checkpoint."""
+        _, n, lanes, every, marks = HEAD.unpack_from(data)
+        for c in range(marks):
+            yield c * every * lanes, self.decode(data, c, c + 1)
+
+    def decode(self, data: bytes, checkpoint: int = 0, until: int | None = None) -> np.ndarray:
+        """The block's ids from one checkpoint to another, or to the end.
+
+        Verified whatever is read: each piece between two checkpoints by its checksum, the whole by the lanes' states and the place in
+        the stream at its end.
+        """
+        magic, n, lanes, every, marks = HEAD.unpack_from(data)
         if magic != MAGIC:
             raise ValueError("not a block of token ids")
-        at = struct.calcsize("<5sIIIII")
-        places = np.frombuffer(data, "<u4", marks, at)
-        states = np.frombuffer(data, "<u4", marks * lanes, at + 4 * marks).reshape(marks, lanes)
-        stream = np.frombuffer(data, "<u2", offset=at + 4 * marks + 4 * marks * lanes).astype(np.uint32)
         if n == 0:
             return np.zeros(0, np.uint16)
+        until = marks if until is None else until
+        if not 0 <= checkpoint < until <= marks:
+            raise ValueError(f"a block with {marks} checkpoints has no ids from {checkpoint} to {until}")
+        places = np.frombuffer(data, "<u4", marks, HEAD.size)
+        crcs = np.frombuffer(data, "<u4", marks, HEAD.size + 4 * marks)
+        at = HEAD.size + 8 * marks
+        states = np.frombuffer(data, "<u4", marks * lanes, at).reshape(marks, lanes)
+        stream = np.frombuffer(data, "<u2", offset=at + 4 * marks * lanes).astype(np.uint32)
         state, p = states[checkpoint].astype(np.uint32), int(places[checkpoint])
-        first = checkpoint * every
-        steps = -(-n // lanes)
-        out = np.empty(n - first * lanes, dtype=np.uint16)
+        first, span = checkpoint * every, every * lanes
+        steps = min(until * every, -(-n // lanes))
+        out = np.empty(min(steps * lanes, n) - first * lanes, dtype=np.uint16)
         low = np.uint32(0xFFFF)
         for s in range(first, steps):
             width = min(lanes, n - s * lanes)
@@ -124,15 +142,19 @@ class Coder:
             x[short] = (x[short] << np.uint32(16)) | stream[p : p + len(short)]
             p += len(short)
             state[:width] = x
-        if (state != LOWEST).any() or p != len(stream):
+        ends = (states[until], int(places[until])) if until < marks else (LOWEST, len(stream))
+        if (state != ends[0]).any() or p != ends[1]:
             raise ValueError("a block of token ids is damaged")
-        if checkpoint == 0 and zlib.crc32(out.astype("<u4").tobytes()) != crc:
-            raise ValueError("the checksum of a block of token ids differs")
+        raw = memoryview(out.astype("<u4").tobytes())
+        for c in range(checkpoint, until):
+            i = 4 * span * (c - checkpoint)
+            if zlib.crc32(raw[i : i + 4 * span]) != crcs[c]:
+                raise ValueError("the checksum of a block of token ids differs")
         return out
 
 
 # -- writing and reading -------------------------------------------------------------------------------
-GROUPS = "part int, group long, n_ids long, freq binary, doc_ids array<long>, lengths array<long>, blocks array<binary>"
+GROUPS = "part int, group long, n_ids long, block_ids long, freq binary, doc_ids array<long>, lengths array<long>, blocks array<binary>"
 
 
 def _encoder(tokenizer: str, end_id: int):
@@ -150,11 +172,11 @@ def _encoder(tokenizer: str, end_id: int):
             freq = frequencies(np.bincount(ids, minlength=1 << SCALE_BITS))
             coder = Coder(freq)
             blocks = [coder.encode(ids[i : i + BLOCK_IDS]) for i in range(0, len(ids), BLOCK_IDS)]
-            row = {"part": part, "group": group, "n_ids": len(ids), "freq": pack_table(freq), "doc_ids": list(docs), "lengths": list(lengths), "blocks": blocks}
+            row = {"part": part, "group": group, "n_ids": len(ids), "block_ids": BLOCK_IDS, "freq": pack_table(freq), "doc_ids": list(docs), "lengths": list(lengths), "blocks": blocks}
             docs.clear(), lengths.clear(), pieces.clear()
             group, held = group + 1, 0
             return pa.RecordBatch.from_pylist([row], schema=pa.schema([
-                ("part", pa.int32()), ("group", pa.int64()), ("n_ids", pa.int64()), ("freq", pa.binary()),
+                ("part", pa.int32()), ("group", pa.int64()), ("n_ids", pa.int64()), ("block_ids", pa.int64()), ("freq", pa.binary()),
                 ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("blocks", pa.list_(pa.binary())),
             ]))
 
@@ -240,3 +262,30 @@ def _ids(batches):
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, ids`` of every written document."""
     return spark.read.schema(GROUPS).parquet(path).mapInArrow(_ids, "doc_id long, ids array<int>")
+
+
+PIECES = "part int, group long, block int, first long, ids array<int>"
+
+
+def _decode_pieces(batches):
+    import pyarrow as pa
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            coder = Coder(unpack_table(row["freq"]))
+            for at, ids in coder.pieces(row["data"]):
+                yield pa.RecordBatch.from_pylist(
+                    [{"part": row["part"], "group": row["group"], "block": row["block"], "first": row["first"] + at, "ids": ids.astype(np.int32)}],
+                    schema=pa.schema([("part", pa.int32()), ("group", pa.int64()), ("block", pa.int32()), ("first", pa.int64()), ("ids", pa.list_(pa.int32()))]),
+                )
+
+
+def read_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """All ids in pieces of bounded size, decoded in parallel: ``first`` is the place of a piece's first id in the whole data set.
+
+    The blocks of a group are dealt out, each with the group's table, so a task holds one block and not a group; each piece is
+    verified by its own checksum. An empty data set has no pieces; documents without text are in them with their end id.
+    """
+    blocks = read_groups(spark, path).select("part", "group", "first", "block_ids", "freq", F.posexplode("blocks").alias("block", "data"))
+    placed = blocks.select("part", "group", "block", (F.col("first") + F.col("block") * F.col("block_ids")).alias("first"), "freq", "data")
+    return placed.repartition("part", "group", "block").mapInArrow(_decode_pieces, PIECES)

@@ -8,7 +8,7 @@ from llm_helpers import LONG, ODD, docs_of
 from tokenizers import Tokenizer
 
 from changeflow.llm import token_store
-from changeflow.llm.token_store import Coder, frequencies, pack_table, read_index, read_tokens, unpack_table, write_tokens
+from changeflow.llm.token_store import Coder, frequencies, pack_table, read_index, read_pieces, read_tokens, unpack_table, write_tokens
 from changeflow.llm.tokens import TokenIds
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -40,15 +40,34 @@ def test_round_trip_and_checkpoints(n, alphabet):
     lanes = max(1, min(32, n // 64))
     for c in range(1, -(-(-(-n // lanes)) // 8)):
         assert (coder.decode(data, checkpoint=c) == ids[c * 8 * lanes :]).all()
+    pieces = list(coder.pieces(data))
+    assert [at for at, _ in pieces] == list(range(0, n, 8 * lanes))
+    assert (np.concatenate([p for _, p in pieces]) == ids).all()
 
 
-def test_damage_is_noticed():
+def test_damage_is_noticed_behind_every_checkpoint():
     ids = np.arange(5000, dtype=np.uint16) % 700
     coder = Coder(frequencies(np.bincount(ids, minlength=1 << 16)))
-    data = bytearray(coder.encode(ids))
-    data[-100] ^= 1
+    whole = coder.encode(ids, lanes=16, every=32)
+    _, n, lanes, every, marks = token_store.HEAD.unpack_from(whole)
+    assert (lanes, marks) == (16, 10)
+    head = token_store.HEAD.size
+    places = np.frombuffer(whole, "<u4", marks, head)
+    stream = head + 8 * marks + 4 * marks * lanes
+    for c in range(marks):
+        # a word of the stream, the checksum, a state, the place
+        for at in (stream + 2 * int(places[c]) + 40, head + 4 * marks + 4 * c, head + 8 * marks + 4 * lanes * c, head + 4 * c):
+            data = bytearray(whole)
+            data[at] ^= 1
+            with pytest.raises(ValueError):
+                coder.decode(bytes(data), c, c + 1)
+            with pytest.raises(ValueError):
+                coder.decode(bytes(data), c)
+    for wrong in ((0, marks + 1), (3, 3), (-1, 2), (marks, None)):
+        with pytest.raises(ValueError):
+            coder.decode(whole, *wrong)
     with pytest.raises(ValueError):
-        coder.decode(bytes(data))
+        coder.decode(b"xxxxx" + whole[5:])
 
 
 def test_more_ids_than_slots_between():
@@ -76,9 +95,18 @@ def test_files(spark, tmp_path, monkeypatch):
     for r in in_order:
         assert r.start == at
         at += r.n_tokens
+    pieces = read_pieces(spark, str(tmp_path / "t")).orderBy("first").collect()
+    assert len(pieces) > len({(p.part, p.group, p.block) for p in pieces}) > len({(p.part, p.group) for p in pieces})
+    at, joined = 0, []
+    for p in pieces:
+        assert p.first == at
+        at += len(p.ids)
+        joined += p.ids
+    assert all(crc(joined[r.start : r.start + r.n_tokens]) == r.ids_crc32 for r in got) and at == sum(r.n_tokens for r in got)
     assert sorted((repr(r.doc_id), list(r.ids)) for r in read_tokens(spark, str(tmp_path / "t")).collect()) == sorted((repr(d), ids(t)) for d, t in rows)
 
 
 def test_empty_table(spark, tmp_path):
     write_tokens(docs_of(spark, []), str(tmp_path / "t"), PATH)
     assert read_index(spark, str(tmp_path / "t")).count() == 0
+    assert read_pieces(spark, str(tmp_path / "t")).count() == 0
