@@ -13,7 +13,9 @@ ENVELOPE_SCHEMA = "key binary, value binary, topic string, partition int, offset
 
 COL_VALUE = "struct<cur:string,old:string,has_cur:boolean,has_old:boolean>"
 COLS_TYPE = f"map<string,{COL_VALUE}>"
-TXN_TYPE = "struct<xid:string,csn:string,seq:string,flag:string,op_time:string>"
+# transaction attributes; a wire format fills those that it carries
+TXN_FIELDS = "xid csn seq flag op_time process local_xid rebuild_xid begin_seq begin_rba rba trans_seq".split()
+TXN_TYPE = "struct<" + ",".join(f"{n}:string" for n in TXN_FIELDS) + ">"
 ERROR_TYPE = "struct<code:string,detail:string>"
 
 CHANGE_EVENT_SCHEMA = (

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.model import TableSpec
+from changeflow.model import TXN_TYPE, TableSpec
 from changeflow.operators.bind import typed_changes
 from changeflow.session import configure, ensure_checkpoint_dir
 
@@ -101,7 +101,7 @@ def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("S").alias("src_schema"), F.lit("USERS").alias("src_table"),
         F.lit("S").alias("schema_name"), F.lit("USERS").alias("table_name"), "op",
         F.map_from_entries(present).alias("cols"),
-        F.lit(None).cast("struct<xid:string,csn:string,seq:string,flag:string,op_time:string>").alias("txn"),
+        F.lit(None).cast(TXN_TYPE).alias("txn"),
         F.concat_ws("|", "op", F.col("c1").cast("string")).alias("raw"),
         F.lit(None).cast(error_type).alias("error"),
     )

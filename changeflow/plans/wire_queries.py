@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from changeflow import fixed_values as fv
 from changeflow.config import JobConfig
 from changeflow.functions import text as tx
-from changeflow.model import Catalog, ColumnSpec, TableSpec
+from changeflow.model import TXN_FIELDS, Catalog, ColumnSpec, TableSpec
 from changeflow.operators import route
 from changeflow.operators.bind import bind_changes, cast_typed, to_row
 from changeflow.plans import logs
@@ -293,12 +293,13 @@ def _text(value):
     return F.encode(value, "UTF-8")
 
 
-def _proto_column(number, index, name, old, new):
-    """``old``/``new``: text column; NULL becomes the null flag."""
+def _proto_column(number, index, name, old, new, nulls=None):
+    """``old``/``new``: text column; NULL becomes the null flag, unless ``nulls`` gives the flags of both."""
+    old_null, new_null = nulls or (old.isNull(), new.isNull())
     empty = F.unhex(F.lit(""))
     parts = [_int_field(1, F.lit(index)), _bytes_field(2, _text(F.lit(name)))]
-    for value, flag, field in ((old, 5, 7), (new, 6, 8)):
-        parts.append(F.when(value.isNull(), _int_field(flag, F.lit(1))).otherwise(empty))
+    for value, is_null, flag, field in ((old, old_null, 5, 7), (new, new_null, 6, 8)):
+        parts.append(F.when(is_null, _int_field(flag, F.lit(1))).otherwise(empty))
         parts.append(F.when(value.isNotNull(), _bytes_field(field, _text(F.coalesce(value, F.lit(""))))).otherwise(empty))
     return _bytes_field(number, F.concat(*parts))
 
@@ -313,6 +314,7 @@ def _proto_messages(spark, d):
         _int_field(4, F.lit(2)),
         _bytes_field(5, _text(F.concat(F.lit("csn"), key))),
         _bytes_field(6, _text(F.concat(F.lit("x"), key))),
+        *[_int_field(n, F.col("c_custkey") % m) for n, m in ((2, 90), (7, 100), (8, 50), (9, 20), (10, 7), (11, 3), (12, 2))],
         _int_field(13, code),
         _bytes_field(15, _text(F.lit("S.SUPP"))),
         _proto_column(16, 0, "S_KEY", key, new_key),
@@ -341,6 +343,56 @@ def decode_proto_query(spark, d):
         F.col("txn.xid").alias("xid"), F.col("txn.csn").alias("csn"))
 
 
+@query(
+    "decode_proto_source1",
+    """SELECT c_custkey AS "offset", CASE WHEN CASE WHEN c_mktsegment = 'BUILDING' THEN c_custkey = 7 ELSE c_nationkey % 2 = 1 END THEN 'U' ELSE 'K' END AS op,
+  CAST(c_custkey AS VARCHAR(20)) AS key_cur, CASE c_mktsegment WHEN 'BUILDING' THEN '7' ELSE CAST(c_custkey AS VARCHAR(20)) END AS key_old,
+  CASE WHEN c_nationkey % 3 <> 0 THEN c_name WHEN c_nationkey = 0 THEN '' END AS name_cur,
+  CASE WHEN c_nationkey = 0 THEN '0' ELSE CAST(c_nationkey AS VARCHAR(20)) END AS nation_cur,
+  CASE WHEN c_nationkey <> 0 THEN '0001-01-01' END AS date_cur FROM customer""",
+)
+def decode_proto_source1(spark, d):
+    """Source 1: columns by index, only some of them sent, a null old key keeps its value, null flags read together with the bytes.
+
+    The message calls an update a key change if the bytes of the keys differ, null or not; binding sees that a key that keeps its value
+    has not moved.
+    """
+    c = logs.table(spark, d, "customer")
+    key, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey")
+    never, text = F.lit(False), F.lit
+    moved = F.col("c_mktsegment") == "BUILDING"
+    empty, no_bytes = text(""), nation == 0
+    kept = F.when(nation % 2 == 1, key).otherwise(empty)
+    # bytes under a null flag read as NULL, a null flag without bytes as the empty value of the type
+    record = F.concat(
+        _int_field(4, F.lit(1)), _int_field(13, F.lit(1)), _bytes_field(15, _text(text("S.SUPP"))),
+        _proto_column(16, 0, "", F.when(moved, "7").otherwise(kept), key, (~moved, never)),
+        _proto_column(17, 1, "", text("before"), F.when(no_bytes, empty).otherwise(F.col("c_name")), (never, nation % 3 == 0)),
+        _proto_column(17, 2, "", text("1"), F.when(no_bytes, empty).otherwise(nation.cast("string")), (never, no_bytes)),
+        _proto_column(17, 3, "", text("1"), F.when(no_bytes, empty).otherwise("0000-00-00"), (never, no_bytes)),
+    )
+    events = decode_proto(_envelope(c, "c_custkey", record), Catalog([SUPPLIER]))
+    return events.select(
+        "offset", "op", _cur("S_KEY").alias("key_cur"), _old("S_KEY").alias("key_old"), _cur("S_NAME").alias("name_cur"),
+        _cur("S_NATION").alias("nation_cur"), _cur("S_DATE").alias("date_cur"))
+
+
+@query(
+    "txn_attributes",
+    """SELECT 'ctrl' AS format, c_custkey AS "offset", 'x' || c_custkey AS xid, '77' AS csn, CAST(c_custkey AS VARCHAR(20)) AS seq, '1' AS flag, 'P' AS process,
+  '1,2' AS local_xid, '8' AS rebuild_xid, NULL AS begin_seq, NULL AS begin_rba, NULL AS rba, NULL AS trans_seq FROM customer
+UNION ALL SELECT 'protobuf', c_custkey, 'x' || c_custkey, 'csn' || c_custkey, CAST(c_custkey % 20 AS VARCHAR(20)), CAST(c_custkey % 2 AS VARCHAR(20)),
+  CAST(c_custkey % 90 AS VARCHAR(20)), NULL, NULL, CAST(c_custkey % 100 AS VARCHAR(20)), CAST(c_custkey % 50 AS VARCHAR(20)),
+  CAST(c_custkey % 7 AS VARCHAR(20)), CAST(c_custkey % 3 AS VARCHAR(20)) FROM customer""",
+)
+def txn_attributes(spark, d):
+    """All transaction attributes that the control-character and the protobuf format carry."""
+    ctrl = decode_ctrl(_ctrl_messages(spark, d)).withColumn("format", F.lit("ctrl"))
+    proto = decode_proto(_proto_messages(spark, d), Catalog([SUPPLIER])).withColumn("format", F.lit("protobuf"))
+    names = [F.col(f"txn.{n}").alias(n) for n in TXN_FIELDS if n != "op_time"]
+    return ctrl.select("format", "offset", *names).unionByName(proto.select("format", "offset", *names))
+
+
 # -- value rules -------------------------------------------------------------------------------------------
 @query(
     "null_rules",

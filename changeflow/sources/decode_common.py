@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.functions.text import strip_quotes
-from changeflow.model import COLS_TYPE, ERROR_TYPE, TXN_TYPE
+from changeflow.model import COLS_TYPE, ERROR_TYPE, TXN_FIELDS, TXN_TYPE
 
 
 def cell(cur: Column, old: Column, has_cur: Column, has_old: Column, quoted: bool = True) -> Column:
@@ -30,8 +30,7 @@ def error(code: Column, detail: Column | None = None) -> Column:
 
 def txn(**fields: Column) -> Column:
     empty = F.lit(None).cast("string")
-    names = ("xid", "csn", "seq", "flag", "op_time")
-    return F.struct(*[fields.get(n, empty).cast("string").alias(n) for n in names]).cast(TXN_TYPE)
+    return F.struct(*[fields.get(n, empty).cast("string").alias(n) for n in TXN_FIELDS]).cast(TXN_TYPE)
 
 
 def change_event(

@@ -27,7 +27,8 @@ _ENTRY = (
 )
 _DECODED = (
     "source_type int, operation_type int, csn string, xid string, trail_seq bigint, trans_flag int, "
-    f"operation_time string, full_name string, n_columns int, entries array<{_ENTRY}>, failure string"
+    f"operation_time string, full_name string, n_columns int, entries array<{_ENTRY}>, failure string, "
+    "extract int, begin_seq bigint, begin_rba int, rba int, trans_seq int"
 )
 
 
@@ -125,7 +126,7 @@ def _entry(column, is_key: bool, encoding: str) -> tuple:
 
 def decode_record(raw: bytes, encoding: str, parse: Callable[[bytes], object]) -> tuple:
     """One record as a row of ``_DECODED``; what is wrong with it goes to ``failure``."""
-    failed = (None,) * 10
+    failed, unknown = (None,) * 10, (None,) * 5
     try:
         rec = parse(raw)
         # without a setting, source 1 writes GBK and source 2 UTF-8
@@ -134,11 +135,12 @@ def decode_record(raw: bytes, encoding: str, parse: Callable[[bytes], object]) -
         return (
             rec.source_type, rec.operation_type, rec.csn, rec.xid, rec.trail_seq, rec.trans_flag,
             rec.operation_time, rec.table_name, len(rec.column), entries, None,
+            rec.extract, rec.begin_trans_trail_seq, rec.begin_trans_trail_rba, rec.trail_rba, rec.trans_seq,
         )
     except UnicodeError:
-        return (*failed, "bad_charset")
+        return (*failed, "bad_charset", *unknown)
     except (ValueError, IndexError, AttributeError, TypeError):
-        return (*failed, "bad_record")
+        return (*failed, "bad_record", *unknown)
 
 
 def _entries_array(lists, entry_type: pa.StructType) -> pa.ListArray:
@@ -195,6 +197,8 @@ def decode_proto(
         txn=txn(
             xid=F.col("xid"), csn=F.col("csn"), seq=F.col("trail_seq"),
             flag=F.col("trans_flag"), op_time=F.col("operation_time"),
+            process=F.col("extract"), begin_seq=F.col("begin_seq"), begin_rba=F.col("begin_rba"), rba=F.col("rba"),
+            trans_seq=F.col("trans_seq"),
         ),
         extra=[
             F.col(c)

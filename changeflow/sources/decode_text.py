@@ -103,6 +103,9 @@ def decode_ctrl(df: DataFrame, def_schema: str | None = None, encoding: str = fv
             seq=F.try_element_at("_t", F.lit(7)),
             flag=F.try_element_at("_t", F.lit(5)),
             op_time=F.try_element_at("_f", F.lit(4)),
+            process=F.try_element_at("_t", F.lit(1)),
+            local_xid=F.try_element_at("_t", F.lit(4)),
+            rebuild_xid=F.try_element_at("_t", F.lit(6)),
         ),
         extra=[F.col("topic_schema")] if "topic_schema" in df.columns else None,
     )
