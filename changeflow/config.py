@@ -35,6 +35,8 @@ class JobConfig:
     def_table: str | None = None
     batch_size: int = fv.DEFAULT_BATCH_SIZE
     batch_update: bool = False
+    # columns whose last value equals the first old value in the messages are not written
+    skip_unchanged: bool = True
     ignore: bool = False
     network_timeout_s: int = 60
     jdbc_url: str | None = None
@@ -92,6 +94,7 @@ class JobConfig:
         names = {
             "database": {
                 "batchSize": "batch_size", "batchUpdate": "batch_update", "ignore": "ignore",
+                "skipUnchanged": "skip_unchanged",
                 "networkTO": "network_timeout_s", "DBUrl": "jdbc_url", "DBDriver": "jdbc_driver",
                 "defSchema": "def_schema", "defTable": "def_table",
             },

@@ -70,24 +70,17 @@ def apply_key_change(snapshot: DataFrame, net: DataFrame, spec: TableSpec) -> Da
 
 
 def merge_batch(snapshot: DataFrame, net: DataFrame, spec: TableSpec) -> DataFrame:
-    """The whole batch in one full outer join on the source key.
+    """The whole batch: stored rows take their net change in one left join on the source key, net inserts are added.
 
-    Every net row refers to the snapshot before the batch, so order among I, U, K and D does not matter.
-    Fresh rows placed by a key change have a null source key: they match nothing and are added.
+    Every net row refers to the snapshot before the batch, so order among I, U, K and D does not matter. A stored row that is
+    named by a net delete or insert goes. Fresh rows placed by a key change have a null source key: they are inserts that match nothing.
+    Unlike a full outer join, a left join can send out a net that is small and leave the stored rows where they are.
     """
-    snap = snapshot.select(*spec.column_names, F.lit(True).alias("_here")).alias("snap")
-    joined = snap.join(net.alias("net"), _on(spec), "full_outer")
-    op, here = F.col("net.op"), F.col("snap._here").isNotNull()
-    alive = op.isNull() | (op == "I") | (op.isin("U", "K") & here)
-    columns = []
-    for n in spec.column_names:
-        if n in spec.key_names:
-            col = F.when(op.isNull(), F.col(f"snap.{n}")).otherwise(F.col(f"net.d_{n}"))
-        else:
-            c = F.col(f"net.c_{n}")
-            col = F.when(op.eqNullSafe("I") | c.isNotNull(), c["cur"]).otherwise(F.col(f"snap.{n}"))
-        columns.append(col.alias(n))
-    return joined.filter(alive).select(*columns)
+    named = net.filter(F.col(f"s_{spec.key_names[0]}").isNotNull()).alias("net")
+    joined = snapshot.select(*spec.column_names).alias("snap").join(named, _on(spec), "left")
+    op = F.col("net.op")
+    kept = joined.filter(op.isNull() | op.isin("U", "K")).select(*_overlaid(spec, op.isNotNull()))
+    return kept.unionByName(net.filter(F.col("op") == "I").select(*_net_row(spec)))
 
 
 def batch_rows(spec: TableSpec | Column, batch_size: int = fv.DEFAULT_BATCH_SIZE) -> int | Column:

@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from changeflow import fixed_values as fv
 from changeflow.model import ColumnSpec, TableSpec
 from changeflow.operators.apply import batch_rows
+from changeflow.operators.bind import dst_cols
 
 LINE_END = fv.SQL_LINE_END
+# width of the blocks of the log whose offsets share a line of the applied script
+OFFSETS_PER_LINE = 1000
 
 
 def _literal(value: Column, col: ColumnSpec) -> Column:
@@ -80,6 +83,28 @@ def net_sql_text(net: DataFrame, spec: TableSpec) -> DataFrame:
     return net.select("op", *[c for c in net.columns if c[:2] in ("s_", "d_")], statement.alias("sql_text"))
 
 
+def applied_script(net: DataFrame, lineage: DataFrame, spec: TableSpec, offsets_per_line: int = OFFSETS_PER_LINE) -> DataFrame:
+    """The net changes as statements, with the offsets of the changes behind them: ``topic, partition, line, sql_text`` and the keys ``d_*``.
+
+    ``lineage``: one row per key and contributing change (``net_lineage``, ``key_change_lineage``). A statement stands at the topic and partition
+    of its last change and ends with the offsets of that block of the log as a comment; a key with changes in more blocks or partitions has a
+    line of offsets for each of them, so a hot key is never one cell. ``line`` is the number of the block. A key that is deleted and written
+    anew has both statements, the delete first. A net change that no message made is not in the script.
+    """
+    keys = dst_cols(spec)
+    place = ["topic", "partition", "line"]
+    # at most one offset per place of a block
+    offsets = F.array_join(F.transform(F.array_sort(F.collect_set("offset")), lambda o: o.cast("string")), ",")
+    block = F.floor(F.col("offset") / offsets_per_line).alias("line")
+    lines = lineage.groupBy(*keys, "topic", "partition", block).agg(F.concat(F.lit("-- "), offsets).alias("made_by"))
+    last = lines.groupBy(*keys).agg(F.max(F.struct(*place)).alias("last"))
+    # at most a delete and what comes after it
+    script = net_sql_text(net, spec).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col("op") != "D", "sql_text"))).alias("script"))
+    full = F.transform(F.col("script.sql_text"), lambda text: F.concat(text, F.col("made_by")))
+    texts = F.when(F.struct(*place) == F.col("last"), full).otherwise(F.array("made_by"))
+    return lines.join(last.join(script, keys), keys).select(*keys, *place, F.explode(texts).alias("sql_text"))
+
+
 def write_raw_archive(envelope: DataFrame, path: str, max_records: int = 0, mode: str = "append") -> None:
     """Raw messages by topic and partition; large partitions roll over by record count.
 

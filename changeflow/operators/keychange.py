@@ -16,6 +16,7 @@ Replay in log order is the meaning; it is computed with joins and aggregations o
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from changeflow.functions.scan import carry_previous
 from changeflow.model import TableSpec
 from changeflow.operators.bind import dst_cols, src_cols, val_cols
-from changeflow.operators.net import net_changes, net_lineage, net_rejects, overlay_aggs
+from changeflow.operators.net import net_changes, net_lineage, net_rejects, net_without_noops, overlay_aggs, unchanged
 from changeflow.session import cut_lineage
 
 
@@ -32,16 +33,23 @@ from changeflow.session import cut_lineage
 class NetResult:
     net: DataFrame
     rejects: DataFrame
+    # the replayed key changes, if there were any: the lineage needs them again
+    replayed: tuple[DataFrame, DataFrame, DataFrame, DataFrame] | None = None
 
 
-def net_batch(changes: DataFrame, spec: TableSpec, snapshot: DataFrame) -> NetResult:
-    """Net a batch; the key-change path runs only if the batch holds a key change."""
+def net_batch(changes: DataFrame, spec: TableSpec, snapshot: DataFrame, skip_unchanged: bool = False) -> NetResult:
+    """Net a batch; the key-change path runs only if the batch holds a key change.
+
+    ``skip_unchanged`` leaves out columns that end with the value they began with, by the old values in the messages, and updates without
+    any other column.
+    """
     if changes.filter(F.col("op") == "K").isEmpty():
-        return NetResult(net_changes(changes, spec).drop("n_events", "last_seq"), net_rejects(changes, spec).select(*_reject_columns(spec)))
-    return net_with_key_changes(changes, spec, snapshot)
+        netted = net_without_noops(changes, spec) if skip_unchanged else net_changes(changes, spec)
+        return NetResult(netted.drop("n_events", "last_seq"), net_rejects(changes, spec).select(*_reject_columns(spec)))
+    return net_with_key_changes(changes, spec, snapshot, skip_unchanged)
 
 
-def net_with_key_changes(changes: DataFrame, spec: TableSpec, snapshot: DataFrame) -> NetResult:
+def net_with_key_changes(changes: DataFrame, spec: TableSpec, snapshot: DataFrame, skip_unchanged: bool = False) -> NetResult:
     """Net changes of a batch that may change keys.
 
     Net rows: U and D as usual, K moves a snapshot row from ``s_*`` to ``d_*``, I with a null source key is a
@@ -50,14 +58,15 @@ def net_with_key_changes(changes: DataFrame, spec: TableSpec, snapshot: DataFram
     earlier change of the batch deleted or moved away.
     """
     keys = [f"k_{k}" for k in spec.key_names]
-    moves, touched, outcome, scanned = _replayed(changes, spec, snapshot, keys)
+    replayed = moves, touched, outcome, scanned = _replayed(changes, spec, snapshot, keys)
 
     def on_touched(df: DataFrame, prefix: str, how: str) -> DataFrame:
         return _on_keys(df, touched, spec, prefix, how)
 
     plain = changes.filter(F.col("op") != "K")
     # aggregate first: the anti join then sees one row per key
-    simple = on_touched(net_changes(plain, spec).drop("n_events", "last_seq"), "d_", "left_anti")
+    netted = net_without_noops(plain, spec) if skip_unchanged else net_changes(plain, spec)
+    simple = on_touched(netted.drop("n_events", "last_seq"), "d_", "left_anti")
     values = val_cols(spec)
 
     roots = _roots(scanned, keys)
@@ -77,17 +86,18 @@ def net_with_key_changes(changes: DataFrame, spec: TableSpec, snapshot: DataFram
         )
         .filter(F.col("g_kind").isin("I", "M", "S"))
         .groupBy("g_kind", "g_seq", *[F.when(in_snapshot_segment, F.col(k)).alias(k) for k in keys])
-        .agg(*overlay_aggs(spec))
+        .agg(*overlay_aggs(spec, skip_unchanged))
     )
     # only rows that a key change brought have their root elsewhere
-    lasts = [f"last_{c}" for c in values]
+    firsts = [f"first_{c}" for c in values] if skip_unchanged else []
+    lasts = [*[f"last_{c}" for c in values], *firsts]
     own_root = segments.filter(F.col("g_kind") != "M").select(
         F.when(F.col("g_kind") == "I", F.col("g_seq")).alias("r_seq"),
         *[F.when(in_snapshot_segment, F.col(k)).alias(f"r_{k}") for k in keys], *lasts,
     )
     moved_root = segments.filter(F.col("g_kind") == "M").join(roots.withColumnRenamed("seq", "g_seq"), "g_seq", "left")
     rooted = own_root.unionByName(moved_root.select(*root_cols, *lasts))
-    rows = rooted.groupBy(*root_cols).agg(*[F.max(f"last_{c}").alias(f"last_{c}") for c in values])
+    rows = rooted.groupBy(*root_cols).agg(*[F.max(f"last_{c}").alias(f"last_{c}") for c in values], *[F.min(c).alias(c) for c in firsts])
 
     # where every surviving row ends up
     last = (
@@ -110,6 +120,11 @@ def net_with_key_changes(changes: DataFrame, spec: TableSpec, snapshot: DataFram
     unmoved = F.lit(True)
     for k in keys:
         unmoved = unmoved & (F.col(f"p.{k}") == F.col(f"p.r_{k}"))
+
+    def counts(c: str) -> Column:
+        is_set = F.col(f"w.last_{c}").isNotNull()
+        return is_set & (fresh | ~unchanged(F.col(f"w.last_{c}")["cur"], F.col(f"w.first_{c}")["old"])) if skip_unchanged else is_set
+
     placed = (
         places.alias("p")
         .join(rows.withColumn("_set", F.lit(True)).alias("w"), same_root, "left")
@@ -119,11 +134,13 @@ def net_with_key_changes(changes: DataFrame, spec: TableSpec, snapshot: DataFram
             *[F.col(f"p.r_{k}").alias("s" + k[1:]) for k in keys],
             *[F.col(f"p.{k}").alias("d" + k[1:]) for k in keys],
             *[
-                F.when(F.col(f"w.last_{c}").isNotNull(), F.struct(F.col(f"w.last_{c}")["cur"].alias("cur"))).alias(c)
+                F.when(counts(c), F.struct(F.col(f"w.last_{c}")["cur"].alias("cur"))).alias(c)
                 for c in values
             ],
         )
     )
+    if skip_unchanged:
+        placed = placed.filter((F.col("op") != "U") | reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in values], F.lit(False)))
     kept_sources = places.filter(F.col("r_seq").isNull()).select(*[F.col(f"r_{k}").alias(k) for k in keys])
     gone = touched.join(kept_sources, keys, "left_anti").select(
         F.lit("D").alias("op"),
@@ -137,7 +154,7 @@ def net_with_key_changes(changes: DataFrame, spec: TableSpec, snapshot: DataFram
     elsewhere = net_rejects(on_touched(plain, "d_", "left_anti"), spec)
     out = _reject_columns(spec)
     rejects = collided.select(*out).unionByName(_rejects(late, "after_delete").select(*out)).unionByName(elsewhere.select(*out))
-    return NetResult(simple.unionByName(placed).unionByName(gone), rejects)
+    return NetResult(simple.unionByName(placed).unionByName(gone), rejects, replayed)
 
 
 def _on_keys(df: DataFrame, touched: DataFrame, spec: TableSpec, prefix: str, how: str) -> DataFrame:
@@ -178,6 +195,11 @@ def _replayed(changes: DataFrame, spec: TableSpec, snapshot: DataFrame, keys: li
     return moves, touched, outcome, scanned
 
 
+def batch_lineage(changes: DataFrame, spec: TableSpec, result: NetResult) -> DataFrame:
+    """Which offsets made each net change of a netted batch; key changes are not replayed again."""
+    return _lineage(changes, spec, result.replayed) if result.replayed else net_lineage(changes, spec)
+
+
 def key_change_lineage(changes: DataFrame, spec: TableSpec, snapshot: DataFrame) -> DataFrame:
     """Which offsets made each net change of a batch that may change keys, one row per key and contributing change.
 
@@ -189,11 +211,14 @@ def key_change_lineage(changes: DataFrame, spec: TableSpec, snapshot: DataFrame)
     Every change leads to the next key change at its key, and a key change to the next one at its new key. These pointers between key
     changes are followed by pointer jumping; changes without a later one count for the key they are at.
     """
-    keys = [f"k_{k}" for k in spec.key_names]
-    dst = dst_cols(spec)
     if changes.filter(F.col("op") == "K").isEmpty():
         return net_lineage(changes, spec)
-    _, touched, _, scanned = _replayed(changes, spec, snapshot, keys)
+    return _lineage(changes, spec, _replayed(changes, spec, snapshot, [f"k_{k}" for k in spec.key_names]))
+
+
+def _lineage(changes: DataFrame, spec: TableSpec, replayed: tuple[DataFrame, DataFrame, DataFrame, DataFrame]) -> DataFrame:
+    keys, dst = [f"k_{k}" for k in spec.key_names], dst_cols(spec)
+    _, touched, _, scanned = replayed
     vacant = (F.col("kind") == "U") & F.coalesce(F.col("prev.kind").isin("D", "X"), F.lit(False))
     counted = scanned.filter(~vacant).select("seq", "chunk", "kind", *keys)
     onward = cut_lineage(carry_previous(counted, keys, F.col("seq"), F.col("kind").isin("X", "M"), "to", forward=True))

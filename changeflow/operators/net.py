@@ -205,6 +205,14 @@ def drop_noop_updates(net: DataFrame, spec: TableSpec) -> DataFrame:
     return slim.filter((F.col("op") != "U") | sets_something)
 
 
+def net_without_noops(changes: DataFrame, spec: TableSpec) -> DataFrame:
+    """Net changes without columns that end as they began, by the old values in the messages, and without updates that change nothing."""
+    slim = drop_noop_updates(net_changes(changes, spec, with_old=True), spec)
+    return slim.select(*[
+        F.when(F.col(n).isNotNull(), F.struct(F.col(n)["cur"].alias("cur"))).alias(n) if n in val_cols(spec) else F.col(n) for n in slim.columns
+    ])
+
+
 def net_report(changes: DataFrame, net: DataFrame, table: str) -> DataFrame:
     """Messages in against net changes out, by operation, for one table."""
     def counts(df: DataFrame, name: str) -> DataFrame:

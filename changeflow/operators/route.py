@@ -94,6 +94,13 @@ def unknown_tables(events: DataFrame, catalog: Catalog) -> DataFrame:
     )
 
 
+def with_target(events: DataFrame, catalog: Catalog) -> DataFrame:
+    """Add ``target``: the full name of the target table, or '' if there is no such table."""
+    known = _catalog_side(events, catalog).select("schema_name", "table_name", F.concat_ws(".", "schema_name", "table_name").alias("_known"))
+    joined = events.join(known, ["schema_name", "table_name"], "left")
+    return joined.select(*events.columns, F.coalesce("_known", F.lit("")).alias("target"))
+
+
 def bind_columns(events: DataFrame, catalog: Catalog, by: str = "name") -> DataFrame:
     """Bind column references to catalog names: ``position`` (0-based) or ``name``.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -11,11 +12,11 @@ from changeflow.config import JobConfig
 from changeflow.model import Catalog, TableSpec
 from changeflow.operators.apply import merge_batch
 from changeflow.operators.bind import bind_changes
-from changeflow.operators.keychange import net_batch
+from changeflow.operators.keychange import batch_lineage, net_batch
 from changeflow.operators.nopk import replay_nopk
 from changeflow.operators.route import bind_columns, known_tables, map_columns, map_tables, split_by_table, split_errors
 from changeflow.session import configure, cut_lineage
-from changeflow.sources.envelope import topic_config
+from changeflow.sources.envelope import assigned_partitions, envelope_error, topic_config
 from changeflow.sources.registry import decode
 
 
@@ -23,6 +24,8 @@ def decode_and_route(envelope: DataFrame, job: JobConfig, catalog: Catalog) -> D
     """Change events bound to target tables and columns; bad rows carry ``error``."""
     spark = configure(envelope.sparkSession)
     events = decode(topic_config(envelope, job.topic_schemas()), job, catalog)
+    if job.topics:
+        events = events.withColumn("error", F.coalesce(envelope_error(assigned_partitions(job)), "error"))
     if job.mappings:
         events = map_tables(events, job.mappings_df(spark), catalog)
         if any(m.columns for m in job.mappings):
@@ -38,6 +41,8 @@ class TableBatch:
     rejects: DataFrame
     # None where only what changed is written
     table: DataFrame | None
+    # offsets behind every net change, worked out when asked for; None for tables without a key
+    lineage: Callable[[], DataFrame] | None = None
 
 
 def bind_or_reject(events: DataFrame, spec: TableSpec, update_mode: str = "sparse") -> tuple[DataFrame, DataFrame]:
@@ -46,16 +51,19 @@ def bind_or_reject(events: DataFrame, spec: TableSpec, update_mode: str = "spars
     return changes, unbound.select("topic", "partition", "offset", "item", "op", "error")
 
 
-def apply_table(events: DataFrame, spec: TableSpec, snapshot: DataFrame, update_mode: str = "sparse") -> TableBatch:
+def apply_table(
+    events: DataFrame, spec: TableSpec, snapshot: DataFrame, update_mode: str = "sparse", skip_unchanged: bool = False
+) -> TableBatch:
     """Bind, net and merge the events of one table."""
     changes, unbound = bind_or_reject(events, spec, update_mode)
     if not spec.has_pk:
         good = events.filter(F.col("error").isNull())
         return TableBatch(spec, changes, None, unbound, replay_nopk(snapshot, good, spec))
-    result = net_batch(changes, spec, snapshot)
+    result = net_batch(changes, spec, snapshot, skip_unchanged)
     collided = result.rejects.select("seq.topic", "seq.partition", "seq.offset", "seq.item", "op", "error")
     return TableBatch(
-        spec, changes, result.net, unbound.unionByName(collided), merge_batch(snapshot, result.net, spec)
+        spec, changes, result.net, unbound.unionByName(collided), merge_batch(snapshot, result.net, spec),
+        lambda: batch_lineage(changes, spec, result),
     )
 
 
@@ -77,6 +85,6 @@ def run_batch(
     good, _bad = split_errors(routed, job.on_error)
     per_table = split_by_table(known_tables(good, catalog), catalog)
     return {
-        name: apply_table(events, catalog[name], snapshots[name], job.update_mode)
+        name: apply_table(events, catalog[name], snapshots[name], job.update_mode, job.skip_unchanged)
         for name, events in per_table.items()
     }

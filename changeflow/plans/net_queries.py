@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from changeflow.model import TableSpec
-from changeflow.operators import apply, net, nopk
+from changeflow.operators import apply, archive, net, nopk
 from changeflow.operators.bind import bind_changes, classify, typed_changes
-from changeflow.operators.keychange import key_change_lineage, key_change_outcomes, net_with_key_changes
+from changeflow.operators.keychange import batch_lineage, key_change_lineage, key_change_outcomes, net_batch, net_with_key_changes
 from changeflow.plans import logs
 from changeflow.plans.registry import query
 
@@ -178,6 +178,53 @@ def drop_noop_updates(spark, d):
     return _flat_net(net.drop_noop_updates(netted, CUSTOMERS), CUSTOMERS).drop("op")
 
 
+@query(
+    "merge_without_noops",
+    "WITH " + logs.UPDATES_SQL + """
+SELECT c_custkey, CASE WHEN n IS NOT NULL AND NOT coalesce(n.v = n_old.v, false) THEN n.v ELSE c_name END AS c_name,
+  CASE WHEN m IS NOT NULL AND NOT coalesce(m.v = m_old.v, false) THEN m.v ELSE c_mktsegment END AS c_mktsegment
+FROM customer LEFT JOIN upd ON k = c_custkey""",
+)
+def merge_without_noops(spark, d):
+    """A merged batch whose updates leave columns alone that the messages show as unchanged."""
+    seed = logs.customer_seed(spark, d)
+    return apply.merge_batch(seed, net_batch(logs.customer_updates(spark, d), CUSTOMERS, seed, skip_unchanged=True).net, CUSTOMERS)
+
+
+SCRIPT_SQL = SPREAD_SQL + """,
+m AS (SELECT *, last_value(CASE WHEN op IN ('I','D') THEN op END IGNORE NULLS) OVER (
+  PARTITION BY c1 ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM log),
+lines AS (SELECT c1, seq // 1000000000000 AS part, (seq % 1000000000000) // 1000 AS line,
+    '-- ' || string_agg(CAST(seq % 1000000000000 AS VARCHAR), ',' ORDER BY seq) AS made_by
+  FROM m WHERE NOT (op = 'U' AND coalesce(before = 'D', false)) GROUP BY 1, 2, 3),
+placed AS (SELECT *, row_number() OVER (PARTITION BY c1 ORDER BY part DESC, line DESC) AS back FROM lines),
+lit AS (SELECT *, coalesce('''' || n2.v || '''', 'null') AS q2, coalesce('''' || n3.v || '''', 'null') AS q3,
+  coalesce('''' || n4.v || '''', 'null') AS q4 FROM net),
+texts AS (SELECT c1, CASE op WHEN 'D' THEN 'DELETE FROM "S"."USERS" WHERE "c1" = ' || c1
+  WHEN 'I' THEN 'UPSERT INTO "S"."USERS"("c1"' || CASE WHEN n2 IS NOT NULL THEN ', "c2"' ELSE '' END ||
+    CASE WHEN n3 IS NOT NULL THEN ', "c3"' ELSE '' END || CASE WHEN n4 IS NOT NULL THEN ', "c4"' ELSE '' END || ') VALUES(' || c1 ||
+    CASE WHEN n2 IS NOT NULL THEN ', ' || q2 ELSE '' END || CASE WHEN n3 IS NOT NULL THEN ', ' || q3 ELSE '' END ||
+    CASE WHEN n4 IS NOT NULL THEN ', ' || q4 ELSE '' END || ')'
+  ELSE 'UPDATE "S"."USERS" SET "c1" = ' || c1 || CASE WHEN n2 IS NOT NULL THEN ', "c2" = ' || q2 ELSE '' END ||
+    CASE WHEN n3 IS NOT NULL THEN ', "c3" = ' || q3 ELSE '' END || CASE WHEN n4 IS NOT NULL THEN ', "c4" = ' || q4 ELSE '' END ||
+    ' WHERE "c1" = ' || c1 END || ';' AS statement FROM lit)
+SELECT 'events' AS topic, CAST(part AS INT) AS "partition", CASE WHEN back = 1 THEN statement ELSE '' END || made_by AS sql_text
+FROM placed JOIN texts ON texts.c1 = placed.c1"""
+
+
+@query("applied_script", SCRIPT_SQL)
+def applied_script(spark, d):
+    """The applied statements with the offsets behind them, written by topic and partition and read back; a key lies on three partitions."""
+    path = logs.work_dir(spark) + "/applied"
+    log = logs.events_log(spark, d).withColumn("partition", (F.col("offset") % 3).cast("int"))
+    values = {n: (F.col(f"has_{n}"), F.col(n)) for n in ("c2", "c3", "c4")}
+    changes = typed_changes(log, USERS, F.col("op"), {"c1": F.col("c1")}, {"c1": F.col("c1")}, values)
+    result = net_batch(changes, USERS, logs.user_seed(spark, d))
+    script = archive.applied_script(result.net, batch_lineage(changes, USERS, result), USERS)
+    archive.write_sql_archive(script, path, ["topic", "partition"], 100000)
+    return spark.read.option("lineSep", archive.LINE_END).text(path).select("topic", "partition", F.col("value").alias("sql_text"))
+
+
 @query(
     "epochs",
     """WITH log AS (SELECT CAST(user_id % 4 AS INT) AS part, event_id AS seq,

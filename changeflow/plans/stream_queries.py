@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeflow import fixed_values as fv
-from changeflow.config import JobConfig
+from changeflow.config import JobConfig, Topic
 from changeflow.model import ENVELOPE_SCHEMA, Catalog
 from changeflow.operators.bind import bind_changes
 from changeflow.operators.route import bind_columns
@@ -20,7 +20,7 @@ from changeflow.plans.registry import query
 from changeflow.sources.decode_text import decode_ctrl
 from changeflow.streaming.live_view import live_view
 from changeflow.streaming.pipeline import Pipeline, start_pipeline
-from changeflow.streaming.store import SnapshotStore
+from changeflow.streaming.store import BY_HAND, SnapshotStore
 
 USERS = logs.USERS
 SLICES = 4
@@ -121,6 +121,21 @@ def pipeline_rejects(spark, d):
     return saved.select("offset", F.col("error.code").alias("reason"))
 
 
+@query(
+    "job_envelope_check",
+    """SELECT event_id AS "offset", CAST(user_id % 4 AS INT) AS "partition", 'unexpected_partition' AS reason FROM events
+WHERE user_id % 4 NOT IN (0, 1, 3)""",
+)
+def job_envelope_check(spark, d):
+    """What a job that asks for partitions 0, 1 and 3 of a topic puts aside of a batch with all of them."""
+    root = logs.work_dir(spark)
+    store = SnapshotStore(spark, f"{root}/store", Catalog([USERS]), buckets=8)
+    store.load(logs.user_seed(spark, d), USERS)
+    job = JobConfig(format="ctrl", skip=True, unload_dir=f"{root}/unload", topics=[Topic("events", partition="0-1,3")])
+    Pipeline(spark, job, store).apply_batch(_messages(spark, d), 0)
+    return spark.read.parquet(f"{root}/unload/stream={BY_HAND}/batch=0").select("offset", "partition", "reason")
+
+
 @query("hold_release", MERGED_SQL + "SELECT * FROM merged")
 def hold_release(spark, d):
     """Damaged messages hold two partitions over two batches; repaired and released, the table equals that of the whole log."""

@@ -184,13 +184,27 @@ def seek_time(df: DataFrame, at: Column) -> DataFrame:
     )
 
 
-def check_envelope(df: DataFrame, assigned: dict[str, list[int]]) -> DataFrame:
-    """Add ``error`` to records whose topic or partition was not asked for."""
+def assigned_partitions(cfg) -> dict[str, list[int] | None]:
+    """Partitions a job asks for by topic; None: all of them."""
+    assigned: dict[str, list[int] | None] = {}
+    for t in cfg.topics:
+        wanted, before = parse_partitions(t.partition), assigned.get(t.topic, [])
+        assigned[t.topic] = None if wanted is None or before is None else sorted({*before, *wanted})
+    return assigned
+
+
+def envelope_error(assigned: dict[str, list[int] | None]) -> Column:
+    """What is wrong with a record whose topic or partition was not asked for, or null."""
     known_topic = F.col("topic").isin(list(assigned))
     matches = [
-        (F.col("topic") == t) & F.col("partition").isin(list(ps)) for t, ps in assigned.items()
+        (F.col("topic") == t) & (F.lit(True) if ps is None else F.col("partition").isin(list(ps))) for t, ps in assigned.items()
     ]
     known_partition = reduce(lambda a, b: a | b, matches, F.lit(False))
     code = F.when(~known_topic, "unexpected_topic").when(~known_partition, "unexpected_partition")
     detail = F.concat_ws("/", "topic", F.col("partition").cast("string"))
-    return df.withColumn("error", F.when(code.isNotNull(), F.struct(code.alias("code"), detail.alias("detail"))))
+    return F.when(code.isNotNull(), F.struct(code.alias("code"), detail.alias("detail")))
+
+
+def check_envelope(df: DataFrame, assigned: dict[str, list[int] | None]) -> DataFrame:
+    """Add ``error`` to records whose topic or partition was not asked for."""
+    return df.withColumn("error", envelope_error(assigned))

@@ -13,9 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 from changeflow.config import JobConfig
 from changeflow.model import ENVELOPE_SCHEMA, Catalog, TableSpec
 from changeflow.operators.apply import merge_batch
-from changeflow.operators.archive import net_sql_text, to_sql_text, write_raw_archive, write_sql_archive, write_unload
+from changeflow.operators.archive import applied_script, to_sql_text, write_raw_archive, write_sql_archive, write_unload
 from changeflow.operators.nopk import nopk_changes, nopk_delta
-from changeflow.operators.route import known_tables, split_errors
+from changeflow.operators.route import known_tables, split_errors, with_target
 from changeflow.plans.batch import TableBatch, apply_table, bind_or_reject, decode_and_route
 from changeflow.session import cut_lineage
 from changeflow.functions.text import start_position
@@ -162,11 +162,8 @@ class Pipeline:
         # archives have a folder per batch and are overwritten, so a repeated batch leaves them once
         if job.raw_dir and job.dump_binary:
             write_raw_archive(batch, f"{job.raw_dir}/{place}", job.max_file_records, "overwrite")
-        # bad rows are counted with the table they name, if any: at most one row per table name
-        errors = {
-            f"{r['schema_name']}.{r['table_name']}" if r["table_name"] else "": r["n"]
-            for r in bad.groupBy("schema_name", "table_name").agg(F.count(F.lit(1)).alias("n")).collect()
-        }
+        # bad rows are counted with the table they name: at most one row per target table, one for all other names
+        errors = {r["target"]: r["n"] for r in with_target(bad, self.catalog).groupBy("target").agg(F.count(F.lit(1)).alias("n")).collect()}
         if errors:
             write_unload(bad, f"{job.unload_dir}/{place}", max_records=job.max_file_records, mode="overwrite")
         good = known_tables(good, self.catalog)
@@ -197,9 +194,9 @@ class Pipeline:
             write_unload(out.rejects, path, max_records=job.max_file_records, mode="overwrite")
         if out.net is not None:
             if job.load_dir:
-                applied = net_sql_text(out.net, spec).withColumn("table_name", F.lit(spec.full_name))
+                applied = applied_script(out.net, out.lineage(), spec).withColumn("table_name", F.lit(spec.full_name))
                 path = f"{job.load_dir}/{spec.full_name}/{place}"
-                write_sql_archive(applied, path, ["table_name"], job.max_file_records, "overwrite")
+                write_sql_archive(applied, path, ["table_name", "topic", "partition"], job.max_file_records, "overwrite")
             ops = {"I": "inserts", "U": "updates", "K": "updates", "D": "deletes"}
             # at most four rows
             for r in out.net.groupBy("op").count().collect():
@@ -212,7 +209,7 @@ class Pipeline:
         Of the table, only these rows in the touched buckets are read and joined.
         """
         store = self.store
-        out = apply_table(events, spec, store.read(spec), self.job.update_mode)
+        out = apply_table(events, spec, store.read(spec), self.job.update_mode, self.job.skip_unchanged)
         out.net = cut_lineage(out.net)
         buckets = store.touched_buckets(out.net, spec)
         named = [out.net.select(*[F.col(f"{side}_{k}").alias(k) for k in spec.key_names]) for side in "sd"]

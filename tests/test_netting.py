@@ -8,8 +8,9 @@ from replay import random_log, replay
 
 from changeflow.model import TableSpec
 from changeflow.operators.apply import merge_batch
+from changeflow.operators.archive import applied_script
 from changeflow.operators.bind import typed_changes
-from changeflow.operators.keychange import key_change_lineage, key_change_outcomes, net_batch
+from changeflow.operators.keychange import batch_lineage, key_change_lineage, key_change_outcomes, net_batch
 from changeflow.operators.net import net_changes, net_lineage, net_rejects
 
 SPEC = TableSpec.of(
@@ -170,3 +171,91 @@ def test_lineage_follows_rows_through_key_changes(spark, ops):
         found.setdefault((g, r["d_c1"]), []).append(o)
     want = {(g, k): h for g, (t, log) in enumerate(zip(tables, logs)) for k, h in lineage_replay(t, log).items()}
     assert {k: sorted(h) for k, h in found.items()} == want
+
+
+def with_old_values(log, seed):
+    """The log with the value that every set column of a row had before; None where there was no row."""
+    rows, out = {k: dict(v) for k, v in seed.items()}, []
+    for op, old, new, cols in log:
+        before = rows.get(old, {})
+        out.append((op, old, new, cols, {n: before.get(n) for n in cols} if op in "UK" else {}))
+        rows, _ = replay(rows, [(op, old, new, cols)], ("c2", "c3"))
+    return out
+
+
+@pytest.mark.parametrize("ops", ["IUD", "IUKD", "UUUK"])
+def test_columns_that_end_as_they_began_are_not_written(spark, ops):
+    rng = random.Random(11)
+    n_keys, tables = 5, seeds(rng, 40, 5)
+    # few values, so that many columns return to what they were
+    logs = [
+        with_old_values([(op, a, b, {n: v and rng.choice([v[:2], f"s{a}"]) for n, v in cols.items()}) for op, a, b, cols in random_log(rng, 8, n_keys, ops)], t)
+        for t in tables
+    ]
+    rows = [
+        ("t", 0, g * 1000 + i, op, g, a, b, "c2" in cols, cols.get("c2"), "c3" in cols, cols.get("c3"), olds.get("c2"), olds.get("c3"))
+        for g, log in enumerate(logs) for i, (op, a, b, cols, olds) in enumerate(log)
+    ]
+    df = spark.createDataFrame(rows, LOG_SCHEMA + ", old_c2 string, old_c3 string")
+    changes = typed_changes(
+        df, SPEC, F.col("op"), {"g": F.col("g"), "c1": F.col("old")}, {"g": F.col("g"), "c1": F.col("new")},
+        {n: (F.col(f"has_{n}"), F.col(n)) for n in ("c2", "c3")}, {n: F.col(f"old_{n}") for n in ("c2", "c3")}, chunk_offsets=4,
+    )
+    snapshot = to_snapshot(spark, tables)
+    plain = net_batch(changes, SPEC, snapshot).net
+    slim = net_batch(changes, SPEC, snapshot, skip_unchanged=True).net
+    wanted = [replay(t, [e[:4] for e in log], ("c2", "c3"))[0] for t, log in zip(tables, logs)]
+    assert collect(merge_batch(snapshot, slim, SPEC)) == expected_rows(wanted)
+    assert collect(merge_batch(snapshot, plain, SPEC)) == expected_rows(wanted)
+    assert slim.filter("op = 'U'").count() < plain.filter("op = 'U'").count()
+    before = {(g, k): r for g, t in enumerate(tables) for k, r in t.items()}
+    for r in slim.filter("op IN ('U', 'K')").collect():
+        row = before.get((r["s_g"], r["s_c1"]), {})
+        for n in ("c2", "c3"):
+            if r[f"c_{n}"] is not None and row.get(n) is not None:
+                assert r[f"c_{n}"]["cur"] != row[n]
+
+
+def test_applied_script_names_every_offset_of_a_statement_once(spark):
+    rng = random.Random(5)
+    tables, logs = seeds(rng, 20, 5), [random_log(rng, 12, 5) for _ in range(20)]
+    changes, snapshot = to_changes(spark, logs), to_snapshot(spark, tables)
+    result = net_batch(changes, SPEC, snapshot)
+    lineage = batch_lineage(changes, SPEC, result)
+    script = applied_script(result.net, lineage, SPEC, offsets_per_line=4).collect()
+    named, statements = {}, {}
+    for r in script:
+        text, offsets = r["sql_text"].rsplit("-- ", 1)
+        key = (r["d_g"], r["d_c1"])
+        named.setdefault(key, set()).update((r["topic"], r["partition"], int(o)) for o in offsets.split(","))
+        assert {int(o) // 4 for o in offsets.split(",")} == {r["line"]}
+        if text:
+            statements.setdefault(key, []).append((r["line"], text))
+    made_by = {}
+    for r in lineage.collect():
+        made_by.setdefault((r["d_g"], r["d_c1"]), set()).add((r["topic"], r["partition"], r["offset"]))
+    net = {}
+    for r in result.net.collect():
+        net.setdefault((r["d_g"], r["d_c1"]), []).append(r["op"])
+    assert named == {k: v for k, v in made_by.items() if k in net}
+    first = {"D": "DELETE", "I": "UPSERT", "U": "UPDATE", "K": "UPDATE"}
+    for key, found in statements.items():
+        assert sorted(t.split()[0] for _, t in found) == sorted(first[op] for op in net[key])
+        # at the last change of the key
+        assert {line for line, _ in found} == {max(o for _, _, o in made_by[key]) // 4}
+    assert set(statements) == set(named)
+
+
+def test_merge_sends_out_a_small_net(spark):
+    snapshot = spark.range(100000).selectExpr("cast(id % 10 as int) g", "cast(id as int) c1", "'x' c2", "'y' c3")
+    changes = to_changes(spark, [[("U", 10, 10, {"c2": "new"})], [("I", 5, 5, {"c2": "new"}), ("D", 1, 1, {})]])
+    merged = merge_batch(snapshot, net_changes(changes, SPEC).checkpoint(), SPEC)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    try:
+        got = merged.collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert len(got) == 100000 and sorted((r["g"], r["c1"]) for r in got if r["c2"] == "new") == [(0, 10), (1, 5)]
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan.split("Initial Plan")[0]

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_golden import MIX, MIX_SEED, NOPK, NOPK_TAIL, NOPK_WANT, ONEKEY, ctrl, envelope, ins
 
-from changeflow.config import JobConfig
+from changeflow.config import JobConfig, Topic
 from changeflow.model import Catalog
 from changeflow.operators.stats import load_stats, partition_progress, report
 from changeflow.streaming.pipeline import Pipeline, pending_rows, progress_rows, run_until_idle, start_pipeline, stop
@@ -269,3 +269,29 @@ def test_immediate_stop_finds_what_is_left(spark, tmp_path):
     saved = spark.read.parquet(f"{job.unload_dir}/unapplied")
     assert sorted((r["offset"], r["reason"]) for r in saved.collect()) == [(i, "unapplied") for i in (3, 4, 5)]
     assert [r[0] for r in rows(store.read(ONEKEY))] == [0, 1, 2]
+
+
+def test_partitions_that_were_not_asked_for_are_put_aside(spark, tmp_path):
+    store, job = setup(spark, tmp_path, ONEKEY, MIX_SEED)
+    log = envelope(spark, MIX)
+    topic = log.first()["topic"]
+    strange = log.unionByName(envelope(spark, [ins(50, "a", "b")]).withColumn("partition", F.lit(7))).unionByName(
+        envelope(spark, [ins(51, "a", "b")]).withColumn("topic", F.lit("other")))
+    job.topics = [Topic(topic, partition="0-3")]
+    Pipeline(spark, job, store).apply_batch(strange, 0)
+    assert rows(store.read(ONEKEY)) == WANT
+    saved = spark.read.parquet(str(tmp_path / "unload" / "stream=batch" / "batch=0"))
+    assert {(r["reason"], r["error"]["detail"]) for r in saved.collect()} == {("unexpected_partition", f"{topic}/7"), ("unexpected_topic", "other/0")}
+    # all partitions of the topic
+    again, job2 = setup(spark, tmp_path / "all", ONEKEY, MIX_SEED)
+    job2.topics = [Topic(topic)]
+    Pipeline(spark, job2, again).apply_batch(strange, 0)
+    assert again.read(ONEKEY).filter("C1 = 50 OR C1 = 51").count() == 1
+
+
+def test_names_of_no_table_are_one_entry_of_the_commit_log(spark, tmp_path):
+    store, job = setup(spark, tmp_path, ONEKEY, MIX_SEED)
+    bad = [m for i in range(5) for m in (f"rubbish {i}",)]
+    Pipeline(spark, job, store).apply_batch(envelope(spark, MIX + bad), 0)
+    entries = store.commits().filter("batch_id = 0").groupBy("table_name").agg(F.sum("rejects").alias("n")).collect()
+    assert {r["table_name"]: r["n"] for r in entries if r["n"]} == {"": 5}
