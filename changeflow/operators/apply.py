@@ -74,7 +74,7 @@ def merge_batch(snapshot: DataFrame, net: DataFrame, spec: TableSpec) -> DataFra
 
     Every net row refers to the snapshot before the batch, so order among I, U, K and D does not matter. A stored row that is
     named by a net delete or insert goes. Fresh rows placed by a key change have a null source key: they are inserts that match nothing.
-    Unlike a full outer join, a left join can send out a net that is small and leave the stored rows where they are.
+    Unlike a full outer join, a left join can send out a net that proves small; a checkpointed net has no measured size and is joined by key.
     """
     named = net.filter(F.col(f"s_{spec.key_names[0]}").isNotNull()).alias("net")
     joined = snapshot.select(*spec.column_names).alias("snap").join(named, _on(spec), "left")

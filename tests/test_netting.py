@@ -249,7 +249,7 @@ def test_applied_script_names_every_offset_of_a_statement_once(spark):
 def test_merge_sends_out_a_small_net(spark):
     snapshot = spark.range(100000).selectExpr("cast(id % 10 as int) g", "cast(id as int) c1", "'x' c2", "'y' c3")
     changes = to_changes(spark, [[("U", 10, 10, {"c2": "new"})], [("I", 5, 5, {"c2": "new"}), ("D", 1, 1, {})]])
-    merged = merge_batch(snapshot, net_changes(changes, SPEC).checkpoint(), SPEC)
+    merged = merge_batch(snapshot, net_changes(changes, SPEC), SPEC)
     adaptive = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     try:
