@@ -39,7 +39,8 @@ def _messages(spark, d):
     deleted, inserted = F.col("op") == "D", F.col("op") == "I"
     fields = [F.concat(F.lit("0"), side(key, deleted), side(key, inserted))]
     for i, n in enumerate(("c2", "c3", "c4"), 1):
-        field = F.concat(F.lit(str(i)), side(F.col(n), deleted), side(F.col(n), inserted))
+        # the events do not know the old value of an update: NULL never counts as unchanged
+        field = F.concat(F.lit(str(i)), side(F.col(n), deleted), side(F.when(deleted, F.col(n)), inserted))
         fields.append(F.when(F.col(f"has_{n}"), field))
     return _ctrl_envelope(log, USERS, fields)
 

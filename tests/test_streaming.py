@@ -7,6 +7,7 @@ from test_golden import MIX, MIX_SEED, NOPK, NOPK_TAIL, NOPK_WANT, ONEKEY, ctrl,
 from changeflow.config import JobConfig, Topic
 from changeflow.model import Catalog
 from changeflow.operators.stats import load_stats, partition_progress, report
+from changeflow.plans import stream_queries
 from changeflow.streaming.pipeline import Pipeline, pending_rows, progress_rows, run_until_idle, start_pipeline, stop
 from changeflow.streaming.store import SnapshotStore
 
@@ -295,3 +296,16 @@ def test_names_of_no_table_are_one_entry_of_the_commit_log(spark, tmp_path):
     Pipeline(spark, job, store).apply_batch(envelope(spark, MIX + bad), 0)
     entries = store.commits().filter("batch_id = 0").groupBy("table_name").agg(F.sum("rejects").alias("n")).collect()
     assert {r["table_name"]: r["n"] for r in entries if r["n"]} == {"": 5}
+
+
+def test_update_alone_in_a_batch_of_the_event_messages_counts(spark, tmp_path):
+    """The messages must not claim that an update's old value is its new one: the merge would leave the column out."""
+    log = [(0, 1, "signup", 1.0), (1, 1, "view", 2.0), (2, 2, "signup", 3.0), (3, 1, "view", 4.0), (4, 2, "click", 5.0)]
+    events = spark.createDataFrame(log, "event_id bigint, user_id bigint, event_type string, value double")
+    events.withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp")).write.parquet(str(tmp_path / "events.parquet"))
+    store = SnapshotStore(spark, str(tmp_path / "store"), Catalog([stream_queries.USERS]), buckets=2)
+    job = JobConfig(format="ctrl", skip=True, unload_dir=str(tmp_path / "unload"))
+    pipeline, messages = Pipeline(spark, job, store), stream_queries._messages(spark, str(tmp_path))
+    pipeline.apply_batch(messages.filter("offset < 3"), 0)
+    pipeline.apply_batch(messages.filter("offset >= 3"), 1)
+    assert rows(store.read(stream_queries.USERS)) == [(1, "view3", "100", None), (2, "signup2", "500", "2")]
