@@ -11,15 +11,19 @@ Replay in log order is the meaning; it is computed with joins and aggregations o
   change, hence the loop ends with the exact outcome for any log, valid or not.
 * Rows are then identified by their root (an insert, or a snapshot key) by pointer jumping over the key
   changes that moved them. Columns are aggregated per segment and per root, map-side combined.
+* The changes of the touched keys are sorted by the log once and numbered. All later sorts, joins and references are on these
+  numbers: a topic, partition and offset in every row and reference would be most of what the shuffles and sorts hold.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from changeflow.functions.scan import carry_previous
 from changeflow.model import TableSpec
@@ -29,12 +33,35 @@ from changeflow.session import cut_lineage
 
 
 
+# a log of touched keys none of which has more rows than this is scanned key by key, else in chunks of 2^CHUNK_BITS places
+PLAIN_ROWS = 1 << 16
+CHUNK_BITS = 20
+
+
 @dataclass
+class Replayed:
+    """The replayed key changes of a batch: several results are made of them.
+
+    ``ranked``: all changes of the touched keys with their ``place`` in the log as one number, which ``outcome`` and ``scanned`` have as ``seq``.
+    """
+
+    ranked: DataFrame
+    touched: DataFrame
+    outcome: DataFrame
+    scanned: DataFrame
+
+
 class NetResult:
-    net: DataFrame
-    rejects: DataFrame
-    # the replayed key changes, if there were any: the lineage needs them again
-    replayed: tuple[DataFrame, DataFrame, DataFrame, DataFrame] | None = None
+    """``net`` is worked out when it is asked for first: who wants the rejects alone does not pay for it."""
+
+    def __init__(self, net: Callable[[], DataFrame], rejects: DataFrame, replayed: Replayed | None = None):
+        self._net, self.rejects = net, rejects
+        # the replayed key changes, if there were any: the lineage needs them again
+        self.replayed = replayed
+
+    @cached_property
+    def net(self) -> DataFrame:
+        return self._net()
 
 
 def net_batch(changes: DataFrame, spec: TableSpec, snapshot: DataFrame, skip_unchanged: bool = False) -> NetResult:
@@ -45,7 +72,7 @@ def net_batch(changes: DataFrame, spec: TableSpec, snapshot: DataFrame, skip_unc
     """
     if changes.filter(F.col("op") == "K").isEmpty():
         netted = net_without_noops(changes, spec) if skip_unchanged else net_changes(changes, spec)
-        return NetResult(netted.drop("n_events", "last_seq"), net_rejects(changes, spec).select(*_reject_columns(spec)))
+        return NetResult(lambda: netted.drop("n_events", "last_seq"), net_rejects(changes, spec).select(*_reject_columns(spec)))
     return net_with_key_changes(changes, spec, snapshot, skip_unchanged)
 
 
@@ -58,19 +85,33 @@ def net_with_key_changes(changes: DataFrame, spec: TableSpec, snapshot: DataFram
     earlier change of the batch deleted or moved away.
     """
     keys = [f"k_{k}" for k in spec.key_names]
-    replayed = moves, touched, outcome, scanned = _replayed(changes, spec, snapshot, keys)
+    replayed = _replayed(changes, spec, snapshot, keys)
+    plain = changes.filter(F.col("op") != "K")
+    collided = replayed.outcome.filter("a and b").select(F.col("seq").alias("place"))
+    vacant = replayed.scanned.filter((F.col("kind") == "U") & F.col("prev.kind").isin("D", "X")).select(F.col("seq").alias("place"))
+    late = replayed.ranked.join(vacant, "place", "left_semi").select(
+        "seq", F.lit("U").alias("op"), *_rename(dst_cols(spec), src_cols(spec)), *dst_cols(spec))
+    elsewhere = net_rejects(_on_keys(plain, replayed.touched, spec, "d_", "left_anti"), spec)
+    out = _reject_columns(spec)
+    rejects = (
+        _rejects(replayed.ranked.join(collided, "place", "left_semi"), "key_collision").select(*out)
+        .unionByName(_rejects(late, "after_delete").select(*out))
+        .unionByName(elsewhere.select(*out))
+    )
+    return NetResult(lambda: _net(plain, spec, replayed, keys, skip_unchanged), rejects, replayed)
 
-    def on_touched(df: DataFrame, prefix: str, how: str) -> DataFrame:
-        return _on_keys(df, touched, spec, prefix, how)
 
-    plain = changes.filter(F.col("op") != "K")
+def _net(plain: DataFrame, spec: TableSpec, replayed: Replayed, keys: list[str], skip_unchanged: bool) -> DataFrame:
+    """Net changes of the touched keys from the replayed log, and of all others."""
+    touched, scanned = replayed.touched, replayed.scanned
     # aggregate first: the anti join then sees one row per key
     netted = net_without_noops(plain, spec) if skip_unchanged else net_changes(plain, spec)
-    simple = on_touched(netted.drop("n_events", "last_seq"), "d_", "left_anti")
+    simple = _on_keys(netted.drop("n_events", "last_seq"), touched, spec, "d_", "left_anti")
     values = val_cols(spec)
 
     roots = _roots(scanned, keys)
-    root_cols = ["r_seq", *[f"r_{k}" for k in keys]]
+    stored_root = [f"r_{k}" for k in keys]
+    root_cols = ["r_seq", *stored_root]
 
     # columns per segment, then per root
     prev = F.col("prev")
@@ -97,92 +138,98 @@ def net_with_key_changes(changes: DataFrame, spec: TableSpec, snapshot: DataFram
     )
     moved_root = segments.filter(F.col("g_kind") == "M").join(roots.withColumnRenamed("seq", "g_seq"), "g_seq", "left")
     rooted = own_root.unionByName(moved_root.select(*root_cols, *lasts))
-    rows = rooted.groupBy(*root_cols).agg(*[F.max(f"last_{c}").alias(f"last_{c}") for c in values], *[F.min(c).alias(c) for c in firsts])
+    # read for rows inserted in the batch and for stored rows: they are joined apart, each by its own root
+    rows = cut_lineage(rooted.groupBy(*root_cols).agg(*[F.max(f"last_{c}").alias(f"last_{c}") for c in values], *[F.min(c).alias(c) for c in firsts]))
 
     # where every surviving row ends up
-    last = (
-        scanned.filter(F.col("kind") != "U").groupBy(*keys).agg(F.max(F.struct("seq", "kind")).alias("last"))
-    )
-    ends = touched.join(last, keys, "left")
-    alive = F.col("last").isNull() | F.col("last.kind").isin("I", "M")
-    standing = ends.filter(alive).withColumn("seq", F.col("last.seq"))
-    moved_here = F.coalesce(F.col("last.kind") == "M", F.lit(False))
-    own = standing.filter(~moved_here).select(
-        *keys, F.when(F.col("last.kind") == "I", F.col("seq")).alias("r_seq"),
-        *[F.when(F.col("last").isNull(), F.col(k)).alias(f"r_{k}") for k in keys],
-    )
-    places = cut_lineage(own.unionByName(standing.filter(moved_here).join(roots, "seq", "left").select(*keys, *root_cols)))
-    same_root = None
-    for c in root_cols:
-        eq = F.col(f"p.{c}").eqNullSafe(F.col(f"w.{c}"))
-        same_root = eq if same_root is None else same_root & eq
-    fresh = F.col("p.r_seq").isNotNull()
-    unmoved = F.lit(True)
-    for k in keys:
-        unmoved = unmoved & (F.col(f"p.{k}") == F.col(f"p.r_{k}"))
-
-    def counts(c: str) -> Column:
-        is_set = F.col(f"w.last_{c}").isNotNull()
-        return is_set & (fresh | ~unchanged(F.col(f"w.last_{c}")["cur"], F.col(f"w.first_{c}")["old"])) if skip_unchanged else is_set
-
-    placed = (
-        places.alias("p")
-        .join(rows.withColumn("_set", F.lit(True)).alias("w"), same_root, "left")
-        .filter(fresh | ~unmoved | F.col("w._set"))
-        .select(
-            F.when(fresh, "I").when(unmoved, "U").otherwise("K").alias("op"),
-            *[F.col(f"p.r_{k}").alias("s" + k[1:]) for k in keys],
-            *[F.col(f"p.{k}").alias("d" + k[1:]) for k in keys],
-            *[
-                F.when(counts(c), F.struct(F.col(f"w.last_{c}")["cur"].alias("cur"))).alias(c)
-                for c in values
-            ],
-        )
-    )
+    places = cut_lineage(_ends(scanned, touched, roots, keys, root_cols))
+    is_fresh = F.col("r_seq").isNotNull()
+
+    def cells(counts: Callable[[str], Column]) -> list[Column]:
+        return [F.when(counts(c), F.struct(F.col(f"last_{c}")["cur"].alias("cur"))).alias(c) for c in values]
+
+    def is_set(c: str) -> Column:
+        return F.col(f"last_{c}").isNotNull()
+
+    def changed(c: str) -> Column:
+        return is_set(c) & ~unchanged(F.col(f"last_{c}")["cur"], F.col(f"first_{c}")["old"]) if skip_unchanged else is_set(c)
+
+    def typed_null(k: str) -> Column:
+        return F.lit(None).cast(places.schema[k].dataType)
+
+    fresh = places.filter(is_fresh).drop(*stored_root).join(rows.filter(is_fresh).drop(*stored_root), "r_seq", "left").select(
+        F.lit("I").alias("op"), *[typed_null(k).alias("s" + k[1:]) for k in keys], *[F.col(k).alias("d" + k[1:]) for k in keys], *cells(is_set))
+    unmoved = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"r_{k}") for k in keys])
+    named = rows.filter(~is_fresh).drop("r_seq").withColumn("_set", F.lit(True))
+    stored = places.filter(~is_fresh).drop("r_seq").join(named, stored_root, "left").filter(~unmoved | F.col("_set")).select(
+        F.when(unmoved, "U").otherwise("K").alias("op"),
+        *[F.col(f"r_{k}").alias("s" + k[1:]) for k in keys], *[F.col(k).alias("d" + k[1:]) for k in keys], *cells(changed))
     if skip_unchanged:
-        placed = placed.filter((F.col("op") != "U") | reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in values], F.lit(False)))
-    kept_sources = places.filter(F.col("r_seq").isNull()).select(*[F.col(f"r_{k}").alias(k) for k in keys])
+        stored = stored.filter((F.col("op") != "U") | reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in values], F.lit(False)))
+    kept_sources = places.filter(~is_fresh).select(*[F.col(f"r_{k}").alias(k) for k in keys])
     gone = touched.join(kept_sources, keys, "left_anti").select(
         F.lit("D").alias("op"),
         *[F.col(k).alias("s" + k[1:]) for k in keys],
         *[F.col(k).alias("d" + k[1:]) for k in keys],
-        *[F.lit(None).cast(placed.schema[c].dataType).alias(c) for c in values],
+        *[F.lit(None).cast(stored.schema[c].dataType).alias(c) for c in values],
     )
-    collided = _rejects(moves.join(outcome.filter("a and b").select("seq"), "seq", "left_semi"), "key_collision")
-    vacant = (F.col("kind") == "U") & F.col("prev.kind").isin("D", "X")
-    late = scanned.filter(vacant).select("seq", F.lit("U").alias("op"), *_rename(keys, src_cols(spec)), *_rename(keys, dst_cols(spec)))
-    elsewhere = net_rejects(on_touched(plain, "d_", "left_anti"), spec)
-    out = _reject_columns(spec)
-    rejects = collided.select(*out).unionByName(_rejects(late, "after_delete").select(*out)).unionByName(elsewhere.select(*out))
-    return NetResult(simple.unionByName(placed).unionByName(gone), rejects, replayed)
+    return simple.unionByName(fresh).unionByName(stored).unionByName(gone)
+
+
+def _ends(scanned: DataFrame, touched: DataFrame, roots: DataFrame, keys: list[str], root_cols: list[str]) -> DataFrame:
+    """Touched keys that hold a row at the end, with its root."""
+    inserted, arrived = 0, 1
+    code = F.when(F.col("kind") == "I", inserted).when(F.col("kind") == "M", arrived).otherwise(2)
+    # place and kind in one number: the maximum is kept in place, without sorting
+    last = scanned.filter(F.col("kind") != "U").groupBy(*keys).agg(F.max(F.col("seq") * 4 + code).alias("_last"))
+    ends = touched.join(last, keys, "left").select(*keys, F.shiftright("_last", 2).alias("seq"), (F.col("_last") % 4).alias("code"))
+    stored = F.col("code").isNull()
+    own = ends.filter(stored | (F.col("code") == inserted)).select(
+        *keys, F.col("seq").alias("r_seq"), *[F.when(stored, F.col(k)).alias(f"r_{k}") for k in keys])
+    moved = ends.filter(F.col("code") == arrived).select(*keys, "seq").join(roots, "seq", "left")
+    return own.unionByName(moved.select(*keys, *root_cols))
 
 
 def _on_keys(df: DataFrame, touched: DataFrame, spec: TableSpec, prefix: str, how: str) -> DataFrame:
     return df.join(touched, [F.col(f"{prefix}{k}") == F.col(f"k_{k}") for k in spec.key_names], how)
 
 
-def _replayed(changes: DataFrame, spec: TableSpec, snapshot: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Key changes, the keys they touch, their outcomes, and the changes of these keys with the one that filled or emptied the key before.
+def _touched(changes: DataFrame, spec: TableSpec, keys: list[str]) -> DataFrame:
+    """Keys that some key change leaves or arrives at."""
+    both = F.array(F.struct(*_rename(src_cols(spec), keys)), F.struct(*_rename(dst_cols(spec), keys)))
+    return cut_lineage(changes.filter(F.col("op") == "K").select(F.explode(both).alias("k")).select("k.*").distinct())
+
 
-    The log of the touched keys has no moves that did not happen. A key change leaves one key ('X') and arrives at another ('M').
+def _ranked(changes: DataFrame, touched: DataFrame, spec: TableSpec) -> DataFrame:
+    """Key changes and the changes of the keys they touch, numbered in log order (``place``).
+
+    Range partitions are in log order and sorted inside, so numbers grow with the log over all of them.
     """
-    # the key changes are read many times; the log itself twice more
-    moves = cut_lineage(changes.filter(F.col("op") == "K"))
-    touched = cut_lineage(
-        moves.select(*_rename(src_cols(spec), keys))
-        .unionByName(moves.select(*_rename(dst_cols(spec), keys)))
-        .distinct()
-    )
-    values = val_cols(spec)
-    stays = _on_keys(changes.filter(F.col("op") != "K"), touched, spec, "d_", "left_semi").select(
-        "seq", "chunk", F.col("op").alias("kind"), *_rename(dst_cols(spec), keys), *values
-    )
-    leaves = moves.select("seq", "chunk", F.lit("X").alias("kind"), *_rename(src_cols(spec), keys), *values)
-    arrives = moves.select("seq", "chunk", F.lit("M").alias("kind"), *_rename(dst_cols(spec), keys), *values)
-    log = stays.unionByName(leaves).unionByName(arrives)
+    stays = _on_keys(changes.filter(F.col("op") != "K"), touched, spec, "d_", "left_semi")
+    named = stays.unionByName(changes.filter(F.col("op") == "K")).drop("chunk")
+    return cut_lineage(named.repartitionByRange("seq").sortWithinPartitions("seq").withColumn("place", F.monotonically_increasing_id()))
+
 
-    scanned = cut_lineage(_previous(log, keys))
-    outcome = _settle(scanned.filter(F.col("kind").isin("X", "M")), keys, spec, snapshot)
+def _log(ranked: DataFrame, spec: TableSpec, keys: list[str], values: list[str]) -> DataFrame:
+    """The changes key by key. A key change leaves one key ('X') and arrives with its columns at another ('M')."""
+    def at(kind: Column, cols: list[str]) -> Column:
+        return F.struct(kind.alias("kind"), *_rename(cols, keys))
+
+    leaves, arrives = at(F.lit("X"), src_cols(spec)), at(F.lit("M"), dst_cols(spec))
+    steps = F.when(F.col("op") == "K", F.array(leaves, arrives)).otherwise(F.array(at(F.col("op"), dst_cols(spec))))
+    log = ranked.select(F.col("place").alias("seq"), F.explode(steps).alias("_at"), *values)
+    return log.select("seq", "_at.*", *[F.when(F.col("_at.kind") != "X", F.col(c)).alias(c) for c in values])
+
+
+def _replayed(changes: DataFrame, spec: TableSpec, snapshot: DataFrame, keys: list[str]) -> Replayed:
+    """Key changes, the keys they touch, their outcomes, and the changes of these keys with the one that filled or emptied the key before.
+
+    The log of the touched keys has no moves that did not happen.
+    """
+    touched = _touched(changes, spec, keys)
+    ranked = _ranked(changes, touched, spec)
+    scanned = cut_lineage(_previous(_log(ranked, spec, keys, val_cols(spec)), keys))
+    outcome = _settle(scanned, keys, spec, snapshot)
     if outcome.filter("not a or b").limit(1).count() > 0:
         # moves that did not happen leave no trace: look up the previous change again without them
         is_move = F.col("kind").isin("X", "M")
@@ -192,7 +239,7 @@ def _replayed(changes: DataFrame, spec: TableSpec, snapshot: DataFrame, keys: li
             log.filter(is_move).join(moved, "seq", "left_semi").select(*log.columns)
         )
         scanned = cut_lineage(_previous(effective, keys))
-    return moves, touched, outcome, scanned
+    return Replayed(ranked, touched, outcome, scanned)
 
 
 def batch_lineage(changes: DataFrame, spec: TableSpec, result: NetResult) -> DataFrame:
@@ -216,11 +263,11 @@ def key_change_lineage(changes: DataFrame, spec: TableSpec, snapshot: DataFrame)
     return _lineage(changes, spec, _replayed(changes, spec, snapshot, [f"k_{k}" for k in spec.key_names]))
 
 
-def _lineage(changes: DataFrame, spec: TableSpec, replayed: tuple[DataFrame, DataFrame, DataFrame, DataFrame]) -> DataFrame:
+def _lineage(changes: DataFrame, spec: TableSpec, replayed: Replayed) -> DataFrame:
     keys, dst = [f"k_{k}" for k in spec.key_names], dst_cols(spec)
-    _, touched, _, scanned = replayed
+    touched, scanned = replayed.touched, replayed.scanned
     vacant = (F.col("kind") == "U") & F.coalesce(F.col("prev.kind").isin("D", "X"), F.lit(False))
-    counted = scanned.filter(~vacant).select("seq", "chunk", "kind", *keys)
+    counted = scanned.filter(~vacant).select("seq", F.shiftright("seq", CHUNK_BITS).alias("chunk"), "kind", *keys)
     onward = cut_lineage(carry_previous(counted, keys, F.col("seq"), F.col("kind").isin("X", "M"), "to", forward=True))
 
     # where the history goes that a key change brought: a later key change, or the key it ends at
@@ -230,7 +277,8 @@ def _lineage(changes: DataFrame, spec: TableSpec, replayed: tuple[DataFrame, Dat
     away = onward.filter(F.col("to").isNotNull()).select("seq", "kind", "to")
     # a key change that brought the history of many changes is one key of this join: only ends are looked up, adaptive execution splits it
     away = away.join(ends.withColumnRenamed("seq", "to"), "to").select(*[F.col(f"e{k}").alias(k) for k in keys], "seq", "kind")
-    found = here.unionByName(away).select(
+    offsets = replayed.ranked.select("place", F.col("seq").alias("_seq"))
+    found = here.unionByName(away).withColumnRenamed("seq", "place").join(offsets, "place").withColumnRenamed("_seq", "seq").select(
         *_rename(keys, dst), F.col("seq.topic").alias("topic"), F.col("seq.partition").alias("partition"), F.col("seq.offset").alias("offset"),
         F.when(F.col("kind").isin("X", "M"), "K").otherwise(F.col("kind")).alias("op"),
     )
@@ -241,9 +289,10 @@ def _lineage(changes: DataFrame, spec: TableSpec, replayed: tuple[DataFrame, Dat
 
 def _followed(links: DataFrame, pointer: str, ends: list[str]) -> DataFrame:
     """``seq`` and the ``ends`` of the last link of its chain, by pointer jumping; only open links are joined and written again."""
-    found, open_links = links.limit(0), cut_lineage(links)
+    found, open_links = None, cut_lineage(links)
     while True:
-        found = cut_lineage(found.unionByName(open_links.filter(F.col(pointer).isNull())))
+        ended = open_links.filter(F.col(pointer).isNull())
+        found = ended if found is None else found.unionByName(ended)
         open_links = open_links.filter(F.col(pointer).isNotNull())
         if open_links.isEmpty():
             return found.drop(pointer)
@@ -260,22 +309,12 @@ def _followed(links: DataFrame, pointer: str, ends: list[str]) -> DataFrame:
 def key_change_outcomes(changes: DataFrame, spec: TableSpec, snapshot: DataFrame) -> DataFrame:
     """Outcome of every key change: ``moved``, ``collision`` (new key occupied) or ``missing`` (old key vacant)."""
     keys = [f"k_{k}" for k in spec.key_names]
-    moves = changes.filter(F.col("op") == "K")
-    touched = moves.select(*_rename(src_cols(spec), keys)).unionByName(
-        moves.select(*_rename(dst_cols(spec), keys))
-    ).distinct()
-    plain = changes.filter(F.col("op").isin("I", "D")).select(
-        "seq", "chunk", F.col("op").alias("kind"), *_rename(dst_cols(spec), keys)
-    )
-    log = (
-        plain.join(cut_lineage(touched), keys, "left_semi")
-        .unionByName(moves.select("seq", "chunk", F.lit("X").alias("kind"), *_rename(src_cols(spec), keys)))
-        .unionByName(moves.select("seq", "chunk", F.lit("M").alias("kind"), *_rename(dst_cols(spec), keys)))
-    )
-    scanned = cut_lineage(_previous(log, keys).filter(F.col("kind").isin("X", "M")))
+    ranked = _ranked(changes.filter(F.col("op") != "U").select("seq", "op", "chunk", *src_cols(spec), *dst_cols(spec)), _touched(changes, spec, keys), spec)
+    scanned = cut_lineage(_previous(_log(ranked, spec, keys, []), keys).filter(F.col("kind").isin("X", "M")))
     outcome = _settle(scanned, keys, spec, snapshot)
     status = F.when(F.expr("a and not b"), "moved").when(F.col("a"), "collision").otherwise("missing")
-    return outcome.select("seq", status.alias("status"))
+    places = ranked.filter(F.col("op") == "K").select("seq", "place")
+    return places.join(outcome.select(F.col("seq").alias("place"), status.alias("status")), "place").select("seq", "status")
 
 
 def _rename(old: list[str], new: list[str]) -> list[Column]:
@@ -294,50 +333,44 @@ def _rejects(df: DataFrame, code: str) -> DataFrame:
 
 def _previous(log: DataFrame, keys: list[str]) -> DataFrame:
     """Add the previous change of the key that filled or emptied it."""
-    return carry_previous(log, keys, F.struct("kind", "seq"), F.col("kind") != "U", "prev")
+    value, when = F.struct("kind", "seq"), F.col("kind") != "U"
+    if (log.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) > PLAIN_ROWS:
+        return carry_previous(log.withColumn("chunk", F.shiftright("seq", CHUNK_BITS)), keys, value, when, "prev").drop("chunk")
+    before = Window.partitionBy(*keys).orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    return log.withColumn("prev", F.last(F.when(when, value), ignorenulls=True).over(before))
+
 
+def _settle(scanned: DataFrame, keys: list[str], spec: TableSpec, snapshot: DataFrame) -> DataFrame:
+    """Occupancy of the old key (a) and the new key (b) just before every key change.
 
-def _settle(ports: DataFrame, keys: list[str], spec: TableSpec, snapshot: DataFrame) -> DataFrame:
-    """Occupancy of the old key (a) and the new key (b) just before every key change."""
+    A key change has two ports: what it makes of the old key (2 * seq) and of the new key (2 * seq + 1).
+    """
     prev = F.col("prev")
-    open_keys = ports.filter(prev.isNull()).select(*keys).distinct()
-    stored = (
-        snapshot.select(*[F.col(k).alias(f"k_{k}") for k in spec.key_names])
-        .join(open_keys, keys, "left_semi")
-        .withColumn("_stored", F.lit(True))
-    )
-    known = (
-        F.when(prev["kind"] == "I", True)
-        .when(prev["kind"] == "D", False)
-        .when(prev.isNull(), F.col("_stored").isNotNull())
-    )
-    port = F.struct(prev["seq"].alias("seq"), prev["kind"].alias("kind"))
-    inputs = ports.join(stored, keys, "left").select(
-        "seq", "kind", F.struct(known.alias("val"), F.when(known.isNull(), port).alias("ref")).alias("input")
-    )
+    ports = scanned.filter(F.col("kind").isin("X", "M")).select("seq", "kind", *keys, "prev")
+    stored = snapshot.select(*[F.col(k).alias(f"k_{k}") for k in spec.key_names], F.lit(True).alias("_stored"))
+    none = F.lit(None).cast("bigint")
+    port = F.when(prev["kind"].isin("X", "M"), prev["seq"] * 2 + F.when(prev["kind"] == "M", 1).otherwise(0))
+    inside = F.when(prev["kind"] == "I", True).when(prev["kind"] == "D", False)
+    inputs = ports.filter(prev.isNull()).join(stored, keys, "left").select(
+        "seq", "kind", F.col("_stored").isNotNull().alias("val"), none.alias("ref")
+    ).unionByName(ports.filter(prev.isNotNull()).select("seq", "kind", inside.alias("val"), port.alias("ref")))
+    sides = {"a": F.col("kind") == "X", "b": F.col("kind") == "M"}
     moves = cut_lineage(
-        inputs.groupBy("seq")
-        .agg(
-            F.max(F.when(F.col("kind") == "X", F.col("input"))).alias("a_in"),
-            F.max(F.when(F.col("kind") == "M", F.col("input"))).alias("b_in"),
-        )
-        .select(
-            "seq",
-            F.col("a_in.val").alias("a"),
-            F.col("a_in.ref").alias("a_ref"),
-            F.col("b_in.val").alias("b"),
-            F.col("b_in.ref").alias("b_ref"),
-        )
+        inputs.groupBy("seq").agg(*[
+            F.max(F.when(mine, F.col(c))).alias(n) for side, mine in sides.items() for c, n in (("val", side), ("ref", f"{side}_ref"))
+        ])
     )
-    # settled and open key changes are kept apart: only open ones are joined and written again
-    settled, open_moves = moves.limit(0), moves
+    # Only open key changes are joined and written again. They refer to open ones and to those settled in the round before: first
+    # the references to these become known, so that none of them is passed on.
+    settled = None
     while True:
         is_open = F.col("a").isNull() | F.col("b").isNull()
-        settled = settled.unionByName(open_moves.filter(~is_open))
-        open_moves = open_moves.filter(is_open)
+        fresh, open_moves = moves.filter(~is_open), moves.filter(is_open)
+        settled = fresh if settled is None else settled.unionByName(fresh)
         if open_moves.isEmpty():
             return settled.select("seq", "a", "b")
-        open_moves = cut_lineage(_settle_round(open_moves, _wires(settled).unionByName(_wires(open_moves))))
+        known = cut_lineage(_follow(open_moves, _wires(fresh)))
+        moves = cut_lineage(_follow(known, _wires(known)))
 
 
 def _wires(moves: DataFrame) -> DataFrame:
@@ -347,48 +380,38 @@ def _wires(moves: DataFrame) -> DataFrame:
         F.explode(
             F.array(
                 F.struct(
-                    F.struct("seq", F.lit("X").alias("kind")).alias("id"),
-                    (a & b).alias("val"),
-                    F.when(a, F.col("b_ref")).when(b, F.col("a_ref")).alias("ref"),
+                    (F.col("seq") * 2).alias("_id"),
+                    (a & b).alias("_val"),
+                    F.when(a, F.col("b_ref")).when(b, F.col("a_ref")).alias("_ref"),
                 ),
                 F.struct(
-                    F.struct("seq", F.lit("M").alias("kind")).alias("id"),
-                    (a | b).alias("val"),
-                    F.when(~a, F.col("b_ref")).when(~b, F.col("a_ref")).alias("ref"),
+                    (F.col("seq") * 2 + 1).alias("_id"),
+                    (a | b).alias("_val"),
+                    F.when(~a, F.col("b_ref")).when(~b, F.col("a_ref")).alias("_ref"),
                 ),
             )
         ).alias("w")
     ).select("w.*")
 
 
-def _settle_round(moves: DataFrame, wires: DataFrame) -> DataFrame:
+def _follow(moves: DataFrame, wires: DataFrame) -> DataFrame:
     for side in ("a", "b"):
-        w = wires.select(F.col("id").alias("_id"), F.col("val").alias("_val"), F.col("ref").alias("_ref"))
-        val = F.coalesce(F.col(side), F.col("_val"))
-        ref = F.when(val.isNull(), F.coalesce(F.col("_ref"), F.col(f"{side}_ref")))
-        waits = F.col(f"{side}_ref").isNotNull()
-        # rows without a reference would all meet under the null key
-        followed = (
-            moves.filter(waits)
-            .join(w, F.col(f"{side}_ref") == F.col("_id"), "left")
-            .withColumn(f"{side}_ref", ref)
-            .withColumn(side, val)
-            .drop("_id", "_val", "_ref")
-        )
-        moves = followed.unionByName(moves.filter(~waits))
+        val, ref = F.coalesce(F.col(side), F.col("_val")), F.col(f"{side}_ref")
+        # rows without a reference would all meet under the null key; negative numbers are no ports
+        moves = moves.join(wires, F.coalesce(ref, -1 - F.col("seq")) == F.col("_id"), "left").withColumns(
+            {side: val, f"{side}_ref": F.when(val.isNull(), F.coalesce(F.col("_ref"), ref))}
+        ).drop("_id", "_val", "_ref")
     return moves
 
 
 def _roots(scanned: DataFrame, keys: list[str]) -> DataFrame:
     """Root of the row each effective key change moved: an insert (``r_seq``) or a snapshot key (``r_<key>``)."""
     prev = F.col("prev")
-    pointers = cut_lineage(
-        scanned.filter(F.col("kind") == "X").select(
-            "seq",
-            F.when(prev["kind"] == "M", prev["seq"]).alias("next"),
-            F.when(prev["kind"] == "I", prev["seq"]).alias("r_seq"),
-            *[F.when(prev.isNull(), F.col(k)).alias(f"r_{k}") for k in keys],
-        )
+    pointers = scanned.filter(F.col("kind") == "X").select(
+        "seq",
+        F.when(prev["kind"] == "M", prev["seq"]).alias("next"),
+        F.when(prev["kind"] == "I", prev["seq"]).alias("r_seq"),
+        *[F.when(prev.isNull(), F.col(k)).alias(f"r_{k}") for k in keys],
     )
     root_cols = ["r_seq", *[f"r_{k}" for k in keys]]
     return _followed(pointers, "next", root_cols)

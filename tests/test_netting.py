@@ -10,6 +10,7 @@ from changeflow.model import TableSpec
 from changeflow.operators.apply import merge_batch
 from changeflow.operators.archive import applied_script
 from changeflow.operators.bind import typed_changes
+from changeflow.operators import keychange
 from changeflow.operators.keychange import batch_lineage, key_change_lineage, key_change_outcomes, net_batch
 from changeflow.operators.net import net_changes, net_lineage, net_rejects
 
@@ -259,3 +260,43 @@ def test_merge_sends_out_a_small_net(spark):
     assert len(got) == 100000 and sorted((r["g"], r["c1"]) for r in got if r["c2"] == "new") == [(0, 10), (1, 5)]
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan.split("Initial Plan")[0]
+
+
+def test_key_change_replay_in_chunks_and_many_rounds(spark, monkeypatch):
+    """Hot keys are scanned in chunks of places; a chain of moves settles over several rounds with the settled ones left out."""
+    monkeypatch.setattr(keychange, "PLAIN_ROWS", 3)
+    monkeypatch.setattr(keychange, "CHUNK_BITS", 1)
+    rng = random.Random(5)
+    logs = [random_log(rng, 12, 3, "IUKKD"), [("K", k, k + 1, {"c2": "m"}) for k in reversed(range(8))]]
+    tables = [{0: {"c2": "s0", "c3": None}}, {k: {"c2": f"s{k}", "c3": "x"} for k in range(8)}]
+    want = [replay(t, log, ("c2", "c3"))[0] for t, log in zip(tables, logs)]
+    snapshot = to_snapshot(spark, tables)
+    assert collect(merge_batch(snapshot, net_batch(to_changes(spark, logs), SPEC, snapshot).net, SPEC)) == expected_rows(want)
+
+
+def test_settled_key_changes_are_not_joined_again(spark, monkeypatch):
+    """Rounds look up what was settled in the round before and what is open, never all key changes again."""
+    looked_up = []
+    wires = keychange._wires
+
+    def counted(moves):
+        looked_up.append(moves.count())
+        return wires(moves)
+
+    monkeypatch.setattr(keychange, "_wires", counted)
+    n = 16
+    log = [("K", k, k + 1, {"c2": "m"}) for k in reversed(range(n))]
+    snapshot = to_snapshot(spark, [{k: {"c2": f"s{k}", "c3": "x"} for k in range(n)}])
+    out = key_change_outcomes(to_changes(spark, [log]), SPEC, snapshot)
+    assert {r["status"] for r in out.collect()} == {"moved"}
+    assert len(looked_up) >= 4 and sum(looked_up) < 3 * n * len(looked_up) / 4
+
+
+def test_replay_refers_to_changes_by_number(spark):
+    """No topic, partition and offset in the rows and references that are sorted and joined: they made most of a task's memory."""
+    log = [("I", 1, 1, {"c2": "a"}), ("K", 1, 2, {"c2": "b"}), ("U", 2, 2, {"c3": "c"})]
+    snapshot = to_snapshot(spark, [{}])
+    scanned = net_batch(to_changes(spark, [log]), SPEC, snapshot).replayed.scanned
+    assert scanned.schema["seq"].dataType.simpleString() == "bigint"
+    assert scanned.schema["prev"].dataType["seq"].dataType.simpleString() == "bigint"
+    assert "chunk" not in scanned.columns
