@@ -212,8 +212,10 @@ def stream_live_view(spark, d):
     """Net state per key kept in the state store; each batch writes the keys it changed."""
     root = logs.work_dir(spark)
     # the state does not depend on the order of micro-batches
-    _messages(spark, d).repartitionByRange(SLICES, "offset").write.parquet(f"{root}/log")
-    stream = spark.readStream.schema(ENVELOPE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/log")
+    # a micro-batch takes as many files as there are cores: one file is one task or two
+    files = max(1, spark.sparkContext.defaultParallelism)
+    _messages(spark, d).repartitionByRange(SLICES * files, "offset").write.parquet(f"{root}/log")
+    stream = spark.readStream.schema(ENVELOPE_SCHEMA).option("maxFilesPerTrigger", files).parquet(f"{root}/log")
     events = bind_columns(decode_ctrl(stream), Catalog([USERS]), by="position")
     changes, _ = bind_changes(events, USERS)
     view = live_view(changes, USERS)

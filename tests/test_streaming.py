@@ -309,3 +309,15 @@ def test_update_alone_in_a_batch_of_the_event_messages_counts(spark, tmp_path):
     pipeline.apply_batch(messages.filter("offset < 3"), 0)
     pipeline.apply_batch(messages.filter("offset >= 3"), 1)
     assert rows(store.read(stream_queries.USERS)) == [(1, "view3", "100", None), (2, "signup2", "500", "2")]
+
+
+def test_live_view_deals_a_micro_batch_out_to_several_files(spark, tmp_path, monkeypatch):
+    """One file per micro-batch made its decoding one task, however long the log."""
+    log = [(i, i % 3, ("signup", "view", "click")[i % 3], 1.0) for i in range(24)]
+    events = spark.createDataFrame(log, "event_id bigint, user_id bigint, event_type string, value double")
+    events.withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp")).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(stream_queries.logs, "work_dir", lambda spark: str(tmp_path / "work"))
+    view = stream_queries.stream_live_view(spark, str(tmp_path))
+    assert sorted((r["c1"], r["op"], r["n_events"]) for r in view.collect()) == [(0, "I", 8), (1, "U", 8), (2, "U", 8)]
+    assert len(list((tmp_path / "work" / "log").glob("*.parquet"))) > stream_queries.SLICES
+    assert len(list((tmp_path / "work" / "view").glob("b=*"))) <= stream_queries.SLICES
