@@ -52,10 +52,17 @@ def bind_or_reject(events: DataFrame, spec: TableSpec, update_mode: str = "spars
 
 
 def apply_table(
-    events: DataFrame, spec: TableSpec, snapshot: DataFrame, update_mode: str = "sparse", skip_unchanged: bool = False
+    events: DataFrame, spec: TableSpec, snapshot: DataFrame, update_mode: str = "sparse", skip_unchanged: bool = False,
+    materialise: bool = False,
 ) -> TableBatch:
-    """Bind, net and merge the events of one table."""
+    """Bind, net and merge the events of one table.
+
+    ``materialise`` writes the typed changes of a table with a key once: netting, rejects and lineage read them several times, and they
+    are far narrower than the events.
+    """
     changes, unbound = bind_or_reject(events, spec, update_mode)
+    if materialise and spec.has_pk:
+        changes = cut_lineage(changes)
     if not spec.has_pk:
         good = events.filter(F.col("error").isNull())
         return TableBatch(spec, changes, None, unbound, replay_nopk(snapshot, good, spec))

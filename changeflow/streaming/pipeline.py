@@ -39,13 +39,19 @@ def first_bad_offsets(events: DataFrame) -> DataFrame:
 def hold_after_error(events: DataFrame, holds: DataFrame | None = None) -> DataFrame:
     """Rows before the first bad row of their partition; the partition stops there, others go on."""
     bad = cut_lineage(first_bad_offsets(events)) if holds is None else holds
+    # one row per held partition: joined by key, all events would meet in as many tasks as the log has partitions
     return (
-        events.join(bad, ["topic", "partition"], "left")
+        events.join(F.broadcast(bad), ["topic", "partition"], "left")
         .filter(F.col("first_bad").isNull() | (F.col("offset") < F.col("first_bad")))
         .drop("first_bad")
     )
 
 
+def dealt_out(batch: DataFrame) -> DataFrame:
+    """Messages over all cores. Few files or log partitions would be as few tasks, and decoding is the dear step."""
+    return batch.repartition(max(batch.sparkSession.sparkContext.defaultParallelism, batch.rdd.getNumPartitions()))
+
+
 class Pipeline:
     """Applies micro-batches to a snapshot store. ``apply_batch`` is the ``foreachBatch`` function."""
 
@@ -85,7 +91,7 @@ class Pipeline:
             self._log_holds(new.join(cut_lineage(self._turns()), PLACE, "left").select(*PLACE, "first_bad", turn.alias("turn"), F.lit(False).alias("released")))
         holds = new if release else cut_lineage(self.holds())
         good = hold_after_error(routed, holds)
-        held = routed.join(holds, PLACE).filter(F.col("offset") >= F.col("first_bad"))
+        held = routed.join(F.broadcast(holds), PLACE).filter(F.col("offset") >= F.col("first_bad"))
         return good, held.drop("first_bad"), holds
 
     def _log_holds(self, rows: DataFrame) -> None:
@@ -98,7 +104,7 @@ class Pipeline:
             kept = self.spark.read.schema(f"{ENVELOPE_SCHEMA}, version int").parquet(f"{self.store.root}/parked")
         except AnalysisException:
             kept = self.spark.createDataFrame([], f"{ENVELOPE_SCHEMA}, version int")
-        kept = kept.join(hold, PLACE).filter(F.col("offset") >= F.col("first_bad"))
+        kept = kept.join(F.broadcast(hold), PLACE).filter(F.col("offset") >= F.col("first_bad"))
         message = F.struct(*[c for c in kept.columns if c not in (*PLACE, "offset", "first_bad")])
         newest = kept.groupBy(*PLACE, "offset").agg(F.max_by(message, "version").alias("m"))
         return newest.select("m.key", "m.value", *PLACE, "offset", "m.timestamp")
@@ -151,13 +157,13 @@ class Pipeline:
 
     def _apply(self, batch: DataFrame, batch_id: int, stream: str) -> list[dict]:
         job, place = self.job, f"stream={stream}/batch={batch_id}"
-        routed = cut_lineage(decode_and_route(batch, job, self.catalog))
+        routed = cut_lineage(decode_and_route(dealt_out(batch), job, self.catalog))
         release = stream.startswith("release-")
         good, bad, holds = self._good_rows(routed, release)
         if holds is not None and not holds.isEmpty():
             # in the log's own form, so that a release can decode repaired messages; a release writes a newer version
             version = F.lit(batch_id + 1 if release else 0)
-            kept = batch.join(holds, PLACE).filter(F.col("offset") >= F.col("first_bad"))
+            kept = batch.join(F.broadcast(holds), PLACE).filter(F.col("offset") >= F.col("first_bad"))
             kept.select(*batch.columns, version.alias("version")).write.mode("overwrite").parquet(f"{self.store.root}/parked/{place}")
         # archives have a folder per batch and are overwritten, so a repeated batch leaves them once
         if job.raw_dir and job.dump_binary:
@@ -209,8 +215,9 @@ class Pipeline:
         Of the table, only these rows in the touched buckets are read and joined.
         """
         store = self.store
-        out = apply_table(events, spec, store.read(spec), self.job.update_mode, self.job.skip_unchanged)
-        out.net = cut_lineage(out.net)
+        out = apply_table(events, spec, store.read(spec), self.job.update_mode, self.job.skip_unchanged, materialise=True)
+        # both are counted and written
+        out.net, out.rejects = cut_lineage(out.net), cut_lineage(out.rejects)
         buckets = store.touched_buckets(out.net, spec)
         named = [out.net.select(*[F.col(f"{side}_{k}").alias(k) for k in spec.key_names]) for side in "sd"]
         # a fresh row has no source key

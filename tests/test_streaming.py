@@ -8,7 +8,8 @@ from changeflow.config import JobConfig, Topic
 from changeflow.model import Catalog
 from changeflow.operators.stats import load_stats, partition_progress, report
 from changeflow.plans import stream_queries
-from changeflow.streaming.pipeline import Pipeline, pending_rows, progress_rows, run_until_idle, start_pipeline, stop
+from changeflow.plans.batch import apply_table, decode_and_route
+from changeflow.streaming.pipeline import Pipeline, dealt_out, hold_after_error, pending_rows, progress_rows, run_until_idle, start_pipeline, stop
 from changeflow.streaming.store import SnapshotStore
 
 WANT = [
@@ -321,3 +322,32 @@ def test_live_view_deals_a_micro_batch_out_to_several_files(spark, tmp_path, mon
     assert sorted((r["c1"], r["op"], r["n_events"]) for r in view.collect()) == [(0, "I", 8), (1, "U", 8), (2, "U", 8)]
     assert len(list((tmp_path / "work" / "log").glob("*.parquet"))) > stream_queries.SLICES
     assert len(list((tmp_path / "work" / "view").glob("b=*"))) <= stream_queries.SLICES
+
+
+def test_holds_are_sent_to_the_events(spark, capsys):
+    """Joined by key, all events would meet in one task per partition of the log."""
+    events = spark.createDataFrame([("t", 0, 1, None), ("t", 0, 2, "bad"), ("t", 0, 3, None), ("t", 1, 1, None)], "topic string, partition int, offset bigint, error string")
+    good = hold_after_error(events)
+    assert sorted((r["partition"], r["offset"]) for r in good.collect()) == [(0, 1), (1, 1)]
+    good.explain()
+    assert "BroadcastHashJoin" in capsys.readouterr().out
+
+
+def test_typed_changes_of_a_batch_are_bound_once(spark, tmp_path, capsys):
+    store, job = setup(spark, tmp_path, ONEKEY, MIX_SEED)
+    pipeline = Pipeline(spark, job, store)
+    events = decode_and_route(envelope(spark, MIX), job, store.catalog)
+    out = apply_table(events, ONEKEY, store.read(ONEKEY), materialise=True)
+    capsys.readouterr()
+    out.changes.explain()
+    plan = capsys.readouterr().out
+    assert "Scan ExistingRDD" in plan and "element_at" not in plan
+    pipeline.apply_batch(envelope(spark, MIX), 0)
+    assert rows(store.read(ONEKEY)) == WANT
+
+
+def test_messages_of_one_file_are_dealt_out_before_decoding(spark):
+    log = envelope(spark, MIX).coalesce(1)
+    spread = dealt_out(log)
+    assert spread.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism > 1
+    assert rows(spread.select("offset")) == rows(log.select("offset"))
